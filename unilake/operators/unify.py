@@ -76,7 +76,8 @@ def align(staged: DataFrame, branch: Branch, model: UnifiedModel,
             c = exprs.typed_null(f.dataType)
         cols[f.name] = c.cast(f.dataType)
     key = exprs.surrogate_key(*[cols[p] for p in model.key_parts])
-    out = [key.alias(model.key_name)]
+    key_meta = model.schema[model.key_name].metadata
+    out = [key.alias(model.key_name, metadata=key_meta) if key_meta else key.alias(model.key_name)]
     out += [cols[f.name].alias(f.name, metadata=f.metadata) if f.metadata
             else cols[f.name].alias(f.name) for f in model.data_fields]
     if loaded_at is not None:
@@ -95,7 +96,12 @@ def unify(model: UnifiedModel, staged: Mapping[str, DataFrame],
     ``False``/``None`` leaves the stamp out.  ``sources`` restricts the build
     to some source systems (used by per-source refresh).
     """
-    stamp = F.current_timestamp() if loaded_at is True else (loaded_at or None)
+    if loaded_at is True:
+        stamp = F.current_timestamp()
+    elif loaded_at is False or loaded_at is None:
+        stamp = None
+    else:
+        stamp = loaded_at
     parts = [align(staged[b.staged], b, model, stamp) for b in model.branches
              if sources is None or b.source_system in sources]
     if not parts:

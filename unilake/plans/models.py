@@ -16,8 +16,9 @@ activity model's own).
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
+                               StringType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 from unilake.functions import exprs
 from unilake.operators.mapping import StagingModel, cast, derive, keep, rename
@@ -289,3 +290,53 @@ UNIFIED: dict[str, UnifiedModel] = {m.name: m for m in (
 # which staging models feed which unified model
 def inputs_of(model: UnifiedModel) -> list[str]:
     return [b.staged for b in model.branches]
+
+
+# --- source contracts (declared raw schemas) ------------------------------------
+
+_S, _L, _D, _I, _TS = StringType(), LongType(), DoubleType(), IntegerType(), TimestampNTZType()
+
+
+def _st(*cols) -> StructType:
+    return StructType([StructField(n, t, True) for n, t in cols])
+
+
+RAW_CONTRACTS: dict[str, StructType] = {
+    "raw_a__contacts": _st(
+        ("contact_id", _L), ("first_name", _S), ("last_name", _S), ("email_address", _S),
+        ("phone", _S), ("company_name", _S), ("created_date", _S)),
+    "raw_a__inventory": _st(
+        ("item_id", _L), ("item_name", _S), ("item_description", _S), ("category", _S),
+        ("price", _D), ("stock_qty", _L), ("added_date", _S)),
+    "raw_b__customers": _st(
+        ("cust_id", _L), ("full_name", _S), ("email", _S), ("mobile_phone", _S),
+        ("organization", _S), ("status", _S), ("signup_date", _S)),
+    "raw_b__products": _st(
+        ("prod_id", _L), ("product_title", _S), ("product_desc", _S), ("product_type", _S),
+        ("unit_cost", _D), ("retail_price", _D), ("available", _L), ("created_at", _S)),
+    "raw_sales__orders": _st(
+        ("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+        ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "raw_sales__lineitem": _st(
+        ("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
+    "raw_web__events": _st(
+        ("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D),
+        ("props", _S)),
+}
+
+
+def raw_contracts() -> dict[str, StructType]:
+    return dict(RAW_CONTRACTS)
+
+
+# Columns a consumer of each unified model relies on.
+REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
+    "int_unified_customers": ("customer_sk", "source_system", "source_customer_id",
+                              "full_name", "email", "status"),
+    "int_unified_products": ("product_sk", "source_system", "source_product_id",
+                             "product_name", "retail_price", "is_available"),
+    "int_unified_activity": ("activity_sk", "source_system", "source_activity_id",
+                             "activity_type", "amount", "activity_date"),
+}

@@ -64,3 +64,257 @@ for _key, _model in (("unified_customers", "int_unified_customers"),
                      ("unified_products", "int_unified_products"),
                      ("unified_activity", "int_unified_activity")):
     register(_key, with_models(f"select * from {_model}", [_model]))(_unified_query(_model))
+
+
+# --- scalar functions (F2-F11, P7, K1) ---------------------------------------
+
+@register("name_forms", with_models(
+    "select source_system, source_customer_id, first_name, last_name, full_name "
+    "from int_unified_customers", ["int_unified_customers"]))
+def name_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full name from split names (a) and split names from a full name (b)."""
+    return build.unified_from_tables(spark, sf_dir, "int_unified_customers", loaded_at=False) \
+        .select("source_system", "source_customer_id", "first_name", "last_name", "full_name")
+
+
+_AVAIL_SQL = with_models("""
+    select source_system, input_value, is_available, count(*) as row_count
+    from (
+        select 'a' as source_system,
+               case when stock_quantity is null then 'null'
+                    when stock_quantity < 0 then 'negative'
+                    when stock_quantity = 0 then 'zero' else 'positive' end as input_value,
+               case when stock_quantity > 0 then true else false end as is_available
+        from stg_a__inventory
+        union all
+        select 'b', coalesce(cast(available as varchar), 'null'),
+               case when available = 1 then true else false end
+        from raw_b__products
+    )
+    group by all""", ["stg_a__inventory", "raw_b__products"])
+
+
+@register("availability", _AVAIL_SQL)
+def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth tables of the two availability rules over every product row."""
+    from unilake.functions import exprs
+    from unilake.sources import adapters
+    q = F.col("stock_quantity")
+    a = build.staging_from_tables(spark, sf_dir, "stg_a__inventory").select(
+        F.lit("a").alias("source_system"),
+        F.when(q.isNull(), "null").when(q < 0, "negative").when(q == 0, "zero")
+         .otherwise("positive").alias("input_value"),
+        exprs.positive_flag(q).alias("is_available"))
+    flag = F.col("available")
+    b = adapters.b_products(spark, sf_dir).select(
+        F.lit("b").alias("source_system"),
+        F.coalesce(flag.cast("string"), F.lit("null")).alias("input_value"),
+        exprs.one_flag(flag).alias("is_available"))
+    return a.unionByName(b).groupBy("source_system", "input_value", "is_available") \
+        .agg(F.count(F.lit(1)).alias("row_count"))
+
+
+_DATE_INPUTS = (("raw_a__contacts", "contact_id", "created_date"),
+                ("raw_a__inventory", "item_id", "added_date"),
+                ("raw_b__customers", "cust_id", "signup_date"),
+                ("raw_b__products", "prod_id", "created_at"))
+
+
+@register("iso_dates", with_models(" union all ".join(
+    f"select '{t}' as raw_table, cast({k} as varchar) as source_id, {c} as date_text, "
+    f"cast({c} as date) as created_at from {t}" for t, k, c in _DATE_INPUTS),
+    [t for t, _, _ in _DATE_INPUTS]))
+def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO date and datetime text -> date (time dropped), every raw row."""
+    from unilake.functions import exprs
+    from unilake.sources import adapters
+    raws = adapters.raw_frames(spark, sf_dir, {t for t, _, _ in _DATE_INPUTS})
+    parts = [raws[t].select(F.lit(t).alias("raw_table"), exprs.to_text(k).alias("source_id"),
+                            F.col(c).alias("date_text"), exprs.iso_date(c).alias("created_at"))
+             for t, k, c in _DATE_INPUTS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("align_missing", with_models(
+    "select source_system, source_product_id, unit_cost, stock_quantity "
+    "from int_unified_products", ["int_unified_products"]))
+def align_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed NULL columns for fields a source lacks (cost in a, stock in b)."""
+    return build.unified_from_tables(spark, sf_dir, "int_unified_products", loaded_at=False) \
+        .select("source_system", "source_product_id", "unit_cost", "stock_quantity")
+
+
+_SK = (("int_unified_customers", "customer_sk", "source_customer_id"),
+       ("int_unified_products", "product_sk", "source_product_id"),
+       ("int_unified_activity", "activity_sk", "source_activity_id"))
+
+
+@register("surrogate_key", with_models(" union all ".join(
+    f"select '{m}' as model, source_system, {i} as source_id, {k} as surrogate_key from {m}"
+    for m, k, i in _SK), [m for m, _, _ in _SK]))
+def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """md5 surrogate keys of every unified row, across all three models."""
+    parts = [build.unified_from_tables(spark, sf_dir, m, loaded_at=False).select(
+        F.lit(m).alias("model"), "source_system", F.col(i).alias("source_id"),
+        F.col(k).alias("surrogate_key")) for m, k, i in _SK]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- data tests (T1-T5, G5) -----------------------------------------------------
+
+def checked_models(spark: SparkSession, sf_dir: str):
+    """(model name, frame, declared tests) for every staging and unified model."""
+    staged = build.staged_from_tables(spark, sf_dir)
+    out = [(n, staged[n], STAGING[n].tests) for n in STAGING]
+    from unilake.operators.unify import unify
+    for n, m in UNIFIED.items():
+        out.append((n, unify(m, staged, loaded_at=False), m.tests))
+    return out
+
+
+def _declared():
+    for n, m in STAGING.items():
+        yield n, m.tests
+    for n, m in UNIFIED.items():
+        yield n, m.tests
+
+
+def _check_sql(kinds: tuple[str, ...], with_passed: bool = False) -> str:
+    parts = []
+    for name, tests in _declared():
+        for t in tests:
+            if t.kind not in kinds:
+                continue
+            head = f"select '{name}' as model, '{t.column}' as column_name, '{t.kind}' as check_name"
+            if t.kind == "not_null":
+                parts.append(f"{head}, count(*) filter (where {t.column} is null) as failures "
+                             f"from {name}")
+            elif t.kind == "accepted_values":
+                vals = ", ".join(f"'{v}'" for v in t.values)
+                parts.append(f"{head}, count(*) filter (where {t.column} is not null and "
+                             f"{t.column} not in ({vals})) as failures from {name}")
+            else:
+                parts.append(f"{head}, (select count(*) from (select {t.column} from {name} "
+                             f"where {t.column} is not null group by {t.column} "
+                             f"having count(*) > 1)) as failures")
+    body = " union all ".join(parts)
+    if with_passed:
+        body = f"select *, failures = 0 as passed from ({body})"
+    return with_models(body, [n for n, _ in _declared()])
+
+
+def _checks_query(kinds: tuple[str, ...], with_passed: bool = False) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from unilake.operators.quality import run_checks
+        rep = run_checks(spark, checked_models(spark, sf_dir), kinds)
+        return rep if with_passed else rep.drop("passed")
+    return q
+
+
+register("check_not_null", _check_sql(("not_null",)))(_checks_query(("not_null",)))
+register("check_unique", _check_sql(("unique",)))(_checks_query(("unique",)))
+register("check_accepted", _check_sql(("accepted_values",)))(
+    _checks_query(("accepted_values",)))
+_ALL_KINDS = ("not_null", "unique", "accepted_values")
+register("quality_report", _check_sql(_ALL_KINDS, with_passed=True))(
+    _checks_query(_ALL_KINDS, with_passed=True))
+
+
+# --- readouts (G1-G3, S12) ------------------------------------------------------
+
+def _layer_tables():
+    from unilake.sources.adapters import ADAPTERS
+    raw = [("raw", f"raw_{s}__{t}") for s, t in ADAPTERS]
+    return raw + [("staging", n) for n in STAGING] + [("intermediate", n) for n in UNIFIED]
+
+
+@register("layer_summary", with_models(" union all ".join(
+    f"select '{layer}' as layer, '{n}' as table_name, count(*) as row_count from {n}"
+    for layer, n in _layer_tables()), [n for _, n in _layer_tables()]))
+def layer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of every raw, staging and intermediate table (one job)."""
+    from unilake.operators.report import layer_summary as summary
+    from unilake.sources import adapters
+    raw = adapters.raw_frames(spark, sf_dir)
+    staged = build.staged_frames(raw)
+    from unilake.operators.unify import unify
+    frames = {**raw, **staged, **{n: unify(m, staged, loaded_at=False) for n, m in UNIFIED.items()}}
+    return summary((layer, n, frames[n]) for layer, n in _layer_tables())
+
+
+@register("preview", with_models(
+    "select * from int_unified_customers order by customer_sk limit 5",
+    ["int_unified_customers"]))
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five unified customers in key order (a top-n, not a sort)."""
+    from unilake.operators.report import preview as top
+    return top(build.unified_from_tables(spark, sf_dir, "int_unified_customers",
+                                         loaded_at=False), ["customer_sk"], 5)
+
+
+@register("describe_model", " union all ".join(
+    with_models(
+        f"select '{m}' as model, cast(row_number() over () as integer) as ordinal, "
+        f"column_name, column_type as data_type "
+        f"from (describe select *, current_timestamp as loaded_at from {m})", [m])
+    .replace("with ", "(with ", 1) + ")"
+    for m in ("int_unified_customers", "int_unified_products", "int_unified_activity")))
+def describe_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column list and SQL types of each unified model, as built (no scan)."""
+    from unilake.operators.report import describe
+    models = [(n, build.unified_from_tables(spark, sf_dir, n).schema) for n in UNIFIED]
+    return describe(spark, models).drop("comment")
+
+
+def _contract_sql() -> str:
+    from unilake.operators.report import sql_type
+    from unilake.plans.models import RAW_CONTRACTS
+    expected = []
+    actual = []
+    for t, schema in RAW_CONTRACTS.items():
+        for f in schema.fields:
+            expected.append(f"('{t}', '{f.name}', '{sql_type(f.dataType)}')")
+        actual.append(f"select '{t}' as table_name, column_name, column_type "
+                      f"from (describe select * from {t})")
+    for n, m in UNIFIED.items():
+        for f in m.schema.fields:
+            expected.append(f"('{n}', '{f.name}', '{sql_type(f.dataType)}')")
+        actual.append(f"select '{n}' as table_name, column_name, column_type "
+                      f"from (describe select *, current_timestamp as loaded_at from {n})")
+    final = f"""
+        , expected as (select * from (values {', '.join(expected)}) v(table_name, column_name,
+                                                                       expected_type)),
+        actual as ({' union all '.join(actual)})
+        select coalesce(e.table_name, a.table_name) as table_name,
+               coalesce(e.column_name, a.column_name) as column_name,
+               e.expected_type, a.column_type as actual_type,
+               case when a.column_name is null then 'missing'
+                    when e.column_name is null then 'extra'
+                    when a.column_type = e.expected_type then 'ok'
+                    else 'type_mismatch' end as status
+        from expected e full outer join actual a
+          on e.table_name = a.table_name and e.column_name = a.column_name"""
+    base = with_models("select 1", list(RAW_CONTRACTS) + list(UNIFIED))
+    return base[: -len("select 1")].rstrip() + final
+
+
+def _contract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables vs declared source contracts; unified models vs canonical schema."""
+    from unilake.operators.report import contract_check
+    from unilake.plans.models import raw_contracts
+    from unilake.sources import adapters
+    contracts = raw_contracts()
+    raw = adapters.raw_frames(spark, sf_dir)
+    checks = [(t, raw[t].schema, contracts[t]) for t in contracts]
+    checks += [(n, build.unified_from_tables(spark, sf_dir, n).schema, m.schema)
+               for n, m in UNIFIED.items()]
+    return contract_check(spark, checks)
+
+
+register("contract_check", _contract_sql())(_contract_query)
