@@ -318,3 +318,142 @@ def _contract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("contract_check", _contract_sql())(_contract_query)
+
+
+# --- landing (S2, S5, S7-S9) -------------------------------------------------------
+
+def _raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+    from unilake.sources.adapters import ADAPTERS
+    out: dict[str, dict[str, DataFrame]] = {}
+    for (s, t), fn in ADAPTERS.items():
+        out.setdefault(s, {})[t] = fn(spark, sf_dir)
+    return out
+
+
+def _new_lake(spark: SparkSession):
+    from unilake.session import fresh_dir
+    from unilake.sources.landing import Lake
+    return Lake(spark, fresh_dir(spark, "lake"))
+
+
+@register("load_audit", " union all ".join(
+    f"select 'raw.{n}' as raw_table, cast(1 as bigint) as load_id, count(*) as row_count, "
+    f"'loaded' as status from ({sql})"
+    for n, sql in __import__("unilake.sources.adapters", fromlist=["ADAPTER_SQL"])
+    .ADAPTER_SQL.items()))
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all seven raw tables as load 1; the audit counts come from the
+    writes themselves (observed metrics, no second scan)."""
+    lake = _new_lake(spark)
+    lake.land_many(_raw_sources(spark, sf_dir))
+    return lake.audit().select("raw_table", "load_id", "row_count", "status")
+
+
+@register("full_replace", "select * from lineitem")
+def full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land lineitem twice -- first with an extra column, then as it is -- and
+    read the raw table: only the second load, with its schema, remains."""
+    from unilake.sources import adapters
+    lake = _new_lake(spark)
+    li = adapters.read_table(spark, sf_dir, "lineitem")
+    lake.land("sales", {"lineitem": li.withColumn("obsolete", F.lit("x"))})
+    lake.land("sales", {"lineitem": li})
+    return lake.read_raw("raw_sales__lineitem")
+
+
+# --- refresh (R1-R4) -----------------------------------------------------------------
+
+@register("snapshot_refresh", with_models("select * from int_unified_customers",
+                                          ["int_unified_customers"]))
+def snapshot_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish customers from a stale snapshot of source b, land b's current
+    snapshot, refresh: only b is rebuilt and the pointer swaps to it."""
+    from unilake.plans.layers import Publisher
+    from unilake.sources import adapters
+    from unilake.streaming.refresh import snapshot_refresh as refresh
+    lake = _new_lake(spark)
+    b_now = adapters.b_customers(spark, sf_dir)
+    lake.land_many({"a": {"contacts": adapters.a_contacts(spark, sf_dir)},
+                    "b": {"customers": b_now.withColumn("status", F.lit("active"))}})
+    pub = Publisher(lake)
+    pub.publish("int_unified_customers")
+    lake.land("b", {"customers": b_now})
+    res = refresh(pub, "int_unified_customers")
+    assert res.rebuilt == ["b"], res
+    return pub.read("int_unified_customers").drop("loaded_at")
+
+
+@register("stream_refresh", with_models("select * from int_unified_activity",
+                                        ["int_unified_activity"]))
+def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the sales and web sources, let the refresh stream publish the
+    activity model (available-now trigger), read what it published."""
+    from unilake.plans.layers import Publisher
+    from unilake.streaming.refresh import start_stream_refresh
+    lake = _new_lake(spark)
+    srcs = _raw_sources(spark, sf_dir)
+    lake.land_many({"sales": srcs["sales"], "web": srcs["web"]})
+    q = start_stream_refresh(lake, ["int_unified_activity"], available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return Publisher(lake).read("int_unified_activity").drop("loaded_at")
+
+
+# --- change set (R3b) ----------------------------------------------------------------
+
+# fixed values: the earlier snapshot ends before these dates (per source family)
+_SALES_CUTOFF = "2001-01-01"
+_WEB_CUTOFF = "2024-01-25"
+
+_CHANGE_SQL = with_models(f"""
+    , new_s as (
+        select * from int_unified_activity
+        where not (source_system = 'events' and activity_type = 'error')),
+    old_s as (
+        select activity_sk, source_system, source_activity_id, customer_id, activity_type,
+               case when source_system = 'orders' and status = 'F' then 'O' else status end
+                   as status,
+               amount, quantity, activity_date
+        from int_unified_activity
+        where (source_system in ('orders', 'lineitem') and activity_date < date '{_SALES_CUTOFF}')
+           or (source_system = 'events' and activity_date < date '{_WEB_CUTOFF}'))
+    select coalesce(n.source_system, o.source_system) as source_system,
+           coalesce(n.activity_sk, o.activity_sk) as activity_sk,
+           case when o.activity_sk is null then 'insert'
+                when n.activity_sk is null then 'delete' else 'update' end as change_type
+    from old_s o full outer join new_s n on o.activity_sk = n.activity_sk
+    where o.activity_sk is null or n.activity_sk is null
+       or o.source_activity_id is distinct from n.source_activity_id
+       or o.customer_id is distinct from n.customer_id
+       or o.activity_type is distinct from n.activity_type
+       or o.status is distinct from n.status
+       or o.amount is distinct from n.amount
+       or o.quantity is distinct from n.quantity
+       or o.activity_date is distinct from n.activity_date""", ["int_unified_activity"])
+# with_models emits "with ...ctes\n, new_s ..." -> join the CTE lists
+_CHANGE_SQL = _CHANGE_SQL.replace("\n\n    , new_s as (", ",\n    new_s as (", 1)
+
+
+def activity_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the activity model derived from the whole tables:
+    the earlier one ends at a cutoff date and still shows fulfilled orders
+    as open; the later one has purged the error events."""
+    cur = build.unified_from_tables(spark, sf_dir, "int_unified_activity", loaded_at=False)
+    src, day = F.col("source_system"), F.col("activity_date")
+    old = cur.where((src.isin("orders", "lineitem") & (day < F.lit(_SALES_CUTOFF).cast("date")))
+                    | ((src == "events") & (day < F.lit(_WEB_CUTOFF).cast("date")))) \
+        .withColumn("status", F.when((src == "orders") & (F.col("status") == "F"), F.lit("O"))
+                    .otherwise(F.col("status")))
+    new = cur.where(~((src == "events") & (F.col("activity_type") == "error")))
+    return old, new
+
+
+@register("change_set", _CHANGE_SQL)
+def change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts, updates and deletes between two activity snapshots (one
+    grouping shuffle of key + hash; no join)."""
+    from unilake.operators.change_set import change_set as diff
+    old, new = activity_snapshots(spark, sf_dir)
+    compare = [c for c in new.columns if c not in ("activity_sk", "source_system")]
+    return diff(old, new, ["source_system", "activity_sk"], compare)
