@@ -24,6 +24,9 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # PySpark 4 captures the Python call site on every Column call for error
+    # context; that costs milliseconds per expression when building plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -44,10 +47,14 @@ def build_session(master: str = "local[*]", app: str = "unilake",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL-level settings to an existing session (e.g. the driver's)."""
+    """Apply the runtime settings to an existing session (e.g. the driver's)."""
     for k, v in SESSION_CONF.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") or k.startswith("spark.python.sql."):
             spark.conf.set(k, v)
+    # the debugging flag is read once per process; let the new value apply
+    import pyspark.errors.utils as _eu
+    if getattr(_eu, "_enable_debugging_cache", None) is not None:
+        _eu._enable_debugging_cache = None
 
 
 def work_root(spark: SparkSession) -> str:
