@@ -1,0 +1,99 @@
+"""Scalar expressions: name forms, flags, dates, keys, row hash."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from unilake.functions import exprs
+
+
+def _rows(spark, data, schema, *cols):
+    return [tuple(r) for r in spark.createDataFrame(data, schema).select(*cols).collect()]
+
+
+def test_name_split_edge_cases(spark):
+    data = [("Bob",), ("Bob Lee",), ("Bob Lee Roth",), (" Bob",), ("Bob ",), ("",), (None,)]
+    got = _rows(spark, data, "full string", "full",
+                exprs.first_name("full").alias("f"), exprs.last_name("full").alias("l"))
+    assert got == [
+        ("Bob", "Bob", None),
+        ("Bob Lee", "Bob", "Lee"),
+        ("Bob Lee Roth", "Bob", "Lee Roth"),      # last name keeps every later word
+        (" Bob", "", "Bob"),                       # leading space -> empty first name
+        ("Bob ", "Bob", ""),                       # trailing space -> empty last name
+        ("", "", None),
+        (None, None, None),
+    ]
+
+
+def test_full_name_is_null_when_a_part_is_null(spark):
+    data = [("Ann", "Lee"), ("Ann", None), (None, "Lee")]
+    got = _rows(spark, data, "a string, b string", exprs.full_name("a", "b").alias("n"))
+    assert got == [("Ann Lee",), (None,), (None,)]
+
+
+def test_positive_flag_truth_table(spark):
+    got = _rows(spark, [(None,), (-1,), (0,), (1,)], "q long",
+                "q", exprs.positive_flag("q").alias("f"))
+    assert got == [(None, False), (-1, False), (0, False), (1, True)]
+
+
+def test_one_flag_truth_table(spark):
+    got = _rows(spark, [(None,), (0,), (1,), (2,)], "v long",
+                "v", exprs.one_flag("v").alias("f"))
+    assert got == [(None, False), (0, False), (1, True), (2, False)]
+
+
+def test_iso_date_accepts_date_and_datetime_text(spark):
+    import datetime as dt
+    got = _rows(spark, [("2024-01-20",), ("2024-01-20 09:30:00",), ("2024-1-5",), (None,)],
+                "t string", exprs.iso_date("t").alias("d"))
+    assert got == [(dt.date(2024, 1, 20),), (dt.date(2024, 1, 20),), (dt.date(2024, 1, 5),),
+                   (None,)]
+
+
+def test_iso_date_strict_raises_lenient_nulls_and_counts(spark):
+    df = spark.createDataFrame([("2024-01-20",), ("not a date",), (None,)], "t string")
+    with pytest.raises(Exception):
+        df.select(exprs.iso_date("t")).collect()
+    got = [r[0] for r in df.select(exprs.iso_date("t", lenient=True)).collect()]
+    assert got[1] is None and got[2] is None and got[0] is not None
+    assert df.agg(F.sum(exprs.date_rejects("t"))).first()[0] == 1
+
+
+def test_surrogate_key_recipe_and_nulls(spark):
+    df = spark.createDataFrame([("a", "1"), ("a", None), ("b", "1"), ("a-b", "c"), ("a", "b-c")],
+                               "s string, i string")
+    got = [r[0] for r in df.select(exprs.surrogate_key("s", "i")).collect()]
+    assert got[0] == hashlib.md5(b"a-1").hexdigest()
+    marker = exprs.SURROGATE_KEY_NULL_MARKER.encode()
+    assert got[1] == hashlib.md5(b"a-" + marker).hexdigest()
+    assert got[0] != got[2]                     # same id in two sources -> two keys
+    # documented limit: a separator inside a value can alias ...
+    assert got[3] == got[4]
+    # ... and a different separator separates them
+    alt = [r[0] for r in df.select(exprs.surrogate_key("s", "i", separator="|")).collect()]
+    assert alt[3] != alt[4]
+
+
+def test_surrogate_key_not_concat_ws(spark):
+    df = spark.createDataFrame([("a", None), ("a", "")], "s string, i string")
+    k = [r[0] for r in df.select(exprs.surrogate_key("s", "i")).collect()]
+    assert k[0] != k[1]
+
+
+def test_typed_null(spark):
+    df = spark.range(1).select(exprs.typed_null("double").alias("d"),
+                               exprs.typed_null("bigint").alias("l"))
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["double", "bigint"]
+    assert df.first() == (None, None)
+
+
+def test_row_hash_separates_null_positions(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), ("a", "a")],
+                               "x string, y string")
+    h = [r[0] for r in df.select(exprs.row_hash(["x", "y"])).collect()]
+    assert h[0] != h[1] and h[2] == h[3] and h[1] != h[2]

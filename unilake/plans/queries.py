@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from unilake.plans import build
 from unilake.plans.models import STAGING, UNIFIED
-from unilake.plans.oracle import UNIFIED_SQL, with_models
+from unilake.plans.oracle import with_models
+from unilake.sources.adapters import ADAPTER_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -339,8 +340,7 @@ def _new_lake(spark: SparkSession):
 @register("load_audit", " union all ".join(
     f"select 'raw.{n}' as raw_table, cast(1 as bigint) as load_id, count(*) as row_count, "
     f"'loaded' as status from ({sql})"
-    for n, sql in __import__("unilake.sources.adapters", fromlist=["ADAPTER_SQL"])
-    .ADAPTER_SQL.items()))
+    for n, sql in ADAPTER_SQL.items()))
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all seven raw tables as load 1; the audit counts come from the
     writes themselves (observed metrics, no second scan)."""

@@ -49,12 +49,9 @@ def build_session(master: str = "local[*]", app: str = "unilake",
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime settings to an existing session (e.g. the driver's)."""
     for k, v in SESSION_CONF.items():
-        if k.startswith("spark.sql.") or k.startswith("spark.python.sql."):
+        # static settings (e.g. the debugging flag) only apply at session start
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-    # the debugging flag is read once per process; let the new value apply
-    import pyspark.errors.utils as _eu
-    if getattr(_eu, "_enable_debugging_cache", None) is not None:
-        _eu._enable_debugging_cache = None
 
 
 def work_root(spark: SparkSession) -> str:
