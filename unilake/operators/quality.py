@@ -20,6 +20,7 @@ them).
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,16 +118,26 @@ def unique_checks(df: DataFrame, model: str, checks: Sequence[Check],
 
 def run_checks(spark: SparkSession, models: Iterable[tuple[str, DataFrame, Sequence[Check]]],
                kinds: Sequence[str] = ("not_null", "unique", "accepted_values"),
-               two_phase: bool = True) -> DataFrame:
-    """Quality report: one row per (model, column, check) with its failures."""
+               two_phase: bool = True, parallelism: int = 4) -> DataFrame:
+    """Quality report: one row per (model, column, check) with its failures.
+
+    The unique checks are independent jobs; up to ``parallelism`` of them are
+    submitted at once from driver threads, so small checks share the cluster
+    instead of queueing behind each other.
+    """
     parts: list[DataFrame] = []
-    uniq_rows: list[tuple[str, str, str, int]] = []
+    jobs: list[tuple[str, DataFrame, str]] = []
     for name, df, checks in models:
         sel = [c for c in checks if c.kind in kinds]
         rc = row_checks(df, name, sel)
         if rc is not None:
             parts.append(rc)
-        uniq_rows += unique_checks(df, name, sel, two_phase)
+        jobs += [(name, df, c.column) for c in sel if c.kind == "unique"]
+    uniq_rows: list[tuple[str, str, str, int]] = []
+    if jobs:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+            counts = list(pool.map(lambda j: unique_failures(j[1], j[2], two_phase), jobs))
+        uniq_rows = [(n, c, "unique", k) for (n, _df, c), k in zip(jobs, counts)]
     if uniq_rows:
         parts.append(spark.createDataFrame(uniq_rows, REPORT_SCHEMA))
     if not parts:

@@ -25,6 +25,7 @@ import datetime as dt
 import json
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -67,9 +68,10 @@ class PublishResult:
 class Publisher:
     """Publishes unified models of a :class:`Lake` as versioned folders."""
 
-    def __init__(self, lake: Lake):
+    def __init__(self, lake: Lake, parallelism: int = 4):
         self.lake = lake
         self.spark = lake.spark
+        self.parallelism = max(1, parallelism)
 
     # --- paths -----------------------------------------------------------------
     def model_path(self, model: UnifiedModel) -> str:
@@ -163,6 +165,7 @@ class Publisher:
         ptr = self.pointer(m)
         versions = dict(ptr.versions)
         rebuilt = []
+        todo = []
         for b in m.branches:
             if sources is not None and b.source_system not in sources:
                 continue
@@ -175,12 +178,20 @@ class Publisher:
                 continue
             path = self.version_path(m, b.source_system, load_id)
             if not self._committed(path):
-                stamp = F.lit(landed_at).cast("timestamp")
-                df = align(self.staged(b.staged, load_id), b, m, loaded_at=stamp)
-                # only an uncommitted (failed) attempt can exist at this path
-                df.drop(m.source_column).write.mode("overwrite").parquet(path)
+                todo.append((b, load_id, landed_at, path))
             versions[b.source_system] = load_id
             rebuilt.append(b.source_system)
+
+        def write(item) -> None:
+            b, load_id, landed_at, path = item
+            stamp = F.lit(landed_at).cast("timestamp")
+            df = align(self.staged(b.staged, load_id), b, m, loaded_at=stamp)
+            # only an uncommitted (failed) attempt can exist at this path
+            df.drop(m.source_column).write.mode("overwrite").parquet(path)
+
+        if todo:   # sources are independent jobs: build their versions concurrently
+            with ThreadPoolExecutor(max_workers=min(self.parallelism, len(todo))) as pool:
+                list(pool.map(write, todo))
         if versions == ptr.versions:
             return PublishResult(m.name, ptr.epoch, versions, [])
         report = None

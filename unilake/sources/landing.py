@@ -22,6 +22,7 @@ import logging
 import re
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -90,6 +91,7 @@ class Lake:
 
     spark: SparkSession
     root: str | None = None
+    parallelism: int = 4          # independent table writes submitted at once
 
     def __post_init__(self) -> None:
         self.root = (self.root or f"{work_root(self.spark)}/lake").rstrip("/")
@@ -160,6 +162,7 @@ class Lake:
         landed_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         results: dict[str, int] = {}
         audit_rows = []
+        writes: list[tuple[str, str, DataFrame]] = []
         for source, tables in sources.items():
             if isinstance(tables, str):
                 if not path_exists(self.spark, tables):
@@ -168,17 +171,26 @@ class Lake:
                                        load_id, None, "missing", landed_at, tables))
                     continue
                 tables = read_source(self.spark, tables, ignore)
-            for table, df in tables.items():
-                name = raw_table_name(source, table)
-                path = self.raw_path(name, load_id)
-                obs = Observation(f"land_{name}_{load_id}_{uuid.uuid4().hex[:8]}")
-                (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-                   .write.mode("errorifexists").parquet(path))
-                rows = int(obs.get["rows"])
-                results[result_key(source, table)] = rows
-                audit_rows.append((result_key(source, table), source, table, load_id, rows,
-                                   "loaded", landed_at, path))
-                log.info("landed %s load %d: %d rows", name, load_id, rows)
+            writes += [(source, table, df) for table, df in tables.items()]
+
+        def write(item: tuple[str, str, DataFrame]) -> int:
+            source, table, df = item
+            name = raw_table_name(source, table)
+            obs = Observation(f"land_{name}_{load_id}_{uuid.uuid4().hex[:8]}")
+            (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+               .write.mode("errorifexists").parquet(self.raw_path(name, load_id)))
+            return int(obs.get["rows"])
+
+        # tables are independent jobs: submit a few at once (any failure raises
+        # here, before the audit commit, so a partial load never becomes visible)
+        with ThreadPoolExecutor(max_workers=max(1, min(self.parallelism, len(writes)))) as pool:
+            counts = list(pool.map(write, writes))
+        for (source, table, _df), rows in zip(writes, counts):
+            name = raw_table_name(source, table)
+            results[result_key(source, table)] = rows
+            audit_rows.append((result_key(source, table), source, table, load_id, rows,
+                               "loaded", landed_at, self.raw_path(name, load_id)))
+            log.info("landed %s load %d: %d rows", name, load_id, rows)
         if audit_rows:
             (self.spark.createDataFrame(audit_rows, AUDIT_SCHEMA).coalesce(1)
              .write.mode("append").parquet(self.audit_path))
