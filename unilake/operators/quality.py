@@ -80,6 +80,20 @@ def _failure_condition(check: Check):
     raise ValueError(check.kind)
 
 
+def row_check_aggs(checks: Sequence[Check]) -> list:
+    """Named ``count_if`` aggregates for the not_null / accepted_values checks
+    (usable in ``agg`` or as observed metrics on a write)."""
+    rc = [c for c in checks if c.kind in ("not_null", "accepted_values")]
+    return [F.count_if(_failure_condition(c)).alias(f"{c.kind}:{c.column}") for c in rc]
+
+
+def report_rows(model: str, checks: Sequence[Check],
+                counts: dict[str, int]) -> list[tuple[str, str, str, int]]:
+    """Report rows from per-check failure counts keyed ``kind:column``."""
+    return [(model, c.column, c.kind, int(counts.get(f"{c.kind}:{c.column}", 0)))
+            for c in checks if c.kind in ("not_null", "accepted_values")]
+
+
 def row_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame | None:
     """All not_null / accepted_values checks of a model in one scan."""
     rc = [c for c in checks if c.kind in ("not_null", "accepted_values")]
