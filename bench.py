@@ -34,7 +34,8 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]", app="unilake-bench", shuffle_partitions=max(cpus * 2, 8),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-               "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
+               "spark.sql.files.maxPartitionBytes": os.environ.get("BENCH_SPLIT_BYTES",
+                                                                   str(64 * 1024 * 1024))})
 
     from pyspark.sql import functions as F
 

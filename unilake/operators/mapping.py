@@ -95,8 +95,7 @@ def date_reject_counts(raw: DataFrame, model: StagingModel) -> DataFrame:
     aggregation per task, one tiny final merge), no shuffle of rows.
     """
     date_fields = [f for f in model.fields if f.cast == "date"]
-    aggs = [F.sum(exprs.date_rejects(F.col(f.source or f.name))).cast("long").alias(f.name)
-            for f in date_fields]
-    if not aggs:
-        return raw.sparkSession.createDataFrame([], "dummy int")
-    return raw.agg(*aggs)
+    if not date_fields:
+        raise ValueError(f"{model.name} has no date field")
+    return raw.agg(*[F.sum(exprs.date_rejects(F.col(f.source or f.name))).cast("long")
+                     .alias(f.name) for f in date_fields])

@@ -457,3 +457,17 @@ def change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = activity_snapshots(spark, sf_dir)
     compare = [c for c in new.columns if c not in ("activity_sk", "source_system")]
     return diff(old, new, ["source_system", "activity_sk"], compare)
+
+
+# --- end to end (land -> publish -> summarise) -----------------------------------------
+
+@register("build_summary", " union all ".join(
+    [f"select 'raw' as layer, '{n}' as table_name, count(*) as row_count, 'ok' as status "
+     f"from ({sql})" for n, sql in ADAPTER_SQL.items()]
+    + [f"select 'intermediate', '{m}', count(*), 'ok' from ("
+       + with_models(f"select * from {m}", [m]) + ")" for m in UNIFIED]))
+def build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all sources, publish all unified models through the quality gate,
+    and count every raw and published table."""
+    from unilake.plans.run import build_all
+    return build_all(_new_lake(spark), _raw_sources(spark, sf_dir)).drop("error")
