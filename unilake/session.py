@@ -69,9 +69,8 @@ def work_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
-        root = tempfile.mkdtemp(prefix="unilake-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="unilake-"))
+        root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return root.rstrip("/")
 
 
