@@ -68,3 +68,13 @@ def test_declared_test_inventory():
     assert kinds.count("not_null") == 27
     assert kinds.count("unique") == 6
     assert kinds.count("accepted_values") == 4
+
+
+def test_row_checks_observed_on_unique_scan_with_duplicates(spark):
+    # duplicates force the second phase; metrics must come from the first scan only
+    df = spark.createDataFrame([("1", None), ("1", "x"), ("2", "y"), (None, "z")],
+                               "id string, name string")
+    rep = _report(spark, df, [unique("id"), not_null("id"), not_null("name")])
+    assert rep[("id", "unique")] == (1, False)
+    assert rep[("id", "not_null")] == (1, False)
+    assert rep[("name", "not_null")] == (1, False)

@@ -3,6 +3,9 @@
 * ``not_null`` and ``accepted_values`` of one model run as ONE aggregate pass:
   every check is a ``count_if`` in the same ``agg``, so each task folds its
   rows into a handful of counters and only one row per task is shuffled.
+  When the model also has a ``unique`` check, those counters are observed
+  metrics of the unique check's scan instead: one read of the model serves
+  all its checks.
 * ``unique`` cannot be pre-aggregated away (distinct keys stay distinct), so
   it is the full-shuffle case.  It runs in two phases: first the 8-byte
   xxhash64 of each value is shuffled (instead of the value itself), which
@@ -19,11 +22,12 @@ them).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -108,20 +112,37 @@ def row_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame
     return counts.select(rows.alias("r")).select("r.*")
 
 
-def unique_failures(df: DataFrame, column: str, two_phase: bool = True) -> int:
-    """Number of distinct non-NULL values of ``column`` occurring more than once."""
+def unique_failures(df: DataFrame, column: str, two_phase: bool = True,
+                    observe: list | None = None) -> int | tuple[int, dict]:
+    """Number of distinct non-NULL values of ``column`` occurring more than once.
+
+    ``observe``: aggregate columns (e.g. :func:`row_check_aggs`) computed as
+    observed metrics of the same scan; then ``(failures, metrics)`` is
+    returned, so a model's row checks cost no scan of their own.
+    """
+    obs = None
+    base = df
+    if observe:
+        obs = Observation(f"checks_{uuid.uuid4().hex[:12]}")
+        df = df.observe(obs, *observe)
     vals = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
     if not two_phase:
-        return vals.groupBy("v").count().where("count > 1").count()
-    hashed = vals.select(F.xxhash64("v").alias("h"))
-    candidates = hashed.groupBy("h").count().where("count > 1").select("h")
-    n_candidates = candidates.count()
-    if n_candidates == 0:
-        return 0
-    if n_candidates <= UNIQUE_BROADCAST_MAX_ROWS:
-        candidates = F.broadcast(candidates)
-    suspects = vals.join(candidates, F.xxhash64("v") == F.col("h"), "left_semi")
-    return suspects.groupBy("v").count().where("count > 1").count()
+        n = vals.groupBy("v").count().where("count > 1").count()
+    else:
+        hashed = vals.select(F.xxhash64("v").alias("h"))
+        candidates = hashed.groupBy("h").count().where("count > 1").select("h")
+        n_candidates = candidates.count()
+        n = 0
+        if n_candidates:
+            if n_candidates <= UNIQUE_BROADCAST_MAX_ROWS:
+                candidates = F.broadcast(candidates)
+            # second scan without the observation (metrics come from the first)
+            src = base.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+            suspects = src.join(candidates, F.xxhash64("v") == F.col("h"), "left_semi")
+            n = suspects.groupBy("v").count().where("count > 1").count()
+    if obs is None:
+        return n
+    return n, {k: int(v) for k, v in obs.get.items()}
 
 
 def unique_checks(df: DataFrame, model: str, checks: Sequence[Check],
@@ -140,18 +161,31 @@ def run_checks(spark: SparkSession, models: Iterable[tuple[str, DataFrame, Seque
     instead of queueing behind each other.
     """
     parts: list[DataFrame] = []
-    jobs: list[tuple[str, DataFrame, str]] = []
+    jobs: list[tuple[str, DataFrame, str, list, list]] = []
     for name, df, checks in models:
         sel = [c for c in checks if c.kind in kinds]
-        rc = row_checks(df, name, sel)
-        if rc is not None:
-            parts.append(rc)
-        jobs += [(name, df, c.column) for c in sel if c.kind == "unique"]
+        uniq = [c for c in sel if c.kind == "unique"]
+        if uniq:
+            # the model's row checks ride on its first unique check's scan
+            jobs.append((name, df, uniq[0].column, row_check_aggs(sel), sel))
+            jobs += [(name, df, c.column, [], []) for c in uniq[1:]]
+        else:
+            rc = row_checks(df, name, sel)
+            if rc is not None:
+                parts.append(rc)
+
+    def run(job):
+        name, df, column, aggs, sel = job
+        if aggs:
+            n, metrics = unique_failures(df, column, two_phase, observe=aggs)
+            return [(name, column, "unique", n)] + report_rows(name, sel, metrics)
+        return [(name, column, "unique", unique_failures(df, column, two_phase))]
+
     uniq_rows: list[tuple[str, str, str, int]] = []
     if jobs:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
-            counts = list(pool.map(lambda j: unique_failures(j[1], j[2], two_phase), jobs))
-        uniq_rows = [(n, c, "unique", k) for (n, _df, c), k in zip(jobs, counts)]
+            for rows in pool.map(run, jobs):
+                uniq_rows += rows
     if uniq_rows:
         parts.append(spark.createDataFrame(uniq_rows, REPORT_SCHEMA))
     if not parts:
