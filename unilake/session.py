@@ -46,6 +46,30 @@ def build_session(master: str = "local[*]", app: str = "unilake",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.2,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a given input volume and cluster.
+
+    The library's shuffles carry narrow rows (unique check: 8-byte hash +
+    count; change set: key + hash), a fraction of the input bytes
+    (``shuffle_fraction``).  Shuffle partitions are sized to hold about
+    ``target_partition_bytes`` of that each -- never fewer than two waves of
+    the cluster's cores, and not so many that map x reduce shuffle blocks
+    explode.  AQE then coalesces small partitions and splits skewed ones.
+    Example: 100 TB on 1000 executors x 8 cores -> 81,920 shuffle partitions,
+    128 MB input splits.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime settings to an existing session (e.g. the driver's)."""
     for k, v in SESSION_CONF.items():
