@@ -160,3 +160,27 @@ def test_gate_counts_are_stored_per_version_and_add_up(spark, lake):
     rep = {(r["column_name"], r["check_name"]): r["failures"]
            for r in pub.check(INT_UNIFIED_CUSTOMERS, {"a": 1, "b": 2}).collect()}
     assert rep[("customer_sk", "unique")] == 1 and rep[("full_name", "not_null")] == 0
+
+
+def test_stream_records_gate_failure_and_keeps_previous_state(spark, lake):
+    from unilake.streaming.refresh import refresh_log
+    pub, _ = _publish_initial(spark, lake)
+    lake.land("b", {"customers": fixtures.customers(spark).withColumn("status", F.lit("bogus"))})
+    q = start_stream_refresh(lake, [CUST], available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert pub.pointer(INT_UNIFIED_CUSTOMERS).versions == {"a": 1, "b": 1}
+    logged = refresh_log(lake).collect()
+    assert [(r["model"], r["status"]) for r in logged] == [(CUST, "gate_failed")]
+    assert overdue(staleness(pub, CUST), target_lag=0)
+
+
+def test_build_all_reports_gate_failures(spark, lake):
+    from unilake.plans.run import build_all
+    srcs = fixtures.sources(spark)
+    srcs["b"]["customers"] = srcs["b"]["customers"].withColumn("status", F.lit("bogus"))
+    rows = {r["table_name"]: r["status"] for r in build_all(
+        lake, srcs, ["int_unified_customers", "int_unified_products"],
+        on_gate_failure="report").collect()}
+    assert rows["int_unified_customers"] == "gate_failed"
+    assert rows["int_unified_products"] == "ok"

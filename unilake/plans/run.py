@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from unilake.operators.quality import QualityGateError
 from unilake.operators.report import tolerant_summary
 from unilake.plans.layers import INTERMEDIATE_LAYER, Publisher, register_raw_views
 from unilake.plans.models import UNIFIED
@@ -22,25 +23,40 @@ log = logging.getLogger(__name__)
 
 
 def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
-              models: Sequence[str] | None = None) -> DataFrame:
+              models: Sequence[str] | None = None,
+              on_gate_failure: str = "raise") -> DataFrame:
     """Land every source as one load, publish every model, return the summary
-    (layer, table_name, row_count, status, error) of raw and published tables."""
+    (layer, table_name, row_count, status, error) of raw and published tables.
+
+    ``on_gate_failure='raise'`` stops at the first model whose data tests
+    fail (nothing after it is attempted); ``'report'`` leaves that model
+    unpublished, goes on, and reports it with ``status='gate_failed'``.
+    """
     landed = lake.land_many(sources)
     log.info("landed %d raw tables", len(landed))
     register_raw_views(lake)
     pub = Publisher(lake)
     names = list(models or UNIFIED)
     loads = lake.current_loads()
-    published = []
+    published, failed = [], []
     for name in names:
         m = UNIFIED[name]
         if not any(r in loads for r in _raw_inputs(m)):
             continue
-        pub.publish(m)          # raises QualityGateError on a failed data test
-        published.append(name)
+        try:
+            pub.publish(m)
+            published.append(name)
+        except QualityGateError as exc:
+            if on_gate_failure == "raise":
+                raise
+            log.error("%s not published: %s", name, exc)
+            failed.append((INTERMEDIATE_LAYER, name, None, "gate_failed", str(exc)[:200]))
     tables = [(RAW_LAYER, n, (lambda n=n: lake.read_raw(n))) for n in sorted(loads)]
     tables += [(INTERMEDIATE_LAYER, n, (lambda n=n: pub.read(n))) for n in published]
-    return tolerant_summary(lake.spark, tables)
+    out = tolerant_summary(lake.spark, tables)
+    if failed:
+        out = out.unionByName(lake.spark.createDataFrame(failed, out.schema))
+    return out
 
 
 def _raw_inputs(model) -> list[str]:

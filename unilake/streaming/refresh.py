@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from unilake.operators.quality import QualityGateError
 from unilake.operators.unify import UnifiedModel
 from unilake.plans.layers import Publisher, PublishResult
 from unilake.plans.models import STAGING, UNIFIED
@@ -100,15 +101,32 @@ def models_fed_by(raw_tables: Iterable[str],
     return [m for m in models if raw & set(model_inputs(m).values())]
 
 
+REFRESH_LOG_SCHEMA = "model string, batch_id long, status string, detail string, at timestamp"
+
+
+def refresh_log(lake: Lake) -> DataFrame:
+    """Gate failures recorded by the refresh stream (one row per failure)."""
+    from unilake.session import path_exists
+    path = f"{lake.root}/_refresh_log"
+    if not path_exists(lake.spark, path):
+        return lake.spark.createDataFrame([], REFRESH_LOG_SCHEMA)
+    return lake.spark.read.schema(REFRESH_LOG_SCHEMA).parquet(path)
+
+
 def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None = None,
                          checkpoint: str | None = None, available_now: bool = False,
                          trigger: str | None = None, gate: bool = True,
-                         query_name: str | None = None) -> StreamingQuery:
+                         query_name: str | None = None,
+                         on_gate_failure: str = "record") -> StreamingQuery:
     """Start the refresh stream over the lake's load audit.
 
     ``trigger`` defaults to the models' tightest ``target_lag`` (a refresh at
     least that often keeps staleness within the bound); ``available_now``
-    processes what is there and stops (tests, catch-up runs).
+    processes what is there and stops (tests, catch-up runs).  A load that
+    fails a model's data tests is not published; with
+    ``on_gate_failure='record'`` the failure goes to :func:`refresh_log` and
+    the stream keeps serving the other models (the failing one stays on its
+    previous state and shows up as stale), with ``'raise'`` the stream stops.
     """
     spark = lake.spark
     ms = [UNIFIED[m] if isinstance(m, str) else m for m in (models or UNIFIED.values())]
@@ -121,7 +139,17 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
         tables = [r["raw_table"].split(".", 1)[1] for r in
                   batch.where(F.col("status") == "loaded").select("raw_table").distinct().collect()]
         for m in models_fed_by(tables, ms):
-            res = publisher.publish(m, gate=gate)
+            try:
+                res = publisher.publish(m, gate=gate)
+            except QualityGateError as exc:
+                if on_gate_failure == "raise":
+                    raise
+                log.error("refresh epoch %d: %s not published: %s", epoch_id, m.name, exc)
+                now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+                (spark.createDataFrame([(m.name, epoch_id, "gate_failed", str(exc), now)],
+                                       REFRESH_LOG_SCHEMA)
+                 .coalesce(1).write.mode("append").parquet(f"{lake.root}/_refresh_log"))
+                continue
             log.info("refresh epoch %d: %s -> epoch %d (rebuilt %s)", epoch_id, m.name,
                      res.epoch, res.rebuilt)
 
