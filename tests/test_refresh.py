@@ -184,3 +184,18 @@ def test_build_all_reports_gate_failures(spark, lake):
         on_gate_failure="report").collect()}
     assert rows["int_unified_customers"] == "gate_failed"
     assert rows["int_unified_products"] == "ok"
+
+
+def test_published_changes_between_epochs_skip_unchanged_sources(spark, lake):
+    from unilake.plans.layers import published_changes
+    pub, first = _publish_initial(spark, lake)
+    b2 = fixtures.customers(spark).where("cust_id != 2").withColumn(
+        "email", F.when(F.col("cust_id") == 3, F.lit("new@b.example")).otherwise(F.col("email")))
+    lake.land("b", {"customers": b2})
+    second = snapshot_refresh(pub, CUST)
+    ch = published_changes(pub, CUST, first.epoch, second.epoch)
+    got = sorted((r["source_system"], r["change_type"]) for r in ch.collect())
+    assert got == [("b", "delete"), ("b", "update")]
+    # source a kept its version: its files are not part of the plan
+    plan = ch._jdf.queryExecution().executedPlan().toString()
+    assert "/a/v=" not in plan

@@ -88,11 +88,14 @@ class Publisher:
         return path_exists(self.spark, f"{path}/_SUCCESS")
 
     # --- pointer -----------------------------------------------------------------
-    def pointer(self, model: UnifiedModel) -> Pointer:
-        """The newest committed pointer epoch (a few rows; read on the driver)."""
+    def pointer(self, model: UnifiedModel, epoch: int | None = None) -> Pointer:
+        """The newest committed pointer epoch, or a given one (a few rows; read
+        on the driver)."""
         root = self.pointer_root(model)
         epochs = sorted(int(n.split("=", 1)[1]) for n, is_dir in list_dir(self.spark, root)
                         if is_dir and n.startswith("epoch="))
+        if epoch is not None:
+            epochs = [e for e in epochs if e == epoch]
         for e in reversed(epochs):
             path = f"{root}/epoch={e}"
             if not self._committed(path):
@@ -274,6 +277,43 @@ class Publisher:
         return PublishResult(m.name, epoch, versions, rebuilt, report)
 
 
+def published_changes(publisher: Publisher, model: UnifiedModel | str,
+                      from_epoch: int, to_epoch: int | None = None) -> DataFrame:
+    """Inserts / updates / deletes between two published epochs of a model.
+
+    Versions are immutable per source, so a source whose version did not
+    change between the epochs has no changes and is not read at all; only
+    the changed sources are diffed (each with one grouping shuffle).  The
+    key hashes the source tag, so per-source diffs never overlap.
+    """
+    from unilake.operators.change_set import change_set
+    m = UNIFIED[model] if isinstance(model, str) else model
+    old = publisher.pointer(m, from_epoch).versions
+    new = publisher.pointer(m, to_epoch).versions
+    compare = [c for c in m.content_columns if c not in (m.key_name, m.source_column)]
+    key = [m.source_column, m.key_name]
+    parts = []
+    for b in m.branches:
+        s = b.source_system
+        if old.get(s) == new.get(s):
+            continue
+        o = publisher.read_versions(m, {s: old[s]}) if s in old else None
+        n = publisher.read_versions(m, {s: new[s]}) if s in new else None
+        if o is None:
+            parts.append(n.select(*key, F.lit("insert").alias("change_type")))
+        elif n is None:
+            parts.append(o.select(*key, F.lit("delete").alias("change_type")))
+        else:
+            parts.append(change_set(o, n, key, compare))
+    if not parts:
+        return publisher.spark.createDataFrame(
+            [], f"{m.source_column} string, {m.key_name} string, change_type string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def register_raw_views(lake: Lake) -> dict[str, int]:
     """``raw.<table>`` views over each table's newest audited load."""
     lake.ensure_namespace(RAW_LAYER)

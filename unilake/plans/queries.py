@@ -472,3 +472,29 @@ def build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from unilake.plans.run import build_all
     return build_all(_new_lake(spark), _raw_sources(spark, sf_dir),
                      on_gate_failure="report").drop("error")
+
+
+@register("published_changes", with_models(
+    "select source_system, customer_sk, "
+    "case when organization = 'nation-0' then 'insert' else 'update' end as change_type "
+    "from int_unified_customers "
+    "where source_system = 'b' and (organization = 'nation-0' or status <> 'active')",
+    ["int_unified_customers"]))
+def published_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes between two published epochs of the customer model: epoch 1
+    from a stale snapshot of b (every status 'active', nation 0 not yet
+    there), epoch 2 after b's current snapshot.  Source a kept its version,
+    so it is not read by the diff."""
+    from unilake.plans.layers import Publisher
+    from unilake.plans.layers import published_changes as diff
+    from unilake.sources import adapters
+    lake = _new_lake(spark)
+    b_now = adapters.b_customers(spark, sf_dir)
+    stale = b_now.where(F.col("organization") != "nation-0").withColumn("status", F.lit("active"))
+    lake.land_many({"a": {"contacts": adapters.a_contacts(spark, sf_dir)},
+                    "b": {"customers": stale}})
+    pub = Publisher(lake)
+    first = pub.publish("int_unified_customers").epoch
+    lake.land("b", {"customers": b_now})
+    second = pub.publish("int_unified_customers").epoch
+    return diff(pub, "int_unified_customers", first, second)
