@@ -199,3 +199,18 @@ def test_published_changes_between_epochs_skip_unchanged_sources(spark, lake):
     # source a kept its version: its files are not part of the plan
     plan = ch._jdf.queryExecution().executedPlan().toString()
     assert "/a/v=" not in plan
+
+
+def test_persistent_staging_views_follow_raw_loads(spark, lake):
+    from unilake.operators.mapping import stage
+    from unilake.plans.models import STAGING
+    lake.land_many(fixtures.sources(spark))
+    register_staging_views(lake, persistent=True)
+    for name in ("stg_a__contacts", "stg_a__inventory", "stg_b__customers", "stg_b__products"):
+        view = spark.table(f"staging.{name}")
+        frame = stage(lake.read_raw(STAGING[name].raw_name), STAGING[name])
+        assert view.schema.simpleString() == frame.schema.simpleString()
+        assert sorted(view.collect()) == sorted(frame.collect())
+    lake.land("b", {"products": fixtures.products(spark).limit(4)})
+    register_raw_views(lake)          # repoint raw only; staging re-resolves
+    assert spark.table("staging.stg_b__products").count() == 4

@@ -32,6 +32,7 @@ class Field:
     derive: Callable[[], Column] | None = None
     const: object = None
     comment: str = ""
+    sql: str | None = None        # SQL text of ``derive`` (for persistent views)
 
     def column(self, lenient_dates: bool = False) -> Column:
         if self.derive is not None:
@@ -60,8 +61,9 @@ def cast(source: str, name: str, dtype: str, comment: str = "") -> Field:
     return Field(name, source=source, cast=dtype, comment=comment)
 
 
-def derive(name: str, fn: Callable[[], Column], comment: str = "") -> Field:
-    return Field(name, derive=fn, comment=comment)
+def derive(name: str, fn: Callable[[], Column], comment: str = "",
+           sql: str | None = None) -> Field:
+    return Field(name, derive=fn, comment=comment, sql=sql)
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,31 @@ def stage(raw: DataFrame, model: StagingModel, lenient_dates: bool = False) -> D
     return raw.select(*[f.column(lenient_dates) for f in model.fields])
 
 
+def _sql_literal(v: object) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+def staging_sql(model: StagingModel, relation: str) -> str:
+    """The staging model as SQL text over ``relation`` (for a persistent view
+    that re-resolves when the relation is repointed to a new load)."""
+    cols = []
+    for f in model.fields:
+        if f.derive is not None:
+            if f.sql is None:
+                raise ValueError(f"{model.name}.{f.name}: derived field has no SQL text")
+            expr = f"({f.sql})"
+        elif f.const is not None:
+            expr = _sql_literal(f.const)
+        else:
+            expr = f"`{f.source or f.name}`"
+        if f.cast:
+            expr = f"CAST({expr} AS {f.cast.upper()})"
+        cols.append(f"{expr} AS `{f.name}`")
+    return f"SELECT {', '.join(cols)} FROM {relation}"
+
+
 def date_reject_counts(raw: DataFrame, model: StagingModel) -> DataFrame:
     """One row: per date field, how many non-NULL texts fail to parse.
 

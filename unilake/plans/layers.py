@@ -324,12 +324,28 @@ def register_raw_views(lake: Lake) -> dict[str, int]:
     return {n: v[0] for n, v in loads.items()}
 
 
-def register_staging_views(lake: Lake) -> list[str]:
-    """Session views ``stg_*`` over the current raw loads (re-run after a load)."""
+def register_staging_views(lake: Lake, persistent: bool = False) -> list[str]:
+    """Staging views over the current raw loads.
+
+    ``persistent=False``: session views ``stg_*`` (re-run after a load).
+    ``persistent=True``: ``CREATE OR REPLACE VIEW staging.stg_* AS SELECT ...
+    FROM raw.<table>`` -- SQL views over the raw views, so repointing a raw
+    view to a new load (:func:`register_raw_views`) is all it takes for the
+    staging layer to show it.
+    """
+    from unilake.operators.mapping import staging_sql
     loads = lake.current_loads()
     done = []
+    if persistent:
+        register_raw_views(lake)
+        lake.ensure_namespace(STAGING_LAYER)
     for name, m in STAGING.items():
-        if m.raw_name in loads:
+        if m.raw_name not in loads:
+            continue
+        if persistent:
+            lake.spark.sql(f"CREATE OR REPLACE VIEW {STAGING_LAYER}.{name} AS "
+                           + staging_sql(m, f"{RAW_LAYER}.{m.raw_name}"))
+        else:
             stage(lake.read_raw(m.raw_name, loads[m.raw_name][0]), m).createOrReplaceTempView(name)
-            done.append(name)
+        done.append(name)
     return done

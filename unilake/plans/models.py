@@ -98,7 +98,8 @@ STG_B_PRODUCTS = StagingModel(
         keep("unit_cost", "Internal cost per unit"),
         keep("retail_price", "Customer-facing retail price"),
         derive("is_available", lambda: exprs.one_flag("available"),
-               "Boolean from the available flag (only 1 is true)"),
+               "Boolean from the available flag (only 1 is true)",
+               sql="CASE WHEN available = 1 THEN TRUE ELSE FALSE END"),
         cast("created_at", "created_at", "date", "Cast from created_at text to date"),
     ),
     comment="Staged source b products, one row per product.",
