@@ -65,8 +65,28 @@ def test_schema_comes_from_the_data(spark, lake):
     assert lake.read_raw("raw_a__contacts").schema == fixtures.contacts(spark).schema
 
 
-def test_failed_write_raises_and_is_not_audited(spark, lake):
+def test_committed_load_is_never_rewritten(spark, lake):
     lake.land("a", {"t": spark.createDataFrame([("1",)], "id string")}, load_id=7)
-    with pytest.raises(Exception):   # the load folder exists: the write must fail
+    with pytest.raises(ValueError):
         lake.land("a", {"t": spark.createDataFrame([("2",)], "id string")}, load_id=7)
     assert [r["load_id"] for r in lake.audit().collect()] == [7]
+    assert [r["id"] for r in lake.read_raw("raw_a__t").collect()] == ["1"]
+
+
+def test_failed_write_raises_and_is_not_audited(spark, lake):
+    from pyspark.sql import functions as F
+    bad = spark.createDataFrame([("x",)], "v string").select(F.col("v").cast("int"))
+    with pytest.raises(Exception):   # ANSI cast failure inside the write job
+        lake.land("a", {"ok": spark.createDataFrame([("1",)], "id string"), "bad": bad})
+    assert lake.audit().count() == 0
+    with pytest.raises(FileNotFoundError):
+        lake.read_raw("raw_a__ok")
+
+
+def test_interrupted_load_leftovers_are_replaced(spark, lake):
+    # an executor/driver died after writing part of load 1: files, no audit row
+    spark.createDataFrame([("stale",)], "id string").write.parquet(
+        lake.raw_path("raw_a__t", 1) + "/part-leftover")
+    res = lake.land("a", {"t": spark.createDataFrame([("1",), ("2",)], "id string")})
+    assert res == {"raw.raw_a__t": 2}
+    assert sorted(r["id"] for r in lake.read_raw("raw_a__t").collect()) == ["1", "2"]

@@ -214,3 +214,14 @@ def test_persistent_staging_views_follow_raw_loads(spark, lake):
     lake.land("b", {"products": fixtures.products(spark).limit(4)})
     register_raw_views(lake)          # repoint raw only; staging re-resolves
     assert spark.table("staging.stg_b__products").count() == 4
+
+
+def test_interrupted_version_write_is_redone(spark, lake):
+    lake.land_many(fixtures.sources(spark))
+    pub = Publisher(lake)
+    # a previous attempt died mid-write: files but no commit marker
+    partial = pub.version_path(INT_UNIFIED_CUSTOMERS, "b", 1)
+    spark.createDataFrame([("junk",)], "x string").write.parquet(partial + "/part-x")
+    res = pub.publish(CUST)
+    assert res.versions == {"a": 1, "b": 1}
+    assert pub.read(CUST).count() == 22

@@ -158,7 +158,10 @@ class Lake:
                   load_id: int | None = None, ignore: str = DEFAULT_IGNORE) -> dict[str, int]:
         """Land several sources as ONE load id, with one audit commit at the end."""
         self.ensure_namespace(RAW_LAYER)
-        load_id = self.next_load_id() if load_id is None else load_id
+        if load_id is None:
+            load_id = self.next_load_id()
+        elif self.audit().where(F.col("load_id") == load_id).limit(1).count():
+            raise ValueError(f"load {load_id} is already committed; loads are never rewritten")
         landed_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         results: dict[str, int] = {}
         audit_rows = []
@@ -177,8 +180,10 @@ class Lake:
             source, table, df = item
             name = raw_table_name(source, table)
             obs = Observation(f"land_{name}_{load_id}_{uuid.uuid4().hex[:8]}")
+            # the load id is not audited, so whatever sits at this path is the
+            # invisible leftover of an interrupted load: replace it
             (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-               .write.mode("errorifexists").parquet(self.raw_path(name, load_id)))
+               .write.mode("overwrite").parquet(self.raw_path(name, load_id)))
             return int(obs.get["rows"])
 
         # tables are independent jobs: submit a few at once (any failure raises
