@@ -7,7 +7,7 @@
 * A unified model is published as one immutable version folder per source::
 
       intermediate/<model>/<source>/v=<load_id>/part-*.parquet
-      intermediate/<model>/_pointer/epoch=<E>/     (source -> version rows)
+      intermediate/<model>/_pointer/epoch=<E>.json  (source -> version)
 
   plus a pointer.  Publishing rebuilds only the sources whose newest raw
   load differs from the version the pointer names, writes that version,
@@ -36,7 +36,7 @@ from unilake.operators import quality
 from unilake.operators.mapping import stage
 from unilake.operators.unify import UnifiedModel, align
 from unilake.plans.models import STAGING, UNIFIED
-from unilake.session import list_dir, path_exists
+from unilake.session import list_dir, path_exists, read_text, write_text_atomic
 from unilake.sources.landing import RAW_LAYER, Lake
 
 log = logging.getLogger(__name__)
@@ -89,29 +89,27 @@ class Publisher:
 
     # --- pointer -----------------------------------------------------------------
     def pointer(self, model: UnifiedModel, epoch: int | None = None) -> Pointer:
-        """The newest committed pointer epoch, or a given one (a few rows; read
-        on the driver)."""
+        """The newest pointer epoch, or a given one (one small file read on the
+        driver through the file system; no Spark job)."""
         root = self.pointer_root(model)
-        epochs = sorted(int(n.split("=", 1)[1]) for n, is_dir in list_dir(self.spark, root)
-                        if is_dir and n.startswith("epoch="))
+        epochs = sorted(int(n[len("epoch="):-len(".json")]) for n, is_dir in
+                        list_dir(self.spark, root)
+                        if not is_dir and n.startswith("epoch=") and n.endswith(".json"))
         if epoch is not None:
             epochs = [e for e in epochs if e == epoch]
-        for e in reversed(epochs):
-            path = f"{root}/epoch={e}"
-            if not self._committed(path):
-                continue
-            rows = self.spark.read.json(path).collect()
-            versions = {r["source"]: int(r["version"]) for r in rows}
-            published = rows[0]["published_at"] if rows else None
-            return Pointer(e, versions, dt.datetime.fromisoformat(published) if published else None)
-        return Pointer()
+        if not epochs:
+            return Pointer()
+        doc = json.loads(read_text(self.spark, f"{root}/epoch={epochs[-1]}.json"))
+        return Pointer(int(doc["epoch"]), {k: int(v) for k, v in doc["versions"].items()},
+                       dt.datetime.fromisoformat(doc["published_at"]))
 
     def _write_pointer(self, model: UnifiedModel, epoch: int, versions: Mapping[str, int]) -> None:
+        """Commit a new epoch: written whole then renamed into place, and never
+        over an existing epoch (two publishers cannot both commit epoch N)."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-        rows = [json.dumps({"source": s, "version": v, "published_at": now})
-                for s, v in sorted(versions.items())]
-        (self.spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1)
-         .write.mode("errorifexists").text(f"{self.pointer_root(model)}/epoch={epoch}"))
+        doc = {"epoch": epoch, "versions": dict(sorted(versions.items())), "published_at": now}
+        write_text_atomic(self.spark, f"{self.pointer_root(model)}/epoch={epoch}.json",
+                          json.dumps(doc))
 
     # --- reading -----------------------------------------------------------------
     def read_versions(self, model: UnifiedModel, versions: Mapping[str, int]) -> DataFrame:
@@ -157,18 +155,15 @@ class Publisher:
 
     # --- data tests ---------------------------------------------------------------
     def _check_counts_path(self, version_path: str) -> str:
-        return f"{version_path}/_row_checks"      # hidden from parquet readers
+        return f"{version_path}/_row_checks.json"     # hidden from parquet readers
 
     def _write_check_counts(self, version_path: str, counts: Mapping[str, int]) -> None:
-        (self.spark.createDataFrame([(json.dumps(dict(counts)),)], "value string").coalesce(1)
-         .write.mode("overwrite").text(self._check_counts_path(version_path)))
+        write_text_atomic(self.spark, self._check_counts_path(version_path),
+                          json.dumps(dict(counts)))
 
     def _read_check_counts(self, version_path: str) -> dict[str, int] | None:
-        p = self._check_counts_path(version_path)
-        if not self._committed(p):
-            return None
-        rows = self.spark.read.text(p).collect()
-        return json.loads(rows[0]["value"]) if rows else None
+        text = read_text(self.spark, self._check_counts_path(version_path))
+        return json.loads(text) if text else None
 
     @staticmethod
     def _source_scoped_unique(model: UnifiedModel) -> list:

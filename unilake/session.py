@@ -129,6 +129,44 @@ def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(p))
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small control file (pointer, check counts) so that readers see
+    all of it or nothing: write a temporary sibling, then rename.  Refuses to
+    replace an existing file."""
+    fs, final = _fs_path(spark, path)
+    if fs.exists(final):
+        raise FileExistsError(path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small control file's content, or None when it does not exist."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
