@@ -243,16 +243,18 @@ class Publisher:
             df = align(self.staged(b.staged, load_id), b, m, loaded_at=stamp)
             aggs = quality.row_check_aggs(m.tests)
             obs = Observation(f"checks_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
-            if aggs:
-                df = df.observe(obs, *aggs)
-            # only an uncommitted (failed) attempt can exist at this path
-            df.drop(m.source_column).write.mode("overwrite").parquet(path)
-            counts = {k: int(v) for k, v in obs.get.items()} if aggs else {}
-            # row-check counts rode along with the write (no re-scan); unique
-            # checks scoped to one source run once per version, here
-            written = self.spark.read.parquet(path)
-            for c in self._source_scoped_unique(m):
-                counts[f"unique:{c.column}"] = quality.unique_failures(written, c.column)
+            scoped = self._source_scoped_unique(m)
+            with ThreadPoolExecutor(max_workers=1 + len(scoped)) as inner:
+                # unique checks scoped to one source run beside the write (they
+                # read only the key's input columns); row-check counts ride
+                # along with the write itself as observed metrics
+                uniq = {c.column: inner.submit(quality.unique_failures, df, c.column)
+                        for c in scoped}
+                out = df.observe(obs, *aggs) if aggs else df
+                # only an uncommitted (failed) attempt can exist at this path
+                out.drop(m.source_column).write.mode("overwrite").parquet(path)
+                counts = {k: int(v) for k, v in obs.get.items()} if aggs else {}
+                counts.update({f"unique:{c}": f.result() for c, f in uniq.items()})
             self._write_check_counts(path, counts)
 
         if todo:   # sources are independent jobs: build their versions concurrently
