@@ -1,5 +1,6 @@
 """Command line: land, publish, refresh and summarise a lake.
 
+    python -m unilake land    --lake DIR (--sf-dir DIR | --source NAME=FOLDER ...)
     python -m unilake build   --lake DIR (--sf-dir DIR | --source NAME=FOLDER ...)
     python -m unilake refresh --lake DIR [--stream] [--model NAME ...]
     python -m unilake check   --lake DIR [--model NAME ...]
@@ -26,7 +27,7 @@ def _lake(spark, path):
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="unilake")
-    ap.add_argument("command", choices=["build", "refresh", "check", "summary"])
+    ap.add_argument("command", choices=["land", "build", "refresh", "check", "summary"])
     ap.add_argument("--lake")
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--sf-dir")
@@ -43,17 +44,23 @@ def main(argv: list[str] | None = None) -> int:
     from unilake.plans.models import UNIFIED
     models = args.model or list(UNIFIED)
 
-    if args.command == "build":
+    sources: dict = {}
+    if args.sf_dir:
+        from unilake.plans.queries import _raw_sources
+        sources.update(_raw_sources(spark, args.sf_dir))
+    for item in args.source:
+        name, folder = item.split("=", 1)
+        sources[name] = folder
+    if args.command in ("land", "build") and not sources:
+        ap.error(f"{args.command} needs --sf-dir or --source")
+
+    if args.command == "land":
+        landed = lake.land_many(sources)
+        print("\nRaw layer summary:")
+        for table, rows in landed.items():
+            print(f"  {table}: {rows} rows")
+    elif args.command == "build":
         from unilake.plans.run import build_all
-        sources: dict = {}
-        if args.sf_dir:
-            from unilake.plans.queries import _raw_sources
-            sources.update(_raw_sources(spark, args.sf_dir))
-        for item in args.source:
-            name, folder = item.split("=", 1)
-            sources[name] = folder
-        if not sources:
-            ap.error("build needs --sf-dir or --source")
         try:
             build_all(lake, sources, models).show(truncate=False)
         except quality.QualityGateError as exc:

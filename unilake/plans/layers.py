@@ -148,10 +148,19 @@ class Publisher:
         return "\nUNION ALL\n".join(branches)
 
     def register_view(self, model: UnifiedModel, versions: Mapping[str, int]) -> None:
-        """``CREATE OR REPLACE VIEW intermediate.<model>`` over the versions."""
+        """``CREATE OR REPLACE VIEW intermediate.<model>`` over the versions,
+        with the model's table and column comments (shown by DESCRIBE)."""
         self.lake.ensure_namespace(INTERMEDIATE_LAYER)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {INTERMEDIATE_LAYER}.{model.name} AS "
-                       + self.view_sql(model, versions))
+
+        def q(text: str) -> str:
+            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+        cols = ", ".join(f"`{f.name}`" + (f" COMMENT {q(f.metadata['comment'])}"
+                                          if f.metadata.get("comment") else "")
+                         for f in model.schema.fields)
+        comment = f" COMMENT {q(model.comment)}" if model.comment else ""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {INTERMEDIATE_LAYER}.{model.name} ({cols})"
+                       f"{comment} AS " + self.view_sql(model, versions))
 
     # --- data tests ---------------------------------------------------------------
     def _check_counts_path(self, version_path: str) -> str:
