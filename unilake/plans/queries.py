@@ -379,10 +379,14 @@ def snapshot_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     pub.publish("int_unified_customers")
     lake.land("b", {"customers": b_now})
     res = refresh(pub, "int_unified_customers")
-    assert res.rebuilt == ["b"], res
+    if res.rebuilt != ["b"]:
+        raise RuntimeError(f"expected only source b to be rebuilt, got {res.rebuilt}")
     return pub.read("int_unified_customers").drop("loaded_at")
 
 
+STREAM_TIMEOUT_SECONDS = 1800
+
+
 @register("stream_refresh", with_models("select * from int_unified_activity",
                                         ["int_unified_activity"]))
 def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,8 +397,11 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark)
     srcs = _raw_sources(spark, sf_dir)
     lake.land_many({"sales": srcs["sales"], "web": srcs["web"]})
-    q = start_stream_refresh(lake, ["int_unified_activity"], available_now=True)
-    q.awaitTermination()
+    q = start_stream_refresh(lake, ["int_unified_activity"], available_now=True,
+                             on_gate_failure="raise")
+    if not q.awaitTermination(STREAM_TIMEOUT_SECONDS):
+        q.stop()
+        raise TimeoutError(f"refresh stream did not finish in {STREAM_TIMEOUT_SECONDS}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return Publisher(lake).read("int_unified_activity").drop("loaded_at")
