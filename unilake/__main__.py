@@ -46,8 +46,8 @@ def main(argv: list[str] | None = None) -> int:
 
     sources: dict = {}
     if args.sf_dir:
-        from unilake.plans.queries import _raw_sources
-        sources.update(_raw_sources(spark, args.sf_dir))
+        from unilake.sources.adapters import source_registry
+        sources.update(source_registry(spark, args.sf_dir))
     for item in args.source:
         name, folder = item.split("=", 1)
         sources[name] = folder

@@ -324,11 +324,8 @@ register("contract_check", _contract_sql())(_contract_query)
 # --- landing (S2, S5, S7-S9) -------------------------------------------------------
 
 def _raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
-    from unilake.sources.adapters import ADAPTERS
-    out: dict[str, dict[str, DataFrame]] = {}
-    for (s, t), fn in ADAPTERS.items():
-        out.setdefault(s, {})[t] = fn(spark, sf_dir)
-    return out
+    from unilake.sources.adapters import source_registry
+    return source_registry(spark, sf_dir)
 
 
 def _new_lake(spark: SparkSession):
@@ -394,9 +391,9 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     activity model (available-now trigger), read what it published."""
     from unilake.plans.layers import Publisher
     from unilake.streaming.refresh import start_stream_refresh
+    from unilake.sources.adapters import source_registry
     lake = _new_lake(spark)
-    srcs = _raw_sources(spark, sf_dir)
-    lake.land_many({"sales": srcs["sales"], "web": srcs["web"]})
+    lake.land_many(source_registry(spark, sf_dir, only={"sales", "web"}))
     q = start_stream_refresh(lake, ["int_unified_activity"], available_now=True,
                              on_gate_failure="raise")
     if not q.awaitTermination(STREAM_TIMEOUT_SECONDS):

@@ -156,6 +156,17 @@ ADAPTERS: dict[tuple[str, str], Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def source_registry(spark: SparkSession, sf_dir: str,
+                    only: set[str] | None = None) -> dict[str, dict[str, DataFrame]]:
+    """The default source registry: source name -> {table: DataFrame}, built
+    from a folder of driver tables (pass your own mapping to override)."""
+    out: dict[str, dict[str, DataFrame]] = {}
+    for (s, t), fn in ADAPTERS.items():
+        if only is None or s in only:
+            out.setdefault(s, {})[t] = fn(spark, sf_dir)
+    return out
+
+
 def raw_frames(spark: SparkSession, sf_dir: str,
                only: set[str] | None = None) -> dict[str, DataFrame]:
     """``raw_<source>__<table>`` -> DataFrame for every adapter."""
