@@ -103,14 +103,6 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system (works for any scheme)."""
     jvm = spark.sparkContext._jvm
