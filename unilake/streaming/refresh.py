@@ -132,7 +132,9 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
     ms = [UNIFIED[m] if isinstance(m, str) else m for m in (models or UNIFIED.values())]
     publisher = Publisher(lake)
     checkpoint = checkpoint or f"{lake.root}/_checkpoints/refresh-" + "-".join(m.name for m in ms)
-    spark.createDataFrame([], AUDIT_SCHEMA).limit(0).write.mode("append").parquet(lake.audit_path)
+    from unilake.session import path_exists
+    if not path_exists(spark, lake.audit_path):   # the file source needs its folder
+        spark.createDataFrame([], AUDIT_SCHEMA).write.mode("append").parquet(lake.audit_path)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         # The batch is audit rows: one per landed table, a handful per load.
