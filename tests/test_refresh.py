@@ -235,3 +235,19 @@ def test_published_view_carries_comments(spark, lake):
     assert rows["status"] == "Account status: active, inactive, or churned"
     ext = spark.sql(f"DESCRIBE TABLE EXTENDED intermediate.{CUST}").collect()
     assert any("one row per (source, id)" in (r["data_type"] or "") for r in ext)
+
+
+def test_vacuum_keeps_what_readers_need(spark, lake):
+    pub, _ = _publish_initial(spark, lake)
+    for n in (8, 6):
+        lake.land("b", {"customers": fixtures.customers(spark).limit(n)})
+        snapshot_refresh(pub, CUST)
+    # versions b: 1, 2, 3 (epochs 1..3); keep the newest 2 epochs -> b v=1 goes
+    gone = pub.vacuum(CUST, keep_epochs=2)
+    assert [p.rsplit("/", 2)[-2:] for p in gone] == [["b", "v=1"]]
+    assert pub.read(CUST).count() == 12 + 6
+    # raw: keep the newest load of each table
+    gone_raw = lake.vacuum_raw(keep_loads=1)
+    assert sorted(p.rsplit("/", 1)[-1] for p in gone_raw) == ["load_id=1", "load_id=2"]
+    assert lake.read_raw("raw_b__customers").count() == 6
+    assert lake.read_raw("raw_a__contacts").count() == 12

@@ -5,6 +5,7 @@
     python -m unilake refresh --lake DIR [--stream] [--model NAME ...]
     python -m unilake check   --lake DIR [--model NAME ...]
     python -m unilake summary --lake DIR
+    python -m unilake vacuum  --lake DIR [--keep N]
 
 ``--lake`` defaults to ``<spark.checkpoint.dir>/lake``.  ``--sf-dir`` lands
 the raw-shaped sources derived from a folder of driver tables;
@@ -27,7 +28,8 @@ def _lake(spark, path):
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="unilake")
-    ap.add_argument("command", choices=["land", "build", "refresh", "check", "summary"])
+    ap.add_argument("command", choices=["land", "build", "refresh", "check", "summary", "vacuum"])
+    ap.add_argument("--keep", type=int, default=2, help="vacuum: epochs / loads to keep")
     ap.add_argument("--lake")
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--sf-dir")
@@ -83,6 +85,13 @@ def main(argv: list[str] | None = None) -> int:
             rep = pub.check(UNIFIED[m], pub.pointer(UNIFIED[m]).versions)
             rep.show(truncate=False)
             quality.gate(rep)
+    elif args.command == "vacuum":
+        pub = Publisher(lake)
+        gone = [p for m in models for p in pub.vacuum(m, keep_epochs=args.keep)]
+        gone += lake.vacuum_raw(keep_loads=args.keep)
+        print(f"deleted {len(gone)} folders")
+        for p in gone:
+            print(f"  {p}")
     else:
         from unilake.operators.report import tolerant_summary
         pub = Publisher(lake)

@@ -215,6 +215,38 @@ class Publisher:
         return (self.spark.createDataFrame(rows, quality.REPORT_SCHEMA)
                 .withColumn("passed", F.col("failures") == 0))
 
+    # --- retention ------------------------------------------------------------------
+    def vacuum(self, model: UnifiedModel | str, keep_epochs: int = 2) -> list[str]:
+        """Delete version folders that none of the newest ``keep_epochs``
+        pointer epochs names (older epochs lose their time travel).  A
+        version newer than every kept one is left alone: a publish may be
+        writing it.  Returns the deleted paths."""
+        from unilake.session import delete_path
+        m = UNIFIED[model] if isinstance(model, str) else model
+        root = self.pointer_root(m)
+        epochs = sorted(int(n[len("epoch="):-len(".json")]) for n, is_dir in
+                        list_dir(self.spark, root)
+                        if not is_dir and n.startswith("epoch=") and n.endswith(".json"))
+        kept = epochs[-max(1, keep_epochs):]
+        referenced: dict[str, set[int]] = {}
+        for e in kept:
+            for s, v in self.pointer(m, e).versions.items():
+                referenced.setdefault(s, set()).add(v)
+        deleted = []
+        for b in m.branches:
+            s = b.source_system
+            refs = referenced.get(s, set())
+            for entry, is_dir in list_dir(self.spark, f"{self.model_path(m)}/{s}"):
+                if not (is_dir and entry.startswith("v=")):
+                    continue
+                v = int(entry.split("=", 1)[1])
+                if v in refs or (refs and v > max(refs)) or not refs:
+                    continue
+                path = self.version_path(m, s, v)
+                delete_path(self.spark, path)
+                deleted.append(path)
+        return deleted
+
     # --- building ----------------------------------------------------------------
     def staged(self, staging_name: str, load_id: int) -> DataFrame:
         m = STAGING[staging_name]

@@ -159,6 +159,12 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a folder through the Hadoop file system."""
+    fs, p = _fs_path(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

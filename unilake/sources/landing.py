@@ -134,6 +134,33 @@ class Lake:
                                                     int(r["l"]["row_count"] or 0))
                 for r in latest.collect()}
 
+    def vacuum_raw(self, keep_loads: int = 2) -> list[str]:
+        """Delete raw load folders a reader can no longer need: per table,
+        every audited load older than the newest ``keep_loads``, and any
+        unaudited leftover older than the newest audited load (a load still
+        being written has an id above every audited one and is kept).
+        Returns the deleted paths."""
+        from unilake.session import delete_path
+        audited: dict[str, list[int]] = {}
+        for r in self.audit().where(F.col("status") == "loaded") \
+                .select("raw_table", "load_id").distinct().collect():
+            audited.setdefault(r["raw_table"].split(".", 1)[1], []).append(int(r["load_id"]))
+        deleted = []
+        for name, ids in audited.items():
+            ids.sort()
+            keep = set(ids[-max(1, keep_loads):])
+            newest = ids[-1]
+            for entry, is_dir in list_dir(self.spark, self.raw_path(name)):
+                if not (is_dir and entry.startswith("load_id=")):
+                    continue
+                lid = int(entry.split("=", 1)[1])
+                if lid in keep or lid > newest:
+                    continue
+                path = self.raw_path(name, lid)
+                delete_path(self.spark, path)
+                deleted.append(path)
+        return deleted
+
     def read_raw(self, raw_name: str, load_id: int | None = None) -> DataFrame:
         """A raw table: the newest audited load, or a given one."""
         if load_id is None:
