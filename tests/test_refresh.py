@@ -251,3 +251,29 @@ def test_vacuum_keeps_what_readers_need(spark, lake):
     assert sorted(p.rsplit("/", 1)[-1] for p in gone_raw) == ["load_id=1", "load_id=2"]
     assert lake.read_raw("raw_b__customers").count() == 6
     assert lake.read_raw("raw_a__contacts").count() == 12
+
+
+def test_running_stream_publishes_new_loads_within_the_lag(spark, lake):
+    import time
+    lake.land_many(fixtures.sources(spark))
+    q = start_stream_refresh(lake, [CUST], trigger="1 second")
+    pub = Publisher(lake)
+    try:
+        def wait_for(n, timeout=120):
+            t0 = time.time()
+            while time.time() - t0 < timeout:
+                if pub.pointer(INT_UNIFIED_CUSTOMERS).epoch >= n:
+                    return time.time() - t0
+                if q.exception() is not None:
+                    raise AssertionError(str(q.exception()))
+                time.sleep(0.5)
+            raise AssertionError(f"epoch {n} not published within {timeout}s")
+        wait_for(1)
+        assert pub.read(CUST).count() == 22
+        # a new upstream snapshot appears without any manual build step
+        lake.land("b", {"customers": fixtures.customers(spark).limit(4)})
+        latency = wait_for(2)
+        assert latency < 60                     # within the 1-minute target lag
+        assert pub.read(CUST).count() == 16
+    finally:
+        q.stop()

@@ -120,8 +120,9 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
                          on_gate_failure: str = "record") -> StreamingQuery:
     """Start the refresh stream over the lake's load audit.
 
-    ``trigger`` defaults to the models' tightest ``target_lag`` (a refresh at
-    least that often keeps staleness within the bound); ``available_now``
+    ``trigger`` defaults to half the models' tightest ``target_lag``: a load
+    is picked up within half the bound and has the other half to publish, so
+    staleness stays within the bound; ``available_now``
     processes what is there and stops (tests, catch-up runs).  A load that
     fails a model's data tests is not published; with
     ``on_gate_failure='record'`` the failure goes to :func:`refresh_log` and
@@ -162,6 +163,8 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
-        lag = trigger or min((m.target_lag for m in ms), key=parse_lag)
-        writer = writer.trigger(processingTime=lag)
+        if trigger is None:
+            bound = min(parse_lag(m.target_lag) for m in ms)
+            trigger = f"{max(1, int(bound // 2))} seconds"
+        writer = writer.trigger(processingTime=trigger)
     return writer.start()
