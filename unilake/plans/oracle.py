@@ -113,9 +113,11 @@ UNIFIED_SQL: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def with_models(final: str, models: tuple[str, ...] | list[str]) -> str:
+def with_models(final: str, models: tuple[str, ...] | list[str],
+                extra: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``final`` with the CTEs for the given staging / unified models
-    (and, transitively, the raw adapters they read)."""
+    (and, transitively, the raw adapters they read), then ``extra`` CTEs
+    (name, body) in order."""
     ctes: dict[str, str] = {}
 
     def need(name: str) -> None:
@@ -136,4 +138,6 @@ def with_models(final: str, models: tuple[str, ...] | list[str]) -> str:
 
     for m in models:
         need(m)
+    for n, b in extra or []:
+        ctes[n] = b
     return "with " + ",\n".join(f"{n} as ({b})" for n, b in ctes.items()) + "\n" + final

@@ -288,10 +288,7 @@ def _contract_sql() -> str:
             expected.append(f"('{n}', '{f.name}', '{sql_type(f.dataType)}')")
         actual.append(f"select '{n}' as table_name, column_name, column_type "
                       f"from (describe select *, current_timestamp as loaded_at from {n})")
-    final = f"""
-        , expected as (select * from (values {', '.join(expected)}) v(table_name, column_name,
-                                                                       expected_type)),
-        actual as ({' union all '.join(actual)})
+    final = """
         select coalesce(e.table_name, a.table_name) as table_name,
                coalesce(e.column_name, a.column_name) as column_name,
                e.expected_type, a.column_type as actual_type,
@@ -301,8 +298,11 @@ def _contract_sql() -> str:
                     else 'type_mismatch' end as status
         from expected e full outer join actual a
           on e.table_name = a.table_name and e.column_name = a.column_name"""
-    base = with_models("select 1", list(RAW_CONTRACTS) + list(UNIFIED))
-    return base[: -len("select 1")].rstrip() + final
+    return with_models(final, list(RAW_CONTRACTS) + list(UNIFIED), extra=[
+        ("expected", f"select * from (values {', '.join(expected)}) "
+                     f"v(table_name, column_name, expected_type)"),
+        ("actual", " union all ".join(actual)),
+    ])
 
 
 def _contract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,18 +410,7 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SALES_CUTOFF = "2001-01-01"
 _WEB_CUTOFF = "2024-01-25"
 
-_CHANGE_SQL = with_models(f"""
-    , new_s as (
-        select * from int_unified_activity
-        where not (source_system = 'events' and activity_type = 'error')),
-    old_s as (
-        select activity_sk, source_system, source_activity_id, customer_id, activity_type,
-               case when source_system = 'orders' and status = 'F' then 'O' else status end
-                   as status,
-               amount, quantity, activity_date
-        from int_unified_activity
-        where (source_system in ('orders', 'lineitem') and activity_date < date '{_SALES_CUTOFF}')
-           or (source_system = 'events' and activity_date < date '{_WEB_CUTOFF}'))
+_CHANGE_SQL = with_models("""
     select coalesce(n.source_system, o.source_system) as source_system,
            coalesce(n.activity_sk, o.activity_sk) as activity_sk,
            case when o.activity_sk is null then 'insert'
@@ -434,9 +423,19 @@ _CHANGE_SQL = with_models(f"""
        or o.status is distinct from n.status
        or o.amount is distinct from n.amount
        or o.quantity is distinct from n.quantity
-       or o.activity_date is distinct from n.activity_date""", ["int_unified_activity"])
-# with_models emits "with ...ctes\n, new_s ..." -> join the CTE lists
-_CHANGE_SQL = _CHANGE_SQL.replace("\n\n    , new_s as (", ",\n    new_s as (", 1)
+       or o.activity_date is distinct from n.activity_date""", ["int_unified_activity"], extra=[
+    ("new_s", """
+        select * from int_unified_activity
+        where not (source_system = 'events' and activity_type = 'error')"""),
+    ("old_s", f"""
+        select activity_sk, source_system, source_activity_id, customer_id, activity_type,
+               case when source_system = 'orders' and status = 'F' then 'O' else status end
+                   as status,
+               amount, quantity, activity_date
+        from int_unified_activity
+        where (source_system in ('orders', 'lineitem') and activity_date < date '{_SALES_CUTOFF}')
+           or (source_system = 'events' and activity_date < date '{_WEB_CUTOFF}')"""),
+])
 
 
 def activity_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
