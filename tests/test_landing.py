@@ -90,3 +90,15 @@ def test_interrupted_load_leftovers_are_replaced(spark, lake):
     res = lake.land("a", {"t": spark.createDataFrame([("1",), ("2",)], "id string")})
     assert res == {"raw.raw_a__t": 2}
     assert sorted(r["id"] for r in lake.read_raw("raw_a__t").collect()) == ["1", "2"]
+
+
+def test_compact_audit_keeps_every_row(spark, lake):
+    for i in range(4):
+        lake.land("a", {"t": spark.createDataFrame([(str(i),)], "id string")})
+    before = sorted(tuple(r) for r in lake.audit().collect())
+    assert lake.compact_audit() == 4
+    assert sorted(tuple(r) for r in lake.audit().collect()) == before
+    assert lake.compact_audit() == 0
+    assert lake.current_loads()["raw_a__t"][0] == 4
+    lake.land("a", {"t": spark.createDataFrame([("x",)], "id string")})
+    assert lake.next_load_id() == 6

@@ -277,3 +277,19 @@ def test_running_stream_publishes_new_loads_within_the_lag(spark, lake):
         assert pub.read(CUST).count() == 16
     finally:
         q.stop()
+
+
+def test_stream_after_audit_compaction_is_a_no_op(spark, lake):
+    lake.land_many(fixtures.sources(spark))
+    lake.land("b", {"customers": fixtures.customers(spark).limit(5)})
+    ckpt = f"{lake.root}/_checkpoints/compact"
+    q = start_stream_refresh(lake, [CUST], checkpoint=ckpt, available_now=True)
+    q.awaitTermination()
+    pub = Publisher(lake)
+    epoch = pub.pointer(INT_UNIFIED_CUSTOMERS).epoch
+    assert lake.compact_audit() == 2
+    q = start_stream_refresh(lake, [CUST], checkpoint=ckpt, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert pub.pointer(INT_UNIFIED_CUSTOMERS).epoch == epoch
+    assert pub.read(CUST).count() == 17

@@ -134,6 +134,28 @@ class Lake:
                                                     int(r["l"]["row_count"] or 0))
                 for r in latest.collect()}
 
+    def compact_audit(self) -> int:
+        """Merge the audit's small files (one per load) into one.
+
+        The merged file is written first and only the files listed before
+        are deleted afterwards, so a reader never misses a row (it may see a
+        row twice for a moment, which the newest-load logic ignores) and a
+        load committing meanwhile is untouched.  A refresh stream replays the
+        merged rows as a new file; publishing is idempotent, so that is a
+        no-op.  Returns the number of files merged.
+        """
+        from unilake.session import delete_path
+        files = [n for n, is_dir in list_dir(self.spark, self.audit_path)
+                 if not is_dir and n.startswith("part-") and n.endswith(".parquet")]
+        if len(files) <= 1:
+            return 0
+        paths = [f"{self.audit_path}/{n}" for n in files]
+        (self.spark.read.schema(AUDIT_SCHEMA).parquet(*paths).coalesce(1)
+         .write.mode("append").parquet(self.audit_path))
+        for p in paths:
+            delete_path(self.spark, p)
+        return len(files)
+
     def vacuum_raw(self, keep_loads: int = 2) -> list[str]:
         """Delete raw load folders a reader can no longer need: per table,
         every audited load older than the newest ``keep_loads``, and any
