@@ -20,4 +20,4 @@ def test_cli_build_check_summary_vacuum(spark, capsys, monkeypatch):
     assert cli.main(["summary", "--lake", lake, "--model", "int_unified_customers"]) == 0
     assert "first 5 rows" in capsys.readouterr().out
     assert cli.main(["vacuum", "--lake", lake, "--keep", "1"] + models) == 0
-    assert "deleted 0 folders" in capsys.readouterr().out
+    assert "deleted 0 folders" in capsys.readouterr().out   # one load: nothing to merge

@@ -89,7 +89,8 @@ def main(argv: list[str] | None = None) -> int:
         pub = Publisher(lake)
         gone = [p for m in models for p in pub.vacuum(m, keep_epochs=args.keep)]
         gone += lake.vacuum_raw(keep_loads=args.keep)
-        print(f"deleted {len(gone)} folders")
+        merged = lake.compact_audit()
+        print(f"deleted {len(gone)} folders; merged {merged} audit files")
         for p in gone:
             print(f"  {p}")
     else:
