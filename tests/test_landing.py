@@ -102,3 +102,16 @@ def test_compact_audit_keeps_every_row(spark, lake):
     assert lake.current_loads()["raw_a__t"][0] == 4
     lake.land("a", {"t": spark.createDataFrame([("x",)], "id string")})
     assert lake.next_load_id() == 6
+
+
+def test_land_from_a_catalog_database(spark, lake):
+    from unilake.session import fresh_dir
+    db_dir = fresh_dir(spark, "srcdb")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS src_catalog_test LOCATION '{db_dir}'")
+    fixtures.contacts(spark).write.mode("overwrite").saveAsTable("src_catalog_test.contacts")
+    spark.createDataFrame([(1,)], "seq int").write.mode("overwrite") \
+        .saveAsTable("src_catalog_test._internal_seq")
+    res = lake.land_many({"a": "catalog:src_catalog_test", "z": "catalog:no_such_db"})
+    assert res == {"raw.raw_a__contacts": 12}
+    assert {r["source"]: r["status"] for r in lake.audit().collect()} == {"a": "loaded",
+                                                                        "z": "missing"}

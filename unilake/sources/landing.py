@@ -85,6 +85,19 @@ def read_source(spark: SparkSession, source_root: str,
     return out
 
 
+CATALOG_PREFIX = "catalog:"
+
+
+def read_catalog_source(spark: SparkSession, database: str,
+                        ignore: str = DEFAULT_IGNORE) -> dict[str, DataFrame]:
+    """Every table of a catalog database (``spark.catalog.listTables``),
+    minus internal ones matching ``ignore``; full scans, no filter."""
+    pat = re.compile(ignore) if ignore else None
+    return {t.name: spark.table(f"{database}.{t.name}")
+            for t in spark.catalog.listTables(database)
+            if not t.isTemporary and not (pat and pat.search(t.name))}
+
+
 @dataclass
 class Lake:
     """A lake rooted at a shared folder: raw loads, audit, published models."""
@@ -197,9 +210,10 @@ class Lake:
              load_id: int | None = None, ignore: str = DEFAULT_IGNORE) -> dict[str, int]:
         """Land every table of one source as a new load; returns {key: rows}.
 
-        ``tables`` is either name -> DataFrame or the root folder of the
-        source (each child dataset is a table).  A missing source folder is
-        logged and recorded (``status='missing'``); nothing is raised.
+        ``tables`` is name -> DataFrame, the root folder of the source (each
+        child dataset is a table) or ``'catalog:<database>'`` (each table of
+        that database).  A missing source is logged and recorded
+        (``status='missing'``); nothing is raised.
         """
         return self.land_many({source: tables}, load_id=load_id, ignore=ignore)
 
@@ -216,7 +230,15 @@ class Lake:
         audit_rows = []
         writes: list[tuple[str, str, DataFrame]] = []
         for source, tables in sources.items():
-            if isinstance(tables, str):
+            if isinstance(tables, str) and tables.startswith(CATALOG_PREFIX):
+                db = tables[len(CATALOG_PREFIX):]
+                if not self.spark.catalog.databaseExists(db):
+                    log.error("source %s: database %s not found; skipped", source, db)
+                    audit_rows.append((f"{RAW_LAYER}.{raw_table_name(source, '*')}", source, "*",
+                                       load_id, None, "missing", landed_at, tables))
+                    continue
+                tables = read_catalog_source(self.spark, db, ignore)
+            elif isinstance(tables, str):
                 if not path_exists(self.spark, tables):
                     log.error("source %s not found at %s; skipped", source, tables)
                     audit_rows.append((f"{RAW_LAYER}.{raw_table_name(source, '*')}", source, "*",
