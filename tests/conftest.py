@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from unilake.session import build_session, fresh_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+SF_ORACLE = os.environ.get("UNILAKE_ORACLE_SF", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
