@@ -31,10 +31,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _cols_sql(names) -> str:
-    return ", ".join(names)
-
-
 # --- staging (P1-P5, F1, F2, F10) ---------------------------------------------
 
 def _stage_query(stg: str) -> Query:
