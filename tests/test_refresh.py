@@ -293,3 +293,17 @@ def test_stream_after_audit_compaction_is_a_no_op(spark, lake):
     assert q.exception() is None
     assert pub.pointer(INT_UNIFIED_CUSTOMERS).epoch == epoch
     assert pub.read(CUST).count() == 17
+
+
+def test_published_changes_read_only_key_and_stored_hash(spark, lake):
+    from unilake.plans.layers import ROW_HASH_COLUMN, published_changes
+    pub, first = _publish_initial(spark, lake)
+    assert ROW_HASH_COLUMN not in pub.read(CUST).columns
+    assert ROW_HASH_COLUMN not in spark.table(f"intermediate.{CUST}").columns
+    lake.land("b", {"customers": fixtures.customers(spark).withColumn(
+        "email", F.when(F.col("cust_id") == 3, F.lit("z@b.example")).otherwise(F.col("email")))})
+    second = snapshot_refresh(pub, CUST)
+    ch = published_changes(pub, CUST, first.epoch, second.epoch)
+    assert [(r["change_type"]) for r in ch.collect()] == ["update"]
+    plan = ch._jdf.queryExecution().executedPlan().toString()
+    assert f"ReadSchema: struct<customer_sk:string,{ROW_HASH_COLUMN}:bigint>" in plan

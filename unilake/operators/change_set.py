@@ -29,20 +29,24 @@ CHANGE_TYPES = ("insert", "update", "delete", "unchanged")
 
 def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
                compare: Sequence[str] | None = None, payload: bool = False,
-               include_unchanged: bool = False) -> DataFrame:
+               include_unchanged: bool = False, hash_column: str | None = None) -> DataFrame:
     """Classify every key of ``old`` and ``new``.
 
     Returns ``key columns + change_type`` (plus ``new_row``, a struct of the
     new values for inserts and updates, when ``payload`` is set).
+    ``hash_column`` names a content hash both sides already carry (e.g. the
+    one stored with published versions): then only the key and that column
+    are read, not every compared column.
     """
     key = list(key)
     if compare is None:
-        compare = [c for c in new.columns if c not in key]
+        compare = [c for c in new.columns if c not in key and c != hash_column]
     compare = list(compare)
 
     def side(df: DataFrame, is_new: int) -> DataFrame:
         cols = [F.col(k) for k in key]
-        cols += [row_hash(compare).alias("_h"), F.lit(is_new).alias("_is_new")]
+        h = F.col(hash_column) if hash_column else row_hash(compare)
+        cols += [h.alias("_h"), F.lit(is_new).alias("_is_new")]
         if payload:
             rec = F.struct(*[F.col(c) for c in compare]) if is_new else \
                 F.lit(None).cast(new.select(F.struct(*compare).alias("s")).schema["s"].dataType)

@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from unilake.functions.exprs import row_hash
 from unilake.operators import quality
 from unilake.operators.mapping import stage
 from unilake.operators.unify import UnifiedModel, align
@@ -42,6 +43,7 @@ from unilake.sources.landing import RAW_LAYER, Lake
 log = logging.getLogger(__name__)
 
 STAGING_LAYER = "staging"
+ROW_HASH_COLUMN = "_row_hash"     # stored with each version, never shown by views
 INTERMEDIATE_LAYER = "intermediate"
 
 
@@ -112,8 +114,10 @@ class Publisher:
                           json.dumps(doc))
 
     # --- reading -----------------------------------------------------------------
-    def read_versions(self, model: UnifiedModel, versions: Mapping[str, int]) -> DataFrame:
-        """Union of the given per-source versions, source tag as a literal."""
+    def read_versions(self, model: UnifiedModel, versions: Mapping[str, int],
+                      with_hash: bool = False) -> DataFrame:
+        """Union of the given per-source versions, source tag as a literal.
+        ``with_hash`` adds the stored content hash (computed when missing)."""
         cols = [f.name for f in model.schema.fields]
         parts = []
         for b in model.branches:
@@ -121,8 +125,13 @@ class Publisher:
                 continue
             df = self.spark.read.parquet(self.version_path(model, b.source_system,
                                                            versions[b.source_system]))
+            out = cols
+            if with_hash:
+                if ROW_HASH_COLUMN not in df.columns:
+                    df = df.withColumn(ROW_HASH_COLUMN, row_hash(self._hashed_columns(model)))
+                out = cols + [ROW_HASH_COLUMN]
             parts.append(df.withColumn(model.source_column, F.lit(b.source_system))
-                         .select(*cols))
+                         .select(*out))
         if not parts:
             raise FileNotFoundError(f"{model.name} has no published version")
         out = parts[0]
@@ -215,6 +224,10 @@ class Publisher:
         return (self.spark.createDataFrame(rows, quality.REPORT_SCHEMA)
                 .withColumn("passed", F.col("failures") == 0))
 
+    @staticmethod
+    def _hashed_columns(model: UnifiedModel) -> list[str]:
+        return [c for c in model.content_columns if c not in (model.key_name, model.source_column)]
+
     # --- retention ------------------------------------------------------------------
     def vacuum(self, model: UnifiedModel | str, keep_epochs: int = 2) -> list[str]:
         """Delete version folders that none of the newest ``keep_epochs``
@@ -285,6 +298,9 @@ class Publisher:
             aggs = quality.row_check_aggs(m.tests)
             obs = Observation(f"checks_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
             scoped = self._source_scoped_unique(m)
+            # the row's content hash is stored with the version (hidden from
+            # readers): change sets between epochs then read key + hash only
+            df = df.withColumn(ROW_HASH_COLUMN, row_hash(self._hashed_columns(m)))
             with ThreadPoolExecutor(max_workers=1 + len(scoped)) as inner:
                 # unique checks scoped to one source run beside the write (they
                 # read only the key's input columns); row-check counts ride
@@ -335,14 +351,14 @@ def published_changes(publisher: Publisher, model: UnifiedModel | str,
         s = b.source_system
         if old.get(s) == new.get(s):
             continue
-        o = publisher.read_versions(m, {s: old[s]}) if s in old else None
-        n = publisher.read_versions(m, {s: new[s]}) if s in new else None
+        o = publisher.read_versions(m, {s: old[s]}, with_hash=True) if s in old else None
+        n = publisher.read_versions(m, {s: new[s]}, with_hash=True) if s in new else None
         if o is None:
             parts.append(n.select(*key, F.lit("insert").alias("change_type")))
         elif n is None:
             parts.append(o.select(*key, F.lit("delete").alias("change_type")))
-        else:
-            parts.append(change_set(o, n, key, compare))
+        else:   # stored hashes: only key + hash columns are read
+            parts.append(change_set(o, n, key, compare, hash_column=ROW_HASH_COLUMN))
     if not parts:
         return publisher.spark.createDataFrame(
             [], f"{m.source_column} string, {m.key_name} string, change_type string")
