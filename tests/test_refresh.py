@@ -307,3 +307,14 @@ def test_published_changes_read_only_key_and_stored_hash(spark, lake):
     assert [(r["change_type"]) for r in ch.collect()] == ["update"]
     plan = ch._jdf.queryExecution().executedPlan().toString()
     assert f"ReadSchema: struct<customer_sk:string,{ROW_HASH_COLUMN}:bigint>" in plan
+
+
+def test_stream_refreshes_several_models_in_one_batch(spark, lake):
+    lake.land_many(fixtures.sources(spark))
+    q = start_stream_refresh(lake, ["int_unified_customers", "int_unified_products"],
+                             available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    pub = Publisher(lake)
+    assert pub.read("int_unified_customers").count() == 22
+    assert pub.read("int_unified_products").count() == 21

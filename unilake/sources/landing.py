@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import re
+import threading
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -86,6 +87,7 @@ def read_source(spark: SparkSession, source_root: str,
 
 
 CATALOG_PREFIX = "catalog:"
+_NAMESPACE_LOCK = threading.Lock()
 
 
 def read_catalog_source(spark: SparkSession, database: str,
@@ -124,9 +126,11 @@ class Lake:
     # --- namespaces ----------------------------------------------------------
     def ensure_namespace(self, layer: str) -> None:
         """``CREATE SCHEMA IF NOT EXISTS`` located inside the lake (never the
-        default local warehouse folder)."""
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer} "
-                       f"LOCATION '{self.layer_path(layer)}'")
+        default local warehouse folder); serialised, as publishes of several
+        models may run side by side."""
+        with _NAMESPACE_LOCK:
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer} "
+                           f"LOCATION '{self.layer_path(layer)}'")
 
     # --- audit ---------------------------------------------------------------
     def audit(self) -> DataFrame:

@@ -23,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,7 +142,7 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
         # The batch is audit rows: one per landed table, a handful per load.
         tables = [r["raw_table"].split(".", 1)[1] for r in
                   batch.where(F.col("status") == "loaded").select("raw_table").distinct().collect()]
-        for m in models_fed_by(tables, ms):
+        def refresh_one(m: UnifiedModel) -> None:
             try:
                 res = publisher.publish(m, gate=gate)
             except QualityGateError as exc:
@@ -152,10 +153,15 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
                 (spark.createDataFrame([(m.name, epoch_id, "gate_failed", str(exc), now)],
                                        REFRESH_LOG_SCHEMA)
                  .coalesce(1).write.mode("append").parquet(f"{lake.root}/_refresh_log"))
-                continue
+                return
             log.info("refresh epoch %d: %s -> epoch %d (rebuilt %s)", epoch_id, m.name,
                      res.epoch, res.rebuilt)
 
+        due = models_fed_by(tables, ms)
+        if due:   # models are independent: publish them side by side
+            with ThreadPoolExecutor(max_workers=len(due)) as pool:
+                list(pool.map(refresh_one, due))
+
     reader = spark.readStream.schema(AUDIT_SCHEMA).parquet(lake.audit_path)
     writer = reader.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if query_name:
