@@ -1,15 +1,16 @@
 """One full build: land -> stage -> unify -> check -> publish -> summarise.
 
 Every step is a Spark job over the lake; the driver only sequences them and
-reads tiny control data (audit rows, pointers, the summary).  A failed data
-test stops the build before the failing model is published (earlier
-models stay published, later ones are not attempted).
+reads tiny control data (audit rows, pointers, the summary).  Independent
+models publish side by side; a failed data test keeps only the failing
+model unpublished.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -24,13 +25,15 @@ log = logging.getLogger(__name__)
 
 def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
               models: Sequence[str] | None = None,
-              on_gate_failure: str = "raise") -> DataFrame:
+              on_gate_failure: str = "raise", parallelism: int = 4) -> DataFrame:
     """Land every source as one load, publish every model, return the summary
     (layer, table_name, row_count, status, error) of raw and published tables.
 
-    ``on_gate_failure='raise'`` stops at the first model whose data tests
-    fail (nothing after it is attempted); ``'report'`` leaves that model
-    unpublished, goes on, and reports it with ``status='gate_failed'``.
+    The unified models are independent, so up to ``parallelism`` of them are
+    published side by side; a model whose data tests fail stays unpublished
+    and the others still publish.  ``on_gate_failure='raise'`` then raises
+    the first failure; ``'report'`` returns the summary with that model's
+    ``status='gate_failed'``.
     """
     landed = lake.land_many(sources)
     log.info("landed %d raw tables", len(landed))
@@ -38,19 +41,23 @@ def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
     pub = Publisher(lake)
     names = list(models or UNIFIED)
     loads = lake.current_loads()
-    published, failed = [], []
-    for name in names:
-        m = UNIFIED[name]
-        if not any(r in loads for r in _raw_inputs(m)):
-            continue
+    todo = [n for n in names if any(r in loads for r in _raw_inputs(UNIFIED[n]))]
+
+    def publish(name: str):
         try:
-            pub.publish(m)
-            published.append(name)
+            pub.publish(UNIFIED[name])
+            return None
         except QualityGateError as exc:
-            if on_gate_failure == "raise":
-                raise
             log.error("%s not published: %s", name, exc)
-            failed.append((INTERMEDIATE_LAYER, name, None, "gate_failed", str(exc)[:200]))
+            return exc
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(todo) or 1))) as pool:
+        outcomes = list(pool.map(publish, todo))
+    published = [n for n, e in zip(todo, outcomes) if e is None]
+    errors = [(n, e) for n, e in zip(todo, outcomes) if e is not None]
+    if errors and on_gate_failure == "raise":
+        raise errors[0][1]
+    failed = [(INTERMEDIATE_LAYER, n, None, "gate_failed", str(e)[:200]) for n, e in errors]
     tables = [(RAW_LAYER, n, (lambda n=n: lake.read_raw(n))) for n in sorted(loads)]
     tables += [(INTERMEDIATE_LAYER, n, (lambda n=n: pub.read(n))) for n in published]
     out = tolerant_summary(lake.spark, tables)
