@@ -318,3 +318,17 @@ def test_stream_refreshes_several_models_in_one_batch(spark, lake):
     pub = Publisher(lake)
     assert pub.read("int_unified_customers").count() == 22
     assert pub.read("int_unified_products").count() == 21
+
+
+def test_lenient_publication_counts_bad_dates(spark, lake):
+    bad = fixtures.customers(spark).withColumn(
+        "signup_date", F.when(F.col("cust_id") <= 2, F.lit("not-a-date"))
+        .otherwise(F.col("signup_date")))
+    lake.land_many({"a": {"contacts": fixtures.contacts(spark)}, "b": {"customers": bad}})
+    with pytest.raises(Exception):            # strict (default): the build fails
+        Publisher(lake).publish(CUST)
+    res = Publisher(lake, lenient_dates=True).publish(CUST)
+    # a's version was already committed by the strict attempt and is reused
+    assert res.date_rejects == {"b.created_at": 2}
+    rows = Publisher(lake).read(CUST).where("source_system = 'b' and created_at is null")
+    assert rows.count() == 2

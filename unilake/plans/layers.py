@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from unilake.functions.exprs import row_hash
+from unilake.functions.exprs import date_rejects, row_hash
 from unilake.operators import quality
 from unilake.operators.mapping import stage
 from unilake.operators.unify import UnifiedModel, align
@@ -66,15 +66,21 @@ class PublishResult:
     versions: dict[str, int]
     rebuilt: list[str]
     report: DataFrame | None = None
+    # lenient staging only: "<source>.<field>" -> texts that did not parse as dates
+    date_rejects: dict[str, int] = field(default_factory=dict)
 
 
 class Publisher:
     """Publishes unified models of a :class:`Lake` as versioned folders."""
 
-    def __init__(self, lake: Lake, parallelism: int = 4):
+    def __init__(self, lake: Lake, parallelism: int = 4, lenient_dates: bool = False):
+        """``lenient_dates``: malformed date text becomes NULL instead of failing
+        the build; the rejects are counted on the same write job and returned
+        in :attr:`PublishResult.date_rejects`."""
         self.lake = lake
         self.spark = lake.spark
         self.parallelism = max(1, parallelism)
+        self.lenient_dates = lenient_dates
 
     # --- paths -----------------------------------------------------------------
     def model_path(self, model: UnifiedModel) -> str:
@@ -261,9 +267,18 @@ class Publisher:
         return deleted
 
     # --- building ----------------------------------------------------------------
-    def staged(self, staging_name: str, load_id: int) -> DataFrame:
+    def staged(self, staging_name: str, load_id: int,
+               observation: Observation | None = None) -> DataFrame:
+        """A staging model over one raw load.  With lenient dates and an
+        ``observation``, the date rejects are observed on the raw rows."""
         m = STAGING[staging_name]
-        return stage(self.lake.read_raw(m.raw_name, load_id), m)
+        raw = self.lake.read_raw(m.raw_name, load_id)
+        if self.lenient_dates and observation is not None:
+            dates = [f for f in m.fields if f.cast == "date"]
+            if dates:
+                raw = raw.observe(observation, *[
+                    F.sum(date_rejects(F.col(f.source or f.name))).alias(f.name) for f in dates])
+        return stage(raw, m, lenient_dates=self.lenient_dates)
 
     def publish(self, model: UnifiedModel | str, gate: bool = True,
                 sources: Sequence[str] | None = None,
@@ -291,10 +306,13 @@ class Publisher:
             versions[b.source_system] = load_id
             rebuilt.append(b.source_system)
 
+        rejects: dict[str, int] = {}
+
         def write(item) -> None:
             b, load_id, landed_at, path = item
             stamp = F.lit(landed_at).cast("timestamp")
-            df = align(self.staged(b.staged, load_id), b, m, loaded_at=stamp)
+            date_obs = Observation(f"dates_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
+            df = align(self.staged(b.staged, load_id, date_obs), b, m, loaded_at=stamp)
             aggs = quality.row_check_aggs(m.tests)
             obs = Observation(f"checks_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
             scoped = self._source_scoped_unique(m)
@@ -312,6 +330,12 @@ class Publisher:
                 out.drop(m.source_column).write.mode("overwrite").parquet(path)
                 counts = {k: int(v) for k, v in obs.get.items()} if aggs else {}
                 counts.update({f"unique:{c}": f.result() for c, f in uniq.items()})
+            if self.lenient_dates and any(f.cast == "date" for f in STAGING[b.staged].fields):
+                for k, v in date_obs.get.items():
+                    rejects[f"{b.source_system}.{k}"] = int(v or 0)
+                    if v:
+                        log.warning("%s: %d %s texts of source %s are not dates (NULL)",
+                                    m.name, v, k, b.source_system)
             self._write_check_counts(path, counts)
 
         if todo:   # sources are independent jobs: build their versions concurrently
@@ -328,7 +352,7 @@ class Publisher:
         if register:
             self.register_view(m, versions)
         log.info("published %s epoch %d: %s (rebuilt %s)", m.name, epoch, versions, rebuilt)
-        return PublishResult(m.name, epoch, versions, rebuilt, report)
+        return PublishResult(m.name, epoch, versions, rebuilt, report, rejects)
 
 
 def published_changes(publisher: Publisher, model: UnifiedModel | str,
