@@ -25,7 +25,8 @@ log = logging.getLogger(__name__)
 
 def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
               models: Sequence[str] | None = None,
-              on_gate_failure: str = "raise", parallelism: int = 4) -> DataFrame:
+              on_gate_failure: str = "raise", parallelism: int = 4,
+              lenient_dates: bool = False) -> DataFrame:
     """Land every source as one load, publish every model, return the summary
     (layer, table_name, row_count, status, error) of raw and published tables.
 
@@ -38,7 +39,7 @@ def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
     landed = lake.land_many(sources)
     log.info("landed %d raw tables", len(landed))
     register_raw_views(lake)
-    pub = Publisher(lake)
+    pub = Publisher(lake, lenient_dates=lenient_dates)
     names = list(models or UNIFIED)
     loads = lake.current_loads()
     todo = [n for n in names if any(r in loads for r in _raw_inputs(UNIFIED[n]))]
