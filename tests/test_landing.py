@@ -17,7 +17,7 @@ def _source_dir(spark, tables):
 
 
 def test_naming_is_lower_case():
-    assert raw_table_name("Acme", "Contacts") == "raw_acme__contacts"
+    assert raw_table_name("Sales", "Orders") == "raw_sales__orders"
     assert result_key("b", "Products") == "raw.raw_b__products"
 
 

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 # --- fixed values -----------------------------------------------------------
-# Surrogate keys follow the widespread warehouse convention: md5 over the key
-# parts cast to text, NULL parts replaced by a marker, parts joined by '-'.
-# Keeping these exact keeps keys byte-identical with keys built that way.
+# Surrogate keys follow the common warehouse recipe: md5 over the key parts
+# cast to text, parts joined by '-', NULL parts replaced by a marker (only
+# used when a key part is NULL; the separator makes non-NULL keys
+# byte-identical with keys built by that recipe).
 SURROGATE_KEY_SEPARATOR = "-"
-SURROGATE_KEY_NULL_MARKER = "_dbt_utils_surrogate_key_null_"
+SURROGATE_KEY_NULL_MARKER = "_null_key_part_"
 # ---------------------------------------------------------------------------
 
 
