@@ -52,3 +52,12 @@ def test_end_to_end_build_matches_reference_shape(spark, lake):
     cols = set(spark.table("intermediate.int_unified_customers").columns)
     assert {"customer_sk", "source_system", "source_customer_id", "full_name", "email",
             "status"} <= cols
+
+
+def test_scale_conf_sizes_shuffles_by_shuffled_bytes():
+    from unilake.session import scale_conf
+    big = scale_conf(100 * 2**40, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 81920
+    assert big["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
+    small = scale_conf(10 * 2**20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16     # two waves of cores
