@@ -46,7 +46,7 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
     def side(df: DataFrame, is_new: int) -> DataFrame:
         cols = [F.col(k) for k in key]
         h = F.col(hash_column) if hash_column else row_hash(compare)
-        cols += [h.alias("_h"), F.lit(is_new).alias("_is_new")]
+        cols += [h.alias("_h"), F.lit(is_new == 1).alias("_is_new")]
         if payload:
             rec = F.struct(*[F.col(c) for c in compare]) if is_new else \
                 F.lit(None).cast(new.select(F.struct(*compare).alias("s")).schema["s"].dataType)
@@ -54,9 +54,9 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
         return df.select(*cols)
 
     u = side(old, 0).unionByName(side(new, 1))
-    is_new = F.col("_is_new") == 1
+    is_new = F.col("_is_new")
     aggs = [
-        F.count_if(~is_new).alias("_n_old"),
+        F.count(F.lit(1)).alias("_n"),
         F.count_if(is_new).alias("_n_new"),
         F.min(F.when(~is_new, F.col("_h"))).alias("_old_lo"),
         F.max(F.when(~is_new, F.col("_h"))).alias("_old_hi"),
@@ -65,7 +65,7 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
     ]
     if payload:
         aggs.append(F.first("_row", ignorenulls=True).alias("new_row"))
-    g = u.groupBy(*key).agg(*aggs)
+    g = u.groupBy(*key).agg(*aggs).withColumn("_n_old", F.col("_n") - F.col("_n_new"))
     same = ((F.col("_n_old") == F.col("_n_new")) & (F.col("_old_lo") == F.col("_new_lo"))
             & (F.col("_old_hi") == F.col("_new_hi")))
     change = (F.when(F.col("_n_old") == 0, F.lit("insert"))
