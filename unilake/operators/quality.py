@@ -39,8 +39,30 @@ REPORT_SCHEMA = StructType([
 ])
 
 # Largest candidate-hash set that is broadcast in the unique check.  The set
-# is counted first, so this is a proven bound (8-byte hashes: <= 16 MB).
+# is counted first, so this is a proven bound (8-byte hashes: <= 16 MB).  The
+# cluster's own broadcast limit (spark.sql.autoBroadcastJoinThreshold) lowers
+# it further, and a disabled limit (-1) turns the broadcast off.
 UNIQUE_BROADCAST_MAX_ROWS = 2_000_000
+_CANDIDATE_ROW_BYTES = 16          # 8-byte hash + row overhead in the broadcast
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    for suffix, mult in (("tb", 1 << 40), ("gb", 1 << 30), ("mb", 1 << 20), ("kb", 1 << 10),
+                         ("t", 1 << 40), ("g", 1 << 30), ("m", 1 << 20), ("k", 1 << 10),
+                         ("b", 1)):
+        if t.endswith(suffix):
+            return int(float(t[: -len(suffix)]) * mult)
+    return int(t)
+
+
+def broadcast_row_bound(spark: SparkSession) -> int:
+    """Rows of candidate hashes that may be broadcast in this session."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+    limit = _bytes(raw)
+    if limit < 0:
+        return 0
+    return min(UNIQUE_BROADCAST_MAX_ROWS, limit // _CANDIDATE_ROW_BYTES)
 
 
 @dataclass(frozen=True)
@@ -134,7 +156,7 @@ def unique_failures(df: DataFrame, column: str, two_phase: bool = True,
         n_candidates = candidates.count()
         n = 0
         if n_candidates:
-            if n_candidates <= UNIQUE_BROADCAST_MAX_ROWS:
+            if n_candidates <= broadcast_row_bound(df.sparkSession):
                 candidates = F.broadcast(candidates)
             # second scan without the observation (metrics come from the first)
             src = base.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
