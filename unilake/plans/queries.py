@@ -255,6 +255,16 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          loaded_at=False), ["customer_sk"], 5)
 
 
+@register("preview_products", with_models(
+    "select * from int_unified_products order by product_sk limit 5",
+    ["int_unified_products"]))
+def preview_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five unified products in key order."""
+    from unilake.operators.report import preview as top
+    return top(build.unified_from_tables(spark, sf_dir, "int_unified_products",
+                                         loaded_at=False), ["product_sk"], 5)
+
+
 @register("describe_model", " union all ".join(
     with_models(
         f"select '{m}' as model, cast(row_number() over () as integer) as ordinal, "
