@@ -63,7 +63,7 @@ def planted(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("task_tokens", [1 << 21, 600])
+@pytest.mark.parametrize("task_tokens", [1 << 22, 600])
 def test_matches_brute_force(make_docs, monkeypatch, task_tokens):
     monkeypatch.setattr(ngram_join, "TASK_TOKENS", task_tokens)
     rows = planted(task_tokens, 130)

@@ -10,7 +10,8 @@ a Jaccard similarity of 3/4.  Steps:
 4. each island is a count-vector R-tree: bound overlaps by summed coordinate
    minima, verify what survives, skip pairs already joined by other links.
    Islands are packed into tasks of bounded size; an island beyond that is
-   split into blocks by set size and hash, joined block pair by block pair;
+   routed again under other token orders, and what stays large is split into
+   blocks by set size and hash, joined block pair by block pair;
 5. union the links into components.
 
 Cases: a null or empty text, or one without words, has an empty set and links
@@ -28,14 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm import setkit
-from unilake.llm.common import components, cut, documents
+from unilake.llm.common import components, cut, documents, drop
 from unilake.llm.rtree import linked_roots
-from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
-                                 string_bytes, word_spans)
+from unilake.llm.textkit import (LOWER, SPACE, chunks, mix64, shingle_hashes, sorted_sets,
+                                 span_hashes, string_bytes, word_spans)
 
 WIDTH = 5
 #: Tokens in one task's trees; a larger island is split into blocks.
-TASK_TOKENS = 1 << 21
+TASK_TOKENS = 1 << 22
+#: Times that islands beyond a task are routed anew under other token orders.
+REROUTES = 2
 #: Sizes of one band differ by less than this factor.
 BAND = 1.15
 #: Bands that sizes within 4/3 of each other can lie apart.
@@ -85,16 +88,21 @@ def _entries(sets: DataFrame, n_buckets: int) -> DataFrame:
     return sets.select("node", "n", "keys").mapInArrow(run, setkit.ENTRY_SCHEMA)
 
 
-def _token_sets(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
-    """The members' tokens, sorted, as packed bytes.  Only their documents'
-    texts are moved, after a filter of fixed size."""
-    bits = len(keep) * 8
-
+def _texts(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
+    """The members with their documents' texts.  Only those texts are moved,
+    after a filter of fixed size."""
     def pick(batches):
         for batch in batches:
             ok = setkit.passes(keep, batch.column("slot").to_numpy())
             yield batch.select(["doc_id", "text"]).filter(pa.array(ok))
 
+    slot = setkit.hash_slot(F.col("doc_id"), len(keep) * 8).alias("slot")
+    some = docs.select("doc_id", "text", slot).mapInArrow(pick, "doc_id long, text string")
+    return some.join(members, "doc_id")
+
+
+def _token_sets(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
+    """The members with their sorted tokens as packed bytes."""
     def run(batches):
         for batch in batches:
             rest = [batch.column(c) for c in carried]
@@ -105,14 +113,40 @@ def _token_sets(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFr
                      pa.array([flat[off[k]:off[k + 1]].tobytes() for k in range(m)], pa.binary())],
                     [*carried, "tokens"])
 
-    slot = setkit.hash_slot(F.col("doc_id"), bits).alias("slot")
-    some = docs.select("doc_id", "text", slot).mapInArrow(pick, "doc_id long, text string")
-    joined = some.join(members, "doc_id").drop("doc_id")
+    joined = _texts(docs, keep, members).drop("doc_id")
     carried = [c for c in joined.columns if c != "text"]
     kinds = ", ".join(f"{c} {t}" for c, t in joined.dtypes if c != "text")
     return joined.mapInArrow(run, f"{kinds}, tokens binary")
 
 
+def _reroute(docs: DataFrame, keep: np.ndarray, large: DataFrame, salt: int) -> DataFrame:
+    """Split islands by another token order: a link lies inside one island
+    under every order, so the parts may be intersected."""
+    rows = cut(_texts(docs, keep, large))
+
+    def hashes(batch):
+        return (h for _, _, h, _ in _shingles(batch.column("text")))
+
+    ranks = setkit.load_ranks(setkit.group_totals(rows.select("text"), hashes, salt))
+
+    def run(batches):
+        def stream():
+            for batch in batches:
+                node, island = batch.column("node").to_numpy(), batch.column("island").to_numpy()
+                for i, m, h, o in _shingles(batch.column("text")):
+                    s = setkit.routed_sets(h, o, m, ranks, 0, salt)
+                    own = np.repeat(np.arange(i, i + m), np.diff(s["key_off"]))
+                    apart = mix64(island[own].view(np.uint64))
+                    yield mix64(s["keys"] ^ apart), node[own], s["n"][own - i]
+
+        yield from setkit.packed_entries(stream(), 256)
+
+    part = setkit.islands(rows.select("node", "island", "text").mapInArrow(run, setkit.ENTRY_SCHEMA))
+    out = cut(large.select("node", "doc_id", "n").join(part.withColumnRenamed("component", "island"), "node"))
+    drop(rows)
+    return out
+
+
 def _join_tasks(sets: DataFrame) -> DataFrame:
     """Verified links (a, b) between the nodes of each task.
 
@@ -142,17 +176,23 @@ def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     ``nodes``: node, n, doc_id (a document with that set), island.
     """
     docs, nodes = documents(docs, "doc_id", "text"), cut(nodes)
-    size = nodes.groupBy("island").agg(F.sum("n").alias("total"))
-    nodes = nodes.join(size, "island")
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     bins = max(16, int(tokens // (TASK_TOKENS // 2)) + 1)
     keep = setkit.bitmap(nodes, "doc_id")
-    small = nodes.where(F.col("total") <= TASK_TOKENS).select(
+    whole = None
+    for salt in range(1, REROUTES + 2):
+        sized = nodes.join(nodes.groupBy("island").agg(F.sum("n").alias("total")), "island")
+        small = sized.where(F.col("total") <= TASK_TOKENS).drop("total")
+        whole = small if whole is None else whole.unionByName(small)
+        large = cut(sized.where(F.col("total") > TASK_TOKENS).drop("total"))
+        if salt > REROUTES or large.isEmpty():
+            break
+        nodes = _reroute(docs, keep, large, salt)
+    whole = whole.select(
         "doc_id", "node", "n", "island",
         F.concat(F.lit("s"), F.pmod(F.xxhash64("island"), F.lit(bins))).alias("task"),
         F.lit(-1).alias("side"), F.col("node").alias("root"))
-    large = nodes.where(F.col("total") > TASK_TOKENS)
-    links = cut(_join_tasks(_token_sets(docs, keep, small)))
+    links = cut(_join_tasks(_token_sets(docs, keep, whole)))
     if large.isEmpty():
         return links
     # blocks of about half a task's tokens: by size band, then by hash
@@ -222,6 +262,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(256, int(tokens // 4_000_000) + 1)
     island = setkit.islands(_entries(sets, n_buckets))
+    keyed, sets = sets, cut(sets.select("doc_id", "n", "node"))
+    drop(keyed)
     island = island.withColumnRenamed("component", "island")
     links = link_islands(docs, nodes.select("node", "doc_id", "n").join(island, "node"))
     ids = nodes.select("node", F.col("doc_id").alias("rep"))
