@@ -9,9 +9,9 @@ a Jaccard similarity of 3/4.  Steps:
    each other, form islands (exact: a link never leaves its island);
 4. each island is a count-vector R-tree: bound overlaps by summed coordinate
    minima, verify what survives, skip pairs already joined by other links.
-   Islands are packed into tasks of bounded size; an island beyond that is
-   routed again under other token orders, and what stays large is split into
-   blocks by set size and hash, joined block pair by block pair;
+   Islands are packed into tasks of bounded size.  An island beyond that is
+   split into blocks by set size and hash; pairs of blocks are joined on the
+   points alone, and only the sets of surviving pairs are moved;
 5. union the links into components.
 
 Cases: a null or empty text, or one without words, has an empty set and links
@@ -30,15 +30,15 @@ from pyspark.sql import functions as F
 
 from unilake.llm import setkit
 from unilake.llm.common import components, cut, documents, drop
-from unilake.llm.rtree import linked_roots
-from unilake.llm.textkit import (LOWER, SPACE, chunks, mix64, shingle_hashes, sorted_sets,
-                                 span_hashes, string_bytes, word_spans)
+from unilake.llm.rtree import count_points, group_number, linked_roots, overlaps, surviving_pairs
+from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
+                                 string_bytes, word_spans)
 
 WIDTH = 5
 #: Tokens in one task's trees; a larger island is split into blocks.
 TASK_TOKENS = 1 << 22
-#: Times that islands beyond a task are routed anew under other token orders.
-REROUTES = 2
+#: Pairs that one copy of a set is verified against.
+PAIRS_PER_TASK = 512
 #: Sizes of one band differ by less than this factor.
 BAND = 1.15
 #: Bands that sizes within 4/3 of each other can lie apart.
@@ -119,55 +119,89 @@ def _token_sets(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFr
     return joined.mapInArrow(run, f"{kinds}, tokens binary")
 
 
-def _reroute(docs: DataFrame, keep: np.ndarray, large: DataFrame, salt: int) -> DataFrame:
-    """Split islands by another token order: a link lies inside one island
-    under every order, so the parts may be intersected."""
-    rows = cut(_texts(docs, keep, large))
+def _join_tasks(sets: DataFrame) -> DataFrame:
+    """Verified links (a, b) between the nodes of each island of each task."""
+    def run(pdf):
+        out = []
+        for _, g in pdf.groupby("island", sort=False):
+            g = g.sort_values(["n", "node"], kind="stable")
+            flat = np.frombuffer(b"".join(g["tokens"]), dtype=np.uint64)
+            off = np.r_[0, np.cumsum(g["n"].to_numpy())]
+            node = g["node"].to_numpy()
+            out += [(node[i], node[j]) for i, j in linked_roots(flat, off, node)]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    def hashes(batch):
-        return (h for _, _, h, _ in _shingles(batch.column("text")))
+    return sets.groupBy("task").applyInPandas(run, "a long, b long")
 
-    ranks = setkit.load_ranks(setkit.group_totals(rows.select("text"), hashes, salt))
 
+def _points(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
+    """The members with their count points (about a byte a token) as packed bytes."""
     def run(batches):
-        def stream():
-            for batch in batches:
-                node, island = batch.column("node").to_numpy(), batch.column("island").to_numpy()
-                for i, m, h, o in _shingles(batch.column("text")):
-                    s = setkit.routed_sets(h, o, m, ranks, 0, salt)
-                    own = np.repeat(np.arange(i, i + m), np.diff(s["key_off"]))
-                    apart = mix64(island[own].view(np.uint64))
-                    yield mix64(s["keys"] ^ apart), node[own], s["n"][own - i]
-
-        yield from setkit.packed_entries(stream(), 256)
+        for batch in batches:
+            rest = [batch.column(c) for c in carried]
+            for i, m, h, o in _shingles(batch.column("text")):
+                flat, off = sorted_sets(h, o, m)
+                points = [count_points(flat[off[k]:off[k + 1]], np.array([0, off[k + 1] - off[k]]),
+                                       group_number(int(off[k + 1] - off[k])))
+                          .astype(np.uint32).tobytes() for k in range(m)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.slice(i, m) for c in rest], pa.array(points, pa.binary())], [*carried, "point"])
 
-    part = setkit.islands(rows.select("node", "island", "text").mapInArrow(run, setkit.ENTRY_SCHEMA))
-    out = cut(large.select("node", "doc_id", "n").join(part.withColumnRenamed("component", "island"), "node"))
-    drop(rows)
-    return out
+    joined = _texts(docs, keep, members).drop("doc_id")
+    carried = [c for c in joined.columns if c != "text"]
+    kinds = ", ".join(f"{c} {t}" for c, t in joined.dtypes if c != "text")
+    return joined.mapInArrow(run, f"{kinds}, point binary")
 
 
-def _join_tasks(sets: DataFrame) -> DataFrame:
-    """Verified links (a, b) between the nodes of each task.
+def _block_candidates(points: DataFrame, pairs: DataFrame, forest: bool) -> DataFrame:
+    """(a, b): node pairs that survive the bounds in pairs of blocks."""
+    def run(pdf):
+        pdf = pdf.sort_values(["n", "node"], kind="stable")
+        rows = [np.frombuffer(x, dtype=np.uint32).astype(np.int32) for x in pdf["point"]]
+        groups = min(len(r) for r in rows)  # a finer point folds onto a coarser one
+        folded = np.stack([r.reshape(-1, groups).sum(axis=0, dtype=np.int32) for r in rows])
+        side, node = pdf["side"].to_numpy(), pdf["node"].to_numpy()
+        got = surviving_pairs(pdf["n"].to_numpy(), folded, pdf["root"].to_numpy(),
+                              side if side.min() != side.max() else None, forest)
+        return pd.DataFrame([(node[i], node[j]) for i, j in got], columns=["a", "b"], dtype="int64")
+
+    task = F.concat_ws(":", "island", "ba", "sa", "bb", "sb").alias("task")
+    same = (F.col("ba") == F.col("bb")) & (F.col("sa") == F.col("sb"))
+    left = pairs.select("island", F.col("ba").alias("band"), F.col("sa").alias("slice"), task,
+                        F.lit(0).alias("side"))
+    right = pairs.where(~same).select("island", F.col("bb").alias("band"), F.col("sb").alias("slice"),
+                                      task, F.lit(1).alias("side"))
+    return points.join(left.union(right), ["island", "band", "slice"]).groupBy("task") \
+        .applyInPandas(run, "a long, b long").distinct()
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that reach the threshold, decided on their tokens."""
+    pairs = cut(pairs)
+    ends = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+               .join(nodes.select("node", "doc_id", "n"), "node"))
+    sets = cut(_token_sets(docs, setkit.bitmap(ends, "doc_id"), ends))
+    # a node in many pairs is sent to as many tasks as its pairs need
+    degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIRS_PER_TASK)).alias("parts"))
+    to = cut(pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")))
+    hubs = to.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select(
+        "a", "part", F.col("a").alias("b"), "tokens")
+    others = to.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "tokens")
 
-    ``side`` -1: the rows are compared with each other, island by island;
-    0 and 1: two blocks of one island, compared across.  Rows of one ``root``
-    are connected already.
-    """
     def run(pdf):
         out = []
-        for _, g in pdf.groupby("island", sort=False):
-            g = g.sort_values(["n", "node"], kind="stable")
-            flat = np.frombuffer(b"".join(g["tokens"]), dtype=np.uint64)
-            off = np.r_[0, np.cumsum(g["n"].to_numpy())]
-            side = g["side"].to_numpy()
-            node = g["node"].to_numpy()
-            across = side if len(set(side)) > 1 else None
-            out += [(node[i], node[j]) for i, j in
-                    linked_roots(flat, off, g["root"].to_numpy(), across)]
+        for _, g in pdf.groupby(["a", "part"], sort=False):
+            a = g["a"].iloc[0]
+            own = np.frombuffer(g.loc[g["b"] == a, "tokens"].iloc[0], dtype=np.uint64)
+            rest = g[g["b"] != a]
+            tokens = [np.frombuffer(x, dtype=np.uint64) for x in rest["tokens"]]
+            off = np.r_[0, np.cumsum([len(t) for t in tokens])]
+            both = overlaps(own, np.concatenate(tokens), off, np.arange(len(tokens)))
+            out += [(a, b) for b in rest["b"][7 * both >= 3 * (len(own) + np.diff(off))]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return sets.groupBy("task").applyInPandas(run, "a long, b long")
+    bins = F.pmod(F.xxhash64("a", "part"), F.lit(1024)).alias("bin")
+    return hubs.union(others).withColumn("bin", bins).groupBy("bin").applyInPandas(run, "a long, b long")
 
 
 def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -178,67 +212,36 @@ def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     docs, nodes = documents(docs, "doc_id", "text"), cut(nodes)
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     bins = max(16, int(tokens // (TASK_TOKENS // 2)) + 1)
-    keep = setkit.bitmap(nodes, "doc_id")
-    whole = None
-    for salt in range(1, REROUTES + 2):
-        sized = nodes.join(nodes.groupBy("island").agg(F.sum("n").alias("total")), "island")
-        small = sized.where(F.col("total") <= TASK_TOKENS).drop("total")
-        whole = small if whole is None else whole.unionByName(small)
-        large = cut(sized.where(F.col("total") > TASK_TOKENS).drop("total"))
-        if salt > REROUTES or large.isEmpty():
-            break
-        nodes = _reroute(docs, keep, large, salt)
-    whole = whole.select(
-        "doc_id", "node", "n", "island",
-        F.concat(F.lit("s"), F.pmod(F.xxhash64("island"), F.lit(bins))).alias("task"),
-        F.lit(-1).alias("side"), F.col("node").alias("root"))
-    links = cut(_join_tasks(_token_sets(docs, keep, whole)))
+    sized = nodes.join(nodes.groupBy("island").agg(F.sum("n").alias("total")), "island")
+    small = cut(sized.where(F.col("total") <= TASK_TOKENS).select(
+        "doc_id", "node", "n", "island", F.pmod(F.xxhash64("island"), F.lit(bins)).alias("task")))
+    large = cut(sized.where(F.col("total") > TASK_TOKENS).drop("total"))
+    links = cut(_join_tasks(_token_sets(docs, setkit.bitmap(small, "doc_id"), small)))
     if large.isEmpty():
         return links
-    # blocks of about half a task's tokens: by size band, then by hash
+    # blocks of about a task's tokens: by size band, then by hash
     large = large.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))))
     per = large.groupBy("island", "band").agg(F.sum("n").alias("tokens")).select(
-        "island", "band", F.ceil(F.col("tokens") / F.lit(TASK_TOKENS // 2)).alias("slices"))
+        "island", "band", F.ceil(F.col("tokens") / F.lit(TASK_TOKENS)).alias("slices"))
     large = cut(large.join(per, ["island", "band"]).withColumn(
-        "slice", F.pmod(F.xxhash64("node"), F.col("slices"))))
-    blocks = large.groupBy("island", "band", "slice").agg(F.count(F.lit(1)).alias("m"))
-    a = blocks.select("island", F.col("band").alias("ba"), F.col("slice").alias("sa"))
-    b = blocks.select("island", F.col("band").alias("bb"), F.col("slice").alias("sb"))
-    pairs = a.join(b, "island").where(
+        "slice", F.pmod(F.xxhash64("node"), F.col("slices"))).drop("slices"))
+    points = cut(_points(docs, setkit.bitmap(large, "doc_id"), large))
+    blocks = cut(large.select("island", "band", "slice").distinct())
+    pairs = cut(blocks.toDF("island", "ba", "sa").join(blocks.toDF("island", "bb", "sb"), "island").where(
         (F.col("bb") - F.col("ba")).between(0, REACH)
-        & ((F.col("ba") < F.col("bb")) | (F.col("sa") <= F.col("sb"))))
-    first = (F.col("ba") == F.col("bb")) & ((F.col("sa") == F.col("sb")) | (F.col("sa") == 0)) \
-        | (F.col("sa") == 0) & (F.col("sb") == 0)
-    pairs = cut(pairs.withColumn("first", first))
-    # first each block with itself and with the first block of near bands;
-    # then the other pairs, unless all their rows are connected by now
-    links = cut(links.union(_block_links(docs, keep, large, pairs.where("first"), None)))
+        & ((F.col("ba") < F.col("bb")) | (F.col("sa") <= F.col("sb")))))
+    # first each block with itself and with the first block of its band and
+    # the next; then the other pairs, unless all their rows are connected
+    first = F.expr("(ba = bb and (sa = sb or sa = 0)) or (bb = ba + 1 and sa = 0 and sb = 0)")
+    links = cut(links.union(_verified(docs, _block_candidates(
+        points.withColumn("root", F.col("node")), pairs.where(first), True), large)))
     comp = components(links)
-    have = large.join(comp, "node", "left").select(
-        "island", "band", "slice", F.coalesce("component", "node").alias("root"))
-    span = cut(have.groupBy("island", "band", "slice").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi")))
-    left = span.toDF("island", "ba", "sa", "la", "ha")
-    right = span.toDF("island", "bb", "sb", "lb", "hb")
-    rest = pairs.where("not first").join(left, ["island", "ba", "sa"]).join(
-        right, ["island", "bb", "sb"]).where("not (la = ha and lb = hb and la = lb)")
-    return links.union(_block_links(docs, keep, large, rest, comp))
-
-
-def _block_links(docs, keep, large, pairs, comp):
-    task = F.concat_ws(":", F.lit("p"), "island", "ba", "sa", "bb", "sb").alias("task")
-    same = (F.col("ba") == F.col("bb")) & (F.col("sa") == F.col("sb"))
-    side_a = pairs.select("island", F.col("ba").alias("band"), F.col("sa").alias("slice"), task,
-                          F.when(same, F.lit(-1)).otherwise(F.lit(0)).alias("side"))
-    side_b = pairs.where(~same).select("island", F.col("bb").alias("band"), F.col("sb").alias("slice"),
-                                       task, F.lit(1).alias("side"))
-    rows = large.select("doc_id", "node", "n", "island", "band", "slice")
-    if comp is None:
-        rows = rows.withColumn("root", F.col("node"))
-    else:
-        rows = rows.join(comp, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    sets = _token_sets(docs, keep, rows)
-    return _join_tasks(sets.join(side_a.union(side_b), ["island", "band", "slice"]))
+    points = points.join(comp, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
+    span = cut(points.groupBy("island", "band", "slice").agg(F.min("root").alias("lo"), F.max("root").alias("hi")))
+    rest = pairs.join(span.toDF("island", "ba", "sa", "la", "ha"), ["island", "ba", "sa"]).join(
+        span.toDF("island", "bb", "sb", "lb", "hb"), ["island", "bb", "sb"]).where(
+            "not (la = ha and lb = hb and la = lb)")
+    return links.union(_verified(docs, _block_candidates(points, rest, False), large))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -17,26 +17,31 @@ from unilake.llm.textkit import U
 FANOUT = 16
 
 
+def count_points(flat: np.ndarray, off: np.ndarray, groups: int) -> np.ndarray:
+    """One row of token counts per group for each set; ``groups`` is a power of two."""
+    n = np.diff(off)
+    group = ((flat * U(0x9E3779B97F4A7C15)) >> U(40)).astype(np.int64) % groups
+    return np.bincount(np.repeat(np.arange(len(n)), n) * groups + group,
+                       minlength=len(n) * groups).reshape(-1, groups).astype(np.int32)
+
+
+def group_number(n: int) -> int:
+    """Groups for sets of ``n`` tokens: about two tokens each, a power of two."""
+    return int(min(8192, max(16, 1 << int(np.log2(max(n / 2, 1))))))
+
+
 class CountTree:
     """Points (sets) in ascending size, with the rectangles' upper corners."""
 
-    def __init__(self, flat: np.ndarray, off: np.ndarray, groups: int):
-        self.flat, self.off = flat, off
-        self.n = np.diff(off)
-        owner = np.repeat(np.arange(len(self.n)), self.n)
-        group = ((flat * U(0x9E3779B97F4A7C15)) >> U(40)).astype(np.int64) % groups
-        self.points = np.bincount(owner * groups + group, minlength=len(self.n) * groups) \
-            .reshape(-1, groups).astype(np.int32)
-        at = np.arange(0, len(self.n), FANOUT)
-        self.leaf_top = np.maximum.reduceat(self.points, at, axis=0)
-        self.leaf_low = self.n[at]
+    def __init__(self, n: np.ndarray, points: np.ndarray):
+        self.n, self.points = n, points
+        at = np.arange(0, len(n), FANOUT)
+        self.leaf_top = np.maximum.reduceat(points, at, axis=0)
+        self.leaf_low = n[at]
         high = np.arange(0, len(at), FANOUT)
         self.branch_top = np.maximum.reduceat(self.leaf_top, high, axis=0)
         self.branch_low = self.leaf_low[high]
 
-    def set_of(self, i: int) -> np.ndarray:
-        return self.flat[self.off[i]:self.off[i + 1]]
-
     def candidates(self, point: np.ndarray, n: int, start: int) -> np.ndarray:
         """Rows from ``start`` on that the bounds leave over for a set of
         ``n`` tokens: 7 * overlap >= 3 * (n + m) and 4 * n >= 3 * m."""
@@ -56,47 +61,63 @@ class CountTree:
         row = (leaf[:, None] * FANOUT + np.arange(FANOUT)).reshape(-1)
         return row[(row >= start) & (row < stop)]
 
-    def overlaps(self, own: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Exact overlap of a sorted set with the sets of some rows."""
-        lens = self.n[rows]
-        first = np.cumsum(lens) - lens
-        at = np.arange(int(lens.sum())) - np.repeat(first - self.off[rows], lens)
-        tokens = self.flat[at]
-        hit = own[np.minimum(np.searchsorted(own, tokens), len(own) - 1)] == tokens
-        return np.add.reduceat(hit, first)
+    def survivors(self, i: int, root: np.ndarray, side: np.ndarray | None) -> np.ndarray:
+        """Rows after ``i``, of another root (and side), that the bounds leave."""
+        point, n = self.points[i], int(self.n[i])
+        rows = self.candidates(point, n, i + 1)
+        rows = rows[root[rows] != root[i]]
+        if side is not None:
+            rows = rows[side[rows] != side[i]]
+        if not len(rows):
+            return rows
+        bound = np.minimum(self.points[rows], point).sum(axis=1)
+        return rows[7 * bound >= 3 * (n + self.n[rows])]
+
+
+def overlaps(own: np.ndarray, flat: np.ndarray, off: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact overlap of a sorted set with the sets of some rows."""
+    lens = off[rows + 1] - off[rows]
+    first = np.cumsum(lens) - lens
+    tokens = flat[np.arange(int(lens.sum())) - np.repeat(first - off[rows], lens)]
+    hit = own[np.minimum(np.searchsorted(own, tokens), len(own) - 1)] == tokens
+    return np.add.reduceat(hit, first)
 
 
-def linked_roots(flat: np.ndarray, off: np.ndarray, root: np.ndarray, side: np.ndarray | None = None):
+def linked_roots(flat: np.ndarray, off: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (row, row) of verified links that join different roots.
 
     Every pair of rows of different roots is decided: by a bound, by exact
-    overlap, or because earlier links already joined their roots.  With
-    ``side`` only pairs across its two values are looked at.  Sets are sorted
-    arrays; rows ascend by size.
+    overlap, or because earlier links already joined their roots.  Sets are
+    sorted arrays; rows ascend by size and none is empty.
     """
     n = np.diff(off)
     if len(n) < 2:
         return []
-    groups = int(min(1024, max(16, 1 << int(np.log2(max(n[-1] / 2, 1))))))
-    tree = CountTree(flat, off, groups)
+    tree = CountTree(n, count_points(flat, off, min(1024, group_number(int(n[-1])))))
     root, out = root.copy(), []
     for i in range(len(n) - 1):
-        if n[i] == 0:
-            continue
-        rows = tree.candidates(tree.points[i], int(n[i]), i + 1)
-        rows = rows[root[rows] != root[i]]
-        if side is not None:
-            rows = rows[side[rows] != side[i]]
-        if not len(rows):
-            continue
-        bound = np.minimum(tree.points[rows], tree.points[i]).sum(axis=1)
-        rows = rows[7 * bound >= 3 * (n[i] + n[rows])]
+        rows = tree.survivors(i, root, None)
         while len(rows):
             part, rows = rows[:64], rows[64:]
-            both = tree.overlaps(tree.set_of(i), part)
+            both = overlaps(flat[off[i]:off[i + 1]], flat, off, part)
             for j in part[7 * both >= 3 * (n[i] + n[part])]:
                 if root[j] != root[i]:
                     out.append((i, int(j)))
                     root[root == root[j]] = root[i]
             rows = rows[root[rows] != root[i]]
     return out
+
+
+def surviving_pairs(n: np.ndarray, points: np.ndarray, root: np.ndarray, side: np.ndarray | None,
+                    forest: bool) -> list[tuple[int, int]]:
+    """Pairs of rows of different roots that the bounds leave to be verified;
+    with ``forest`` only as many as connect what all of them connect."""
+    tree, root, out = CountTree(n, points), root.copy(), []
+    for i in range(len(n) - 1):
+        for j in tree.survivors(i, root, side):
+            if not forest:
+                out.append((i, int(j)))
+            elif root[j] != root[i]:
+                out.append((i, int(j)))
+                root[root == root[j]] = root[i]
+    return out

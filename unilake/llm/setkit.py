@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm.common import components, cut
-from unilake.llm.textkit import U, chunks, mix64, set_digests, sorted_sets
+from unilake.llm.textkit import U, mix64, set_digests, sorted_sets
 
 #: log2 of the number of hash groups whose corpus totals order the tokens.
 SKETCH_BITS = 18
@@ -33,7 +33,7 @@ _COMBINE = 1 << 21
 CHUNK = 1 << 20
 
 
-def group_totals(df: DataFrame, hashes, salt: int = 0) -> np.ndarray:
+def group_totals(df: DataFrame, hashes) -> np.ndarray:
     """Tokens per hash group over all rows (2**SKETCH_BITS totals, whatever
     the input's size).  ``hashes(batch)`` gives one array of token hashes per
     chunk of a batch."""
@@ -43,7 +43,7 @@ def group_totals(df: DataFrame, hashes, salt: int = 0) -> np.ndarray:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             for h in hashes(batch):
-                total += np.bincount(hash_group(h, salt), minlength=len(total))
+                total += np.bincount(hash_group(h), minlength=len(total))
         if total.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(parts), pa.int32()),
@@ -67,17 +67,14 @@ def load_ranks(totals: np.ndarray) -> np.ndarray:
     return np.floor(8 * np.log2(np.maximum(totals, 1))).astype(np.uint16)
 
 
-def hash_group(h: np.ndarray, salt: int = 0) -> np.ndarray:
-    """The hash group of each token; each salt groups the tokens differently."""
-    if salt:
-        h = mix64(h + U(salt) * U(0x9E3779B97F4A7C15))
+def hash_group(h: np.ndarray) -> np.ndarray:
     return (h >> U(64 - SKETCH_BITS)).astype(np.int64)
 
 
 def routed_sets(h: np.ndarray, owner: np.ndarray, n_owners: int, ranks: np.ndarray,
-                seed: int, salt: int = 0) -> dict[str, np.ndarray]:
+                seed: int) -> dict[str, np.ndarray]:
     """Per owner: set size, digest, second digest, and its routing keys."""
-    flat, off = sorted_sets(h, owner, n_owners, ranks[hash_group(h, salt)])
+    flat, off = sorted_sets(h, owner, n_owners, ranks[hash_group(h)])
     n = np.diff(off)
     prefix = np.where(n > 0, n - (3 * n + 3) // 4 + 1, 0)
     pos = np.arange(len(flat)) - np.repeat(off[:-1], n)
