@@ -4,18 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from unilake.llm import exact_dedup, mixing, ngram_join, secrets
+from unilake.llm import (exact_dedup, language_id, license_scan, mixing, ngram_join, pieces, secrets,
+                         token_count)
 from unilake.llm.common import read_table
 
+#: Vocabulary files, by the name that ``public_tokenizers.path`` takes.
+BPE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_decode(read_table(spark, sf_dir, "documents"), vocabulary(PIECE_FILE))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary(BPE_FILE))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
@@ -24,7 +42,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(read_table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_ngram_jaccard_join, op5_source_mixing, op7_secret_scan, op8_exact_dedup)}
+    op2_ngram_jaccard_join, op4_sentencepiece, op5_source_mixing, op6_token_count,
+    op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan)}
 
 ORACLE: dict[str, str] = {}
