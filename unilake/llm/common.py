@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from unilake.session import fresh_dir, delete_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it from there.
@@ -17,7 +19,12 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "llm")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")  # its shuffle files go with the query
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._unilake_path = path
     return out

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from unilake.llm import (exact_dedup, language_id, license_scan, mixing, ngram_join, pieces, secrets,
-                         token_count)
+from unilake.llm import (exact_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
+                         secrets, token_count)
 from unilake.llm.common import read_table
 
 #: Vocabulary files, by the name that ``public_tokenizers.path`` takes.
@@ -22,6 +22,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(read_table(spark, sf_dir, "documents"), vocabulary(PIECE_FILE))
 
@@ -51,7 +55,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_ngram_jaccard_join, op4_sentencepiece, op5_source_mixing, op6_token_count,
+    op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
     op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan)}
 
 ORACLE: dict[str, str] = {}
