@@ -32,7 +32,7 @@ PATTERNS = {
     "assign": (_KEYWORD + r"""["']?\x20*[:=]""",
                _KEYWORD + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
     "access": (r"AKIA[A-Z0-9]{16}", r"(AKIA[A-Z0-9]+)", 20),
-    "hex": (r"[0-9a-f]{24}", r"([0-9a-f]+)", 24),
+    "hex": (r"[0-9a-f]{24}", r"([0-9a-f]{24,})", 24),
     "entropy": (r"[A-Za-z0-9+/_=-]{24}", r"([A-Za-z0-9+/_=-]{24,})", 24),
 }
 WINDOW = 20
@@ -52,7 +52,9 @@ def _pieces(text: Column, kind: str) -> Column:
     ``gap``: characters before the match since the last one; ``value``: length
     of the value; ``text``: the match (entropy candidates only)."""
     quick, pattern, _ = PATTERNS[kind]
-    both = F.lit(f"(?s)(.*?)({pattern})")
+    # the end of the text counts as a match too, or the rest would be searched
+    # from each of its positions; it has span 0 and is left out
+    both = F.lit(rf"(?s)(.*?)({pattern}|\z)")
     get = lambda i: F.regexp_extract_all(text, both, F.lit(i))
     lengths = lambda a: F.transform(a, F.length)
     rows = F.arrays_zip(lengths(get(1)).alias("gap"), lengths(get(2)).alias("span"),
