@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from unilake.llm import (exact_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
-                         secrets, token_count)
+                         secrets, token_count, vector_dedup)
 from unilake.llm.common import read_table
 
 #: Vocabulary files, by the name that ``public_tokenizers.path`` takes.
@@ -18,6 +18,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
+    op1_vector_near_dedup, op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
     op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan)}
 
 ORACLE: dict[str, str] = {}
