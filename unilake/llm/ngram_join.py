@@ -157,9 +157,10 @@ def _block_candidates(points: DataFrame, pairs: DataFrame, forest: bool) -> Data
     """(a, b): node pairs that survive the bounds in pairs of blocks."""
     def run(pdf):
         pdf = pdf.sort_values(["n", "node"], kind="stable")
-        rows = [np.frombuffer(x, dtype=np.uint32).astype(np.int32) for x in pdf["point"]]
+        rows = [np.frombuffer(x, dtype=np.uint32) for x in pdf["point"]]
         groups = min(len(r) for r in rows)  # a finer point folds onto a coarser one
         folded = np.stack([r.reshape(-1, groups).sum(axis=0, dtype=np.int32) for r in rows])
+        folded = folded.astype(np.int16 if folded.max() < 1 << 15 else np.int32)
         side, node = pdf["side"].to_numpy(), pdf["node"].to_numpy()
         got = surviving_pairs(pdf["n"].to_numpy(), folded, pdf["root"].to_numpy(),
                               side if side.min() != side.max() else None, forest)

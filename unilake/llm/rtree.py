@@ -21,13 +21,14 @@ def count_points(flat: np.ndarray, off: np.ndarray, groups: int) -> np.ndarray:
     """One row of token counts per group for each set; ``groups`` is a power of two."""
     n = np.diff(off)
     group = ((flat * U(0x9E3779B97F4A7C15)) >> U(40)).astype(np.int64) % groups
-    return np.bincount(np.repeat(np.arange(len(n)), n) * groups + group,
-                       minlength=len(n) * groups).reshape(-1, groups).astype(np.int32)
+    points = np.bincount(np.repeat(np.arange(len(n)), n) * groups + group,
+                         minlength=len(n) * groups).reshape(-1, groups)
+    return points.astype(np.int16 if points.max(initial=0) < 1 << 15 else np.int32)
 
 
 def group_number(n: int) -> int:
     """Groups for sets of ``n`` tokens: about two tokens each, a power of two."""
-    return int(min(8192, max(16, 1 << int(np.log2(max(n / 2, 1))))))
+    return int(min(2048, max(16, 1 << int(np.log2(max(n / 2, 1))))))
 
 
 class CountTree:
@@ -70,7 +71,9 @@ class CountTree:
             rows = rows[side[rows] != side[i]]
         if not len(rows):
             return rows
-        bound = np.minimum(self.points[rows], point).sum(axis=1)
+        step = max(1, (1 << 20) // len(point))
+        bound = np.concatenate([np.minimum(self.points[rows[k:k + step]], point).sum(axis=1)
+                                for k in range(0, len(rows), step)])
         return rows[7 * bound >= 3 * (n + self.n[rows])]
 
 

@@ -25,12 +25,12 @@ from unilake.llm.common import components, cut
 from unilake.llm.textkit import U, mix64, set_digests, sorted_sets
 
 #: log2 of the number of hash groups whose corpus totals order the tokens.
-SKETCH_BITS = 18
-_PART = 1 << 14
+SKETCH_BITS = 20
+_PART = 1 << 12
 #: Keys combined at a time inside a task.
 _COMBINE = 1 << 21
 #: Bytes of text hashed at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def group_totals(df: DataFrame, hashes) -> np.ndarray:
@@ -47,15 +47,21 @@ def group_totals(df: DataFrame, hashes) -> np.ndarray:
         if total.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(parts), pa.int32()),
-                 pa.array([x.tobytes() for x in total.reshape(parts, _PART)], pa.binary())],
+                 pa.array([x.astype(np.uint32).tobytes() for x in total.reshape(parts, _PART)], pa.binary())],
                 ["part", "counts"])
 
-    def add(pdf):
-        total = sum(np.frombuffer(x, dtype=np.int64) for x in pdf["counts"])
-        return pd.DataFrame({"part": pdf["part"][:1], "counts": [total.tobytes()]})
-
-    rows = df.mapInArrow(count, "part int, counts binary").groupBy("part") \
-        .applyInPandas(add, "part int, counts binary").collect()
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                own = total.setdefault(part, np.zeros(_PART, dtype=np.int64))
+                own += np.frombuffer(counts.as_buffer(), dtype=np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+            ["part", "counts"])
+
+    rows = df.mapInArrow(count, "part int, counts binary").repartition("part") \
+        .mapInArrow(add, "part int, counts binary").collect()
     out = np.zeros((parts, _PART), dtype=np.int64)
     for r in rows:
         out[r["part"]] = np.frombuffer(r["counts"], dtype=np.int64)
