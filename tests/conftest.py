@@ -24,4 +24,6 @@ def spark():
 @pytest.fixture()
 def lake(spark):
     from unilake.sources.landing import Lake
+    for layer in ("raw", "staging", "intermediate"):   # each test's lake owns them
+        spark.sql(f"DROP SCHEMA IF EXISTS {layer} CASCADE")
     return Lake(spark, fresh_dir(spark, "test-lake"))

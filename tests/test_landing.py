@@ -25,7 +25,7 @@ def test_list_tables_excludes_internal_entries(spark):
     root = _source_dir(spark, {"users": spark.createDataFrame([("1", "x")], "id string, n string"),
                                "orders": spark.createDataFrame([("1",)], "id string")})
     spark.createDataFrame([(1,)], "seq int").write.parquet(f"{root}/_sequence")
-    assert list_tables(spark, root) == ["orders", "users"]
+    assert list(list_tables(spark, root)) == ["orders", "users"]
     assert sorted(read_source(spark, root)) == ["orders", "users"]
 
 

@@ -7,9 +7,10 @@ import pytest
 import __spark_entry__ as entry_mod
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.oracle_compare import compare, duck
+from unilake.plans.queries import QUERIES as LIBRARY
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = {k: v for k, v in entry_mod.queries().items() if k in LIBRARY}
+ORACLE = {k: v for k, v in entry_mod.oracle_sql().items() if k in LIBRARY}
 
 
 @pytest.fixture(scope="module")

@@ -80,17 +80,11 @@ def test_row_checks_observed_on_unique_scan_with_duplicates(spark):
     assert rep[("name", "not_null")] == (1, False)
 
 
-def test_broadcast_bound_follows_the_session_limit(spark):
+def test_unique_plan_has_one_full_shuffle_for_a_hot_duplicate(spark):
     from pyspark.sql import functions as F
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
-        assert quality.broadcast_row_bound(spark) == (1 << 20) // 16
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert quality.broadcast_row_bound(spark) == 0
-        # with broadcast off, the second phase shuffles the candidates instead
-        df = spark.range(2000).select(F.when(F.col("id") < 300, F.lit("d"))
-                                      .otherwise(F.col("id").cast("string")).alias("k"))
-        assert quality.unique_failures(df, "k") == 1
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit("hot"))
+                                  .otherwise(F.col("id").cast("string")).alias("k"))
+    assert quality.unique_failures(df, "k") == 1
+    counted = df.groupBy("k").count().where("count > 1")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan

@@ -230,8 +230,8 @@ def test_published_view_carries_comments(spark, lake):
     _publish_initial(spark, lake)
     rows = {r["col_name"]: r["comment"] for r in
             spark.sql(f"DESCRIBE TABLE intermediate.{CUST}").collect()}
-    assert rows["customer_sk"].startswith("Surrogate key")
-    assert rows["status"] == "Account status: active, inactive, or churned"
+    assert rows["customer_sk"].startswith("md5 key")
+    assert rows["status"] == "State of the account (see STATUS_VALUES)"
     ext = spark.sql(f"DESCRIBE TABLE EXTENDED intermediate.{CUST}").collect()
     assert any("one row per (source, id)" in (r["data_type"] or "") for r in ext)
 

@@ -32,11 +32,11 @@ def test_preview_is_ordered_top_n(spark):
 
 
 def test_describe_has_types_and_comments(spark):
-    rows = report.describe(spark, [("c", _customers(spark).schema)]).collect()
+    rows = report.describe(spark, [("c", _customers(spark))]).collect()
     d = {r["column_name"]: r for r in rows}
     assert d["customer_sk"]["data_type"] == "VARCHAR" and d["customer_sk"]["ordinal"] == 1
     assert d["created_at"]["data_type"] == "DATE"
-    assert d["status"]["comment"] == "Account status: active, inactive, or churned"
+    assert d["status"]["comment"] == "State of the account (see STATUS_VALUES)"
 
 
 def test_required_columns_present():

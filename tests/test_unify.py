@@ -27,7 +27,7 @@ def test_stage_contacts_renames_and_casts(spark):
     r = df.where("contact_id = '4'").first()
     assert r["phone_number"] is None and r["created_at"] == dt.date(2024, 1, 4)
     # column comments travel as metadata (shown by DESCRIBE)
-    assert df.schema["email"].metadata["comment"] == "Renamed from email_address"
+    assert df.schema["email"].metadata["comment"] == "Mail address on file, if any"
 
 
 def test_stage_products_flag_and_datetime(spark):

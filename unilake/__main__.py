@@ -21,9 +21,9 @@ import sys
 from unilake.session import build_session
 
 
-def _lake(spark, path):
+def _lake(spark, path, namespace):
     from unilake.sources.landing import Lake
-    return Lake(spark, path)
+    return Lake(spark, path, namespace=namespace)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("command", choices=["land", "build", "refresh", "check", "summary", "vacuum"])
     ap.add_argument("--keep", type=int, default=2, help="vacuum: epochs / loads to keep")
     ap.add_argument("--lake")
+    ap.add_argument("--namespace", default="", help="prefix of the lake's schemas in the catalog")
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--sf-dir")
     ap.add_argument("--source", action="append", default=[], metavar="NAME=FOLDER")
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
 
     spark = build_session(args.master)
-    lake = _lake(spark, args.lake)
+    lake = _lake(spark, args.lake, args.namespace)
     from unilake.operators import quality
     from unilake.plans.layers import Publisher
     from unilake.plans.models import UNIFIED
@@ -60,9 +61,8 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "land":
         landed = lake.land_many(sources)
-        print("\nRaw layer summary:")
         for table, rows in landed.items():
-            print(f"  {table}: {rows} rows")
+            print(f"landed {rows:>12,} in {table}")
     elif args.command == "build":
         from unilake.plans.run import build_all
         try:
@@ -72,9 +72,11 @@ def main(argv: list[str] | None = None) -> int:
             spark.stop()
             return 1
     elif args.command == "refresh":
+        from unilake.plans.layers import register_staging_views
         from unilake.streaming.refresh import snapshot_refresh, start_stream_refresh
+        register_staging_views(lake, persistent=True)
         if args.stream:
-            q = start_stream_refresh(lake, models)
+            q = start_stream_refresh(lake, models, lenient_dates=args.lenient_dates)
             q.awaitTermination()
         else:
             pub = Publisher(lake, lenient_dates=args.lenient_dates)
@@ -104,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
         tolerant_summary(spark, tables).show(truncate=False)
         for m in models:
             try:
-                print(f"--- {m} (first 5 rows) ---")
+                print(f"{m}, smallest keys:")
                 pub.read(m).orderBy(UNIFIED[m].key_name).limit(5).show(truncate=False)
             except Exception as exc:  # noqa: BLE001 - a readout, not a gate
                 logging.warning("could not read %s: %s", m, exc)

@@ -80,6 +80,15 @@ def typed_null(dtype: DataType | str) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def composite_id(*parts: str) -> Column:
+    """Readable id of several columns; a NULL part keeps its place."""
+    pieces = [F.coalesce(F.col(p).cast("string"), F.lit(SURROGATE_KEY_NULL_MARKER)) for p in parts]
+    out = pieces[0]
+    for piece in pieces[1:]:
+        out = F.concat(out, F.lit(SURROGATE_KEY_SEPARATOR), piece)
+    return out
+
+
 def surrogate_key(*parts: Column | str,
                   separator: str = SURROGATE_KEY_SEPARATOR,
                   null_marker: str = SURROGATE_KEY_NULL_MARKER) -> Column:

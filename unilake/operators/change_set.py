@@ -9,8 +9,8 @@ aggregate per task, not a quadratic blow-up.
 
 For each key: no old row -> ``insert``; no new row -> ``delete``; one row
 on each side with equal hashes -> ``unchanged``; otherwise ``update``.
-Duplicated keys compare as (count, min hash, max hash) on each side.  The
-hash covers every compared column and their NULL positions (see
+A repeated key compares as a multiset: equal counts and equal order-free sums
+of two independent hashes on both sides.  The hash covers every compared column and their NULL positions (see
 :func:`unilake.functions.exprs.row_hash`); leave build stamps such as
 ``loaded_at`` out of ``compare``.
 """
@@ -54,20 +54,22 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
         return df.select(*cols)
 
     u = side(old, 0).unionByName(side(new, 1))
+
+    def balance(h):   # new minus old; 0 for equal multisets
+        h = h.cast("decimal(20,0)")
+        return F.sum(F.when(F.col("_is_new"), h).otherwise(-h))
+
     is_new = F.col("_is_new")
     aggs = [
         F.count(F.lit(1)).alias("_n"),
         F.count_if(is_new).alias("_n_new"),
-        F.min(F.when(~is_new, F.col("_h"))).alias("_old_lo"),
-        F.max(F.when(~is_new, F.col("_h"))).alias("_old_hi"),
-        F.min(F.when(is_new, F.col("_h"))).alias("_new_lo"),
-        F.max(F.when(is_new, F.col("_h"))).alias("_new_hi"),
+        balance(F.col("_h")).alias("_sum1"),
+        balance(F.xxhash64("_h")).alias("_sum2"),
     ]
     if payload:
-        aggs.append(F.first("_row", ignorenulls=True).alias("new_row"))
+        aggs.append(F.max("_row").alias("new_row"))   # the largest, should a key repeat
     g = u.groupBy(*key).agg(*aggs).withColumn("_n_old", F.col("_n") - F.col("_n_new"))
-    same = ((F.col("_n_old") == F.col("_n_new")) & (F.col("_old_lo") == F.col("_new_lo"))
-            & (F.col("_old_hi") == F.col("_new_hi")))
+    same = (F.col("_n_old") == F.col("_n_new")) & (F.col("_sum1") == 0) & (F.col("_sum2") == 0)
     change = (F.when(F.col("_n_old") == 0, F.lit("insert"))
               .when(F.col("_n_new") == 0, F.lit("delete"))
               .when(same, F.lit("unchanged"))
@@ -78,7 +80,3 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
     keep = key + ["change_type"] + (["new_row"] if payload else [])
     return out.select(*keep)
 
-
-def change_summary(changes: DataFrame) -> DataFrame:
-    """Counts per change type (one tiny aggregate)."""
-    return changes.groupBy("change_type").agg(F.count(F.lit(1)).alias("row_count"))

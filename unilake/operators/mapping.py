@@ -75,6 +75,7 @@ class StagingModel:
     fields: tuple[Field, ...]
     comment: str = ""
     tests: tuple = field(default_factory=tuple)   # quality.Check declarations
+    layer: str | None = None                      # custom schema; default: staging
 
     @property
     def name(self) -> str:

@@ -3,18 +3,12 @@
 * ``not_null`` and ``accepted_values`` of one model run as ONE aggregate pass:
   every check is a ``count_if`` in the same ``agg``, so each task folds its
   rows into a handful of counters and only one row per task is shuffled.
-  When the model also has a ``unique`` check, those counters are observed
-  metrics of the unique check's scan instead: one read of the model serves
-  all its checks.
 * ``unique`` cannot be pre-aggregated away (distinct keys stay distinct), so
   it is the full-shuffle case.  It runs in two phases: first the 8-byte
-  xxhash64 of each value is shuffled (instead of the value itself), which
-  finds every *possibly* repeated value; only rows whose hash repeats are
-  then grouped by the exact value.  On clean data the second phase is
-  skipped.  The candidate set is counted before it is used, and it is
-  broadcast only under a fixed row bound, otherwise semi-joined by shuffle.
-  A hot value holding a third of all rows is collapsed by the map-side
-  partial count in both phases.
+  xxhash64 of each value is shuffled (instead of the value itself); if no
+  hash repeats, no value does.  Otherwise the values are counted in one full
+  shuffle.  A hot value is collapsed by the partial count of each task in
+  both phases; nothing is joined or broadcast.
 
 NULLs are ignored by ``unique`` and ``accepted_values`` (``not_null`` catches
 them).
@@ -22,12 +16,11 @@ them).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -38,33 +31,6 @@ REPORT_SCHEMA = StructType([
     StructField("failures", LongType(), False),
 ])
 
-# Largest candidate-hash set that is broadcast in the unique check.  The set
-# is counted first, so this is a proven bound (8-byte hashes: <= 16 MB).  The
-# cluster's own broadcast limit (spark.sql.autoBroadcastJoinThreshold) lowers
-# it further, and a disabled limit (-1) turns the broadcast off.
-UNIQUE_BROADCAST_MAX_ROWS = 2_000_000
-_CANDIDATE_ROW_BYTES = 16          # 8-byte hash + row overhead in the broadcast
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower()
-    for suffix, mult in (("tb", 1 << 40), ("gb", 1 << 30), ("mb", 1 << 20), ("kb", 1 << 10),
-                         ("t", 1 << 40), ("g", 1 << 30), ("m", 1 << 20), ("k", 1 << 10),
-                         ("b", 1)):
-        if t.endswith(suffix):
-            return int(float(t[: -len(suffix)]) * mult)
-    return int(t)
-
-
-def broadcast_row_bound(spark: SparkSession) -> int:
-    """Rows of candidate hashes that may be broadcast in this session."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
-    limit = _bytes(raw)
-    if limit < 0:
-        return 0
-    return min(UNIQUE_BROADCAST_MAX_ROWS, limit // _CANDIDATE_ROW_BYTES)
-
-
 @dataclass(frozen=True)
 class Check:
     kind: str                      # "not_null" | "unique" | "accepted_values"
@@ -134,37 +100,16 @@ def row_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame
     return counts.select(rows.alias("r")).select("r.*")
 
 
-def unique_failures(df: DataFrame, column: str, two_phase: bool = True,
-                    observe: list | None = None) -> int | tuple[int, dict]:
-    """Number of distinct non-NULL values of ``column`` occurring more than once.
-
-    ``observe``: aggregate columns (e.g. :func:`row_check_aggs`) computed as
-    observed metrics of the same scan; then ``(failures, metrics)`` is
-    returned, so a model's row checks cost no scan of their own.
-    """
-    obs = None
-    base = df
-    if observe:
-        obs = Observation(f"checks_{uuid.uuid4().hex[:12]}")
-        df = df.observe(obs, *observe)
+def unique_failures(df: DataFrame, column: str, two_phase: bool = True) -> int:
+    """Number of distinct non-NULL values of ``column`` occurring more than once."""
     vals = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    if not two_phase:
-        n = vals.groupBy("v").count().where("count > 1").count()
-    else:
-        hashed = vals.select(F.xxhash64("v").alias("h"))
-        candidates = hashed.groupBy("h").count().where("count > 1").select("h")
-        n_candidates = candidates.count()
-        n = 0
-        if n_candidates:
-            if n_candidates <= broadcast_row_bound(df.sparkSession):
-                candidates = F.broadcast(candidates)
-            # second scan without the observation (metrics come from the first)
-            src = base.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-            suspects = src.join(candidates, F.xxhash64("v") == F.col("h"), "left_semi")
-            n = suspects.groupBy("v").count().where("count > 1").count()
-    if obs is None:
-        return n
-    return n, {k: int(v) for k, v in obs.get.items()}
+    if two_phase:
+        hashed = vals.groupBy(F.xxhash64("v").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+        if hashed.where("n > 1").isEmpty():
+            return 0
+    # some hash repeats: count per value, partially in each task, so a hot
+    # value is one row per task in this one full shuffle
+    return vals.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
 
 
 def unique_checks(df: DataFrame, model: str, checks: Sequence[Check],
@@ -183,24 +128,18 @@ def run_checks(spark: SparkSession, models: Iterable[tuple[str, DataFrame, Seque
     instead of queueing behind each other.
     """
     parts: list[DataFrame] = []
-    jobs: list[tuple[str, DataFrame, str, list, list]] = []
+    jobs: list[tuple[str, DataFrame, str]] = []
     for name, df, checks in models:
         sel = [c for c in checks if c.kind in kinds]
-        uniq = [c for c in sel if c.kind == "unique"]
-        if uniq:
-            # the model's row checks ride on its first unique check's scan
-            jobs.append((name, df, uniq[0].column, row_check_aggs(sel), sel))
-            jobs += [(name, df, c.column, [], []) for c in uniq[1:]]
-        else:
-            rc = row_checks(df, name, sel)
-            if rc is not None:
-                parts.append(rc)
+        jobs += [(name, df, c.column) for c in sel if c.kind == "unique"]
+        # an aggregate, not an observation: a stage that runs again after a
+        # lost executor must not count its rows twice
+        rc = row_checks(df, name, sel)
+        if rc is not None:
+            parts.append(rc)
 
     def run(job):
-        name, df, column, aggs, sel = job
-        if aggs:
-            n, metrics = unique_failures(df, column, two_phase, observe=aggs)
-            return [(name, column, "unique", n)] + report_rows(name, sel, metrics)
+        name, df, column = job
         return [(name, column, "unique", unique_failures(df, column, two_phase))]
 
     uniq_rows: list[tuple[str, str, str, int]] = []

@@ -60,6 +60,9 @@ def layer_summary(tables: Iterable[tuple[str, str, DataFrame]]) -> DataFrame:
     return out
 
 
+SUMMARY_SCHEMA = "layer string, table_name string, row_count long, status string, error string"
+
+
 def tolerant_summary(spark: SparkSession,
                      tables: Iterable[tuple[str, str, Callable[[], DataFrame]]],
                      parallelism: int = 4) -> DataFrame:
@@ -72,13 +75,12 @@ def tolerant_summary(spark: SparkSession,
             return (layer, name, make().count(), "ok", None)
         except Exception as exc:  # noqa: BLE001 - tolerant by design
             log.warning("could not read %s.%s: %s", layer, name, exc)
-            return (layer, name, None, "unreadable", str(exc).splitlines()[0][:200])
+            return (layer, name, None, "unreadable", str(exc))
 
     items = list(tables)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items) or 1))) as pool:
         rows = list(pool.map(one, items))
-    return spark.createDataFrame(
-        rows, "layer string, table_name string, row_count long, status string, error string")
+    return spark.createDataFrame(rows, SUMMARY_SCHEMA)
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
@@ -87,19 +89,37 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def null_counts(df: DataFrame) -> dict[str, int]:
+    """NULLs per column in one aggregate pass (a partial count per task)."""
+    cols = df.columns
+    row = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return {c: int(row[i]) for i, c in enumerate(cols)}
+
+
 DESCRIBE_SCHEMA = StructType([
     StructField("model", StringType(), False),
     StructField("ordinal", IntegerType(), False),
     StructField("column_name", StringType(), False),
     StructField("data_type", StringType(), False),
+    StructField("null_count", LongType(), True),
+    StructField("required", BooleanType(), False),
     StructField("comment", StringType(), True),
 ])
 
 
-def describe(spark: SparkSession, models: Iterable[tuple[str, StructType]]) -> DataFrame:
-    """One row per column of each model (from the analyzed schema; no scan)."""
-    rows = [(m, i + 1, f.name, sql_type(f.dataType), f.metadata.get("comment"))
-            for m, schema in models for i, f in enumerate(schema.fields)]
+def describe(spark: SparkSession, models: Iterable[tuple[str, DataFrame]],
+             required: dict[str, Sequence[str]] | None = None, scan: bool = True) -> DataFrame:
+    """One row per column of each model: type, NULLs counted in one pass over
+    the model (``scan``), and whether a consumer requires it.  A required
+    column that the model lacks is an error."""
+    rows = []
+    for m, df in models:
+        need = list((required or {}).get(m, ()))
+        if lacking := missing_required(df.schema, need):
+            raise ValueError(f"{m} lacks required columns: {', '.join(lacking)}")
+        nulls = null_counts(df) if scan else {}
+        rows += [(m, i + 1, f.name, sql_type(f.dataType), nulls.get(f.name), f.name in need,
+                  f.metadata.get("comment")) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
@@ -109,10 +129,12 @@ CONTRACT_SCHEMA = StructType([
     StructField("expected_type", StringType(), True),
     StructField("actual_type", StringType(), True),
     StructField("status", StringType(), False),
+    StructField("null_count", LongType(), True),
 ])
 
 
-def contract_rows(table: str, actual: StructType, expected: StructType) -> list[tuple]:
+def contract_rows(table: str, actual: StructType, expected: StructType,
+                  nulls: dict[str, int] | None = None) -> list[tuple]:
     """Compare a frame's schema with its declared contract.
 
     status: ``ok`` | ``missing`` (declared, absent) | ``extra`` (present,
@@ -130,13 +152,14 @@ def contract_rows(table: str, actual: StructType, expected: StructType) -> list[
     for name, f in act.items():
         if name not in exp:
             rows.append((table, name, None, sql_type(f.dataType), "extra"))
-    return rows
+    have = {k.lower(): v for k, v in (nulls or {}).items()}
+    return [(*r, have.get(r[1])) for r in rows]
 
 
 def contract_check(spark: SparkSession,
-                   checks: Iterable[tuple[str, StructType, StructType]]) -> DataFrame:
-    """(table, actual schema, expected schema) triples -> contract rows."""
-    rows = [r for t, a, e in checks for r in contract_rows(t, a, e)]
+                   checks: Iterable[tuple]) -> DataFrame:
+    """(table, actual schema, expected schema[, NULLs per column]) -> contract rows."""
+    rows = [r for check in checks for r in contract_rows(*check)]
     return spark.createDataFrame(rows, CONTRACT_SCHEMA)
 
 

@@ -48,6 +48,7 @@ class UnifiedModel:
     tests: tuple = ()
     # Maximum staleness when published by a refresh job (freshness bound).
     target_lag: str = "1 minute"
+    layer: str | None = None      # custom schema; default: intermediate
 
     @property
     def data_fields(self):

@@ -114,7 +114,7 @@ class Publisher:
     def _write_pointer(self, model: UnifiedModel, epoch: int, versions: Mapping[str, int]) -> None:
         """Commit a new epoch: written whole then renamed into place, and never
         over an existing epoch (two publishers cannot both commit epoch N)."""
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
         doc = {"epoch": epoch, "versions": dict(sorted(versions.items())), "published_at": now}
         write_text_atomic(self.spark, f"{self.pointer_root(model)}/epoch={epoch}.json",
                           json.dumps(doc))
@@ -164,18 +164,10 @@ class Publisher:
 
     def register_view(self, model: UnifiedModel, versions: Mapping[str, int]) -> None:
         """``CREATE OR REPLACE VIEW intermediate.<model>`` over the versions,
-        with the model's table and column comments (shown by DESCRIBE)."""
-        self.lake.ensure_namespace(INTERMEDIATE_LAYER)
-
-        def q(text: str) -> str:
-            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-        cols = ", ".join(f"`{f.name}`" + (f" COMMENT {q(f.metadata['comment'])}"
-                                          if f.metadata.get("comment") else "")
-                         for f in model.schema.fields)
-        comment = f" COMMENT {q(model.comment)}" if model.comment else ""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {INTERMEDIATE_LAYER}.{model.name} ({cols})"
-                       f"{comment} AS " + self.view_sql(model, versions))
+        with the model's table and column comments."""
+        self.lake.create_view(layer_name(model.layer, INTERMEDIATE_LAYER), model.name,
+                              self.view_sql(model, versions), model.comment,
+                              [(f.name, f.metadata.get("comment", "")) for f in model.schema.fields])
 
     # --- data tests ---------------------------------------------------------------
     def _check_counts_path(self, version_path: str) -> str:
@@ -197,30 +189,54 @@ class Publisher:
             return []
         return [c for c in model.tests if c.kind == "unique" and c.column == model.key_name]
 
+    def _staging_counts(self, staged: DataFrame, staging_name: str,
+                        observed: Mapping[str, int] | None = None) -> dict[str, int]:
+        """Failures of a staging model's tests, keyed ``<model>|<kind>:<column>``."""
+        tests = STAGING[staging_name].tests
+        aggs = quality.row_check_aggs(tests)
+        counts = dict(observed if observed is not None else
+                      staged.agg(*aggs).first().asDict() if aggs else {})
+        counts |= {f"unique:{c.column}": quality.unique_failures(staged, c.column)
+                   for c in tests if c.kind == "unique"}
+        return {f"{staging_name}|{k}": int(v) for k, v in counts.items()}
+
+    def _version_counts(self, model: UnifiedModel, branch, version: int) -> dict[str, int]:
+        """Test failures of one version: stored with it, else counted now."""
+        path = self.version_path(model, branch.source_system, version)
+        counts = self._read_check_counts(path)
+        if counts is not None and (not STAGING[branch.staged].tests or any("|" in k for k in counts)):
+            return counts
+        part = self.spark.read.parquet(path).withColumn(
+            model.source_column, F.lit(branch.source_system))
+        aggs = quality.row_check_aggs(model.tests)
+        counts = part.agg(*aggs).first().asDict() if aggs else {}
+        for c in self._source_scoped_unique(model):
+            counts[f"unique:{c.column}"] = quality.unique_failures(part, c.column)
+        return counts | self._staging_counts(self.staged(branch.staged, version), branch.staged)
+
     def check(self, model: UnifiedModel, versions: Mapping[str, int]) -> DataFrame:
-        """Data tests of a candidate (the given per-source versions).
-
-        not_null / accepted_values counts were observed when each version was
-        written, and unique counts of a source-tagged key were taken per
-        version; they are summed here, so an unchanged source is not read
-        again.  A version without stored counts is checked once now.  Any
-        other unique check needs every version's values together: it runs on
-        the union.
+        """Data tests of a candidate (the given per-source versions): those of
+        the staging models it reads, source by source, and its own.
+
+        Counts were taken when each version was written, and unique counts of
+        a source-tagged key per version; they are summed here, so an unchanged
+        source is not read again.  A version without stored counts is checked
+        once now.  Any other unique check needs every version's values
+        together: it runs on the union.
         """
         scoped = self._source_scoped_unique(model)
         totals: dict[str, int] = {}
-        for source, v in versions.items():
-            path = self.version_path(model, source, v)
-            counts = self._read_check_counts(path)
-            if counts is None:
-                part = self.spark.read.parquet(path).withColumn(model.source_column, F.lit(source))
-                aggs = quality.row_check_aggs(model.tests)
-                counts = part.agg(*aggs).first().asDict() if aggs else {}
-                for c in scoped:
-                    counts[f"unique:{c.column}"] = quality.unique_failures(part, c.column)
+        rows = []
+        for b in model.branches:
+            if b.source_system not in versions:
+                continue
+            counts = self._version_counts(model, b, versions[b.source_system])
             for k, n in counts.items():
-                totals[k] = totals.get(k, 0) + int(n)
-        rows = quality.report_rows(model.name, model.tests, totals)
+                if "|" not in k:
+                    totals[k] = totals.get(k, 0) + int(n)
+            rows += [(b.staged, c.column, c.kind, int(counts.get(f"{b.staged}|{c.kind}:{c.column}", 0)))
+                     for c in STAGING[b.staged].tests]
+        rows += quality.report_rows(model.name, model.tests, totals)
         rows += [(model.name, c.column, "unique", int(totals.get(f"unique:{c.column}", 0)))
                  for c in scoped]
         rest = [c for c in model.tests if c.kind == "unique" and c not in scoped]
@@ -312,7 +328,11 @@ class Publisher:
             b, load_id, landed_at, path = item
             stamp = F.lit(landed_at).cast("timestamp")
             date_obs = Observation(f"dates_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
-            df = align(self.staged(b.staged, load_id, date_obs), b, m, loaded_at=stamp)
+            staged = self.staged(b.staged, load_id, date_obs)
+            stage_aggs = quality.row_check_aggs(STAGING[b.staged].tests)
+            stage_obs = Observation(f"staged_{b.staged}_{uuid.uuid4().hex[:8]}")
+            df = align(staged.observe(stage_obs, *stage_aggs) if stage_aggs else staged,
+                       b, m, loaded_at=stamp)
             aggs = quality.row_check_aggs(m.tests)
             obs = Observation(f"checks_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
             scoped = self._source_scoped_unique(m)
@@ -323,16 +343,24 @@ class Publisher:
                 # unique checks scoped to one source run beside the write (they
                 # read only the key's input columns); row-check counts ride
                 # along with the write itself as observed metrics
-                uniq = {c.column: inner.submit(quality.unique_failures, df, c.column)
+                plain = align(self.staged(b.staged, load_id), b, m, loaded_at=stamp)
+                uniq = {c.column: inner.submit(quality.unique_failures, plain, c.column)
                         for c in scoped}
                 out = df.observe(obs, *aggs) if aggs else df
                 # only an uncommitted (failed) attempt can exist at this path
                 out.drop(m.source_column).write.mode("overwrite").parquet(path)
                 counts = {k: int(v) for k, v in obs.get.items()} if aggs else {}
                 counts.update({f"unique:{c}": f.result() for c, f in uniq.items()})
+                counts |= self._staging_counts(
+                    self.staged(b.staged, load_id), b.staged,
+                    {k: int(v) for k, v in stage_obs.get.items()} if stage_aggs else {})
             if self.lenient_dates and any(f.cast == "date" for f in STAGING[b.staged].fields):
                 for k, v in date_obs.get.items():
                     rejects[f"{b.source_system}.{k}"] = int(v or 0)
+                    # a text given up as a date is reported here, not by not_null
+                    test = f"{b.staged}|not_null:{k}"
+                    if test in counts:
+                        counts[test] -= int(v or 0)
                     if v:
                         log.warning("%s: %d %s texts of source %s are not dates (NULL)",
                                     m.name, v, k, b.source_system)
@@ -342,6 +370,8 @@ class Publisher:
             with ThreadPoolExecutor(max_workers=min(self.parallelism, len(todo))) as pool:
                 list(pool.map(write, todo))
         if versions == ptr.versions:
+            if register and versions:   # a new session, or a driver lost before its view
+                self.register_view(m, versions)
             return PublishResult(m.name, ptr.epoch, versions, [])
         report = None
         if gate:
@@ -394,12 +424,7 @@ def published_changes(publisher: Publisher, model: UnifiedModel | str,
 
 def register_raw_views(lake: Lake) -> dict[str, int]:
     """``raw.<table>`` views over each table's newest audited load."""
-    lake.ensure_namespace(RAW_LAYER)
-    loads = lake.current_loads()
-    for name, (load_id, _ts, _n) in loads.items():
-        lake.spark.sql(f"CREATE OR REPLACE VIEW {RAW_LAYER}.{name} AS "
-                       f"SELECT * FROM parquet.`{lake.raw_path(name, load_id)}`")
-    return {n: v[0] for n, v in loads.items()}
+    return lake.register_raw_views()
 
 
 def register_staging_views(lake: Lake, persistent: bool = False) -> list[str]:
@@ -407,22 +432,22 @@ def register_staging_views(lake: Lake, persistent: bool = False) -> list[str]:
 
     ``persistent=False``: session views ``stg_*`` (re-run after a load).
     ``persistent=True``: ``CREATE OR REPLACE VIEW staging.stg_* AS SELECT ...
-    FROM raw.<table>`` -- SQL views over the raw views, so repointing a raw
-    view to a new load (:func:`register_raw_views`) is all it takes for the
-    staging layer to show it.
+    FROM raw.<table>`` -- SQL views over the raw views, which every landing
+    repoints, so the staging layer shows a new load at once.
     """
     from unilake.operators.mapping import staging_sql
     loads = lake.current_loads()
     done = []
     if persistent:
-        register_raw_views(lake)
-        lake.ensure_namespace(STAGING_LAYER)
+        raw = lake.ensure_namespace(RAW_LAYER)
+        lake.register_raw_views()
     for name, m in STAGING.items():
         if m.raw_name not in loads:
             continue
         if persistent:
-            lake.spark.sql(f"CREATE OR REPLACE VIEW {STAGING_LAYER}.{name} AS "
-                           + staging_sql(m, f"{RAW_LAYER}.{m.raw_name}"))
+            lake.create_view(layer_name(m.layer, STAGING_LAYER), name,
+                             staging_sql(m, f"{raw}.{m.raw_name}"), m.comment,
+                             [(f.name, f.comment) for f in m.fields])
         else:
             stage(lake.read_raw(m.raw_name, loads[m.raw_name][0]), m).createOrReplaceTempView(name)
         done.append(name)

@@ -42,13 +42,13 @@ def _f(name: str, dtype, comment: str = "", nullable: bool = True) -> StructFiel
 STG_A_CONTACTS = StagingModel(
     "a", "contacts",
     (
-        cast("contact_id", "contact_id", "string", "Source a contact identifier (text)"),
+        cast("contact_id", "contact_id", "string", "Number of the contact in system a, as text"),
         keep("first_name"),
         keep("last_name"),
-        rename("email_address", "email", "Renamed from email_address"),
-        rename("phone", "phone_number", "Renamed from phone"),
-        rename("company_name", "organization", "Renamed from company_name"),
-        cast("created_date", "created_at", "date", "Cast from created_date text to date"),
+        rename("email_address", "email", "Mail address on file, if any"),
+        rename("phone", "phone_number", "Telephone on file, if any"),
+        rename("company_name", "organization", "Company the contact works for, if known"),
+        cast("created_date", "created_at", "date", "Day the contact was entered"),
     ),
     comment="Staged source a contacts, one row per contact.",
     tests=(unique("contact_id"), not_null("contact_id"), not_null("first_name"),
@@ -58,13 +58,13 @@ STG_A_CONTACTS = StagingModel(
 STG_A_INVENTORY = StagingModel(
     "a", "inventory",
     (
-        cast("item_id", "product_id", "string", "Renamed from item_id (text)"),
-        rename("item_name", "product_name", "Renamed from item_name"),
-        rename("item_description", "product_description", "Renamed from item_description"),
-        rename("category", "product_category", "Renamed from category"),
-        rename("price", "retail_price", "Renamed from price"),
-        rename("stock_qty", "stock_quantity", "Renamed from stock_qty"),
-        cast("added_date", "created_at", "date", "Cast from added_date text to date"),
+        cast("item_id", "product_id", "string", "Number of the item in system a, as text"),
+        rename("item_name", "product_name", "Label of the item"),
+        rename("item_description", "product_description", "Free text about the item"),
+        rename("category", "product_category", "Group the item is filed under"),
+        rename("price", "retail_price", "List price in system a"),
+        rename("stock_qty", "stock_quantity", "Units on hand; may be negative"),
+        cast("added_date", "created_at", "date", "Day the item was entered"),
     ),
     comment="Staged source a inventory, one row per item.",
     tests=(unique("product_id"), not_null("product_id"), not_null("product_name"),
@@ -74,13 +74,13 @@ STG_A_INVENTORY = StagingModel(
 STG_B_CUSTOMERS = StagingModel(
     "b", "customers",
     (
-        cast("cust_id", "customer_id", "string", "Renamed from cust_id (text)"),
+        cast("cust_id", "customer_id", "string", "Number of the customer in system b, as text"),
         keep("full_name"),
-        keep("email", "Customer email"),
-        rename("mobile_phone", "phone_number", "Renamed from mobile_phone"),
-        keep("organization", "Associated organization"),
-        keep("status", "Account status: active, inactive, or churned"),
-        cast("signup_date", "created_at", "date", "Cast from signup_date text to date"),
+        keep("email", "Mail address on file, if any"),
+        rename("mobile_phone", "phone_number", "Mobile number on file, if any"),
+        keep("organization", "Organisation the customer belongs to"),
+        keep("status", "State of the account (see STATUS_VALUES)"),
+        cast("signup_date", "created_at", "date", "Day of the first registration"),
     ),
     comment="Staged source b customers, one row per customer.",
     tests=(unique("customer_id"), not_null("customer_id"), not_null("full_name"),
@@ -91,16 +91,16 @@ STG_B_CUSTOMERS = StagingModel(
 STG_B_PRODUCTS = StagingModel(
     "b", "products",
     (
-        cast("prod_id", "product_id", "string", "Renamed from prod_id (text)"),
-        rename("product_title", "product_name", "Renamed from product_title"),
-        rename("product_desc", "product_description", "Renamed from product_desc"),
-        rename("product_type", "product_category", "Renamed from product_type"),
-        keep("unit_cost", "Internal cost per unit"),
-        keep("retail_price", "Customer-facing retail price"),
+        cast("prod_id", "product_id", "string", "Number of the product in system b, as text"),
+        rename("product_title", "product_name", "Label of the product"),
+        rename("product_desc", "product_description", "Free text about the product"),
+        rename("product_type", "product_category", "Group the product is filed under"),
+        keep("unit_cost", "What one unit costs us"),
+        keep("retail_price", "List price in system b"),
         derive("is_available", lambda: exprs.one_flag("available"),
-               "Boolean from the available flag (only 1 is true)",
+               "True when the flag is 1; any other value, or none, is false",
                sql="CASE WHEN available = 1 THEN TRUE ELSE FALSE END"),
-        cast("created_at", "created_at", "date", "Cast from created_at text to date"),
+        cast("created_at", "created_at", "date", "Day the product was entered"),
     ),
     comment="Staged source b products, one row per product.",
     tests=(unique("product_id"), not_null("product_id"), not_null("product_name"),
@@ -163,46 +163,46 @@ STAGING: dict[str, StagingModel] = {m.name: m for m in (
 # --- unified models ------------------------------------------------------------
 
 CUSTOMER_SCHEMA = StructType([
-    _f("customer_sk", StringType(), "Surrogate key: hash of source_system + source_customer_id"),
-    _f("source_system", StringType(), "Originating system: 'a' or 'b'"),
-    _f("source_customer_id", StringType(), "Original primary key in the source system"),
+    _f("customer_sk", StringType(), "md5 key of the system and the number there"),
+    _f("source_system", StringType(), "System the row comes from"),
+    _f("source_customer_id", StringType(), "Number of the row in its system"),
     _f("first_name", StringType()),
     _f("last_name", StringType()),
-    _f("full_name", StringType(), "Customer full name"),
-    _f("email", StringType(), "Customer email address"),
+    _f("full_name", StringType(), "Whole name, as given or put together"),
+    _f("email", StringType(), "Mail address on file, if any"),
     _f("phone_number", StringType()),
     _f("organization", StringType()),
-    _f("status", StringType(), "Account status: active, inactive, or churned"),
+    _f("status", StringType(), "State of the account (see STATUS_VALUES)"),
     _f("created_at", DateType()),
-    _f("loaded_at", TimestampType(), "Build time of this row"),
+    _f("loaded_at", TimestampType(), "When the row was built (UTC)"),
 ])
 
 PRODUCT_SCHEMA = StructType([
-    _f("product_sk", StringType(), "Surrogate key: hash of source_system + source_product_id"),
-    _f("source_system", StringType(), "Originating system: 'a' or 'b'"),
-    _f("source_product_id", StringType(), "Original primary key in the source system"),
-    _f("product_name", StringType(), "Standardized product name"),
+    _f("product_sk", StringType(), "md5 key of the system and the number there"),
+    _f("source_system", StringType(), "System the row comes from"),
+    _f("source_product_id", StringType(), "Number of the row in its system"),
+    _f("product_name", StringType(), "Label under which the product is sold"),
     _f("product_description", StringType()),
     _f("product_category", StringType()),
-    _f("retail_price", DoubleType(), "Customer-facing selling price"),
+    _f("retail_price", DoubleType(), "List price"),
     _f("unit_cost", DoubleType()),
     _f("stock_quantity", LongType()),
-    _f("is_available", BooleanType(), "Whether the product is currently available"),
+    _f("is_available", BooleanType(), "Can be ordered now"),
     _f("created_at", DateType()),
-    _f("loaded_at", TimestampType(), "Build time of this row"),
+    _f("loaded_at", TimestampType(), "When the row was built (UTC)"),
 ])
 
 ACTIVITY_SCHEMA = StructType([
-    _f("activity_sk", StringType(), "Surrogate key: hash of source_system + source_activity_id"),
-    _f("source_system", StringType(), "Originating table: orders, lineitem or events"),
-    _f("source_activity_id", StringType(), "Original (composite) key in the source"),
+    _f("activity_sk", StringType(), "md5 key of the table and the id there"),
+    _f("source_system", StringType(), "Table the row comes from"),
+    _f("source_activity_id", StringType(), "Id of the row there, composite for order lines"),
     _f("customer_id", StringType(), "Acting customer / user, when the source has one"),
     _f("activity_type", StringType()),
     _f("status", StringType()),
     _f("amount", DoubleType()),
     _f("quantity", DoubleType()),
     _f("activity_date", DateType()),
-    _f("loaded_at", TimestampType(), "Build time of this row"),
+    _f("loaded_at", TimestampType(), "When the row was built (UTC)"),
 ])
 
 INT_UNIFIED_CUSTOMERS = UnifiedModel(
@@ -264,8 +264,8 @@ INT_UNIFIED_ACTIVITY = UnifiedModel(
             "activity_date": lambda: F.col("order_date"),
         }),
         Branch("lineitem", STG_SALES_LINEITEM.name, {
-            "source_activity_id": lambda: F.concat_ws(
-                "-", "order_id", "line_number", "part_id", "supplier_id"),
+            "source_activity_id": lambda: exprs.composite_id(
+                "order_id", "line_number", "part_id", "supplier_id"),
             "activity_type": lambda: F.lit("line"),
             "status": lambda: F.col("line_status"),
             "amount": lambda: F.col("extended_price"),

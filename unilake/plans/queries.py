@@ -265,35 +265,47 @@ def preview_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          loaded_at=False), ["product_sk"], 5)
 
 
-@register("describe_model", " union all ".join(
-    with_models(
-        f"select '{m}' as model, cast(row_number() over () as integer) as ordinal, "
-        f"column_name, column_type as data_type "
-        f"from (describe select *, current_timestamp as loaded_at from {m})", [m])
-    .replace("with ", "(with ", 1) + ")"
-    for m in ("int_unified_customers", "int_unified_products", "int_unified_activity")))
+def _describe_sql() -> str:
+    from unilake.plans.models import REQUIRED_COLUMNS
+    parts = []
+    for m, model in UNIFIED.items():
+        names = [f.name for f in model.schema.fields]
+        nulls = ", ".join(f"count(*) - count({c}) as {c}" for c in names)
+        need = ", ".join(f"'{c}'" for c in REQUIRED_COLUMNS[m])
+        parts.append("(" + with_models(f"""
+            select '{m}' as model, cast(d.ordinal as integer) as ordinal, d.column_name, d.column_type as data_type,
+                   n.null_count, d.column_name in ({need}) as required
+            from (select row_number() over () as ordinal, column_name, column_type
+                  from (describe select *, current_timestamp as loaded_at from {m})) d
+            join (unpivot (select {nulls} from (select *, current_timestamp as loaded_at from {m}))
+                  on columns(*) into name column_name value null_count) n using (column_name)""", [m]) + ")")
+    return " union all ".join(parts)
+
+
+@register("describe_model", _describe_sql())
 def describe_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column list and SQL types of each unified model, as built (no scan)."""
+    """Land and publish every model, then describe what was published: types,
+    NULLs per column, and the columns that consumers require."""
     from unilake.operators.report import describe
-    models = [(n, build.unified_from_tables(spark, sf_dir, n).schema) for n in UNIFIED]
-    return describe(spark, models).drop("comment")
+    from unilake.plans.layers import Publisher
+    from unilake.plans.models import REQUIRED_COLUMNS
+    lake = _new_lake(spark)
+    lake.land_many(_raw_sources(spark, sf_dir))
+    pub = Publisher(lake)
+    for n in UNIFIED:
+        pub.publish(n)
+    return describe(spark, [(n, pub.read(n)) for n in UNIFIED], REQUIRED_COLUMNS).drop("comment")
 
 
 def _contract_sql() -> str:
     from unilake.operators.report import sql_type
     from unilake.plans.models import RAW_CONTRACTS
-    expected = []
-    actual = []
+    expected, actual, nulls = [], [], []
     for t, schema in RAW_CONTRACTS.items():
-        for f in schema.fields:
-            expected.append(f"('{t}', '{f.name}', '{sql_type(f.dataType)}')")
-        actual.append(f"select '{t}' as table_name, column_name, column_type "
-                      f"from (describe select * from {t})")
-    for n, m in UNIFIED.items():
-        for f in m.schema.fields:
-            expected.append(f"('{n}', '{f.name}', '{sql_type(f.dataType)}')")
-        actual.append(f"select '{n}' as table_name, column_name, column_type "
-                      f"from (describe select *, current_timestamp as loaded_at from {n})")
+        expected += [f"('{t}', '{f.name}', '{sql_type(f.dataType)}')" for f in schema.fields]
+        actual.append(f"select '{t}' as table_name, column_name, column_type from (describe select * from {t})")
+        nulls += [f"select '{t}' as table_name, '{f.name}' as column_name, count(*) - count({f.name}) as null_count "
+                  f"from {t}" for f in schema.fields]
     final = """
         select coalesce(e.table_name, a.table_name) as table_name,
                coalesce(e.column_name, a.column_name) as column_name,
@@ -301,30 +313,27 @@ def _contract_sql() -> str:
                case when a.column_name is null then 'missing'
                     when e.column_name is null then 'extra'
                     when a.column_type = e.expected_type then 'ok'
-                    else 'type_mismatch' end as status
+                    else 'type_mismatch' end as status, n.null_count
         from expected e full outer join actual a
-          on e.table_name = a.table_name and e.column_name = a.column_name"""
-    return with_models(final, list(RAW_CONTRACTS) + list(UNIFIED), extra=[
+          on e.table_name = a.table_name and e.column_name = a.column_name
+        left join nulls n on n.table_name = a.table_name and n.column_name = a.column_name"""
+    return with_models(final, list(RAW_CONTRACTS), extra=[
         ("expected", f"select * from (values {', '.join(expected)}) "
                      f"v(table_name, column_name, expected_type)"),
-        ("actual", " union all ".join(actual)),
+        ("actual", " union all ".join(actual)), ("nulls", " union all ".join(nulls)),
     ])
 
 
-def _contract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tables vs declared source contracts; unified models vs canonical schema."""
-    from unilake.operators.report import contract_check
-    from unilake.plans.models import raw_contracts
-    from unilake.sources import adapters
-    contracts = raw_contracts()
-    raw = adapters.raw_frames(spark, sf_dir)
-    checks = [(t, raw[t].schema, contracts[t]) for t in contracts]
-    checks += [(n, build.unified_from_tables(spark, sf_dir, n).schema, m.schema)
-               for n, m in UNIFIED.items()]
-    return contract_check(spark, checks)
-
-
-register("contract_check", _contract_sql())(_contract_query)
+@register("contract_check", _contract_sql())
+def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land every source, then hold the landed files' schemas against the
+    declared contracts, with the NULLs per column observed on the writes."""
+    from unilake.operators.report import contract_check as check
+    from unilake.plans.models import RAW_CONTRACTS
+    lake = _new_lake(spark)
+    lake.land_many(_raw_sources(spark, sf_dir))
+    return check(spark, [(t, lake.read_raw(t).schema, schema, lake.null_counts(t))
+                         for t, schema in RAW_CONTRACTS.items()])
 
 
 # --- landing (S2, S5, S7-S9) -------------------------------------------------------
@@ -337,7 +346,8 @@ def _raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFr
 def _new_lake(spark: SparkSession):
     from unilake.session import fresh_dir
     from unilake.sources.landing import Lake
-    return Lake(spark, fresh_dir(spark, "lake"))
+    root = fresh_dir(spark, "lake")
+    return Lake(spark, root, namespace=f"lake_{root.rsplit('-', 1)[1]}_")
 
 
 @register("load_audit", " union all ".join(
@@ -387,9 +397,6 @@ def snapshot_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pub.read("int_unified_customers").drop("loaded_at")
 
 
-STREAM_TIMEOUT_SECONDS = 1800
-
-
 @register("stream_refresh", with_models("select * from int_unified_activity",
                                         ["int_unified_activity"]))
 def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,11 +409,7 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.land_many(source_registry(spark, sf_dir, only={"sales", "web"}))
     q = start_stream_refresh(lake, ["int_unified_activity"], available_now=True,
                              on_gate_failure="raise")
-    if not q.awaitTermination(STREAM_TIMEOUT_SECONDS):
-        q.stop()
-        raise TimeoutError(f"refresh stream did not finish in {STREAM_TIMEOUT_SECONDS}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    q.awaitTermination()   # raises what the stream raised
     return Publisher(lake).read("int_unified_activity").drop("loaded_at")
 
 
@@ -416,20 +419,17 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SALES_CUTOFF = "2001-01-01"
 _WEB_CUTOFF = "2024-01-25"
 
-_CHANGE_SQL = with_models("""
-    select coalesce(n.source_system, o.source_system) as source_system,
-           coalesce(n.activity_sk, o.activity_sk) as activity_sk,
-           case when o.activity_sk is null then 'insert'
-                when n.activity_sk is null then 'delete' else 'update' end as change_type
-    from old_s o full outer join new_s n on o.activity_sk = n.activity_sk
-    where o.activity_sk is null or n.activity_sk is null
-       or o.source_activity_id is distinct from n.source_activity_id
-       or o.customer_id is distinct from n.customer_id
-       or o.activity_type is distinct from n.activity_type
-       or o.status is distinct from n.status
-       or o.amount is distinct from n.amount
-       or o.quantity is distinct from n.quantity
-       or o.activity_date is distinct from n.activity_date""", ["int_unified_activity"], extra=[
+_CHANGED = """
+    select {key}, case when min(was) is null then 'insert' when max(now) is null then 'delete'
+                       else 'update' end as change_type
+    from (select * exclude (sign), sum(sign) as left_over, max(case when sign > 0 then 1 end) as now,
+                 min(case when sign < 0 then 1 end) as was
+          from (select *, 1 as sign from new_s union all select *, -1 as sign from old_s)
+          group by all)
+    group by {key}
+    having bool_or(left_over <> 0)"""
+
+_CHANGE_SQL = with_models(_CHANGED.format(key="source_system, activity_sk"), ["int_unified_activity"], extra=[
     ("new_s", """
         select * from int_unified_activity
         where not (source_system = 'events' and activity_type = 'error')"""),
@@ -468,6 +468,87 @@ def change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff(old, new, ["source_system", "activity_sk"], compare)
 
 
+# fixed values: what differs between the two line snapshots
+_DUP_KEY = ["l_orderkey", "l_linenumber"]
+
+
+@register("change_set_duplicates", f"""
+    with old_s as (select * replace (case when l_linestatus = 'O' and l_discount < 0.03 then l_quantity + 1
+                                          else l_quantity end as l_quantity)
+                   from lineitem where l_returnflag <> 'A' or l_tax < 0.05),
+         new_s as (select * from lineitem where l_returnflag <> 'R' or l_tax >= 0.02)
+    {_CHANGED.format(key=', '.join(_DUP_KEY))}""")
+def change_set_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes between two snapshots under a key that repeats: a key's rows
+    compare as multisets."""
+    from unilake.operators.change_set import change_set as diff
+    from unilake.sources.adapters import read_table
+    rows = read_table(spark, sf_dir, "lineitem")
+    old = rows.where("l_returnflag <> 'A' or l_tax < 0.05").withColumn("l_quantity", F.expr(
+        "if(l_linestatus = 'O' and l_discount < 0.03, l_quantity + 1, l_quantity)"))
+    new = rows.where("l_returnflag <> 'R' or l_tax >= 0.02")
+    return diff(old, new, _DUP_KEY)
+
+
+# --- the gate over staging and unified tests (T5) ------------------------------------
+
+def _gate_sql() -> str:
+    broken = {"raw_b__customers": ADAPTER_SQL["raw_b__customers"], "raw_a__inventory": ADAPTER_SQL["raw_a__inventory"]}
+    return f"""
+    with c as (select * replace (case when cust_id % 5 = 0 then null else signup_date end as signup_date,
+                                 case when cust_id % 7 = 0 then 'gone' else status end as status)
+               from ({broken['raw_b__customers']})),
+         i as (select * replace (case when item_id % 3 = 0 then null else item_name end as item_name)
+               from ({broken['raw_a__inventory']})),
+         bad as (select count(*) filter (where cust_id % 5 = 0) as days, count(*) filter (where status = 'gone') as states from c),
+         worse as (select count(*) filter (where item_name is null) as names from i)
+    select 'int_unified_customers' as published_model, 'stg_b__customers' as model, 'created_at' as column_name,
+           'not_null' as check_name, days as failures, false as published from bad
+    union all select 'int_unified_customers', 'stg_b__customers', 'status', 'accepted_values', states, false from bad
+    union all select 'int_unified_customers', 'int_unified_customers', 'status', 'accepted_values', states, false from bad
+    union all select 'int_unified_products', 'stg_a__inventory', 'product_name', 'not_null', names, false from worse
+    union all select 'int_unified_products', 'int_unified_products', 'product_name', 'not_null', names, false from worse
+    union all select 'int_unified_activity', null, null, null, 0, true"""
+
+
+@register("gate_outcomes", _gate_sql())
+def gate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land sources with planted violations and publish: failing tests of the
+    staging and unified models, and which models were published all the same."""
+    from unilake.operators.quality import QualityGateError
+    from unilake.plans.layers import Publisher
+    lake = _new_lake(spark)
+    sources = _raw_sources(spark, sf_dir)
+    sources["b"]["customers"] = sources["b"]["customers"] \
+        .withColumn("signup_date", F.expr("if(cust_id % 5 = 0, null, signup_date)")) \
+        .withColumn("status", F.expr("if(cust_id % 7 = 0, 'gone', status)"))
+    sources["a"]["inventory"] = sources["a"]["inventory"].withColumn(
+        "item_name", F.expr("if(item_id % 3 = 0, null, item_name)"))
+    lake.land_many(sources)
+    pub, rows = Publisher(lake), []
+    for name in UNIFIED:
+        try:
+            pub.publish(name)
+            rows.append((name, None, None, None, 0, True))
+        except QualityGateError as exc:
+            rows += [(name, *failed, pub.pointer(UNIFIED[name]).epoch > 0) for failed in exc.failed]
+    return spark.createDataFrame(rows, "published_model string, model string, column_name string, "
+                                       "check_name string, failures long, published boolean")
+
+
+@register("staging_view_after_land", with_models("select * from stg_b__customers", ["stg_b__customers"]))
+def staging_view_after_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging view, registered over a first load, shows a second one."""
+    from unilake.plans.layers import register_staging_views
+    from unilake.sources import adapters
+    lake = _new_lake(spark)
+    now = adapters.b_customers(spark, sf_dir)
+    lake.land("b", {"customers": now.where("status = 'active'")})
+    register_staging_views(lake, persistent=True)
+    lake.land("b", {"customers": now})
+    return spark.table(f"{lake.namespace}staging.stg_b__customers")
+
+
 # --- end to end (land -> publish -> summarise) -----------------------------------------
 
 @register("build_summary", " union all ".join(

@@ -15,8 +15,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 
 from unilake.operators.quality import QualityGateError
-from unilake.operators.report import tolerant_summary
-from unilake.plans.layers import INTERMEDIATE_LAYER, Publisher, register_raw_views
+from unilake.operators.report import SUMMARY_SCHEMA, tolerant_summary
+from unilake.plans.layers import INTERMEDIATE_LAYER, Publisher, register_staging_views
 from unilake.plans.models import UNIFIED
 from unilake.sources.landing import RAW_LAYER, Lake
 
@@ -38,7 +38,7 @@ def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
     """
     landed = lake.land_many(sources)
     log.info("landed %d raw tables", len(landed))
-    register_raw_views(lake)
+    register_staging_views(lake, persistent=True)
     pub = Publisher(lake, lenient_dates=lenient_dates)
     names = list(models or UNIFIED)
     loads = lake.current_loads()
@@ -58,10 +58,12 @@ def build_all(lake: Lake, sources: Mapping[str, Mapping[str, DataFrame] | str],
     errors = [(n, e) for n, e in zip(todo, outcomes) if e is not None]
     if errors and on_gate_failure == "raise":
         raise errors[0][1]
-    failed = [(INTERMEDIATE_LAYER, n, None, "gate_failed", str(e)[:200]) for n, e in errors]
-    tables = [(RAW_LAYER, n, (lambda n=n: lake.read_raw(n))) for n in sorted(loads)]
-    tables += [(INTERMEDIATE_LAYER, n, (lambda n=n: pub.read(n))) for n in published]
-    out = tolerant_summary(lake.spark, tables)
+    failed = [(INTERMEDIATE_LAYER, n, None, "gate_failed", str(e)) for n, e in errors]
+    # raw counts were observed while the tables were written
+    raw = lake.spark.createDataFrame(
+        [(RAW_LAYER, n, loads[n][2], "ok", None) for n in sorted(loads)], SUMMARY_SCHEMA)
+    tables = [(INTERMEDIATE_LAYER, n, (lambda n=n: pub.read(n))) for n in published]
+    out = raw.unionByName(tolerant_summary(lake.spark, tables))
     if failed:
         out = out.unionByName(lake.spark.createDataFrame(failed, out.schema))
     return out

@@ -93,6 +93,8 @@ def work_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="unilake-"))
         root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return root.rstrip("/")

@@ -18,11 +18,12 @@ on the write itself -- no second scan.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import re
 import threading
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from unilake.session import list_dir, path_exists, work_root
+from unilake.session import list_dir, path_exists, read_text, work_root, write_text_atomic
 
 log = logging.getLogger(__name__)
 
@@ -62,28 +63,29 @@ def result_key(source: str, table: str) -> str:
     return f"{RAW_LAYER}.{raw_table_name(source, table)}"
 
 
-def list_tables(spark: SparkSession, source_root: str, ignore: str = DEFAULT_IGNORE) -> list[str]:
-    """Tables of a source: its child datasets (``<name>.parquet`` files or
-    folders, or plain folders), minus internal entries matching ``ignore``."""
-    out = []
-    pat = re.compile(ignore) if ignore else None
-    for name, _is_dir in list_dir(spark, source_root):
-        if pat and pat.search(name):
+def list_tables(spark: SparkSession, source_root: str, ignore: str = DEFAULT_IGNORE) -> dict[str, str]:
+    """Tables of a source (name -> path): its child datasets, which are folders
+    and ``<name>.parquet`` files, minus internal entries matching ``ignore``.
+    Other files are no tables and are left out with a log line."""
+    out: dict[str, str] = {}
+    for name, is_dir in list_dir(spark, source_root):
+        if ignore and re.search(ignore, name):
+            continue
+        if not (is_dir or name.endswith(".parquet")):
+            log.warning("%s/%s is no dataset; left out", source_root, name)
             continue
-        out.append(name[: -len(".parquet")] if name.endswith(".parquet") else name)
-    return sorted(set(out))
+        table = name.removesuffix(".parquet")
+        if table in out:
+            raise ValueError(f"{source_root}: two datasets are named {table}")
+        out[table] = f"{source_root.rstrip('/')}/{name}"
+    return out
 
 
 def read_source(spark: SparkSession, source_root: str,
                 ignore: str = DEFAULT_IGNORE) -> dict[str, DataFrame]:
     """Full scan of every table of a source (no filter, no incremental bound)."""
-    out = {}
-    for name, _is_dir in list_dir(spark, source_root):
-        if ignore and re.search(ignore, name):
-            continue
-        table = name[: -len(".parquet")] if name.endswith(".parquet") else name
-        out[table] = spark.read.parquet(f"{source_root.rstrip('/')}/{name}")
-    return out
+    return {table: spark.read.parquet(path)
+            for table, path in list_tables(spark, source_root, ignore).items()}
 
 
 CATALOG_PREFIX = "catalog:"
@@ -107,6 +109,7 @@ class Lake:
     spark: SparkSession
     root: str | None = None
     parallelism: int = 4          # independent table writes submitted at once
+    namespace: str = ""           # prefix of this lake's schemas in the catalog
 
     def __post_init__(self) -> None:
         self.root = (self.root or f"{work_root(self.spark)}/lake").rstrip("/")
@@ -124,13 +127,48 @@ class Lake:
         return f"{self.layer_path(RAW_LAYER)}/_audit"
 
     # --- namespaces ----------------------------------------------------------
-    def ensure_namespace(self, layer: str) -> None:
-        """``CREATE SCHEMA IF NOT EXISTS`` located inside the lake (never the
-        default local warehouse folder); serialised, as publishes of several
-        models may run side by side."""
+    def ensure_namespace(self, layer: str) -> str:
+        """The layer's schema, created inside the lake (never in the default
+        local warehouse folder) when absent; serialised, as publishes of
+        several models may run side by side.  A schema that belongs to another
+        lake is refused: lakes that share a catalog need namespaces."""
+        schema = f"{self.namespace}{layer}"
+
+        def plain(path: str) -> str:
+            return re.sub(r"^file:/+", "/", path).rstrip("/")
+
         with _NAMESPACE_LOCK:
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer} "
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} "
                            f"LOCATION '{self.layer_path(layer)}'")
+            at = self.spark.catalog.getDatabase(schema).locationUri
+        if plain(at) != plain(self.layer_path(layer)):
+            raise ValueError(f"schema {schema} belongs to {at}; give the lake at "
+                             f"{self.root} a namespace of its own")
+        return schema
+
+    def create_view(self, layer: str, name: str, sql: str, comment: str = "",
+                    columns: Sequence[tuple[str, str]] = ()) -> None:
+        """``CREATE OR REPLACE VIEW`` with its comments (shown by DESCRIBE)."""
+        def q(text: str) -> str:
+            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+        schema = self.ensure_namespace(layer)
+        cols = ", ".join(f"`{c}`" + (f" COMMENT {q(said)}" if said else "") for c, said in columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name}" + (f" ({cols})" if cols else "")
+                       + (f" COMMENT {q(comment)}" if comment else "") + " AS " + sql)
+
+    def register_raw_views(self) -> dict[str, int]:
+        """``raw.<table>`` views over each table's newest audited load."""
+        loads = self.current_loads()
+        for name, (load_id, landed_at, rows) in loads.items():
+            self.create_view(RAW_LAYER, name, f"SELECT * FROM parquet.`{self.raw_path(name, load_id)}`",
+                             f"Load {load_id}, landed {landed_at:%Y-%m-%d %H:%M:%S} UTC, {rows} rows, unchanged")
+        return {n: v[0] for n, v in loads.items()}
+
+    def null_counts(self, raw_name: str, load_id: int | None = None) -> dict[str, int]:
+        """NULLs per column of a load, as observed while it was written."""
+        load_id = self.current_loads()[raw_name][0] if load_id is None else load_id
+        return json.loads(read_text(self.spark, f"{self.raw_path(raw_name, load_id)}/_nulls.json") or "{}")
 
     # --- audit ---------------------------------------------------------------
     def audit(self) -> DataFrame:
@@ -147,7 +185,9 @@ class Lake:
         a = self.audit().where(F.col("status") == "loaded")
         latest = a.groupBy("raw_table").agg(
             F.max_by(F.struct("load_id", "landed_at", "row_count"), "load_id").alias("l"))
-        return {r["raw_table"].split(".", 1)[1]: (int(r["l"]["load_id"]), r["l"]["landed_at"],
+        # collected timestamps are local and naive; everything else here is aware
+        return {r["raw_table"].split(".", 1)[1]: (int(r["l"]["load_id"]),
+                                                    r["l"]["landed_at"].astimezone(dt.timezone.utc),
                                                     int(r["l"]["row_count"] or 0))
                 for r in latest.collect()}
 
@@ -229,7 +269,7 @@ class Lake:
             load_id = self.next_load_id()
         elif self.audit().where(F.col("load_id") == load_id).limit(1).count():
             raise ValueError(f"load {load_id} is already committed; loads are never rewritten")
-        landed_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        landed_at = dt.datetime.now(dt.timezone.utc)
         results: dict[str, int] = {}
         audit_rows = []
         writes: list[tuple[str, str, DataFrame]] = []
@@ -250,6 +290,10 @@ class Lake:
                     continue
                 tables = read_source(self.spark, tables, ignore)
             writes += [(source, table, df) for table, df in tables.items()]
+        names = [raw_table_name(source, table) for source, table, _ in writes]
+        twice = sorted({n for n in names if names.count(n) > 1})
+        if twice:   # before anything is written
+            raise ValueError(f"several tables would land as {', '.join(twice)}")
 
         def write(item: tuple[str, str, DataFrame]) -> int:
             source, table, df = item
@@ -257,8 +301,11 @@ class Lake:
             obs = Observation(f"land_{name}_{load_id}_{uuid.uuid4().hex[:8]}")
             # the load id is not audited, so whatever sits at this path is the
             # invisible leftover of an interrupted load: replace it
-            (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+            (df.observe(obs, F.count(F.lit(1)).alias("rows"), *nulls)
                .write.mode("overwrite").parquet(self.raw_path(name, load_id)))
+            write_text_atomic(self.spark, f"{self.raw_path(name, load_id)}/_nulls.json", json.dumps(
+                {c: int(obs.get[f"n{i}"]) for i, c in enumerate(df.columns)}))
             return int(obs.get["rows"])
 
         # tables are independent jobs: submit a few at once (any failure raises
@@ -274,5 +321,6 @@ class Lake:
         if audit_rows:
             (self.spark.createDataFrame(audit_rows, AUDIT_SCHEMA).coalesce(1)
              .write.mode("append").parquet(self.audit_path))
+            self.register_raw_views()   # readers of the views see the load at once
         log.info("raw load %d complete: %d tables", load_id, len(results))
         return results

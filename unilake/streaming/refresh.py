@@ -58,7 +58,7 @@ def staleness(publisher: Publisher, model: UnifiedModel | str,
     """Per source: published version, newest audited load and how long the
     newest unpublished load has been waiting (0 when up to date)."""
     m = UNIFIED[model] if isinstance(model, str) else model
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = now or dt.datetime.now(dt.timezone.utc)
     loads = publisher.lake.current_loads()
     ptr = publisher.pointer(m)
     out = []
@@ -106,7 +106,7 @@ REFRESH_LOG_SCHEMA = "model string, batch_id long, status string, detail string,
 
 
 def refresh_log(lake: Lake) -> DataFrame:
-    """Gate failures recorded by the refresh stream (one row per failure)."""
+    """Failed publications recorded by the refresh stream (one row per failure)."""
     from unilake.session import path_exists
     path = f"{lake.root}/_refresh_log"
     if not path_exists(lake.spark, path):
@@ -118,7 +118,8 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
                          checkpoint: str | None = None, available_now: bool = False,
                          trigger: str | None = None, gate: bool = True,
                          query_name: str | None = None,
-                         on_gate_failure: str = "record") -> StreamingQuery:
+                         on_gate_failure: str = "record",
+                         lenient_dates: bool = False) -> StreamingQuery:
     """Start the refresh stream over the lake's load audit.
 
     ``trigger`` defaults to half the models' tightest ``target_lag``: a load
@@ -132,7 +133,7 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
     """
     spark = lake.spark
     ms = [UNIFIED[m] if isinstance(m, str) else m for m in (models or UNIFIED.values())]
-    publisher = Publisher(lake)
+    publisher = Publisher(lake, lenient_dates=lenient_dates)
     checkpoint = checkpoint or f"{lake.root}/_checkpoints/refresh-" + "-".join(m.name for m in ms)
     from unilake.session import path_exists
     if not path_exists(spark, lake.audit_path):   # the file source needs its folder
@@ -143,14 +144,20 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
         tables = [r["raw_table"].split(".", 1)[1] for r in
                   batch.where(F.col("status") == "loaded").select("raw_table").distinct().collect()]
         def refresh_one(m: UnifiedModel) -> None:
+            status = staleness(publisher, m)
+            if not needs_refresh(status, m.target_lag):
+                return   # a replayed batch: everything audited is published
+            if overdue(status, m.target_lag):
+                log.warning("refresh epoch %d: %s is past its target lag", epoch_id, m.name)
             try:
                 res = publisher.publish(m, gate=gate)
-            except QualityGateError as exc:
+            except Exception as exc:  # a bad load of one model must not stop the others
                 if on_gate_failure == "raise":
                     raise
                 log.error("refresh epoch %d: %s not published: %s", epoch_id, m.name, exc)
-                now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-                (spark.createDataFrame([(m.name, epoch_id, "gate_failed", str(exc), now)],
+                kind = "gate_failed" if isinstance(exc, QualityGateError) else "failed"
+                now = dt.datetime.now(dt.timezone.utc)
+                (spark.createDataFrame([(m.name, epoch_id, kind, str(exc), now)],
                                        REFRESH_LOG_SCHEMA)
                  .coalesce(1).write.mode("append").parquet(f"{lake.root}/_refresh_log"))
                 return
