@@ -39,43 +39,18 @@ def main() -> None:
 
     from pyspark.sql import functions as F
 
-    from unilake.operators import quality
-    from unilake.operators.change_set import change_set
     from unilake.plans import build
-    from unilake.plans.models import UNIFIED
-    from unilake.plans.queries import QUERIES, activity_snapshots
+    from unilake.plans.queries import QUERIES
 
     def noop(df) -> None:
         df.write.format("noop").mode("overwrite").save()
 
-    def q_unified_activity() -> None:
-        noop(build.unified_from_tables(spark, sf_dir, "int_unified_activity"))
-
-    def q_check_unique() -> None:
-        df = build.unified_from_tables(spark, sf_dir, "int_unified_activity", loaded_at=False)
-        quality.unique_failures(df, "activity_sk")
-
-    def q_quality_report() -> None:
-        staged = build.staged_from_tables(spark, sf_dir)
-        from unilake.operators.unify import unify
-        models = [(n, unify(m, staged, loaded_at=False), m.tests) for n, m in UNIFIED.items()]
-        noop(quality.run_checks(spark, models))
-
-    def q_change_set() -> None:
-        old, new = activity_snapshots(spark, sf_dir)
-        compare = [c for c in new.columns if c not in ("activity_sk", "source_system")]
-        noop(change_set(old, new, ["source_system", "activity_sk"], compare))
-
-    def q_stream_refresh() -> None:
-        noop(QUERIES["stream_refresh"](spark, sf_dir))
-
-    bench = {
-        "unified_activity": q_unified_activity,
-        "check_unique": q_check_unique,
-        "quality_report": q_quality_report,
-        "change_set": q_change_set,
-        "stream_refresh": q_stream_refresh,
-    }
+    def registered(name: str):
+        return lambda: noop(QUERIES[name](spark, sf_dir))
+
+    # each key is the registered query of that name, whole
+    bench = {name: registered(name) for name in (
+        "unified_activity", "check_unique", "quality_report", "change_set", "stream_refresh")}
     only = os.environ.get("BENCH_ONLY")
     if only:
         bench = {k: v for k, v in bench.items() if k in only.split(",")}
@@ -99,12 +74,13 @@ def main() -> None:
         from unilake.sources.adapters import source_registry
         from unilake.sources.landing import Lake
         from unilake.streaming.refresh import start_stream_refresh
-        lake = Lake(spark, fresh_dir(spark, "bench-lake"))
+        root = fresh_dir(spark, "bench-lake")
+        lake = Lake(spark, root, namespace=f"bench_{root.rsplit('-', 1)[1]}_")
         lake.land_many(source_registry(spark, sf_dir, only={"sales", "web"}))
         t0 = time.perf_counter()
         q = start_stream_refresh(lake, ["int_unified_activity"], available_now=True,
                                  on_gate_failure="raise")
-        q.awaitTermination(1800)
+        q.awaitTermination()
         return time.perf_counter() - t0
 
     freshness = None
