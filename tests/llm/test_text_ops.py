@@ -29,7 +29,7 @@ def fuzz(n, seed):
 
 
 def odd_rows():
-    return [(i, t) for i, t in enumerate(ODD + fuzz(400, 5))] + [(3, ODD[3])]
+    return [(i, t) for i, t in enumerate(ODD + fuzz(120, 5))] + [(3, ODD[3])]
 
 
 def token_truth(rows):

@@ -62,4 +62,47 @@ QUERIES = {f.__name__: f for f in (
     op1_vector_near_dedup, op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
     op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan)}
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+
+#: What SQL can express: the results' meaning, by plain comparison of all rows.
+ORACLE: dict[str, str] = {
+    "op1_vector_near_dedup": """
+        with recursive v as (
+            select vec_id, label, embedding::double[] as e from embeddings
+            where label is not null and embedding is not null),
+        links as (
+            select a.vec_id as x, b.vec_id as y from v a join v b
+            on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+               and list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(x, y) as (
+            select vec_id, vec_id from embeddings
+            union select r.x, l.y from reach r join links l on l.x = r.y)
+        select r.x as vec_id, coalesce(max(n.n), 0) as n_links, min(r.y) as component_id,
+               r.x = min(r.y) as kept
+        from reach r left join (select x, count(*) as n from links group by x) n on n.x = r.x
+        group by r.x""",
+    "op2_ngram_jaccard_join": f"""
+        with recursive w as (
+            select doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') as words from documents),
+        s as (
+            select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
+            from w, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as t(i) where len(words) > 0),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        shared as (
+            select a.doc_id as x, b.doc_id as y, count(*) as k
+            from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+        links as (
+            select x, y from shared join n a on a.doc_id = x join n b on b.doc_id = y
+            where 100 * k >= 75 * (a.n + b.n - k)),
+        reach(x, y) as (
+            select doc_id, doc_id from documents
+            union select r.x, l.y from reach r join links l on l.x = r.y)
+        select x as doc_id, coalesce(max(n.n), 0) as n_shingles, min(y) as component_id
+        from reach left join n on n.doc_id = x group by x""",
+    "op8_exact_dedup": f"""
+        select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+               doc_id = max(doc_id) over same as kept, sha256(t) as text_sha256
+        from (select doc_id, {_LOWERED} as t from documents)
+        window same as (partition by t)""",
+}
