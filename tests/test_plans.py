@@ -54,6 +54,18 @@ def test_end_to_end_build_matches_reference_shape(spark, lake):
             "status"} <= cols
 
 
+def test_shuffles_are_sized_from_the_frames(spark):
+    from unilake.session import size_shuffles
+    now = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, spark.range(1000)) == int(now)
+        big = spark.range(10**12)   # 8 TB by estimate
+        assert size_shuffles(spark, big) > 1000
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", now)
+
+
 def test_scale_conf_sizes_shuffles_by_shuffled_bytes():
     from unilake.session import scale_conf
     big = scale_conf(100 * 2**40, total_cores=8000)

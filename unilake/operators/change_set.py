@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.functions.exprs import row_hash
+from unilake.session import size_shuffles
 
 CHANGE_TYPES = ("insert", "update", "delete", "unchanged")
 
@@ -53,6 +54,7 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
             cols.append(rec.alias("_row"))
         return df.select(*cols)
 
+    size_shuffles(new.sparkSession, old, new)
     u = side(old, 0).unionByName(side(new, 1))
 
     def balance(h):   # new minus old; 0 for equal multisets

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from unilake.session import size_shuffles
+
 REPORT_SCHEMA = StructType([
     StructField("model", StringType(), False),
     StructField("column_name", StringType(), False),
@@ -127,6 +129,9 @@ def run_checks(spark: SparkSession, models: Iterable[tuple[str, DataFrame, Seque
     submitted at once from driver threads, so small checks share the cluster
     instead of queueing behind each other.
     """
+    models = list(models)
+    if models:
+        size_shuffles(spark, *[df for _, df, _ in models])
     parts: list[DataFrame] = []
     jobs: list[tuple[str, DataFrame, str]] = []
     for name, df, checks in models:

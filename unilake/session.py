@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  ANSI mode makes malformed casts fail the
 # job (as the warehouse does); UTC keeps date casts engine-independent.
@@ -70,6 +70,19 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.2
     }
 
 
+def size_shuffles(spark: SparkSession, *frames: DataFrame) -> int:
+    """Raise the session's shuffle partitions to what the frames' estimated
+    bytes ask for (see :func:`scale_conf`); AQE merges partitions that turn
+    out small but never adds any.  Frames without an estimate are left out."""
+    sizes = [int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames]
+    known = sum(n for n in sizes if n < 1 << 60)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    need = int(scale_conf(known, 0)["spark.sql.shuffle.partitions"])
+    if need > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(need))
+    return max(need, now)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime settings to an existing session (e.g. the driver's)."""
     for k, v in SESSION_CONF.items():
