@@ -150,11 +150,13 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return list(found), np.array(list(found.values())).reshape(len(found), DIMENSIONS)
 
 
-def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray) -> DataFrame:
-    """``docs`` with lang_pred and score; only the text is looked at."""
+def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray,
+            keep_text: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score, and without the text unless it is
+    to be kept; only the text is looked at."""
     sc = docs.sparkSession.sparkContext
     letters, protos = sc.broadcast(letter_table()), sc.broadcast(prototypes.astype(np.float32))
-    carried = [c for c in docs.columns if c != "text"]
+    carried = [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches):
         for batch in batches:
@@ -192,7 +194,6 @@ def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
 
     Rejected: texts without a letter, and texts unlike every language."""
     model = learn(documents(docs, "text", "lang"))
-    names = [f"c{i}" for i in range(len(docs.columns))]  # free of clashes
-    rows = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
-    out = predict(rows, *model).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
+    names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]  # free of clashes
+    out = predict(docs.toDF(*names), *model, keep_text=True).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
     return out.select(names).toDF(*docs.columns)
