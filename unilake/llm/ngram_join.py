@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm import setkit
-from unilake.llm.common import components, cut, documents, drop
+from unilake.llm.common import components, cut, documents
 from unilake.llm.rtree import count_points, group_number, linked_roots, overlaps, surviving_pairs
 from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
                                  string_bytes, word_spans)
@@ -58,34 +58,32 @@ def _shingles(text: pa.Array):
 
 
 def document_sets(docs: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
-    """doc_id, n (set size), node and check (digests of the set), keys."""
+    """doc_id, n (set size), node and check (digests of the set)."""
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id")
             for i, m, h, o in _shingles(batch.column("text")):
                 s = setkit.routed_sets(h, o, m, ranks, seed)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, m), pa.array(s["n"]), pa.array(s["node"]), pa.array(s["check"]),
-                     pa.ListArray.from_arrays(pa.array(s["key_off"].astype(np.int32)),
-                                              pa.array(s["keys"].view(np.int64)))],
-                    ["doc_id", "n", "node", "check", "keys"])
+                    [ids.slice(i, m), pa.array(s["n"]), pa.array(s["node"]), pa.array(s["check"])],
+                    ["doc_id", "n", "node", "check"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, check long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, check long")
 
 
-def _entries(sets: DataFrame, n_buckets: int) -> DataFrame:
+def _entries(docs: DataFrame, ranks: np.ndarray, seed: int, n_buckets: int) -> DataFrame:
+    """Routing entries, hashed from the texts again: keys are never stored."""
     def run(batches):
         def stream():
             for batch in batches:
-                keys = batch.column("keys")
-                lens = np.diff(keys.offsets.to_numpy())
-                yield (keys.flatten().to_numpy().view(np.uint64),
-                       np.repeat(batch.column("node").to_numpy(), lens),
-                       np.repeat(batch.column("n").to_numpy(), lens))
+                for _, m, h, o in _shingles(batch.column("text")):
+                    s = setkit.routed_sets(h, o, m, ranks, seed)
+                    lens = np.diff(s["key_off"])
+                    yield s["keys"], np.repeat(s["node"], lens), np.repeat(s["n"], lens)
 
         yield from setkit.packed_entries(stream(), n_buckets)
 
-    return sets.select("node", "n", "keys").mapInArrow(run, setkit.ENTRY_SCHEMA)
+    return docs.select("text").mapInArrow(run, setkit.ENTRY_SCHEMA)
 
 
 def _texts(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
@@ -265,9 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         seed += 1  # two sets had one digest: hash them anew
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(256, int(tokens // 4_000_000) + 1)
-    island = setkit.islands(_entries(sets, n_buckets))
-    keyed, sets = sets, cut(sets.select("doc_id", "n", "node"))
-    drop(keyed)
+    island = setkit.islands(_entries(docs, ranks, seed, n_buckets))
     island = island.withColumnRenamed("component", "island")
     links = link_islands(docs, nodes.select("node", "doc_id", "n").join(island, "node"))
     ids = nodes.select("node", F.col("doc_id").alias("rep"))
