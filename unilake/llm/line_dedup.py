@@ -39,6 +39,8 @@ TASK_TOKENS = 1 << 22
 BAND, REACH = 1.15, 3
 #: Earlier nodes that a node is compared with before the index is asked.
 LEADERS = 4
+#: Islands of at most this many nodes are compared without an index.
+FEW = 4
 _NULL_ID = -(1 << 63)
 
 
@@ -135,7 +137,7 @@ def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] |
     ``removed`` are known to go and are only looked for, not looked up; with
     ``side`` only sets of different sides are compared.
     """
-    ordered = [np.sort(s) for s in sets]
+    sorted_: dict[int, np.ndarray] = {}
     index: dict[int, list[tuple[int, int]]] = defaultdict(list)
     hits: Counter[int] = Counter()
     out = []
@@ -144,7 +146,7 @@ def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] |
         n, m = len(sets[x]), len(sets[y])
         if 4 * min(n, m) < 3 * max(n, m):
             return False
-        a, b = ordered[x], ordered[y]
+        a, b = (sorted_[k] if k in sorted_ else sorted_.setdefault(k, np.sort(sets[k])) for k in (x, y))
         both = int((b[np.minimum(np.searchsorted(b, a), m - 1)] == a).sum())
         return 7 * both >= 3 * (n + m)
 
@@ -166,6 +168,9 @@ def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] |
                     seen[y] = common + 1 if ok else -1
         return next((y for y, c in sorted(seen.items()) if c > 0 and matches(x, y)), None)
 
+    if len(sets) <= FEW:  # no index for a handful
+        return [x for x in range(len(sets)) if not removed[x] and any(
+            (side is None or side[x] != side[y]) and matches(x, y) for y in range(x))]
     for x, tokens in enumerate(sets):
         n = len(tokens)
         prefix = tokens[:n - (3 * n + 3) // 4 + 1].tolist()
@@ -182,13 +187,16 @@ def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] |
 def _flag(sets: DataFrame) -> DataFrame:
     """Nodes that match an earlier node of their island and task."""
     def run(pdf):
+        pdf = pdf.drop_duplicates(["island", "node"]).sort_values(["island", "fid", "fline"], kind="stable")
+        island, node = pdf["island"].to_numpy(), pdf["node"].to_numpy()
+        side, gone = pdf["side"].tolist(), pdf["gone"].tolist()
+        tokens = [np.frombuffer(t, dtype=np.uint64) for t in pdf["tokens"]]
+        cuts = np.flatnonzero(np.r_[True, island[1:] != island[:-1], True]).tolist()
         out = []
-        for _, g in pdf.groupby("island", sort=False):
-            g = g.drop_duplicates("node").sort_values(["fid", "fline"], kind="stable")
-            side = g["side"].tolist()
-            found = later_matches([np.frombuffer(t, dtype=np.uint64) for t in g["tokens"]], g["gone"].tolist(),
-                                  side if len(set(side)) > 1 else None)
-            out += [int(x) for x in g["node"].to_numpy()[found]]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            own = side[a:b]
+            found = later_matches(tokens[a:b], gone[a:b], own if len(set(own)) > 1 else None)
+            out += [int(node[a + x]) for x in found]
         return pd.DataFrame({"node": pd.Series(out, dtype="int64")})
 
     return sets.groupBy("task").applyInPandas(run, "node long")
