@@ -32,8 +32,10 @@ PATTERNS = {
     "assign": (_KEYWORD + r"""["']?\x20*[:=]""",
                _KEYWORD + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
     "access": (r"AKIA[A-Z0-9]{16}", r"(AKIA[A-Z0-9]+)", 20),
-    "hex": (r"[0-9a-f]{24}", r"([0-9a-f]{24,})", 24),
-    "entropy": (r"[A-Za-z0-9+/_=-]{24}", r"([A-Za-z0-9+/_=-]{24,})", 24),
+    # a run is tried from its first character only
+    "hex": (r"(?<![0-9a-f])[0-9a-f]{24}", r"((?<![0-9a-f])[0-9a-f]{24,})", 24),
+    "entropy": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24}",
+                r"((?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,})", 24),
 }
 WINDOW = 20
 #: Least entropy in bits of a window, by class of the candidate's characters.
@@ -63,7 +65,10 @@ def _pieces(text: Column, kind: str) -> Column:
     rows = F.transform(rows, lambda r: F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), r["gap"].alias("gap"), r["span"].alias("span"),
         r["value"].alias("value"), r["text"].alias("text")))
-    return F.when(F.rlike(text, F.lit(quick)), rows)
+    test = F.rlike(text, F.lit(quick))
+    if kind == "assign":  # no sign, no assignment
+        test = (F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))) & test
+    return F.when(test, rows)
 
 
 def _entropy_spans(found: DataFrame) -> DataFrame:
