@@ -120,6 +120,19 @@ def test_license_cases(make_docs):
     assert license_scan.license_report(make_docs([])).collect() == []
 
 
+@pytest.mark.parametrize("text, label", [
+    ("Released under the BSD license", ""), ("released under the gpl license", ""), ("released under the summit license", ""),
+    ("licensed under cc by-nc 4.0", "cc-by-nc-notice"), ("licensed under cc by-sa 4.0", "cc-by-sa-notice"),
+    ("licensed under cc by-nd 4.0", ""), ("licensd under cc bync 4.0", "cc-by-nc-notice"),
+    ("licensed under the cpal license, version 2.0", ""), ("licensd under the apche license, version 2.0", "apache-notice"),
+    ("subject to the terms of the nokia public license", ""),
+    ("subject to terms of the mozila public license", "mpl-notice"),
+    ("relased under teh MIT license", "mit-notice"), ("released under themit license", "mit-notice")])
+def test_license_names_are_told_apart(text, label):
+    found = license_scan.Finder().find(f"a. {text}; b".lower())
+    assert ",".join(x[2] for x in found) == label
+
+
 def test_license_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = Counter((r["doc_id"], *license_truth(r["text"])) for r in docs.collect())

@@ -4,7 +4,9 @@ Fuzzy search: a notice of n characters may hold k = n // ``CHARS_PER_EDIT``
 edits.  It is split into k + 1 seeds; by the pigeonhole principle at least one
 stands unchanged in any such occurrence.  All seeds are found in one pass
 (Aho-Corasick); around each the regex library's bounded-error matching decides
-and gives the span and the edits.
+and gives the span and the edits.  The word that tells a notice from other
+licenses' (``NAMES``) stands as a word, or run together with the notice's
+neighbouring word, with few or no edits of its own.
 
 Cases: a null text counts as empty; a text without findings has score 0 and no
 labels; rows that repeat a doc_id are scanned one by one; an empty table gives
@@ -41,6 +43,10 @@ NOTICES = {
     "unlicense-notice": ["free and unencumbered software released into the public domain"],
 }
 CHARS_PER_EDIT = 10
+#: The word that names a notice's license, and the edits it may hold (other
+#: licenses' words in its place are further away).
+NAMES = {"apache-notice": ("apache", 2), "cc-by-nc-notice": ("nc", 0), "cc-by-sa-notice": ("sa", 0),
+         "mit-notice": ("mit", 0), "mpl-notice": ("mozilla", 2)}
 CHUNK = 1 << 20
 _WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -52,6 +58,23 @@ def seeds(notice: str) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def pattern(label: str, notice: str) -> str:
+    """Bounded-error pattern of a notice.  Each part may hold all the edits;
+    ``Finder.find`` holds their sum against the notice's bound."""
+    k = len(notice) // CHARS_PER_EDIT
+    name, own = NAMES.get(label, ("", 0))
+    m = name and re.search(rf"\b{name}\b", notice)
+    if not m:
+        return f"(?b)(?:{re.escape(notice)}){{e<={k}}}"
+    head, tail = notice[:m.start()], notice[m.end():]
+    if own:
+        name = f"(?:{name}){{e<={own}}}"
+    else:
+        before, after = re.findall("[a-z0-9.]+", head)[-1], re.findall("[a-z0-9.]+", tail)[0]
+        name = f"(?:(?<![a-z])|(?<={re.escape(before)})){name}(?:(?![a-z])|(?={re.escape(after)}))"
+    return f"(?b)(?:{re.escape(head)}){{e<={k}}}{name}(?:{re.escape(tail)}){{e<={k}}}"
+
+
 class Finder:
     """All notices' seeds in one automaton, and their bounded-error patterns."""
 
@@ -60,8 +83,7 @@ class Finder:
         import regex
 
         self.notices = [(label, n) for label, ns in NOTICES.items() for n in ns]
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={len(n) // CHARS_PER_EDIT}}}")
-                         for _, n in self.notices]
+        self.patterns = [regex.compile(pattern(label, n)) for label, n in self.notices]
         places: dict[str, list] = {}
         for i, (_, n) in enumerate(self.notices):
             for at, seed in seeds(n):
@@ -84,7 +106,7 @@ class Finder:
                     continue
                 tried.add((i, begin))
                 m = self.patterns[i].search(text, max(0, begin - k, done[i]), begin + len(notice) + 2 * k)
-                if m:
+                if m and sum(m.fuzzy_counts) <= k:
                     out.append((m.start(), m.end(), label, 1 - sum(m.fuzzy_counts) / len(notice)))
                     done[i] = m.end()
         return out
