@@ -49,6 +49,14 @@ def test_exact_groups(make_docs):
     assert Counter(lower(r["text"]) for r in left.collect()) == Counter(dict.fromkeys(by, 1))
 
 
+def test_keep_unique_without_ids(make_docs):
+    rows = [(None, "one text"), (None, "One TEXT"), (None, "one text"), (None, "other"), (None, None), (None, ""),
+            (None, "with an id"), (None, "with an id"), (7, "with an id"), (8, "rep"), (8, "rep")]
+    left = exact_dedup.keep_unique(make_docs(rows).repartition(4)).collect()
+    assert Counter((r["doc_id"], lower(r["text"])) for r in left) == Counter(
+        [(None, "one text"), (None, "other"), (None, ""), (7, "with an id"), (8, "rep")])
+
+
 def test_exact_empty(make_docs):
     assert exact_dedup.exact_groups(make_docs([])).collect() == []
     assert exact_dedup.keep_unique(make_docs([])).collect() == []

@@ -71,9 +71,9 @@ def keep_unique(docs: DataFrame) -> DataFrame:
     if gone.isEmpty():
         return docs
     # a doc_id may repeat: of its rows with one text, as many go as were beaten
-    held = rows.groupBy("doc_id", "sha").agg(F.count(F.lit(1)).alias("held"))
-    gone = cut(gone.join(held, ["doc_id", "sha"], "left").select(
-        F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), (F.coalesce("held", F.lit(0)) > F.col("copies")).alias("_one")))
+    held = rows.groupBy(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")).agg(F.count(F.lit(1)).alias("held"))
+    gone = cut(gone.join(held, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("sha"))).select(
+        "_id", "_sha", (F.col("held") > F.col("copies")).alias("_one")))
     sha = F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == sha)
     out = docs.join(gone.where("not _one"), same, "left_anti")
