@@ -107,6 +107,17 @@ def test_mix_table(spark, monkeypatch):
     check_mix(docs, [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("shard_words", [2000, 1 << 20])
+def test_mix_wide_blocks_and_tiny_sources(make_docs, monkeypatch, shard_words):
+    monkeypatch.setattr(mixing, "LEAST_BLOCKS", 1)  # blocks of 256 words
+    monkeypatch.setattr(mixing, "SHARD_WORDS", shard_words)
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randint(1, 60), "en", "a") for i in range(900)]
+    rows += [(1000 + i, "w " * 5, "en", "b") for i in range(6)] + [(2000 + i, "w " * 39, "en", "c") for i in range(10)]
+    rows += [(3000, "w " * 7, "en", "d"), (3001, None, "en", "e")]
+    check_mix(make_docs(rows), [(r[0], r[1], r[3]) for r in rows])
+
+
 def test_mix_empty_and_wordless(make_docs):
     assert mixing.mix(make_docs([])).collect() == []
     got = mixing.mix(make_docs([(1, None), (2, " ", "en", "a")])).collect()

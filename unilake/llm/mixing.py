@@ -6,6 +6,9 @@ none more than ``CAP`` times its own.  The mix is cut into blocks of equal
 size: the blocks go to sources, and each source's blocks to its shards, by
 highest quotients weight / (2k - 1).  A shard that gets more blocks than it
 has takes every block once (or twice) and the rest by a seeded permutation.
+What a source's blocks leave of its target, or hold beyond it, is settled in
+words: the permutation's next block is taken in part, so that sources smaller
+than a few blocks meet their targets too.
 
 A source is split into shards of bounded size by a hash of the identifier, so
 a source with a third of all rows is many shards.  Ranks are global range
@@ -120,13 +123,28 @@ def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     quota = per.join(quota.toDF("place", "quota"), "place", "left").select(
         "party", "shard", "words", "blocks", mark.alias("mark"), prime.cast("long").alias("prime"),
         F.least(F.coalesce("quota", F.lit(0)), CAP * F.col("blocks")).alias("quota"))
-    at = rows.join(quota, ["party", "shard"]).withColumn("start", F.col("stop") - F.col("size"))
+    # the first shards with room take what is left of the target, or give back what is beyond it
+    quota = quota.where("words > 0").withColumn("base", F.expr("quota * words div blocks")).join(
+        sources.select("party", F.round("target").cast("long").alias("due")), "party")
+    party, before = W.partitionBy("party"), W.partitionBy("party").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    quota = quota.withColumn("left", F.col("due") - F.sum("base").over(party)).withColumn(
+        "room", F.when(F.col("left") > 0, CAP * F.col("words") - F.col("base")).otherwise(F.col("base")))
+    share = F.least("room", F.greatest(F.lit(0), F.abs("left") - F.coalesce(F.sum("room").over(before), F.lit(0))))
+    quota = quota.withColumn("quota", F.col("base") + F.signum(F.col("left")).cast("long") * share)
+    quota = quota.withColumn("full", F.expr("quota % words * blocks div words")).withColumn(
+        "part", F.expr("quota % words - full * words div blocks")).drop("base", "due", "left", "room")
+    at = rows.join(quota, ["party", "shard"], "left").withColumn("start", F.col("stop") - F.col("size"))
     extra = F.expr("""
         aggregate(sequence(((start + 1) * blocks - 1) div words, (stop * blocks - 1) div words), 0L,
-                  (sum, b) -> sum + if(pmod(b * prime + mark, blocks) < quota % blocks,
-                      least(stop, (b + 1) * words div blocks) - greatest(start, b * words div blocks), 0L))""")
+                  (sum, b) -> sum + case
+                      when pmod(b * prime + mark, blocks) < full then
+                          least(stop, (b + 1) * words div blocks) - greatest(start, b * words div blocks)
+                      when pmod(b * prime + mark, blocks) = full then greatest(0L,
+                          least(stop, (b + 1) * words div blocks, b * words div blocks + part)
+                          - greatest(start, b * words div blocks))
+                      else 0L end)""")
     taken = F.when(F.col("size") == 0, F.lit(0)).otherwise(
-        F.expr("quota div blocks") * F.col("size") + extra)
+        F.expr("quota div words") * F.col("size") + extra)
     return at.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
