@@ -192,7 +192,8 @@ def languages(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The documents whose language is recognised, with all their columns.
 
-    Rejected: texts without a letter, and texts unlike every language."""
+    Rejected: texts without a letter, and texts that score under ``least_score``.
+    Scores are 0 at least, so the default rejects letterless texts only."""
     model = learn(documents(docs, "text", "lang"))
     names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]  # free of clashes
     out = predict(docs.toDF(*names), *model, keep_text=True).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
