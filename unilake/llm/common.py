@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from unilake.session import fresh_dir, delete_path
 
@@ -94,6 +95,26 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return labels
 
 
+def totals_before(df: DataFrame, order: list[Column], **sums: str) -> DataFrame:
+    """``df`` with, for each ``name=column``, the column's total over all rows
+    before the row in ``order``, which must be total.
+
+    A range sort deals the order to partitions; each holds its rows' running
+    sums, and one offset per partition is added (a table of as many rows as
+    partitions, which alone is summed in one task).
+    """
+    s = cut(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    s = s.withColumn("_part", F.shiftright("_at", 33))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    per = s.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    offsets = per.select("_part", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in sums])
+    own = W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    out = s.join(F.broadcast(offsets), "_part")
+    for n, c in sums.items():
+        out = out.withColumn(n, F.coalesce(F.sum(c).over(own), F.lit(0)) + F.col(f"_off_{n}"))
+    return out.drop("_part", "_at", *[f"_off_{n}" for n in sums])
+
+
 def ranked(df: DataFrame, *order: Column, name: str = "row") -> DataFrame:
     """``df`` with a gapless row number from 0 in ``order``, without a
     one-task window: a range sort, then one offset per sorted partition (a
@@ -102,7 +123,7 @@ def ranked(df: DataFrame, *order: Column, name: str = "row") -> DataFrame:
     s = s.withColumn("_part", F.shiftright("_at", 33)).withColumn(
         "_pos", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = s.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.alias("l").join(sizes.alias("r"), F.col("r._part") < F.col("l._part"), "left") \
-        .groupBy(F.col("l._part").alias("_part")).agg(F.coalesce(F.sum("r._n"), F.lit(0)).alias("_off"))
+    before = sizes.select("_part", F.coalesce(
+        F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return s.join(F.broadcast(before), "_part").withColumn(name, F.col("_off") + F.col("_pos")) \
         .drop("_part", "_pos", "_at", "_off")
