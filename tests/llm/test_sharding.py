@@ -51,8 +51,9 @@ def check(rows, got, shards):
     return sizes
 
 
-@pytest.mark.parametrize("shards", [1, 3, 16])
-def test_cases(spark, make_docs, shards):
+@pytest.mark.parametrize("shards, held", [(1, 0), (3, 0), (16, 1 << 14)])
+def test_cases(spark, make_docs, monkeypatch, shards, held):
+    monkeypatch.setattr(sharding, "HELD", held)
     rng = random.Random(shards)
     rows = [(1, None), (2, ""), (3, "é" * 50), (3, "other"), (None, "no id"), (4, "x" * 30000), (5, "no id")]
     rows += [(i, "".join(rng.choices("abcd ", k=rng.randint(0, 300)))) for i in range(10, 90)]

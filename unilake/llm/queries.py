@@ -1,11 +1,11 @@
-"""Registered queries of the ten operators, with production parameters."""
+"""Registered queries of the operators, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from unilake.llm import (exact_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
-                         secrets, token_count, vector_dedup)
+                         secrets, sharding, token_count, vector_dedup)
 from unilake.llm.common import read_table
 
 #: Vocabulary files, by the name that ``public_tokenizers.path`` takes.
@@ -58,9 +58,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_vector_near_dedup, op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
-    op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan)}
+    op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan, op12_sharding)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"

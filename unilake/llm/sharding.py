@@ -14,10 +14,10 @@ is cut there.
    ``HALVINGS`` halvings could reach are checked together.  A greedy step asks
    for the last group end within a capacity; such an end lies at most one widest
    group away, so each step reads short stretches of the sorted ends only.
-4. Cuts: a greedy pass from the right gives the first end at which each shard
-   may stop.  From there on, within the capacity, each shard stops at the group
-   end nearest to an equal share of what is left, groups wider than such a share
-   apart, so that heavy groups don't leave shards empty.
+4. Cuts: the group ends nearest to equal shares, where groups wider than a share
+   stand alone, so that they don't leave other shards empty.  Where a shard would
+   exceed the capacity, a greedy pass from the right gives the first end at which
+   each shard may stop, and cuts move between that and the capacity.
 5. A document's slot is its group's rows before it in the shard, plus its place
    in the group.
 
@@ -30,6 +30,7 @@ are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -39,6 +40,8 @@ from unilake.llm.common import cut, documents, totals_before
 SHARDS = 16
 #: Halvings of the capacity's range that are decided by one greedy pass.
 HALVINGS = 6
+#: Group ends that the driver may hold for the last halvings.
+HELD = 1 << 14
 
 
 def text_rows(docs: DataFrame) -> DataFrame:
@@ -72,31 +75,48 @@ def ends_below(ends: DataFrame, targets: list[int], widest: int) -> dict[int, in
     return out
 
 
-def fitting(ends: DataFrame, total: int, widest: int, shards: int, capacities: list[int]) -> list[int]:
-    """The capacities at which a greedy pass fills at most ``shards`` shards."""
-    at = dict.fromkeys(capacities, 0)
-    for _ in range(shards):
-        step = {c: p + c for c, p in at.items() if p + c < total}
-        at = dict.fromkeys(capacities, total)
-        if not step:
-            break
-        reach = ends_below(ends, list(step.values()), widest)
-        at |= {c: reach[t] for c, t in step.items()}
-    return [c for c in capacities if at[c] == total]
+def greedy(reach, total: int, shards: int, capacities: list[int]) -> dict[int, list[int]]:
+    """Where a greedy pass stops after 1 .. ``shards`` shards, per capacity;
+    ``reach(targets)`` gives the last group end not above each target."""
+    paths: dict[int, list[int]] = {c: [] for c in capacities}
+    for j in range(shards):
+        step = {c: (p[-1] if j else 0) + c for c, p in paths.items()}
+        asked = [t for t in step.values() if t < total]
+        found = reach(asked) if asked else {}
+        for c, t in step.items():
+            paths[c].append(found[t] if t < total else total)
+    return paths
 
 
 def smallest_capacity(ends: DataFrame, total: int, widest: int, shards: int) -> int:
-    """Binary search for the smallest capacity that fits."""
+    """Binary search for the smallest capacity that fits.  Each greedy stop of the
+    capacities still possible lies between the stops of the two tried next to
+    them: once these stretches hold ``HELD`` ends at most, those ends decide the
+    remaining halvings without another job (with the same result)."""
     mean = -(-total // shards)
     low, high = max(mean, widest), min(total, mean + widest)
+    held = None
+
+    def reach(targets):
+        if held is None:
+            return ends_below(ends, targets, widest)
+        return {t: int(held[max(np.searchsorted(held, t, side="right") - 1, 0)]) for t in targets}
+
     while low < high:
         step = 1 << HALVINGS
-        tried = sorted({low + (high - low) * k // step for k in range(step)})
-        fit = fitting(ends, total, widest, shards, tried)
-        if fit:
-            high = fit[0]
-            tried = [c for c in tried if c < high]
-        low = tried[-1] + 1 if tried else high
+        tried = sorted({low + (high - low) * k // step for k in range(step + 1)})
+        paths = greedy(reach, total, shards, tried)
+        fit = next(c for c in tried if paths[c][-1] == total)
+        short = [c for c in tried if c < fit]
+        if not short:
+            return fit
+        low, high = short[-1] + 1, fit
+        if held is None and low < high:
+            near = F.lit(False)
+            for x, y in zip(paths[short[-1]], paths[fit], strict=True):
+                near = near | F.col("end").between(x, y)
+            some = [r["end"] for r in ends.where(near).limit(HELD + 1).collect()]
+            held = np.sort(np.array([0, *some], dtype=np.int64)) if len(some) <= HELD else None
     return high
 
 
@@ -112,27 +132,54 @@ def heavy_groups(top: list[tuple[int, int]], total: int, shards: int) -> list[tu
     return heavy
 
 
+def fair_targets(total: int, shards: int, heavy: list[tuple[int, int]]) -> list[int]:
+    """Where shards 1 .. would start if any byte could be a cut: heavy groups
+    alone, equal shares of the rest between them."""
+    out, at, heavy = [], 0, sorted(heavy)
+    for left in range(shards, 1, -1):
+        ahead = [(start, w) for start, w in heavy if start >= at]
+        if ahead and ahead[0][0] == at:
+            at += ahead[0][1]
+        else:
+            rest = total - at - sum(w for _, w in ahead)
+            at = min([at + -(-rest // max(1, left - len(ahead)))] + [start for start, _ in ahead[:1]])
+        out.append(at)
+    return out
+
+
+def nearest_ends(ends: DataFrame, targets: list[int], widest: int, total: int) -> list[int]:
+    """The group end nearest to each target (the lower of two)."""
+    near = F.lit(False)
+    for t in set(targets):
+        near = near | F.col("end").between(t - widest, t + widest)
+    ats = F.array(*[F.lit(t).cast("long") for t in targets])
+    pick = ends.where(near).select("end", F.posexplode(ats).alias("k", "target")).groupBy("k").agg(
+        F.max(F.when(F.col("end") <= F.col("target"), F.col("end"))).alias("below"),
+        F.min(F.when(F.col("end") > F.col("target"), F.col("end"))).alias("above"))
+    found = {r["k"]: (r["below"] or 0, r["above"] or total) for r in pick.collect()}
+    pairs = [found[k] for k in range(len(targets))]
+    return [a if t - a <= b - t else b for t, (a, b) in zip(targets, pairs, strict=True)]
+
+
 def cuts_of(ends: DataFrame, total: int, widest: int, shards: int, capacity: int,
             heavy: list[tuple[int, int]]) -> list[int]:
-    """Where shards 1 .. start: group ends, each shard at most ``capacity`` wide."""
-    first, at = [0] * (shards + 1), total  # first[j]: shard j - 1 stops there or later
-    first[shards] = total
+    """Where shards 1 .. start: group ends, each shard at most ``capacity`` wide,
+    as near to equal shares as that allows."""
+    targets = fair_targets(total, shards, heavy)
+    out = nearest_ends(ends, targets, widest, total) if targets else []
+    if all(0 <= y - x <= capacity for x, y in zip([0, *out], [*out, total], strict=True)):
+        return out
+    first, at = [0] * (shards + 1), total  # first[j]: shard j - 1 may stop there or later
     for j in range(shards - 1, 0, -1):
         at -= capacity
         if at <= 0:
             break
         at = first[j] = ends.where(F.col("end").between(at, at + widest)).agg(F.min("end")).first()[0]
-    out, at = [], 0
-    for j in range(1, shards):
-        own = [w for start, w in heavy if start >= at]
-        fair = at + -(-(total - at - sum(own)) // max(1, shards - j + 1 - len(own)))
-        row = ends.where(F.col("end").between(fair - widest, fair + widest)).agg(
-            F.max(F.when(F.col("end") <= fair, F.col("end"))), F.min(F.when(F.col("end") > fair, F.col("end")))).first()
-        below, above = row[0] or 0, row[1] or total
-        limit = at + capacity
-        near = below if above > limit or below > at and fair - below <= above - fair else above
-        at = max(near, first[j]) if at < total else total
-        out.append(at)
+    last = 0
+    for j, near in enumerate(out, 1):
+        if near > last + capacity:
+            near = ends_below(ends, [last + capacity], widest)[last + capacity]
+        out[j - 1] = last = max(near, first[j], last)
     return out
 
 
