@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from unilake.llm import (exact_dedup, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
+from unilake.llm import (exact_dedup, hard_negatives, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
                          secrets, sharding, token_count, vector_dedup)
 from unilake.llm.common import read_table
 
@@ -58,13 +59,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec, label = F.col("vec_id"), F.col("label")
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), vec % 100 == 0,
+                               F.when(vec % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_vector_near_dedup, op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
-    op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan, op12_sharding)}
+    op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan,
+    op11_hard_negatives, op12_sharding)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
@@ -109,4 +117,24 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) over same as kept, sha256(t) as text_sha256
         from (select doc_id, {_LOWERED} as t from documents)
         window same as (partition by t)""",
+    "op11_hard_negatives": """
+        with v as (
+            select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+                   [floor(256 * x::double) for x in embedding] as e
+            from embeddings
+            where vec_id is not null and label is not null and len(embedding) > 0
+              and len([x for x in embedding if x is null or not isfinite(256 * x::double)]) = 0),
+        s as (
+            select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as id,
+                   list_dot_product(a.e, b.e)::bigint as score
+            from v a join v b on a.vec_id % 100 = 0 and len(a.e) = len(b.e) and a.vec_id <> b.vec_id),
+        p as (
+            select anchor_id, id as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+        select anchor_id, positive_id, row_number() over first::int as rank, id as negative_id,
+               positive_score, score as negative_score
+        from p join s using (anchor_id)
+        where not same and 100 * score between 30 * positive_score and 90 * positive_score
+        window first as (partition by anchor_id, positive_id order by score desc, id)
+        qualify rank <= 10""",
 }
