@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unilake.llm import (exact_dedup, hard_negatives, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
+from unilake.llm import (conversations, exact_dedup, hard_negatives, language_id, license_scan, line_dedup, mixing, ngram_join, pieces,
                          secrets, sharding, token_count, vector_dedup)
 from unilake.llm.common import read_table
 
@@ -69,10 +69,15 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    return conversations.repair_report(conversations.damaged(turns), turns)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_vector_near_dedup, op2_ngram_jaccard_join, op3_line_dedup, op4_sentencepiece, op5_source_mixing, op6_token_count,
     op7_secret_scan, op8_exact_dedup, op9_language_id, op10_license_scan,
-    op11_hard_negatives, op12_sharding)}
+    op11_hard_negatives, op12_sharding, op13_conversation_repair)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
