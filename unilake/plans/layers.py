@@ -57,6 +57,7 @@ class Pointer:
     epoch: int = 0
     versions: dict[str, int] = field(default_factory=dict)
     published_at: dt.datetime | None = None
+    build_seconds: float | None = None      # what the publication took
 
 
 @dataclass
@@ -109,13 +110,15 @@ class Publisher:
             return Pointer()
         doc = json.loads(read_text(self.spark, f"{root}/epoch={epochs[-1]}.json"))
         return Pointer(int(doc["epoch"]), {k: int(v) for k, v in doc["versions"].items()},
-                       dt.datetime.fromisoformat(doc["published_at"]))
+                       dt.datetime.fromisoformat(doc["published_at"]), doc.get("build_seconds"))
 
-    def _write_pointer(self, model: UnifiedModel, epoch: int, versions: Mapping[str, int]) -> None:
+    def _write_pointer(self, model: UnifiedModel, epoch: int, versions: Mapping[str, int],
+                       started: dt.datetime) -> None:
         """Commit a new epoch: written whole then renamed into place, and never
         over an existing epoch (two publishers cannot both commit epoch N)."""
-        now = dt.datetime.now(dt.timezone.utc).isoformat()
-        doc = {"epoch": epoch, "versions": dict(sorted(versions.items())), "published_at": now}
+        now = self.lake.clock()
+        doc = {"epoch": epoch, "versions": dict(sorted(versions.items())), "published_at": now.isoformat(),
+               "build_seconds": (now - started).total_seconds()}
         write_text_atomic(self.spark, f"{self.pointer_root(model)}/epoch={epoch}.json",
                           json.dumps(doc))
 
@@ -301,6 +304,7 @@ class Publisher:
                 register: bool = True) -> PublishResult:
         """Bring a published model up to the newest audited raw loads."""
         m = UNIFIED[model] if isinstance(model, str) else model
+        started = self.lake.clock()
         loads = self.lake.current_loads()
         ptr = self.pointer(m)
         versions = dict(ptr.versions)
@@ -378,7 +382,7 @@ class Publisher:
             report = self.check(m, versions)
             quality.gate(report)
         epoch = ptr.epoch + 1
-        self._write_pointer(m, epoch, versions)
+        self._write_pointer(m, epoch, versions, started)
         if register:
             self.register_view(m, versions)
         log.info("published %s epoch %d: %s (rebuilt %s)", m.name, epoch, versions, rebuilt)

@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  ANSI mode makes malformed casts fail the
@@ -143,9 +144,11 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small control file (pointer, check counts) so that readers see
-    all of it or nothing: write a temporary sibling, then rename.  Refuses to
-    replace an existing file."""
+    """Write a small control file (pointer, reservation, check counts) so that
+    readers see all of it or nothing, and only one of several writers succeeds:
+    a temporary sibling is written, then takes the name in one step that fails
+    where the name exists (a hard link on a local disk, a rename without
+    overwriting elsewhere).  Raises FileExistsError."""
     fs, final = _fs_path(spark, path)
     if fs.exists(final):
         raise FileExistsError(path)
@@ -156,9 +159,36 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if not fs.rename(tmp, final):
+    try:
+        _take_name(spark, fs, tmp, final)
+    except Py4JJavaError as exc:
+        if "AlreadyExists" in exc.java_exception.getClass().getName():
+            raise FileExistsError(path) from None
+        raise
+    finally:
         fs.delete(tmp, False)
-        raise FileExistsError(path)
+
+
+def _take_name(spark: SparkSession, fs, tmp, final) -> None:
+    jvm = spark.sparkContext._jvm
+    if fs.getUri().getScheme() == "file":
+        def local(p):
+            return jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath()
+        jvm.java.nio.file.Files.createLink(local(final), local(tmp))
+    else:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        kind = jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+            tmp, final, spark.sparkContext._gateway.new_array(kind, 0))
+
+
+def move_into(spark: SparkSession, source: str, target: str) -> None:
+    """Give a finished file its final name; the target must be free."""
+    fs, src = _fs_path(spark, source)
+    _, dst = _fs_path(spark, target)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise FileExistsError(target)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -3,6 +3,7 @@
 Layout under the lake root (a shared folder; see :func:`unilake.session.work_root`)::
 
     raw/raw_<source>__<table>/load_id=<N>/part-*.parquet   one folder per load
+    raw/_loads/load_id=<N>.json                            who reserved the id, and when
     raw/_audit/part-*.parquet                              one row per landed table
 
 A load is *full replace*: the newest audited load of a table is the table;
@@ -12,7 +13,13 @@ failed write leaves the previous load current, and the schema may change
 between loads.  The audit row is appended last, after every table of the
 load is written: it is the commit marker, and everything downstream (views,
 refresh) reads only audited loads.  Row counts come from an ``Observation``
-on the write itself -- no second scan.
+on the write itself -- no second scan -- and must equal the counts in the
+written files' footers, or the load raises and is not audited.
+
+Landers may run side by side.  Each reserves its load id, by creating a file
+that only one can create, before it writes any data; its audit rows are moved
+in as one finished file.  Of two loads of one table the higher id is current,
+whichever commits last.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ import logging
 import re
 import threading
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -32,7 +39,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from unilake.session import list_dir, path_exists, read_text, work_root, write_text_atomic
+from unilake.session import (delete_path, fresh_dir, list_dir, move_into, path_exists, read_text, work_root,
+                             write_text_atomic)
+from unilake.sources.drift import AS_LANDED, Drift, DriftPolicy, compare, reconciled
 
 log = logging.getLogger(__name__)
 
@@ -47,12 +56,17 @@ AUDIT_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("load_id", LongType(), False),
     StructField("row_count", LongType(), True),
-    StructField("status", StringType(), False),          # loaded | missing
+    StructField("status", StringType(), False),          # loaded | missing | rejected
     StructField("landed_at", TimestampType(), False),
     StructField("path", StringType(), True),
+    StructField("drift", StringType(), True),            # columns unlike the known schema
 ])
 
 
+class LoadCountError(RuntimeError):
+    """The files of a load don't hold the rows that were written."""
+
+
 def raw_table_name(source: str, table: str) -> str:
     """Physical raw table name: ``raw_<source>__<table>``, lower-cased."""
     return f"raw_{source}__{table}".lower()
@@ -90,6 +104,7 @@ def read_source(spark: SparkSession, source_root: str,
 
 CATALOG_PREFIX = "catalog:"
 _NAMESPACE_LOCK = threading.Lock()
+_VIEW_LOCK = threading.Lock()
 
 
 def read_catalog_source(spark: SparkSession, database: str,
@@ -110,9 +125,11 @@ class Lake:
     root: str | None = None
     parallelism: int = 4          # independent table writes submitted at once
     namespace: str = ""           # prefix of this lake's schemas in the catalog
+    clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)
 
     def __post_init__(self) -> None:
         self.root = (self.root or f"{work_root(self.spark)}/lake").rstrip("/")
+        self._footers: SparkSession | None = None
 
     # --- paths ---------------------------------------------------------------
     def layer_path(self, layer: str) -> str:
@@ -126,6 +143,9 @@ class Lake:
     def audit_path(self) -> str:
         return f"{self.layer_path(RAW_LAYER)}/_audit"
 
+    def reservation_path(self, load_id: int) -> str:
+        return f"{self.layer_path(RAW_LAYER)}/_loads/load_id={load_id}.json"
+
     # --- namespaces ----------------------------------------------------------
     def ensure_namespace(self, layer: str) -> str:
         """The layer's schema, created inside the lake (never in the default
@@ -159,10 +179,11 @@ class Lake:
 
     def register_raw_views(self) -> dict[str, int]:
         """``raw.<table>`` views over each table's newest audited load."""
-        loads = self.current_loads()
-        for name, (load_id, landed_at, rows) in loads.items():
-            self.create_view(RAW_LAYER, name, f"SELECT * FROM parquet.`{self.raw_path(name, load_id)}`",
-                             f"Load {load_id}, landed {landed_at:%Y-%m-%d %H:%M:%S} UTC, {rows} rows, unchanged")
+        with _VIEW_LOCK:   # the loads are read inside: no lander restores an older view
+            loads = self.current_loads()
+            for name, (load_id, landed_at, rows) in loads.items():
+                self.create_view(RAW_LAYER, name, f"SELECT * FROM parquet.`{self.raw_path(name, load_id)}`",
+                                 f"Load {load_id}, landed {landed_at:%Y-%m-%d %H:%M:%S} UTC, {rows} rows")
         return {n: v[0] for n, v in loads.items()}
 
     def null_counts(self, raw_name: str, load_id: int | None = None) -> dict[str, int]:
@@ -176,9 +197,61 @@ class Lake:
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.audit_path)
 
+    def reserved_ids(self) -> list[int]:
+        """Load ids that some lander has reserved, audited or not."""
+        names = [n for n, is_dir in list_dir(self.spark, f"{self.layer_path(RAW_LAYER)}/_loads") if not is_dir]
+        return sorted(int(n[len("load_id="):-len(".json")]) for n in names
+                      if n.startswith("load_id=") and n.endswith(".json"))
+
     def next_load_id(self) -> int:
         row = self.audit().agg(F.max("load_id").alias("m")).first()
-        return int(row["m"] or 0) + 1
+        return max([int(row["m"] or 0), *self.reserved_ids()]) + 1
+
+    def reserve(self, load_id: int | None = None, take_over: bool = False) -> tuple[int, str]:
+        """Reserve a load id (the next free one, or the given one) before any
+        data is written; returns it with the lander's token.  A given id that
+        is audited raises ValueError, one that another lander holds raises
+        FileExistsError, unless ``take_over`` declares that lander dead."""
+        token = uuid.uuid4().hex
+        doc = json.dumps({"token": token, "at": self.clock().isoformat()})
+        if load_id is not None:
+            if self.audit().where(F.col("load_id") == load_id).limit(1).count():
+                raise ValueError(f"load {load_id} is already committed; loads are never rewritten")
+            if take_over:
+                delete_path(self.spark, self.reservation_path(load_id))
+            write_text_atomic(self.spark, self.reservation_path(load_id), doc)
+            return load_id, token
+        load_id = self.next_load_id()
+        while True:
+            try:
+                write_text_atomic(self.spark, self.reservation_path(load_id), doc)
+                return load_id, token
+            except FileExistsError:   # another lander was first
+                load_id += 1
+
+    def holds(self, load_id: int, token: str) -> bool:
+        """Whether the reservation is still the given lander's."""
+        text = read_text(self.spark, self.reservation_path(load_id))
+        return text is not None and json.loads(text)["token"] == token
+
+    def footer_rows(self, path: str) -> int:
+        """Rows of the Parquet files under ``path`` by their footers alone (an
+        aggregate pushed into the scan; no column is read)."""
+        if self._footers is None:   # settings of its own, the lake's session keeps its
+            own = self.spark.newSession()
+            own.conf.set("spark.sql.sources.useV1SourceList", "")
+            own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+            self._footers = own
+        # the schema is beside the point of a count and saves its inference
+        return self._footers.read.schema("x int").parquet(path).agg(F.count(F.lit(1))).first()[0] or 0
+
+    def known_schema(self, raw_name: str) -> StructType | None:
+        """Schema of a table's newest load, as it was landed; None before the first."""
+        cur = self.current_loads().get(raw_name)
+        if cur is None:
+            return None
+        text = read_text(self.spark, f"{self.raw_path(raw_name, cur[0])}/_schema.json")
+        return StructType.fromJson(json.loads(text)) if text else self.read_raw(raw_name, cur[0]).schema
 
     def current_loads(self) -> dict[str, tuple[int, dt.datetime, int]]:
         """raw table name -> (newest audited load id, landed_at, rows)."""
@@ -201,7 +274,6 @@ class Lake:
         merged rows as a new file; publishing is idempotent, so that is a
         no-op.  Returns the number of files merged.
         """
-        from unilake.session import delete_path
         files = [n for n, is_dir in list_dir(self.spark, self.audit_path)
                  if not is_dir and n.startswith("part-") and n.endswith(".parquet")]
         if len(files) <= 1:
@@ -213,13 +285,24 @@ class Lake:
             delete_path(self.spark, p)
         return len(files)
 
-    def vacuum_raw(self, keep_loads: int = 2) -> list[str]:
+    def vacuum_raw(self, keep_loads: int = 2, grace_seconds: float = 86400.0) -> list[str]:
         """Delete raw load folders a reader can no longer need: per table,
         every audited load older than the newest ``keep_loads``, and any
-        unaudited leftover older than the newest audited load (a load still
-        being written has an id above every audited one and is kept).
+        unaudited leftover older than the newest audited load.  A load that a
+        lander has reserved and not given back is being written and is kept,
+        until the reservation is older than ``grace_seconds``: then the lander
+        counts as dead, and its commit is refused should it come back.
         Returns the deleted paths."""
-        from unilake.session import delete_path
+        now = self.clock()
+        writing = set()
+        done = {r["load_id"] for r in self.audit().select("load_id").distinct().collect()}
+        for lid in self.reserved_ids():
+            text = read_text(self.spark, self.reservation_path(lid))
+            age = (now - dt.datetime.fromisoformat(json.loads(text)["at"])).total_seconds() if text else 0
+            if lid not in done and age <= grace_seconds:
+                writing.add(lid)
+            elif lid < max(done, default=0):   # the newest id stays taken
+                delete_path(self.spark, self.reservation_path(lid))
         audited: dict[str, list[int]] = {}
         for r in self.audit().where(F.col("status") == "loaded") \
                 .select("raw_table", "load_id").distinct().collect():
@@ -233,7 +316,7 @@ class Lake:
                 if not (is_dir and entry.startswith("load_id=")):
                     continue
                 lid = int(entry.split("=", 1)[1])
-                if lid in keep or lid > newest:
+                if lid in keep or lid in writing or lid > newest:
                     continue
                 path = self.raw_path(name, lid)
                 delete_path(self.spark, path)
@@ -250,43 +333,33 @@ class Lake:
         return self.spark.read.parquet(self.raw_path(raw_name, load_id))
 
     # --- landing -------------------------------------------------------------
-    def land(self, source: str, tables: Mapping[str, DataFrame] | str,
-             load_id: int | None = None, ignore: str = DEFAULT_IGNORE) -> dict[str, int]:
+    def land(self, source: str, tables: Mapping[str, DataFrame] | str, load_id: int | None = None,
+             ignore: str = DEFAULT_IGNORE, **options) -> dict[str, int]:
         """Land every table of one source as a new load; returns {key: rows}.
 
         ``tables`` is name -> DataFrame, the root folder of the source (each
         child dataset is a table) or ``'catalog:<database>'`` (each table of
         that database).  A missing source is logged and recorded
-        (``status='missing'``); nothing is raised.
+        (``status='missing'``); nothing is raised.  ``options``: see
+        :meth:`land_many`.
         """
-        return self.land_many({source: tables}, load_id=load_id, ignore=ignore)
+        return self.land_many({source: tables}, load_id=load_id, ignore=ignore, **options)
 
-    def land_many(self, sources: Mapping[str, Mapping[str, DataFrame] | str],
-                  load_id: int | None = None, ignore: str = DEFAULT_IGNORE) -> dict[str, int]:
-        """Land several sources as ONE load id, with one audit commit at the end."""
-        self.ensure_namespace(RAW_LAYER)
-        if load_id is None:
-            load_id = self.next_load_id()
-        elif self.audit().where(F.col("load_id") == load_id).limit(1).count():
-            raise ValueError(f"load {load_id} is already committed; loads are never rewritten")
-        landed_at = dt.datetime.now(dt.timezone.utc)
-        results: dict[str, int] = {}
-        audit_rows = []
-        writes: list[tuple[str, str, DataFrame]] = []
+    def _opened(self, sources, ignore: str) -> tuple[list[tuple[str, str, DataFrame]], list[tuple[str, str]]]:
+        """(source, table, frame) of every table, and the sources that are missing."""
+        writes, missing = [], []
         for source, tables in sources.items():
             if isinstance(tables, str) and tables.startswith(CATALOG_PREFIX):
                 db = tables[len(CATALOG_PREFIX):]
                 if not self.spark.catalog.databaseExists(db):
                     log.error("source %s: database %s not found; skipped", source, db)
-                    audit_rows.append((f"{RAW_LAYER}.{raw_table_name(source, '*')}", source, "*",
-                                       load_id, None, "missing", landed_at, tables))
+                    missing.append((source, tables))
                     continue
                 tables = read_catalog_source(self.spark, db, ignore)
             elif isinstance(tables, str):
                 if not path_exists(self.spark, tables):
                     log.error("source %s not found at %s; skipped", source, tables)
-                    audit_rows.append((f"{RAW_LAYER}.{raw_table_name(source, '*')}", source, "*",
-                                       load_id, None, "missing", landed_at, tables))
+                    missing.append((source, tables))
                     continue
                 tables = read_source(self.spark, tables, ignore)
             writes += [(source, table, df) for table, df in tables.items()]
@@ -294,33 +367,90 @@ class Lake:
         twice = sorted({n for n in names if names.count(n) > 1})
         if twice:   # before anything is written
             raise ValueError(f"several tables would land as {', '.join(twice)}")
+        return writes, missing
+
+    def _write(self, name: str, df: DataFrame, load_id: int) -> int:
+        """Write one table of a load; its rows, counted on the write and again
+        from the footers."""
+        path = self.raw_path(name, load_id)
+        obs = Observation(f"land_{name}_{load_id}_{uuid.uuid4().hex[:8]}")
+        # the load id is not audited, so whatever sits at this path is the
+        # invisible leftover of an interrupted load: replace it
+        nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"), *nulls)
+           .write.mode("overwrite").parquet(path))
+        write_text_atomic(self.spark, f"{path}/_nulls.json", json.dumps(
+            {c: int(obs.get[f"n{i}"]) for i, c in enumerate(df.columns)}))
+        write_text_atomic(self.spark, f"{path}/_schema.json", df.schema.json())
+        return int(obs.get["rows"])
+
+    def _commit(self, load_id: int, token: str, rows: list[tuple]) -> None:
+        """Make a load visible: its audit rows, moved in as one finished file.
+        (Appends side by side into one folder would delete each other's
+        temporary files.)"""
+        part = fresh_dir(self.spark, "audit")
+        self.spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.parquet(part)
+        file = next(n for n, _ in list_dir(self.spark, part) if n.endswith(".parquet"))
+        if not self.holds(load_id, token):
+            raise FileExistsError(f"load {load_id} was given to another lander")
+        move_into(self.spark, f"{part}/{file}", f"{self.audit_path}/part-{load_id:09d}-{token}.parquet")
+        delete_path(self.spark, part)
 
-        def write(item: tuple[str, str, DataFrame]) -> int:
+    def land_many(self, sources: Mapping[str, Mapping[str, DataFrame] | str],
+                  load_id: int | None = None, ignore: str = DEFAULT_IGNORE,
+                  drift: DriftPolicy = AS_LANDED, expected: Mapping[str, StructType] | None = None,
+                  take_over: bool = False) -> dict[str, int]:
+        """Land several sources as ONE load id, with one audit commit at the end.
+
+        ``drift`` says what happens to columns unlike the table's ``expected``
+        schema (by raw table name) or, without one, that of its newest load.
+        Other landers may run at the same time.  ``take_over``: a given
+        ``load_id`` that a dead lander has reserved is taken from it.
+        """
+        self.ensure_namespace(RAW_LAYER)
+        load_id, token = self.reserve(load_id, take_over)
+        try:
+            return self._land(load_id, token, *self._opened(sources, ignore), drift, expected or {})
+        except BaseException:   # nothing was audited: the id is free again
+            if self.holds(load_id, token):
+                delete_path(self.spark, self.reservation_path(load_id))
+            raise
+
+    def _land(self, load_id: int, token: str, writes, missing, policy: DriftPolicy,
+              expected: Mapping[str, StructType]) -> dict[str, int]:
+        landed_at = self.clock()
+        rows = [(f"{RAW_LAYER}.{raw_table_name(source, '*')}", source, "*", load_id, None, "missing", landed_at,
+                 where, None) for source, where in missing]
+
+        def write(item: tuple[str, str, DataFrame]) -> tuple[int | None, Drift]:
             source, table, df = item
             name = raw_table_name(source, table)
-            obs = Observation(f"land_{name}_{load_id}_{uuid.uuid4().hex[:8]}")
-            # the load id is not audited, so whatever sits at this path is the
-            # invisible leftover of an interrupted load: replace it
-            nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
-            (df.observe(obs, F.count(F.lit(1)).alias("rows"), *nulls)
-               .write.mode("overwrite").parquet(self.raw_path(name, load_id)))
-            write_text_atomic(self.spark, f"{self.raw_path(name, load_id)}/_nulls.json", json.dumps(
-                {c: int(obs.get[f"n{i}"]) for i, c in enumerate(df.columns)}))
-            return int(obs.get["rows"])
+            known = expected.get(name) or self.known_schema(name)
+            found = compare(known, df.schema, policy)
+            if found.rejected:
+                log.error("%s load %d rejected: %s", name, load_id, found.text)
+                return None, found
+            return self._write(name, reconciled(df, found), load_id), found
 
         # tables are independent jobs: submit a few at once (any failure raises
         # here, before the audit commit, so a partial load never becomes visible)
         with ThreadPoolExecutor(max_workers=max(1, min(self.parallelism, len(writes)))) as pool:
-            counts = list(pool.map(write, writes))
-        for (source, table, _df), rows in zip(writes, counts):
-            name = raw_table_name(source, table)
-            results[result_key(source, table)] = rows
-            audit_rows.append((result_key(source, table), source, table, load_id, rows,
-                               "loaded", landed_at, self.raw_path(name, load_id)))
-            log.info("landed %s load %d: %d rows", name, load_id, rows)
-        if audit_rows:
-            (self.spark.createDataFrame(audit_rows, AUDIT_SCHEMA).coalesce(1)
-             .write.mode("append").parquet(self.audit_path))
+            done = list(pool.map(write, writes))
+            results: dict[str, int] = {}
+            checked: list[tuple[str, int]] = []
+            for (source, table, _df), (count, found) in zip(writes, done):
+                name, key = raw_table_name(source, table), result_key(source, table)
+                path = self.raw_path(name, load_id) if count is not None else None
+                rows.append((key, source, table, load_id, count, "loaded" if count is not None else "rejected",
+                             landed_at, path, found.text))
+                if count is not None:
+                    results[key] = count
+                    checked.append((path, count))
+            for (path, count), stored in zip(checked, pool.map(self.footer_rows, [p for p, _ in checked])):
+                if stored != count:
+                    raise LoadCountError(f"{path}: {count} rows were written, the files hold {stored}")
+        if rows:
+            self._commit(load_id, token, rows)
             self.register_raw_views()   # readers of the views see the load at once
         log.info("raw load %d complete: %d tables", load_id, len(results))
         return results

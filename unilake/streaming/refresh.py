@@ -119,7 +119,8 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
                          trigger: str | None = None, gate: bool = True,
                          query_name: str | None = None,
                          on_gate_failure: str = "record",
-                         lenient_dates: bool = False) -> StreamingQuery:
+                         lenient_dates: bool = False, by_deadline: bool = False,
+                         ledger: bool = False) -> StreamingQuery:
     """Start the refresh stream over the lake's load audit.
 
     ``trigger`` defaults to half the models' tightest ``target_lag``: a load
@@ -130,6 +131,12 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
     ``on_gate_failure='record'`` the failure goes to :func:`refresh_log` and
     the stream keeps serving the other models (the failing one stays on its
     previous state and shows up as stale), with ``'raise'`` the stream stops.
+
+    ``by_deadline``: a micro-batch stays open while its loads may still wait
+    (see :mod:`unilake.streaming.schedule`), so loads that land in the meantime
+    are published together; a driver lost while it waits replays the batch.
+    ``ledger``: seconds from landing to publication are entered after each
+    micro-batch (see :mod:`unilake.streaming.freshness`).
     """
     spark = lake.spark
     ms = [UNIFIED[m] if isinstance(m, str) else m for m in (models or UNIFIED.values())]
@@ -143,6 +150,16 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
         # The batch is audit rows: one per landed table, a handful per load.
         tables = [r["raw_table"].split(".", 1)[1] for r in
                   batch.where(F.col("status") == "loaded").select("raw_table").distinct().collect()]
+        def failed(m: UnifiedModel, exc: BaseException) -> None:
+            """A bad load of one model must not stop the others."""
+            if on_gate_failure == "raise":
+                raise exc
+            log.error("refresh epoch %d: %s not published: %s", epoch_id, m.name, exc)
+            kind = "gate_failed" if isinstance(exc, QualityGateError) else "failed"
+            now = dt.datetime.now(dt.timezone.utc)
+            (spark.createDataFrame([(m.name, epoch_id, kind, str(exc), now)], REFRESH_LOG_SCHEMA)
+             .coalesce(1).write.mode("append").parquet(f"{lake.root}/_refresh_log"))
+
         def refresh_one(m: UnifiedModel) -> None:
             status = staleness(publisher, m)
             if not needs_refresh(status, m.target_lag):
@@ -151,21 +168,20 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
                 log.warning("refresh epoch %d: %s is past its target lag", epoch_id, m.name)
             try:
                 res = publisher.publish(m, gate=gate)
-            except Exception as exc:  # a bad load of one model must not stop the others
-                if on_gate_failure == "raise":
-                    raise
-                log.error("refresh epoch %d: %s not published: %s", epoch_id, m.name, exc)
-                kind = "gate_failed" if isinstance(exc, QualityGateError) else "failed"
-                now = dt.datetime.now(dt.timezone.utc)
-                (spark.createDataFrame([(m.name, epoch_id, kind, str(exc), now)],
-                                       REFRESH_LOG_SCHEMA)
-                 .coalesce(1).write.mode("append").parquet(f"{lake.root}/_refresh_log"))
+            except Exception as exc:
+                failed(m, exc)
                 return
             log.info("refresh epoch %d: %s -> epoch %d (rebuilt %s)", epoch_id, m.name,
                      res.epoch, res.rebuilt)
 
         due = models_fed_by(tables, ms)
-        if due:   # models are independent: publish them side by side
+        if due and by_deadline:   # all models: a tighter one may get a load meanwhile
+            from unilake.streaming.schedule import refresh_by_deadline
+            by = {m.name: m for m in ms}
+            for item in refresh_by_deadline(publisher, ms, gate=gate):
+                if item.error is not None:
+                    failed(by[item.model], item.error)
+        elif due:   # models are independent: publish them side by side
             with ThreadPoolExecutor(max_workers=len(due)) as pool:
                 list(pool.map(refresh_one, due))
 
@@ -180,4 +196,11 @@ def start_stream_refresh(lake: Lake, models: Sequence[UnifiedModel | str] | None
             bound = min(parse_lag(m.target_lag) for m in ms)
             trigger = f"{max(1, int(bound // 2))} seconds"
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    if not ledger:
+        return writer.start()
+    from unilake.streaming.freshness import FreshnessListener
+    listener = FreshnessListener(publisher, ms)
+    spark.streams.addListener(listener)
+    query = writer.start()
+    listener.query_id = str(query.id)
+    return query
