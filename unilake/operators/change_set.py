@@ -57,21 +57,22 @@ def change_set(old: DataFrame, new: DataFrame, key: Sequence[str],
     size_shuffles(new.sparkSession, old, new)
     u = side(old, 0).unionByName(side(new, 1))
 
-    def balance(h):   # new minus old; 0 for equal multisets
-        h = h.cast("decimal(20,0)")
-        return F.sum(F.when(F.col("_is_new"), h).otherwise(-h))
+    def balance(h):
+        """New minus old, 0 for equal multisets: the halves of the hash summed as
+        longs, which 2**31 rows of a key can't overflow."""
+        sign = F.when(F.col("_is_new"), F.lit(1)).otherwise(F.lit(-1)).cast("long")
+        return [F.sum(sign * F.shiftrightunsigned(h, 32)), F.sum(sign * h.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))]
 
     is_new = F.col("_is_new")
     aggs = [
         F.count(F.lit(1)).alias("_n"),
         F.count_if(is_new).alias("_n_new"),
-        balance(F.col("_h")).alias("_sum1"),
-        balance(F.xxhash64("_h")).alias("_sum2"),
+        *[x.alias(f"_sum{i}") for i, x in enumerate(balance(F.col("_h")) + balance(F.xxhash64("_h")))],
     ]
     if payload:
         aggs.append(F.max("_row").alias("new_row"))   # the largest, should a key repeat
     g = u.groupBy(*key).agg(*aggs).withColumn("_n_old", F.col("_n") - F.col("_n_new"))
-    same = (F.col("_n_old") == F.col("_n_new")) & (F.col("_sum1") == 0) & (F.col("_sum2") == 0)
+    same = (F.col("_n_old") == F.col("_n_new")) & F.expr(" and ".join(f"_sum{i} = 0" for i in range(4)))
     change = (F.when(F.col("_n_old") == 0, F.lit("insert"))
               .when(F.col("_n_new") == 0, F.lit("delete"))
               .when(same, F.lit("unchanged"))

@@ -31,6 +31,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from unilake.functions.exprs import date_rejects, row_hash
 from unilake.operators import quality
@@ -389,21 +390,26 @@ class Publisher:
         return PublishResult(m.name, epoch, versions, rebuilt, report, rejects)
 
 
-def published_changes(publisher: Publisher, model: UnifiedModel | str,
-                      from_epoch: int, to_epoch: int | None = None) -> DataFrame:
+def published_changes(publisher: Publisher, model: UnifiedModel | str, from_epoch: int,
+                      to_epoch: int | None = None, payload: bool = False) -> DataFrame:
     """Inserts / updates / deletes between two published epochs of a model.
 
     Versions are immutable per source, so a source whose version did not
     change between the epochs has no changes and is not read at all; only
     the changed sources are diffed (each with one grouping shuffle).  The
-    key hashes the source tag, so per-source diffs never overlap.
+    key hashes the source tag, so per-source diffs never overlap.  Epoch 0 is
+    the empty state before the first.  ``payload`` adds ``new_row``, the whole
+    new row of inserts and updates; only changed rows' content is moved for it.
     """
     from unilake.operators.change_set import change_set
     m = UNIFIED[model] if isinstance(model, str) else model
     old = publisher.pointer(m, from_epoch).versions
     new = publisher.pointer(m, to_epoch).versions
+    names = [f.name for f in m.schema.fields]
     compare = [c for c in m.content_columns if c not in (m.key_name, m.source_column)]
     key = [m.source_column, m.key_name]
+    row = F.struct(*names).alias("new_row")
+    nothing = F.lit(None).cast(m.schema).alias("new_row")
     parts = []
     for b in m.branches:
         s = b.source_system
@@ -411,15 +417,20 @@ def published_changes(publisher: Publisher, model: UnifiedModel | str,
             continue
         o = publisher.read_versions(m, {s: old[s]}, with_hash=True) if s in old else None
         n = publisher.read_versions(m, {s: new[s]}, with_hash=True) if s in new else None
-        if o is None:
-            parts.append(n.select(*key, F.lit("insert").alias("change_type")))
-        elif n is None:
-            parts.append(o.select(*key, F.lit("delete").alias("change_type")))
+        if o is None or n is None:
+            kind, side = ("insert", n) if o is None else ("delete", o)
+            part = side.select(*key, F.lit(kind).alias("change_type"),
+                               *([row if o is None else nothing] if payload else []))
         else:   # stored hashes: only key + hash columns are read
-            parts.append(change_set(o, n, key, compare, hash_column=ROW_HASH_COLUMN))
+            part = change_set(o, n, key, compare, hash_column=ROW_HASH_COLUMN)
+            if payload:
+                part = part.join(n.select(m.key_name, row), m.key_name, "left").select(
+                    *key, "change_type", "new_row")
+        parts.append(part)
     if not parts:
-        return publisher.spark.createDataFrame(
-            [], f"{m.source_column} string, {m.key_name} string, change_type string")
+        empty = T.StructType([m.schema[m.source_column], m.schema[m.key_name], T.StructField("change_type", T.StringType()),
+                              *([T.StructField("new_row", m.schema)] if payload else [])])
+        return publisher.spark.createDataFrame([], empty)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

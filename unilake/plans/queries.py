@@ -300,12 +300,15 @@ def describe_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _contract_sql() -> str:
     from unilake.operators.report import sql_type
     from unilake.plans.models import RAW_CONTRACTS
+    contracts = RAW_CONTRACTS | {n: m.schema for n, m in UNIFIED.items()}
     expected, actual, nulls = [], [], []
-    for t, schema in RAW_CONTRACTS.items():
+    for t, schema in contracts.items():
         expected += [f"('{t}', '{f.name}', '{sql_type(f.dataType)}')" for f in schema.fields]
-        actual.append(f"select '{t}' as table_name, column_name, column_type from (describe select * from {t})")
+        rows = f"select * from {t}" if t in RAW_CONTRACTS else f"select *, current_timestamp as loaded_at from {t}"
+        actual.append(f"select '{t}' as table_name, column_name, column_type from (describe {rows})")
+        # NULLs are observed on landings only
         nulls += [f"select '{t}' as table_name, '{f.name}' as column_name, count(*) - count({f.name}) as null_count "
-                  f"from {t}" for f in schema.fields]
+                  f"from {t}" for f in schema.fields if t in RAW_CONTRACTS]
     final = """
         select coalesce(e.table_name, a.table_name) as table_name,
                coalesce(e.column_name, a.column_name) as column_name,
@@ -317,7 +320,7 @@ def _contract_sql() -> str:
         from expected e full outer join actual a
           on e.table_name = a.table_name and e.column_name = a.column_name
         left join nulls n on n.table_name = a.table_name and n.column_name = a.column_name"""
-    return with_models(final, list(RAW_CONTRACTS), extra=[
+    return with_models(final, list(contracts), extra=[
         ("expected", f"select * from (values {', '.join(expected)}) "
                      f"v(table_name, column_name, expected_type)"),
         ("actual", " union all ".join(actual)), ("nulls", " union all ".join(nulls)),
@@ -326,14 +329,20 @@ def _contract_sql() -> str:
 
 @register("contract_check", _contract_sql())
 def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land every source, then hold the landed files' schemas against the
-    declared contracts, with the NULLs per column observed on the writes."""
+    """Land every source and publish every model, then hold the landed files'
+    and the published versions' schemas against the declared contracts, with
+    the landed NULLs per column observed on the writes."""
     from unilake.operators.report import contract_check as check
+    from unilake.plans.layers import Publisher
     from unilake.plans.models import RAW_CONTRACTS
     lake = _new_lake(spark)
     lake.land_many(_raw_sources(spark, sf_dir))
+    pub = Publisher(lake)
+    for n in UNIFIED:
+        pub.publish(n)
     return check(spark, [(t, lake.read_raw(t).schema, schema, lake.null_counts(t))
-                         for t, schema in RAW_CONTRACTS.items()])
+                         for t, schema in RAW_CONTRACTS.items()]
+                 + [(n, pub.read(n).schema, m.schema) for n, m in UNIFIED.items()])
 
 
 # --- landing (S2, S5, S7-S9) -------------------------------------------------------
@@ -374,6 +383,91 @@ def full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_raw("raw_sales__lineitem")
 
 
+def _race_snapshots(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from unilake.sources import adapters
+    li = adapters.read_table(spark, sf_dir, "lineitem")
+    return {"all": li, "open": li.where("l_linestatus = 'O'"), "returned": li.where("l_returnflag = 'R'")}
+
+
+_RACE = " union all ".join(
+    f"""select '{tag}' as lander, cast(1 as bigint) as loads, count(*) as audited_rows, count(*) as stored_rows,
+               coalesce(sum(l_orderkey), 0) as key_sum, cast(0 as bigint) as foreign_rows
+        from lineitem where {cond}"""
+    for tag, cond in (("all", "true"), ("open", "l_linestatus = 'O'"), ("returned", "l_returnflag = 'R'")))
+
+
+@register("land_race", _RACE)
+def land_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landers land snapshots of one table at once: each keeps one load id
+    and exactly its own rows, and the newest id's lander is what readers see."""
+    import threading
+    from concurrent.futures import ThreadPoolExecutor
+    from unilake.sources.landing import Lake
+    lake = _new_lake(spark)
+    snapshots = _race_snapshots(spark, sf_dir)
+    together = threading.Barrier(len(snapshots))
+
+    def land(tag: str) -> None:
+        own = Lake(spark, lake.root, namespace=lake.namespace)
+        rows = snapshots[tag].withColumn("lander", F.lit(tag))
+        together.wait()
+        own.land("sales", {"lineitem": rows})
+
+    with ThreadPoolExecutor(len(snapshots)) as pool:
+        list(pool.map(land, snapshots))
+    parts = []
+    for r in lake.audit().collect():   # one row per lander
+        rows = lake.read_raw("raw_sales__lineitem", r["load_id"])
+        parts.append(rows.agg(
+            F.min("lander").alias("lander"), F.lit(1).cast("long").alias("loads"), F.lit(r["row_count"]).alias("audited_rows"),
+            F.count(F.lit(1)).alias("stored_rows"), F.coalesce(F.sum("l_orderkey"), F.lit(0)).alias("key_sum"),
+            F.count_if(F.col("lander") != F.lit(rows.first()["lander"])).alias("foreign_rows")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("schema_drift", """
+    select * from (values
+        ('as_landed', 'loaded', 'extra:note', 'bigint,bigint,string,double,timestamp_ntz,string,string'),
+        ('widened', 'loaded', 'widened:o_orderkey bigint -> decimal(24,2)',
+         'decimal(24,2),bigint,string,double,timestamp_ntz,string'),
+        ('missing', 'loaded', 'missing:o_orderpriority', 'bigint,bigint,string,double,timestamp_ntz,string'),
+        ('clash_text', 'loaded', 'clash:o_totalprice double -> string', 'bigint,bigint,string,string,timestamp_ntz,string'),
+        ('clash_rejected', 'rejected', 'clash:o_totalprice double -> string',
+         'bigint,bigint,string,double,timestamp_ntz,string')) v(drift_case, status, drift, current_types)
+    cross join (select count(*) as current_rows, sum(o_orderkey) as key_sum from orders)""")
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land orders, then a drifted copy, under each policy: the audited status and
+    drift, and the types and rows of the load that is current afterwards."""
+    from unilake.sources import adapters
+    from unilake.sources.drift import AS_LANDED, RECONCILE, DriftPolicy
+    raw = adapters.raw_frames(spark, sf_dir, {"raw_sales__orders"})["raw_sales__orders"]
+    text = raw.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    cases = {
+        "as_landed": (AS_LANDED, raw.withColumn("note", F.lit("x"))),
+        "widened": (RECONCILE, raw.withColumn("o_orderkey", F.col("o_orderkey").cast("decimal(24,2)"))),
+        "missing": (RECONCILE, raw.drop("o_orderpriority")),
+        "clash_text": (DriftPolicy(clash="text"), text),
+        "clash_rejected": (RECONCILE, text)}
+    parts = []
+    for case, (policy, second) in cases.items():
+        lake = _new_lake(spark)
+        lake.land("sales", {"orders": raw})
+        lake.land("sales", {"orders": second}, drift=policy)
+        last = lake.audit().where("load_id = 2").first()
+        now = lake.read_raw("raw_sales__orders")
+        parts.append(now.agg(F.count(F.lit(1)).alias("current_rows"), F.sum(F.col("o_orderkey").cast("long")).alias("key_sum"))
+                     .select(F.lit(case).alias("drift_case"), F.lit(last["status"]).alias("status"),
+                             F.lit(last["drift"]).alias("drift"), F.lit(",".join(t for _, t in now.dtypes)).alias("current_types"),
+                             "current_rows", "key_sum"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # --- refresh (R1-R4) -----------------------------------------------------------------
 
 @register("snapshot_refresh", with_models("select * from int_unified_customers",
@@ -413,6 +507,106 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Publisher(lake).read("int_unified_activity").drop("loaded_at")
 
 
+# fixed values: seconds at which loads land, and how long a refresh takes
+_LANDINGS, _BUILD_SECONDS = (0, 20, 200), 5.0
+
+
+@register("refresh_schedule", with_models("""
+    select v.build, v.loads, v.waited, false as late, p.published_rows, p.active_rows
+    from (values (1, cast(2 as bigint), true), (2, cast(1 as bigint), true)) v(build, loads, waited)
+    cross join (select count(*) as published_rows, count(*) filter (where status = 'active') as active_rows
+                from int_unified_customers) p""", ["int_unified_customers"]))
+def refresh_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of the customer sources under a clock of the query's own, 0, 20
+    and 200 seconds after the start: the first two are published together
+    shortly before the first one's deadline, the third one by itself."""
+    import datetime as dt
+    from unilake.plans.layers import Publisher
+    from unilake.sources import adapters
+    from unilake.streaming.schedule import Scheduler, Waiting, waiting_models
+    begin = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    now = [0.0]
+    lake = _new_lake(spark)
+    lake.clock = lambda: begin + dt.timedelta(seconds=now[0])
+    a, b = adapters.a_contacts(spark, sf_dir), adapters.b_customers(spark, sf_dir)
+    todo = [(_LANDINGS[0], {"a": {"contacts": a}, "b": {"customers": b.withColumn("status", F.lit("active"))}}),
+            (_LANDINGS[1], {"b": {"customers": b}}), (_LANDINGS[2], {"a": {"contacts": a}, "b": {"customers": b}})]
+    model = UNIFIED["int_unified_customers"]
+    pub, published, known = Publisher(lake), [], {}
+
+    def land() -> None:
+        while todo and todo[0][0] <= now[0]:
+            lake.land_many(todo.pop(0)[1])
+
+    def waiting() -> list[Waiting]:
+        state = (len(todo), len(published))
+        if state not in known:   # the audit has not changed since
+            known[state] = [Waiting(w.model, w.since, w.lag, _BUILD_SECONDS, w.loads, w.newest)
+                            for w in waiting_models(pub, [model])]
+        return known[state]
+
+    def refresh(name: str) -> None:
+        published.append(pub.publish(name).epoch)
+
+    class Simulated:   # a refresh ends _BUILD_SECONDS after its start
+        def start(self, work):
+            work()
+            return now[0] + _BUILD_SECONDS
+
+        done = staticmethod(lambda end: now[0] >= end)
+        error = staticmethod(lambda end: None)
+
+    def sleep(seconds: float) -> None:
+        now[0] += seconds
+        land()
+
+    land()
+    schedule = Scheduler(waiting, refresh, 1, 1.0, lake.clock, sleep, Simulated())
+    schedule.run()
+    sleep(_LANDINGS[2] - now[0])
+    schedule.run()
+    parts = []
+    for epoch, r in zip(published, schedule.done, strict=True):
+        rows = pub.read_versions(model, pub.pointer(model, epoch).versions)
+        waited = r.deadline - r.started <= dt.timedelta(seconds=_BUILD_SECONDS + 2)
+        parts.append(rows.agg(F.count(F.lit(1)).alias("published_rows"), F.count_if(F.col("status") == "active").alias("active_rows"))
+                     .select(F.lit(epoch).alias("build"), F.lit(r.loads).cast("long").alias("loads"), F.lit(waited).alias("waited"),
+                             F.lit(r.late).alias("late"), "published_rows", "active_rows"))
+    return parts[0].unionByName(parts[1])
+
+
+@register("freshness_ledger", with_models(" union all ".join(
+    f"select '{m}' as model, cast({e} as bigint) as epoch, '{s}' as source, cast({e} as bigint) as load_id, "
+    f"count(*) as row_count, true as within_lag, true as measured from {t}"
+    for m, s, t, epochs in (("int_unified_activity", "orders", "raw_sales__orders", (1, 2)),
+                            ("int_unified_activity", "lineitem", "raw_sales__lineitem", (1,)),
+                            ("int_unified_activity", "events", "raw_web__events", (1,)))
+    for e in epochs), ["raw_sales__orders", "raw_sales__lineitem", "raw_web__events"]))
+def freshness_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the activity sources, then orders once more; the refresh stream
+    publishes each load and its listener enters the seconds from landing to
+    publication.  Every entry must lie within the model's target lag."""
+    from unilake.plans.layers import Publisher
+    from unilake.sources.adapters import source_registry
+    from unilake.streaming.freshness import freshness_ledger as ledger
+    from unilake.streaming.freshness import record_freshness
+    from unilake.streaming.refresh import start_stream_refresh
+    lake = _new_lake(spark)
+    sources = source_registry(spark, sf_dir, only={"sales", "web"})
+    for load in (sources, {"sales": {"orders": sources["sales"]["orders"]}}):
+        lake.land_many(load)
+        start_stream_refresh(lake, ["int_unified_activity"], available_now=True, on_gate_failure="raise",
+                             ledger=True).awaitTermination()
+    # the listener is told of a batch some time after it; an epoch is entered once
+    record_freshness(Publisher(lake), [UNIFIED["int_unified_activity"]])
+    rows = ledger(lake)
+    late = rows.where("not within_lag").count()
+    if late:
+        raise RuntimeError(f"{late} loads were published past the target lag")
+    return rows.select("model", "epoch", "source", "load_id", "row_count", "within_lag",
+                       (F.col("seconds") > 0).alias("measured"))
+
+
 # --- change set (R3b) ----------------------------------------------------------------
 
 # fixed values: the earlier snapshot ends before these dates (per source family)
@@ -588,3 +782,29 @@ def published_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.land("b", {"customers": b_now})
     second = pub.publish("int_unified_customers").epoch
     return diff(pub, "int_unified_customers", first, second)
+
+
+@register("change_feed", with_models(
+    "select *, cast(3 as bigint) as epochs from int_unified_customers", ["int_unified_customers"]))
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish three epochs of the customer model (b short and stale, b without
+    one nation, everything) and rebuild the model from the change feed alone."""
+    from unilake.plans.layers import Publisher
+    from unilake.session import fresh_dir
+    from unilake.sources import adapters
+    from unilake.streaming.feed import read_change_log, read_copy, start_change_log, start_copy
+    lake = _new_lake(spark)
+    a, b = adapters.a_contacts(spark, sf_dir), adapters.b_customers(spark, sf_dir)
+    model, pub = "int_unified_customers", Publisher(lake)
+    copy, log = fresh_dir(spark, "copy"), fresh_dir(spark, "changes")
+    lake.land_many({"a": {"contacts": a}, "b": {"customers": b.where("organization <> 'nation-0'")
+                                                .withColumn("status", F.lit("active"))}})
+    pub.publish(model)
+    start_copy(pub, model, copy, available_now=True).awaitTermination()
+    for rows in (b.where("organization <> 'nation-1'"), b):
+        lake.land("b", {"customers": rows})
+        pub.publish(model)
+    start_copy(pub, model, copy, available_now=True).awaitTermination()   # goes on after epoch 1
+    start_change_log(pub, model, log, available_now=True).awaitTermination()
+    epochs = read_change_log(pub, log).agg(F.count_distinct("epoch")).first()[0]
+    return read_copy(pub, copy).drop("loaded_at").withColumn("epochs", F.lit(epochs).cast("long"))
