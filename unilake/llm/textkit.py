@@ -71,8 +71,12 @@ def word_spans(data: np.ndarray, off: np.ndarray, word: np.ndarray) -> tuple[np.
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (ascending, not overlapping)."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each byte span (ascending, not overlapping).
+
+    Positions weigh powers of one number; with a ``seed`` they weigh numbers of
+    their own, which gives an independent hash of the same spans.
+    """
     out = np.empty(len(starts), dtype=U)
     i = 0
     while i < len(starts):
@@ -83,9 +87,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         first = np.cumsum(lens) - lens
         pos = np.arange(int(lens.sum())) - np.repeat(first, lens)
         part = data[np.repeat(s, lens) + pos].astype(U) + U(1)
-        power = np.full(int(lens.max()), U(_P))
-        power[0] = U(1)
-        power = np.multiply.accumulate(power)
+        if seed:
+            power = mix64(np.arange(int(lens.max())).astype(U) + U(seed) * U(_MIX[1]))
+        else:
+            power = np.full(int(lens.max()), U(_P))
+            power[0] = U(1)
+            power = np.multiply.accumulate(power)
         out[i:j] = mix64(np.add.reduceat(part * power[pos], first)
                          + lens.astype(U) * _POS[6])
         i = j
