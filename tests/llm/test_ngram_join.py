@@ -2,10 +2,13 @@
 
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from unilake.llm import ngram_join, setkit
+from unilake.llm.rtree import Roots
 from tests.llm.conftest import SF
 
 
@@ -90,6 +93,72 @@ def test_hot_group_of_near_copies(make_docs, monkeypatch):
     assert out == brute(rows)
 
 
+def by_row(rows):
+    """n and component of every row: rows linked by words or by their doc_id."""
+    sets = [shingles(t) for _, t in rows]
+    comp = list(range(len(rows)))
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            if x and y and (100 * len(x & y) >= 75 * len(x | y) or rows[a][0] is not None and rows[a][0] == rows[b][0]):
+                comp[max(find(a), find(b))] = min(find(a), find(b))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return [(i, len(sets[k]), least.get(find(k)) if sets[k] else i, find(k)) for k, (i, _) in enumerate(rows)]
+
+
+def odd_ids():
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(500)]
+    texts = [" ".join(rng.choices(vocab, k=40)) for _ in range(12)]
+    near = lambda t: t + " " + rng.choice(vocab)
+    return [(None, texts[0]), (None, near(texts[0])), (2, texts[1]), (4, near(texts[1])), (None, near(texts[1])),
+            (7, texts[2]), (7, texts[3]), (8, near(texts[3])), (9, near(texts[2])), (None, texts[4]), (None, texts[4]),
+            (10, texts[5]), (10, texts[5]), (11, None), (11, texts[6]), (None, None), (12, ""), (13, texts[7]), (13, texts[7])]
+
+
+@pytest.mark.parametrize("task_tokens", [1 << 22, 60])
+def test_null_and_repeated_ids(make_docs, monkeypatch, task_tokens):
+    monkeypatch.setattr(ngram_join, "TASK_TOKENS", task_tokens)
+    rows = odd_ids()
+    out = ngram_join.near_duplicates(make_docs(rows).repartition(4)).collect()
+    assert Counter(tuple(r) for r in out) == Counter(r[:3] for r in by_row(rows))
+
+
+def test_keep_one(make_docs):
+    from pyspark.sql import functions as F
+    rows = odd_ids()
+    df = make_docs(rows).withColumn("node", F.lit(1)).withColumn("_gone_id", F.lit("x")).withColumn("first", F.lit(2))
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    out = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups = {}
+    for (i, t), (_, n, _, g) in zip(rows, by_row(rows), strict=True):
+        if n:
+            groups.setdefault(g, set()).add((i, t))
+    for members in groups.values():   # one document of each group, with the smallest id
+        stay = {r for r in out if r in members}
+        assert len(stay) == 1
+        assert (next(iter(stay))[0] is None) == all(i is None for i, _ in members)
+        assert next(iter(stay))[0] == min((i for i, _ in members if i is not None), default=None)
+    assert Counter(r for r in out if not shingles(r[1])) == Counter(r for r in rows if not shingles(r[1]))
+
+
+def test_union_find_keeps_given_roots():
+    roots = Roots(np.array([5, 7, 5, 9, 7]))
+    assert roots.one(0) == roots.one(2) and roots.one(1) == roots.one(4) and not roots.join(0, 2)
+    assert roots.join(0, 3) and roots.join(3, 4) and not roots.join(1, 2)
+    assert len(set(roots.of(np.arange(5)).tolist())) == 1
+
+
 def test_empty_table_and_clashing_columns(make_docs):
     from pyspark.sql import functions as F
     assert got(ngram_join.near_duplicates(make_docs([]))) == {}

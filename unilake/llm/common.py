@@ -31,6 +31,12 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def bound_batches(spark: SparkSession, size: int = 1 << 24) -> None:
+    """Hand rows to Python workers in Arrow batches of at most about ``size``
+    bytes, whatever their number of rows (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def drop(*tables: DataFrame | None) -> None:
     """Remove tables made by ``cut`` that nothing reads any more."""
     for t in tables:
@@ -51,6 +57,17 @@ def documents(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[df[c] for c in columns])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has such a column (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from unilake.llm.common import cut, documents, lower_ascii
+from unilake.llm.common import cut, documents, free_names, lower_ascii
 
 #: Runs merged into one per round.
 FAN = 8
@@ -71,14 +71,15 @@ def keep_unique(docs: DataFrame) -> DataFrame:
     if gone.isEmpty():
         return docs
     # a doc_id may repeat: of its rows with one text, as many go as were beaten
-    held = rows.groupBy(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")).agg(F.count(F.lit(1)).alias("held"))
-    gone = cut(gone.join(held, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("sha"))).select(
-        "_id", "_sha", (F.col("held") > F.col("copies")).alias("_one")))
+    own, text, one = free_names(docs, "_id", "_sha", "_one")
+    held = rows.groupBy(F.col("doc_id").alias(own), F.col("sha").alias(text)).agg(F.count(F.lit(1)).alias("held"))
+    gone = cut(gone.join(held, F.col(own).eqNullSafe(F.col("doc_id")) & (F.col(text) == F.col("sha"))).select(
+        own, text, (F.col("held") > F.col("copies")).alias(one)))
     sha = F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == sha)
-    out = docs.join(gone.where("not _one"), same, "left_anti")
-    some = gone.where("_one")
+    same = F.col(own).eqNullSafe(F.col("doc_id")) & (F.col(text) == sha)
+    out = docs.join(gone.where(~F.col(one)), same, "left_anti")
+    some = gone.where(one)
     if some.isEmpty():
         return out
-    first = docs.join(some, same).dropDuplicates(["_id", "_sha"]).select(docs.columns)
+    first = docs.join(some, same).dropDuplicates([own, text]).select(docs.columns)
     return out.join(some, same, "left_anti").unionByName(first)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from unilake.llm.common import cut, documents, ranked
+from unilake.llm.common import cut, documents, free_names, ranked
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -160,7 +160,7 @@ def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     ratio = F.col("taken") / F.greatest(F.col("size"), F.lit(1))
     chance = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:copy:"), F.coalesce(
         F.col("doc_id").cast("string"), F.lit("null")))), 1, 8), 16, 10).cast("double") / float(1 << 32)
-    got = got.select(F.col("doc_id").alias("_id"), F.floor(ratio + chance).cast("int").alias("_copies")) \
-        .where("_copies > 0")
-    out = docs.join(got, F.col("_id").eqNullSafe(F.col("doc_id")))
-    return out.withColumn("_copy", F.explode(F.expr("sequence(1, _copies)"))).drop("_id", "_copies", "_copy")
+    own, copies, copy = free_names(docs, "_id", "_copies", "_copy")
+    got = got.select(F.col("doc_id").alias(own), F.floor(ratio + chance).cast("int").alias(copies)).where(F.col(copies) > 0)
+    out = docs.join(got, F.col(own).eqNullSafe(F.col("doc_id")))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(own, copies, copy)

@@ -14,10 +14,16 @@ a Jaccard similarity of 3/4.  Steps:
    points alone, and only the sets of surviving pairs are moved;
 5. union the links into components.
 
+A row is known by its doc_id and a digest of its text, so rows without doc_id and
+rows that repeat one are told apart.
+
 Cases: a null or empty text, or one without words, has an empty set and links
 with nothing; a text of fewer than five words is one shingle; equal rows have
-equal sets and link; ties do not exist (the test is exact in integers); an
-empty table gives an empty result; extra columns are ignored.
+equal sets and link; rows that repeat a doc_id with other words share its
+component; a row without doc_id links like any other, and its component is the
+smallest doc_id reached (null where none of the reached rows has one); ties do
+not exist (the test is exact in integers); an empty table gives an empty result;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm import setkit
-from unilake.llm.common import components, cut, documents
+from unilake.llm.common import components, cut, documents, drop
 from unilake.llm.rtree import count_points, group_number, linked_roots, overlaps, surviving_pairs
 from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
                                  string_bytes, word_spans)
@@ -43,6 +49,7 @@ PAIRS_PER_TASK = 512
 BAND = 1.15
 #: Bands that sizes within 4/3 of each other can lie apart.
 REACH = 3
+_NULL_ID = -(1 << 63)
 
 
 def _shingles(text: pa.Array):
@@ -57,18 +64,24 @@ def _shingles(text: pa.Array):
         yield i, j - i, h, o
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the row's key: id (never null) and dig, a digest of the text."""
+    return documents(docs, "doc_id", "text").select(
+        "doc_id", "text", F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), F.xxhash64("text").alias("dig"))
+
+
 def document_sets(docs: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
-    """doc_id, n (set size), node and check (digests of the set)."""
+    """doc_id, id, dig, n (set size), node and check (digests of the set)."""
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
+            own = [batch.column(c) for c in ("doc_id", "id", "dig")]
             for i, m, h, o in _shingles(batch.column("text")):
                 s = setkit.routed_sets(h, o, m, ranks, seed)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, m), pa.array(s["n"]), pa.array(s["node"]), pa.array(s["check"])],
-                    ["doc_id", "n", "node", "check"])
+                    [*[c.slice(i, m) for c in own], pa.array(s["n"]), pa.array(s["node"]), pa.array(s["check"])],
+                    ["doc_id", "id", "dig", "n", "node", "check"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, check long")
+    return docs.mapInArrow(run, "doc_id long, id long, dig long, n long, node long, check long")
 
 
 def _entries(docs: DataFrame, ranks: np.ndarray, seed: int, n_buckets: int) -> DataFrame:
@@ -92,11 +105,11 @@ def _texts(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
     def pick(batches):
         for batch in batches:
             ok = setkit.passes(keep, batch.column("slot").to_numpy())
-            yield batch.select(["doc_id", "text"]).filter(pa.array(ok))
+            yield batch.select(["id", "dig", "text"]).filter(pa.array(ok))
 
-    slot = setkit.hash_slot(F.col("doc_id"), len(keep) * 8).alias("slot")
-    some = docs.select("doc_id", "text", slot).mapInArrow(pick, "doc_id long, text string")
-    return some.join(members, "doc_id")
+    slot = setkit.hash_slot(F.col("dig"), len(keep) * 8).alias("slot")
+    some = docs.select("id", "dig", "text", slot).mapInArrow(pick, "id long, dig long, text string")
+    return some.join(members, ["id", "dig"])
 
 
 def _token_sets(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
@@ -111,7 +124,7 @@ def _token_sets(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFr
                      pa.array([flat[off[k]:off[k + 1]].tobytes() for k in range(m)], pa.binary())],
                     [*carried, "tokens"])
 
-    joined = _texts(docs, keep, members).drop("doc_id")
+    joined = _texts(docs, keep, members).drop("id", "dig")
     carried = [c for c in joined.columns if c != "text"]
     kinds = ", ".join(f"{c} {t}" for c, t in joined.dtypes if c != "text")
     return joined.mapInArrow(run, f"{kinds}, tokens binary")
@@ -145,7 +158,7 @@ def _points(docs: DataFrame, keep: np.ndarray, members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*[c.slice(i, m) for c in rest], pa.array(points, pa.binary())], [*carried, "point"])
 
-    joined = _texts(docs, keep, members).drop("doc_id")
+    joined = _texts(docs, keep, members).drop("id", "dig")
     carried = [c for c in joined.columns if c != "text"]
     kinds = ", ".join(f"{c} {t}" for c, t in joined.dtypes if c != "text")
     return joined.mapInArrow(run, f"{kinds}, point binary")
@@ -178,8 +191,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold, decided on their tokens."""
     pairs = cut(pairs)
     ends = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-               .join(nodes.select("node", "doc_id", "n"), "node"))
-    sets = cut(_token_sets(docs, setkit.bitmap(ends, "doc_id"), ends))
+               .join(nodes.select("node", "id", "dig", "n"), "node"))
+    sets = cut(_token_sets(docs, setkit.bitmap(ends, "dig"), ends))
     # a node in many pairs is sent to as many tasks as its pairs need
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIRS_PER_TASK)).alias("parts"))
     to = cut(pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")))
@@ -199,23 +212,26 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             out += [(a, b) for b in rest["b"][7 * both >= 3 * (len(own) + np.diff(off))]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    bins = F.pmod(F.xxhash64("a", "part"), F.lit(1024)).alias("bin")
+    # tasks of about as many tokens as an island's task
+    total = to.join(nodes.select(F.col("node").alias("b"), "n"), "b").agg(F.sum("n")).first()[0] or 0
+    bins = F.pmod(F.xxhash64("a", "part"), F.lit(max(16, int(total // (TASK_TOKENS // 4)) + 1))).alias("bin")
     return hubs.union(others).withColumn("bin", bins).groupBy("bin").applyInPandas(run, "a long, b long")
 
 
 def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links that connect each island's sets just as all its links would.
 
-    ``nodes``: node, n, doc_id (a document with that set), island.
+    ``docs``: as ``keyed`` gives them; ``nodes``: node, n, id and dig (of a row with
+    that set), island.
     """
-    docs, nodes = documents(docs, "doc_id", "text"), cut(nodes)
+    nodes = cut(nodes)
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     bins = max(16, int(tokens // (TASK_TOKENS // 2)) + 1)
     sized = nodes.join(nodes.groupBy("island").agg(F.sum("n").alias("total")), "island")
     small = cut(sized.where(F.col("total") <= TASK_TOKENS).select(
-        "doc_id", "node", "n", "island", F.pmod(F.xxhash64("island"), F.lit(bins)).alias("task")))
+        "id", "dig", "node", "n", "island", F.pmod(F.xxhash64("island"), F.lit(bins)).alias("task")))
     large = cut(sized.where(F.col("total") > TASK_TOKENS).drop("total"))
-    links = cut(_join_tasks(_token_sets(docs, setkit.bitmap(small, "doc_id"), small)))
+    links = cut(_join_tasks(_token_sets(docs, setkit.bitmap(small, "dig"), small)))
     if large.isEmpty():
         return links
     # blocks of about a task's tokens: by size band, then by hash
@@ -224,7 +240,7 @@ def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         "island", "band", F.ceil(F.col("tokens") / F.lit(TASK_TOKENS)).alias("slices"))
     large = cut(large.join(per, ["island", "band"]).withColumn(
         "slice", F.pmod(F.xxhash64("node"), F.col("slices"))).drop("slices"))
-    points = cut(_points(docs, setkit.bitmap(large, "doc_id"), large))
+    points = cut(_points(docs, setkit.bitmap(large, "dig"), large))
     blocks = cut(large.select("island", "band", "slice").distinct())
     pairs = cut(blocks.toDF("island", "ba", "sa").join(blocks.toDF("island", "bb", "sb"), "island").where(
         (F.col("bb") - F.col("ba")).between(0, REACH)
@@ -243,9 +259,10 @@ def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return links.union(_verified(docs, _block_candidates(points, rest, False), large))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
-    docs = documents(docs, "doc_id", "text")
+def grouped_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, id, dig, n, node and component_id of every row, and ``group``: what
+    the rows of one component share (null for rows without words)."""
+    docs = keyed(docs)
 
     def hashes(batch):
         return (h for _, _, h, _ in _shingles(batch.column("text")))
@@ -255,21 +272,49 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     while True:
         sets = cut(document_sets(docs, ranks, seed))
         nodes = sets.where("n > 0").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.min("n").alias("n"),
+            F.min(F.struct("id", "dig")).alias("row"), F.min("doc_id").alias("least"), F.min("n").alias("n"),
             F.min("check").alias("c0"), F.max("check").alias("c1"), F.max("n").alias("n1"))
         nodes = cut(nodes)
         if nodes.where("c0 <> c1 or n <> n1").isEmpty():
             break
+        drop(sets, nodes)
         seed += 1  # two sets had one digest: hash them anew
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(256, int(tokens // 4_000_000) + 1)
     island = setkit.islands(_entries(docs, ranks, seed, n_buckets))
     island = island.withColumnRenamed("component", "island")
-    links = link_islands(docs, nodes.select("node", "doc_id", "n").join(island, "node"))
-    ids = nodes.select("node", F.col("doc_id").alias("rep"))
-    a, b = ids.toDF("a", "ra"), ids.toDF("b", "rb")
-    comp = components(links.join(a, "a").join(b, "b"), "ra", "rb")
-    final = ids.join(comp, ids["rep"] == comp["node"], "left").select(
-        ids["node"], F.coalesce("component", "rep").alias("component_id"))
-    return sets.select("doc_id", "n", "node").join(final, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    links = link_islands(docs, nodes.select("node", "row.id", "row.dig", "n").join(island, "node"))
+    # the nodes of a doc_id that several sets hold belong together
+    held = sets.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
+    held = sets.join(held, "doc_id").where("n > 0 and node <> a").select("a", F.col("node").alias("b"))
+    comp = components(links.select("a", "b").union(held))
+    groups = nodes.select("node", "least").join(comp, "node", "left").select(
+        "node", "least", F.coalesce("component", "node").alias("group"))
+    smallest = groups.groupBy("group").agg(F.min("least").alias("smallest"))
+    groups = groups.join(smallest, "group").select("node", "group", "smallest")
+    own = F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
+    # rows without words match no node; keys of their own spread them
+    key = F.when(F.col("n") > 0, F.col("node")).otherwise(F.monotonically_increasing_id())
+    return sets.withColumn("node", key).join(groups, "node", "left").select(
+        "doc_id", "id", "dig", "n", "node", F.when(F.col("n") > 0, F.col("group")).alias("group"), own.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    return grouped_rows(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but for those that stand behind another one of their
+    component, with all their columns: the row with the smallest doc_id stays (one
+    without doc_id only where none has one; of equals, that with the smallest
+    digest).  Rows without words stay."""
+    rows = cut(grouped_rows(docs))
+    order = F.struct(F.col("doc_id").isNull(), F.col("id"), F.col("dig"))
+    first = rows.where("group is not null").groupBy("group").agg(F.min(order).alias("first"))
+    gone = rows.join(first, "group").where(order != F.col("first")).select(
+        F.col("id").alias("_gone_id"), F.col("dig").alias("_gone_dig")).distinct()
+    gone = cut(gone)
+    same = (F.coalesce(docs["doc_id"], F.lit(_NULL_ID)) == gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_dig"])
+    return docs.join(gone, same, "left_anti")

@@ -62,11 +62,11 @@ class CountTree:
         row = (leaf[:, None] * FANOUT + np.arange(FANOUT)).reshape(-1)
         return row[(row >= start) & (row < stop)]
 
-    def survivors(self, i: int, root: np.ndarray, side: np.ndarray | None) -> np.ndarray:
+    def survivors(self, i: int, root: Roots, side: np.ndarray | None) -> np.ndarray:
         """Rows after ``i``, of another root (and side), that the bounds leave."""
         point, n = self.points[i], int(self.n[i])
         rows = self.candidates(point, n, i + 1)
-        rows = rows[root[rows] != root[i]]
+        rows = rows[root.of(rows) != root.one(i)]
         if side is not None:
             rows = rows[side[rows] != side[i]]
         if not len(rows):
@@ -86,6 +86,36 @@ def overlaps(own: np.ndarray, flat: np.ndarray, off: np.ndarray, rows: np.ndarra
     return np.add.reduceat(hit, first)
 
 
+class Roots:
+    """Union-find over rows; ``of`` gives current roots of an array of rows."""
+
+    def __init__(self, root: np.ndarray):
+        # rows that share a root at the start share their first row
+        _, first, which = np.unique(root, return_index=True, return_inverse=True)
+        self.up = first[which]
+
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        at = self.up[rows]
+        while True:
+            nxt = self.up[at]
+            if (nxt == at).all():
+                self.up[rows] = at  # shorter ways from here on
+                return at
+            at = nxt
+
+    def one(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return int(i)
+
+    def join(self, i: int, j: int) -> bool:
+        """Unite two rows' roots; whether they differed."""
+        a, b = self.one(i), self.one(j)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
 def linked_roots(flat: np.ndarray, off: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (row, row) of verified links that join different roots.
 
@@ -97,17 +127,16 @@ def linked_roots(flat: np.ndarray, off: np.ndarray, root: np.ndarray) -> list[tu
     if len(n) < 2:
         return []
     tree = CountTree(n, count_points(flat, off, min(1024, group_number(int(n[-1])))))
-    root, out = root.copy(), []
+    root, out = Roots(root), []
     for i in range(len(n) - 1):
         rows = tree.survivors(i, root, None)
         while len(rows):
             part, rows = rows[:64], rows[64:]
             both = overlaps(flat[off[i]:off[i + 1]], flat, off, part)
             for j in part[7 * both >= 3 * (n[i] + n[part])]:
-                if root[j] != root[i]:
+                if root.join(i, int(j)):
                     out.append((i, int(j)))
-                    root[root == root[j]] = root[i]
-            rows = rows[root[rows] != root[i]]
+            rows = rows[root.of(rows) != root.one(i)]
     return out
 
 
@@ -115,12 +144,11 @@ def surviving_pairs(n: np.ndarray, points: np.ndarray, root: np.ndarray, side: n
                     forest: bool) -> list[tuple[int, int]]:
     """Pairs of rows of different roots that the bounds leave to be verified;
     with ``forest`` only as many as connect what all of them connect."""
-    tree, root, out = CountTree(n, points), root.copy(), []
+    tree, root, out = CountTree(n, points), Roots(root), []
     for i in range(len(n) - 1):
         for j in tree.survivors(i, root, side):
             if not forest:
                 out.append((i, int(j)))
-            elif root[j] != root[i]:
+            elif root.join(i, int(j)):
                 out.append((i, int(j)))
-                root[root == root[j]] = root[i]
     return out
