@@ -155,20 +155,30 @@ def test_apportion_is_sainte_lague(spark):
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?((?-i:[A-Za-z0-9+/_.=-]+))""", re.I | re.A)
 
 
+#: The truth's own rules.
+HOLDERS = re.compile(r"example|placeholder|changeme|your[_-]|x{6}|0{8}|1234567", re.I)
+HARMLESS = [re.compile(p) for p in (
+    "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "[A-Za-z_=/+-]*", "[0-9_=/+-]*",
+    "([A-Za-z]+|[0-9]{1,4})([-_/=+]([A-Za-z]+|[0-9]{1,4}))*")]
+
+
 def entropy_spans(text):
-    for m in re.finditer(r"[A-Za-z0-9+/_=-]{24,}", text):
-        t = m.group()
-        if any(re.search(p, t) for p in secrets.ALLOW):
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        if m.end() - m.start() < 20:
             continue
-        bits = secrets.HEX_BITS if re.fullmatch("[0-9a-f]+|[0-9A-F]+", t) else \
-            secrets.ALNUM_BITS if re.fullmatch("[A-Za-z0-9]+", t) else secrets.BASE64_BITS
-        ends = []
-        for e in range(20, len(t) + 1):
-            c = Counter(t[e - 20:e])
-            if -sum(v / 20 * math.log2(v / 20) for v in c.values()) >= bits - 1e-9:
-                ends.append(e)
-        if ends:
-            yield m.start() + ends[0] - 20, m.start() + ends[-1]
+        stops = [(h.start(), h.end()) for h in HOLDERS.finditer(m.group())] + [(len(m.group()), 0)]
+        for (_, a), (b, _) in zip([(0, 0), *stops], stops, strict=False):
+            t = m.group()[a:b]
+            if len(t) < 20 or any(p.fullmatch(t) for p in HARMLESS):
+                continue
+            bits = 3.0 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", t) else 3.6 if re.fullmatch("[A-Za-z0-9]+", t) else 3.7
+            ends = []
+            for e in range(20, len(t) + 1):
+                c = Counter(t[e - 20:e])
+                if -sum(v / 20 * math.log2(v / 20) for v in c.values()) >= bits - 1e-9:
+                    ends.append(e)
+            if ends:
+                yield m.start() + a + ends[0] - 20, m.start() + a + ends[-1]
 
 
 def spans(text):
@@ -195,10 +205,15 @@ def test_secrets_cases(make_docs):
              "key 9fQ2xL7vT1zR8mK4pW6cN3bY5hJ0dS end", "550e8400-e29b-41d4-a716-446655440000",
              "a/b/c/d/some/long/path/of/words", "api_key=ſecret token : \"x\"", "Api-key: no APIKEY:'ABC.def/12'",
              "zz9fQ2xL7vT1zR8mK4pW6cN3bY5hJ0dSaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "pass\nword token=\nabcdefgh",
-             "f" * 30000 + " token=abcdefg", "token=ab secret=abcdef"]
+             "f" * 30000 + " token=abcdefg", "token=ab secret=abcdef", "9fQ2xL7vT1zR8mK4pW6c", "9fQ2xL7vT1zR8mK4pW6",
+             "EXAMPLE_KEY=9fQ2xL7vT1zR8mK4pW6cN3bY5hJ0dS", "docs/example/9fQ2xL7vT1zR8mK4pW6cN3 é end",
+             "9fQ2xL7vT1zR8mK4pW6cN3exampleA8sD7fG6hJ5kL4qW3eR2tYexample" + "x" * 12 + "Z1xC2vB3nM4aS5dF6gH7",
+             "Example" * 9, "é " * 10 + "your_9fQ2xL7vT1zR8mK4 9fQ2xL7vT1zR8mK4pW6c-placeholder"]
     rows = list(enumerate(texts)) + [(3, texts[3])]
     got = check_secrets(make_docs(rows), rows)
-    assert any("entropy" in k[5] for k in got)
+    said = {k[0]: k[5] for k in got}
+    assert all("entropy" in said[i] for i in (14, 16, 17, 18, 20)) and said[18].count("entropy") == 3
+    assert "entropy" not in said[15] + said[19]
 
 
 def test_secrets_table(spark):
@@ -206,5 +221,22 @@ def test_secrets_table(spark):
     check_secrets(docs, [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("names", [("_id", "_sha", "_one", "held"), ("_ID", "__id", "_copies", "_copy", "size", "h")])
+def test_columns_named_like_the_helpers(make_docs, names):
+    """Rows with copies, null and repeated ids; every extra column comes back."""
+    from pyspark.sql import functions as F
+    rows = [(None, "a b"), (None, "A b"), (1, "x y z"), (1, "x y z"), (2, "X y z"), (3, ""), (3, None), (4, "own words here")]
+    df = make_docs(rows)
+    for n in names:
+        df = df.withColumn(n, F.lit(n))
+    kept = exact_dedup.keep_unique(df)
+    assert kept.columns == df.columns
+    assert Counter((r["doc_id"], lower(r["text"])) for r in kept.collect()) == Counter(
+        {(None, "a b"): 1, (2, "x y z"): 1, (3, ""): 1, (4, "own words here"): 1})
+    assert all(tuple(r[n] for n in names) == names for r in kept.select(*names).collect())
+    mixed = mixing.mixed(df)
+    assert mixed.columns == df.columns and all(tuple(r[n] for n in names) == names for r in mixed.collect())
+
+
 def test_secrets_empty(make_docs):
     assert secrets.secret_report(make_docs([])).collect() == []

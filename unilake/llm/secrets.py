@@ -2,12 +2,14 @@
 
 Base kinds, each leftmost and non-overlapping: ``assign`` (a keyword, a sign
 and a value), ``access`` (cloud access keys) and ``hex`` runs.  The method adds
-``entropy``: over each candidate string (a long run of key characters) a window
+``entropy``: over each candidate string (a run of key characters) a window
 of ``WINDOW`` characters slides; its Shannon entropy is kept by incremental
 counts, adding the entering and removing the leaving character.  A candidate is
 reported from its first to its last window at or above the threshold of its
-character class.  An allow-list suppresses candidates that are known not to be
-secrets (UUIDs, placeholders, plain words and numbers).
+character class.  An allow-list suppresses what is known not to be a secret:
+placeholder words cut a run, and what stands before and after them are
+candidates of their own; whole candidates that are UUIDs, plain words or numbers
+are left out.  Entropies are computed by the tasks that read the candidates.
 
 Positions come from the matches themselves: a pattern is matched together with
 the text before it, so start = the lengths of all pieces before.
@@ -34,17 +36,18 @@ PATTERNS = {
     "access": (r"AKIA[A-Z0-9]{16}", r"(AKIA[A-Z0-9]+)", 20),
     # a run is tried from its first character only
     "hex": (r"(?<![0-9a-f])[0-9a-f]{24}", r"((?<![0-9a-f])[0-9a-f]{24,})", 24),
-    "entropy": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24}",
-                r"((?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,})", 24),
+    "entropy": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20}",
+                r"((?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,})", 20),
 }
 WINDOW = 20
 #: Least entropy in bits of a window, by class of the candidate's characters.
 HEX_BITS, ALNUM_BITS, BASE64_BITS = 3.0, 3.6, 3.7
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Candidates that are no secrets: UUIDs, placeholders, words or numbers
-#: joined by signs, file paths of plain words.
+#: Words of placeholders, which cut a run.
+PLACEHOLDER = r"(?i:example|placeholder|changeme|your[_-]|x{6}|0{8}|1234567)"
+#: Candidates that are no secrets: UUIDs, words or numbers joined by signs, file
+#: paths of plain words.
 ALLOW = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-         r"(?i)example|placeholder|changeme|your[_-]|x{6}|0{8}|1234567",
          r"^[A-Za-z_=/+-]*$", r"^[0-9_=/+-]*$", r"^([A-Za-z]+|[0-9]{1,4})([-_/=+]([A-Za-z]+|[0-9]{1,4}))*$")
 
 
@@ -71,9 +74,24 @@ def _pieces(text: Column, kind: str) -> Column:
     return F.when(test, rows)
 
 
+def _candidates(text: Column) -> Column:
+    """array<struct<at, text>>: a run's parts between placeholder words that a
+    window fits into, with their offsets."""
+    both = F.lit(rf"(?s)(.*?)({PLACEHOLDER}|\z)")
+    cut_ = F.arrays_zip(F.regexp_extract_all(text, both, F.lit(1)).alias("part"),
+                        F.transform(F.regexp_extract_all(text, both, F.lit(2)), F.length).alias("word"))
+    none = F.array().cast("array<struct<at:int,text:string>>")
+    parts = F.aggregate(cut_, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda a, p: F.struct(
+        (a["at"] + F.length(p["part"]) + p["word"]).alias("at"),
+        F.when(F.length(p["part"]) >= WINDOW, F.concat(a["out"], F.array(F.struct(
+            a["at"].alias("at"), p["part"].alias("text"))))).otherwise(a["out"]).alias("out")), lambda a: a["out"])
+    plain = F.array(F.struct(F.lit(0).alias("at"), text.alias("text")))
+    return F.when(F.rlike(text, F.lit(PLACEHOLDER)), parts).otherwise(plain)
+
+
 def _entropy_spans(found: DataFrame) -> DataFrame:
-    """``found`` (kind, text, ...) with ``first`` and ``last``: the ends of the
-    first and last window of the candidate that reaches its class's entropy.
+    """``found`` (text, ...) with ``hot``: the ends of the first and last window of
+    the candidate that reaches its class's entropy (null for allowed ones).
 
     S, the sum of c * log2(c) over the window's characters, changes by
     f(c+1) - f(c) for the character that enters and f(c-1) - f(c) for the one
@@ -86,7 +104,6 @@ def _entropy_spans(found: DataFrame) -> DataFrame:
     for pattern in ALLOW:
         allowed = allowed | F.rlike("text", F.lit(pattern))
     weights = ", ".join("0D" if c < 2 else f"{c}D * log2({c}D)" for c in range(WINDOW + 2))
-    candidate = (F.col("kind") == KINDS.index("entropy")) & ~allowed
     found = found.withColumn("most", F.lit(WINDOW) * (F.log2(F.lit(float(WINDOW))) - bits) + F.lit(1e-9)) \
         .withColumn("n", F.length("text")).withColumn("w", F.expr(f"array({weights})")) \
         .withColumn("codes", F.expr(f"transform(split(text, ''), c -> locate(c, '{ALPHABET}') - 1)"))
@@ -102,7 +119,7 @@ def _entropy_spans(found: DataFrame) -> DataFrame:
                 + if(i >= {WINDOW}, w[a.c[{y}] - 1] - w[a.c[{y}]], 0D)),
             'first', if(a.first = 0 and {seen}, i, a.first),
             'last', if({seen}, i, a.last)))""")
-    return found.withColumn("at", F.when(candidate, at)).drop("codes", "w", "most", "n")
+    return found.withColumn("hot", F.when(~allowed, at)).drop("codes", "w", "most", "n")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -118,18 +135,25 @@ def _scan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     hits = None
     for k in KINDS:
         one = rows.select("row", F.posexplode(k).alias("pos", "m")).select("row", "pos", "m.*")
+        one = one.withColumn("move", F.col("gap") + F.col("span"))
+        if k == "entropy":
+            # one row per candidate; only the first moves on in the text
+            one = one.select("*", F.posexplode_outer(_candidates(F.col("text"))).alias("part", "c")).select(
+                "row", "kind", "pos", F.coalesce("part", F.lit(0)).alias("part"), "span", "value",
+                F.when(F.coalesce("part", F.lit(0)) == 0, F.col("move")).otherwise(0).alias("move"),
+                F.col("c.at").alias("at"), F.col("c.text").alias("text"))
+            one = _entropy_spans(one).withColumn("at", F.when(F.col("hot.last") > 0, F.col("at")))
+            one = one.select("row", "kind", "pos", "part", "span", "value", "move",
+                             (F.col("at") + F.col("hot.first") - WINDOW).alias("a"), (F.col("at") + F.col("hot.last")).alias("b"))
+        else:
+            one = one.select("row", "kind", "pos", F.lit(0).alias("part"), "span", "value", "move",
+                             F.lit(0).alias("a"), F.col("span").alias("b"))
         hits = one if hits is None else hits.union(one)
-    before = W.partitionBy("row", "kind").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    hits = hits.withColumn("stop", F.sum(F.col("gap") + F.col("span")).over(before)) \
-        .withColumn("start", F.col("stop") - F.col("span"))
+    before = W.partitionBy("row", "kind").orderBy("pos", "part").rowsBetween(W.unboundedPreceding, 0)
+    start = F.sum("move").over(before) - F.col("span")
     least = F.element_at(F.array(*[F.lit(PATTERNS[k][2]) for k in KINDS]), F.col("kind") + 1)
-    hits = _entropy_spans(hits.where(F.col("value") >= least))
-    entropy = F.col("kind") == KINDS.index("entropy")
-    found = hits.where(~entropy | (F.col("at.last") > 0)).select(
-        "row", "kind",
-        F.when(entropy, F.col("start") + F.col("at.first") - WINDOW).otherwise(F.col("start")).alias("start"),
-        F.when(entropy, F.col("start") + F.col("at.last")).otherwise(F.col("stop")).alias("end"))
-    return rows, found
+    hits = hits.withColumn("start", start).where((F.col("value") >= least) & F.col("a").isNotNull())
+    return rows, hits.select("row", "kind", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end"))
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
