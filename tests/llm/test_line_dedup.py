@@ -1,18 +1,28 @@
 """Line dedup against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from unilake.llm import line_dedup
 from tests.llm.conftest import SF
 from tests.llm.test_ngram_join import shingles
 
 
-def brute(rows):
+def digest(text):
+    """Signed 64-bit digest of a text, which orders rows that repeat a doc_id."""
+    n = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return n - (1 << 64) if n >= 1 << 63 else n
+
+
+def brute_rows(rows):
+    """(doc_id, text, n_lines, removed) of every row; equal rows are one document."""
     seen, out = [], {}
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, digest(r[1]))):
         lines = [] if t is None else t.split("\n")
         gone = []
         for k, line in enumerate(lines):
@@ -22,8 +32,12 @@ def brute(rows):
             if any(100 * len(s & o) >= 75 * len(s | o) for o in seen):
                 gone.append(k)
             seen.append(s)
-        out[i] = (None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), gone)
-    return out
+        out[(i, t)] = (i, None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), tuple(gone))
+    return Counter(out[r] for r in rows)
+
+
+def brute(rows):
+    return {i: (t, n, list(gone)) for i, t, n, gone in brute_rows(rows)}
 
 
 def got(df):
@@ -65,6 +79,39 @@ def test_repeated_rows_and_empty_table(make_docs):
     assert sorted((r["doc_id"], r["text"]) for r in out) == [(1, "x y z"), (1, "x y z"), (2, "")]
 
 
+@pytest.mark.parametrize("task_tokens", [1 << 22, 60])
+def test_rows_that_repeat_an_id_are_told_apart(make_docs, monkeypatch, task_tokens):
+    monkeypatch.setattr(line_dedup, "TASK_TOKENS", task_tokens)
+    rows = [(0, "x y z w v u"), (1, "x y z w v u"), (1, "totally different line of words here")]
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(60)]
+    pool = [" ".join(rng.choices(vocab, k=rng.choice([3, 12, 25]))) for _ in range(15)]
+    for i in range(60):
+        text = "\n".join(rng.choice(pool) if rng.random() < 0.6 else " ".join(rng.choices(vocab, k=9)) for _ in range(rng.randint(0, 4)))
+        rows += [(rng.choice([None, 2, 3, i]), text)] * rng.choice([1, 1, 2])
+    rows += [(None, None), (2, None), (2, ""), (3, " \n\t")]
+    df = make_docs(rows).repartition(4)
+    for c in ("id", "dig", "line", "node", "island", "removed", "gone"):
+        df = df.withColumn(c, F.lit("clash"))
+    out = line_dedup.dedup_lines(df).collect()
+    assert Counter((r["doc_id"], r["text"], r["n_lines"], tuple(r["removed_lines"])) for r in out) == brute_rows(rows)
+
+
+def test_very_long_text(make_docs):
+    line = " ".join(f"w{i}" for i in range(40_000))
+    rows = [(1, line + "\nshort line of six words here\n" + "x " * 50_000), (2, "\n".join(["short line of six words here"] * 2000))]
+    out = line_dedup.dedup_lines(make_docs(rows)).collect()
+    assert Counter((r["doc_id"], r["text"], r["n_lines"], tuple(r["removed_lines"])) for r in out) == brute_rows(rows)
+
+
+def test_tables_between_the_steps_are_removed(spark, make_docs):
+    from unilake.session import list_dir, work_root
+    before = {n for n, _ in list_dir(spark, work_root(spark))}
+    line_dedup.dedup_lines(make_docs(rows_of(2, 40))).collect()
+    left = [n for n, _ in list_dir(spark, work_root(spark)) if n.startswith("llm-") and n not in before]
+    assert len(left) <= 2   # what the result itself is read from
+
+
 def test_later_matches_random():
     rng = random.Random(6)
     sets = []

@@ -86,6 +86,53 @@ def test_languages(spark, make_docs):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def plain_languages(rows):
+    """Predictions by a dict of trigram vectors, one character at a time.
+    ``rows``: (doc_id, text, lang)."""
+    one = {}
+
+    def letter(c):
+        if c not in one:
+            one[c] = language_id.letter_vectors(np.array([ord(c)]))[0].astype(float)
+        return one[c]
+
+    def bundle(text):
+        kept = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text or "")
+        kept = " " + re.sub(" +", " ", kept).strip(" ") + " "
+        if not kept.strip():
+            return None
+        grams = [kept[i:i + 3] for i in range(len(kept) - 2)]
+        return sum(np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c) for a, b, c in grams), len(grams)
+
+    def fold(i):
+        return zlib.crc32(("null" if i is None else str(i)).encode()) % 4 == 2
+
+    bundles = [bundle(t) for _, t, _ in rows]
+    protos = {}
+    for (i, _, lang), b in zip(rows, bundles, strict=True):
+        if lang is not None and b is not None and not fold(i):
+            protos[lang] = protos.get(lang, 0) + b[0] / b[1]
+    out = []
+    for (i, _, _), b in zip(rows, bundles, strict=True):
+        cos = {} if b is None else {k: float(b[0] @ p / np.linalg.norm(b[0]) / np.linalg.norm(p)) for k, p in protos.items()}
+        best = sorted(cos, key=lambda k: (-cos[k], k))
+        margin = cos[best[0]] - cos[best[1]] if len(best) > 1 else 1.0
+        out.append((i, fold(i), best[0] if best else "und", min(max(cos[best[0]], 0), 1) if best else 0.0, margin))
+    return out
+
+
+def test_languages_against_plain_vectors(spark, make_docs):
+    table = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows = [r for r in table if r[1] is None or len(r[1]) < 3000][:120]
+    rows += [(None, "the  THE's thé", "en"), (None, None, "en"), (7, "", None), (7, "12 34 !", "de"), (7, "Straße ǅ İ", None),
+             (8, "中文 字符", "zh"), (8, "中文 字符", "zh"), (9, "x", "fr"), (9, "x", "fr")]
+    got = language_id.languages(make_docs(rows).repartition(3)).collect()
+    want = plain_languages(rows)
+    key = lambda r: (str(r[0]), r[1], r[3])
+    for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
+        assert g[:2] == w[:2] and abs(g[3] - w[3]) < 1e-3 and (g[2] == w[2] or w[4] < 1e-3)
+
+
 def test_language_cases(make_docs):
     rows = [(i, "the cat and the dog", "en", "a") for i in range(8)] + \
         [(i, "der hund und die katze", "de", "a") for i in range(10, 18)] + \

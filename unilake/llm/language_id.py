@@ -38,6 +38,8 @@ ROWS, CHUNK = 256, 1 << 20
 #: a recognisable letter go.
 LEAST_SCORE = 0.0
 _SPACE = 0x20
+#: Groups that the tasks' vectors of one language are added in first.
+PARTS = 256
 
 
 def letter_table() -> np.ndarray:
@@ -75,8 +77,10 @@ def trigrams(data: np.ndarray, off: np.ndarray, letters: np.ndarray):
     has = np.bincount(owner[x > 0], minlength=len(lens)) > 0
     # a space before and after each text; runs of non-letters become one space
     ends = np.searchsorted(owner, np.arange(len(lens) + 1))
-    x = np.insert(x, np.r_[ends[:-1], ends[1:]], 0)
-    owner = np.insert(owner, np.r_[ends[:-1], ends[1:]], np.tile(np.arange(len(lens)), 2))
+    # (where two texts meet, the end of the first comes before the start of the second)
+    at = np.r_[ends[1:], ends[:-1]]
+    x = np.insert(x, at, 0)
+    owner = np.insert(owner, at, np.tile(np.arange(len(lens)), 2))
     keep = np.ones(len(x), dtype=bool)
     keep[1:] = (x[1:] > 0) | (x[:-1] > 0) | (owner[1:] != owner[:-1])
     x, owner = x[keep], owner[keep]
@@ -142,8 +146,11 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         rows = np.stack([np.frombuffer(v, dtype=np.float64) for v in pdf["vector"]])
         return pd.DataFrame({"lang": pdf["lang"][:1], "vector": [rows.sum(axis=0).tobytes()]})
 
-    rows = docs.where("lang is not null").select("text", "lang").mapInArrow(run, "lang string, vector binary") \
-        .groupBy("lang").applyInPandas(add, "lang string, vector binary").collect()
+    # a hot language has a vector from every task: they are added in two steps
+    sums = docs.where("lang is not null").select("text", "lang").mapInArrow(run, "lang string, vector binary")
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("part")
+    some = sums.select("lang", "vector", part).groupBy("lang", "part").applyInPandas(add, "lang string, vector binary")
+    rows = some.groupBy("lang").applyInPandas(add, "lang string, vector binary").collect()
     # sums of many tasks differ in their last bits with the order of tasks
     found = {r["lang"]: np.round(np.frombuffer(bytes(r["vector"]), dtype=np.float64), 6) for r in rows}
     found = {k: v / np.linalg.norm(v) for k, v in sorted(found.items()) if np.linalg.norm(v) > 0}
