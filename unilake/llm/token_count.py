@@ -19,6 +19,7 @@ are ignored.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 
@@ -27,30 +28,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from unilake.llm.common import cut, documents
+from unilake.llm.common import bound_batches, cut, documents, drop
 from unilake.llm.textkit import chunks, span_hashes, string_bytes
 
 #: Pre-tokens whose counts every task holds: at most this many (3 MB).
 HOT = 1 << 18
 #: Distinct pre-tokens gathered in a task before they are passed on.
 GATHER = 1 << 19
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Pre-tokens that the library counts at a time.
+SLICE = 2000
 LIMIT = 1024
 _SPACES = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
            0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 _QUOTE = 0x27
+#: Seed of the check digests, apart from those of the hashes.
+_CHECK = 1000
 
 
-def class_table() -> np.ndarray:
-    """Code point -> SPACE, LETTER, NUMBER or OTHER."""
+def class_table(source: str) -> np.ndarray:
+    """Code point -> SPACE, LETTER, NUMBER or OTHER, as the library of the
+    vocabulary ``source`` has it: its Unicode may be newer than Python's, so
+    code points that Python doesn't know are asked of the library."""
+    from tokenizers import Tokenizer
+
     out = np.full(0x110000, OTHER, dtype=np.uint8)
+    unknown = []
     for i in range(0x110000):
-        kind = unicodedata.category(chr(i))[0]
-        if kind == "L":
+        kind = unicodedata.category(chr(i))
+        if kind[0] == "L":
             out[i] = LETTER
-        elif kind == "N":
+        elif kind[0] == "N":
             out[i] = NUMBER
+        elif kind == "Cn" and i < 0x40000:  # beyond: private or never assigned
+            unknown.append(i)
+    library = Tokenizer.from_str(source).pre_tokenizer
+    for kind, sample in ((LETTER, "a"), (NUMBER, "1")):
+        text = "".join(f" {sample}{chr(i)}" for i in unknown)
+        starts = np.zeros(len(text) + 1, dtype=bool)
+        starts[[a for _, (a, _) in library.pre_tokenize_str(text)]] = True
+        out[np.array(unknown)[~starts[2:len(text):3]]] = kind
     out[_SPACES] = SPACE
     return out
 
@@ -123,11 +141,11 @@ def _segments(text: pa.Array, split):
         yield i, j - i, codes, lead[at], owner, special
 
 
-def _pretokens(codes, off, classes):
+def _pretokens(codes, off, classes, seed):
     """(start, end, hash) of each pre-token."""
     s = np.flatnonzero(pretoken_starts(codes, off, classes))
     e = np.r_[s[1:], len(codes)]
-    return s, e, span_hashes(codes, s, e).view(np.int64)
+    return s, e, span_hashes(codes, s, e, seed).view(np.int64)
 
 
 class Vocabulary:
@@ -147,59 +165,91 @@ class Vocabulary:
         return "|".join(re.escape(p) for p in parts).encode() if parts else None
 
 
-def distinct_pretokens(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """h, token, freq of every distinct pre-token of the texts."""
-    classes = docs.sparkSession.sparkContext.broadcast(class_table())
+class Gathered:
+    """Distinct pre-tokens of a task: sorted hashes with the least and largest
+    check digest, frequencies and places in a list of tokens (about 90 bytes each)."""
+
+    def __init__(self):
+        self.keys, self.freq, self.place = (np.zeros(0, np.int64) for _ in range(3))
+        self.low, self.high = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.tokens: list[str] = []
+
+    def add(self, h: np.ndarray, check: np.ndarray, s: np.ndarray, e: np.ndarray, codes: np.ndarray) -> None:
+        order = np.argsort(h, kind="stable")
+        h, check = h[order], check[order]
+        head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        keys, first, freq = h[head], order[head], np.diff(np.r_[head, len(h)])
+        low, high = np.minimum.reduceat(check, head), np.maximum.reduceat(check, head)
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        old, new = at[known], ~known
+        self.freq[old] += freq[known]
+        self.low[old] = np.minimum(self.low[old], low[known])
+        self.high[old] = np.maximum(self.high[old], high[known])
+        place = len(self.tokens) + np.arange(int(new.sum()))
+        whole = codes.tobytes()
+        self.tokens += [whole[4 * a:4 * b].decode("utf-32-le")
+                        for a, b in zip(s[first[new]].tolist(), e[first[new]].tolist(), strict=True)]
+        self.keys, self.freq, self.place, self.low, self.high = (
+            np.insert(x, at[new], y) for x, y in ((self.keys, keys[new]), (self.freq, freq[new]), (self.place, place),
+                                                   (self.low, low[new]), (self.high, high[new])))
+
+    def batches(self, rows: int = 1 << 15):
+        """Everything gathered, in parts; then empty."""
+        for i in range(0, len(self.keys), rows):
+            part = slice(i, i + rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.keys[part]), pa.array([self.tokens[k] for k in self.place[part].tolist()], pa.string()),
+                 pa.array(self.freq[part]), pa.array(self.low[part]), pa.array(self.high[part])],
+                ["h", "token", "freq", "low", "high"])
+        self.__init__()
+
+
+def distinct_pretokens(docs: DataFrame, vocabulary: Vocabulary, seed: int = 0) -> DataFrame:
+    """h, token, freq of every distinct pre-token of the texts; ``clash`` where
+    two of them have one hash (seen by independent check digests)."""
+    classes = docs.sparkSession.sparkContext.broadcast(class_table(vocabulary.source))
     pattern = vocabulary.split_pattern()
 
     def run(batches):
         split = re.compile(pattern) if pattern else None
-        seen: dict[int, list] = {}
-
-        def flush():
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.int64()), pa.array([v[0] for v in seen.values()], pa.string()),
-                 pa.array([v[1] for v in seen.values()], pa.int64())], ["h", "token", "freq"])
-            seen.clear()
-            return out
-
+        seen = Gathered()
         for batch in batches:
             for _, _, codes, off, _, _ in _segments(batch.column("text"), split):
-                s, e, h = _pretokens(codes, off, classes.value)
-                keys, first, freq = np.unique(h, return_index=True, return_counts=True)
-                whole = codes.tobytes()
-                for k, a, b, f in zip(keys.tolist(), s[first].tolist(), e[first].tolist(),
-                                      freq.tolist(), strict=True):
-                    got = seen.get(k)
-                    if got is None:
-                        seen[k] = [whole[4 * a:4 * b].decode("utf-32-le"), f]
-                    else:
-                        got[1] += f
-                if len(seen) >= GATHER:
-                    yield flush()
-        if seen:
-            yield flush()
-
-    return docs.select("text").mapInArrow(run, "h long, token string, freq long") \
-        .groupBy("h").agg(F.min("token").alias("token"), F.sum("freq").alias("freq"))
+                s, e, h = _pretokens(codes, off, classes.value, seed)
+                if len(h):
+                    check = (span_hashes(codes, s, e, _CHECK + seed) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    seen.add(h, check, s, e, codes)
+                if len(seen.keys) >= GATHER:
+                    yield from seen.batches()
+        yield from seen.batches()
+
+    return docs.select("text").mapInArrow(run, "h long, token string, freq long, low int, high int").groupBy("h").agg(
+        F.min("token").alias("token"), F.sum("freq").alias("freq"), (F.min("low") != F.max("high")).alias("clash"))
 
 
 def piece_counts(pretokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """h, freq and pieces of every pre-token, each counted once."""
+    """h, freq, pieces and clash of every pre-token, each counted once."""
     source = vocabulary.source
 
     def run(batches):
+        # a worker has one core; the library's threads would each hold memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_str(source)
         library.encode_special_tokens = True
         for batch in batches:
-            got = library.encode_batch_fast(batch.column("token").to_pylist(), add_special_tokens=False)
+            pieces: list[int] = []
+            for i in range(0, batch.num_rows, SLICE):
+                got = library.encode_batch_fast(batch.column("token").slice(i, SLICE).to_pylist(), add_special_tokens=False)
+                pieces += [len(x) for x in got]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("h"), batch.column("freq"), pa.array([len(x) for x in got], pa.int32())],
-                ["h", "freq", "pieces"])
+                [batch.column("h"), batch.column("freq"), pa.array(pieces, pa.int32()), batch.column("clash")],
+                ["h", "freq", "pieces", "clash"])
 
-    return pretokens.mapInArrow(run, "h long, freq long, pieces int")
+    return pretokens.mapInArrow(run, "h long, freq long, pieces int, clash boolean")
 
 
 def hot_pieces(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -221,9 +271,16 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
     vocabulary = Vocabulary(path)
     docs = documents(docs, "doc_id", "text")
-    counts = cut(piece_counts(distinct_pretokens(docs, vocabulary), vocabulary))
+    bound_batches(docs.sparkSession)
+    seed = 0
+    while True:
+        counts = cut(piece_counts(distinct_pretokens(docs, vocabulary, seed), vocabulary))
+        if counts.where("clash").isEmpty():
+            break
+        drop(counts)
+        seed += 1  # two pre-tokens had one hash: hash them anew
     sc = docs.sparkSession.sparkContext
-    hot, classes = sc.broadcast(hot_pieces(counts)), sc.broadcast(class_table())
+    hot, classes = sc.broadcast(hot_pieces(counts)), sc.broadcast(class_table(vocabulary.source))
     pattern = vocabulary.split_pattern()
 
     def run(batches):
@@ -232,7 +289,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         for batch in batches:
             sizes = np.diff(string_bytes(batch.column("text"))[1])
             for i, m, codes, off, owner, special in _segments(batch.column("text"), split):
-                s, _, h = _pretokens(codes, off, classes.value)
+                s, _, h = _pretokens(codes, off, classes.value, seed)
                 own = owner[np.searchsorted(off, s, side="right") - 1] if len(s) else np.zeros(0, np.int64)
                 if len(hot_h):
                     at = np.minimum(np.searchsorted(hot_h, h), len(hot_h) - 1)
