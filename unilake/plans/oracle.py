@@ -1,8 +1,8 @@
 """DuckDB SQL texts equivalent to the Spark models (the oracle side).
 
-The staging and unified SELECTs are written out by hand as plain SQL over
-the adapters' CTEs, so a mistake in the Spark mapping machinery shows up as
-a mismatch instead of being reproduced on both sides.
+The staging and unified SELECTs are plain SQL over the adapters' CTEs, built
+without the Spark mapping machinery, so a mistake there shows up as a mismatch
+instead of being reproduced on both sides.
 """
 
 from __future__ import annotations
@@ -24,31 +24,42 @@ def sk_sql(*parts: str) -> str:
         f"coalesce(cast({p} as varchar), '{SURROGATE_KEY_NULL_MARKER}')" for p in parts) + ")"
 
 
-# Column names are fixed values of the models; how they come about is written
-# here from their meaning, in forms that differ from the Spark side's.
+# The staged columns of the first four sources in model order, and the
+# raw column each one holds; ids become text, days are the first ten characters.
+STAGED_COLUMNS: dict[str, list[tuple[str, str]]] = {
+    "a__contacts": [
+        ("contact_id", "contact_id"), ("first_name", "first_name"), ("last_name", "last_name"),
+        ("email", "email_address"), ("phone_number", "phone"), ("organization", "company_name"),
+        ("created_at", "created_date")],
+    "a__inventory": [
+        ("product_id", "item_id"), ("product_name", "item_name"), ("product_description", "item_description"),
+        ("product_category", "category"), ("retail_price", "price"), ("stock_quantity", "stock_qty"),
+        ("created_at", "added_date")],
+    "b__customers": [
+        ("customer_id", "cust_id"), ("full_name", "full_name"), ("email", "email"), ("phone_number", "mobile_phone"),
+        ("organization", "organization"), ("status", "status"), ("created_at", "signup_date")],
+    "b__products": [
+        ("product_id", "prod_id"), ("product_name", "product_title"), ("product_description", "product_desc"),
+        ("product_category", "product_type"), ("unit_cost", "unit_cost"), ("retail_price", "retail_price"),
+        ("is_available", "available"), ("created_at", "created_at")],
+}
+
+
+def _staged_sql(name: str) -> str:
+    def value(staged: str, raw: str) -> str:
+        if staged == "created_at":
+            return f"cast({raw}[:10] as date)"
+        if staged == "is_available":
+            return f"{raw} is not distinct from 1"
+        return f"cast({raw} as varchar)" if staged.endswith("_id") else raw
+
+    columns = ", ".join(f"{value(staged, raw)} as {staged}" for staged, raw in STAGED_COLUMNS[name])
+    return f"select {columns} from raw_{name}"
+
+
 STAGE_SQL: dict[str, tuple[str, str]] = {
     # name -> (raw cte it reads, select body)
-    "stg_a__contacts": ("raw_a__contacts", """
-        select * exclude (email_address, phone, company_name, created_date)
-                 replace (contact_id::varchar as contact_id),
-               strptime(created_date, '%Y-%m-%d')::date as created_at, email_address as email,
-               company_name as organization, phone as phone_number
-        from raw_a__contacts"""),
-    "stg_a__inventory": ("raw_a__inventory", """
-        select format('{}', item_id) as product_id, strptime(added_date, '%Y-%m-%d')::date as created_at,
-               stock_qty as stock_quantity, price as retail_price, category as product_category,
-               item_description as product_description, item_name as product_name
-        from raw_a__inventory"""),
-    "stg_b__customers": ("raw_b__customers", """
-        select * exclude (cust_id, mobile_phone, signup_date), format('{}', cust_id) as customer_id,
-               strptime(signup_date[:10], '%Y-%m-%d')::date as created_at, mobile_phone as phone_number
-        from raw_b__customers"""),
-    "stg_b__products": ("raw_b__products", """
-        select format('{}', prod_id) as product_id, product_title as product_name,
-               product_desc as product_description, product_type as product_category,
-               retail_price, unit_cost, available is not distinct from 1 as is_available,
-               strptime(created_at[:10], '%Y-%m-%d')::date as created_at
-        from raw_b__products"""),
+    **{f"stg_{name}": (f"raw_{name}", _staged_sql(name)) for name in STAGED_COLUMNS},
     "stg_sales__orders": ("raw_sales__orders", """
         select cast(o_orderkey as varchar) as order_id, cast(o_custkey as varchar) as customer_id,
                o_orderstatus as order_status, o_totalprice as total_price,
