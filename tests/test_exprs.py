@@ -97,3 +97,17 @@ def test_row_hash_separates_null_positions(spark):
                                "x string, y string")
     h = [r[0] for r in df.select(exprs.row_hash(["x", "y"])).collect()]
     assert h[0] != h[1] and h[2] == h[3] and h[1] != h[2]
+
+
+def test_length_framing_tells_every_tuple_apart(spark):
+    from unilake.operators.quality import key_collisions
+    rows = [("a-b", "c"), ("a", "b-c"), (None, "c"), ("_null_key_part_", "c"), ("1:a", ""), ("1", "a"), ("", "1:a"), (None, None),
+            ("n;", None), (None, "n;"), ("é", "x"), ("a", "b-c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    plain = df.withColumn("k", exprs.surrogate_key("x", "y"))
+    framed = df.withColumn("k", exprs.surrogate_key("x", "y", framing="length"))
+    assert framed.select("k").distinct().count() == len(set(rows))
+    assert key_collisions(framed, "k", ["x", "y"]).count() == 0
+    assert {r["tuples"] for r in key_collisions(plain, "k", ["x", "y"]).collect()} == {2}
+    with pytest.raises(ValueError):
+        exprs.surrogate_key("x", framing="none")

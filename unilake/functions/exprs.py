@@ -91,15 +91,28 @@ def composite_id(*parts: str) -> Column:
 
 def surrogate_key(*parts: Column | str,
                   separator: str = SURROGATE_KEY_SEPARATOR,
-                  null_marker: str = SURROGATE_KEY_NULL_MARKER) -> Column:
+                  null_marker: str = SURROGATE_KEY_NULL_MARKER,
+                  framing: str = "separator") -> Column:
     """Deterministic md5 key over N columns.
 
+    ``framing='separator'`` is the usual recipe; parts that hold the separator
+    can alias (``('a-b', 'c')`` and ``('a', 'b-c')``), and so can a part equal to
+    the NULL marker.  ``framing='length'`` hashes every part behind its length
+    in characters, and a NULL as a sign of its own: different part tuples
+    never give the same text.
+
     ``concat`` + ``coalesce`` (never ``concat_ws``, which skips NULLs and so
     makes ``('a', NULL)`` equal ``('a')``).  Cast only integer / string parts:
     text forms of doubles and timestamps differ between engines.
     """
+    if framing not in ("separator", "length"):
+        raise ValueError(f"framing {framing!r} is neither 'separator' nor 'length'")
     pieces: list[Column] = []
     for i, p in enumerate(parts):
+        if framing == "length":
+            text = _col(p).cast("string")
+            pieces.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n;")))
+            continue
         if i:
             pieces.append(F.lit(separator))
         pieces.append(F.coalesce(_col(p).cast("string"), F.lit(null_marker)))

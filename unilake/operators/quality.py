@@ -120,6 +120,15 @@ def unique_checks(df: DataFrame, model: str, checks: Sequence[Check],
             for c in checks if c.kind == "unique"]
 
 
+def key_collisions(df: DataFrame, key: str, parts: Sequence[str]) -> DataFrame:
+    """Keys that stand for several part tuples, and for how many (exact: the
+    tuples themselves are compared, NULL positions included).  Repeated rows
+    are folded in each task before anything moves, so no key is hot."""
+    size_shuffles(df.sparkSession, df)
+    tuples = df.groupBy(key, *parts).agg(F.lit(1).alias("_one"))
+    return tuples.groupBy(key).agg(F.count(F.lit(1)).alias("tuples")).where("tuples > 1")
+
+
 def run_checks(spark: SparkSession, models: Iterable[tuple[str, DataFrame, Sequence[Check]]],
                kinds: Sequence[str] = ("not_null", "unique", "accepted_values"),
                two_phase: bool = True, parallelism: int = 4) -> DataFrame:

@@ -49,6 +49,7 @@ class UnifiedModel:
     # Maximum staleness when published by a refresh job (freshness bound).
     target_lag: str = "1 minute"
     layer: str | None = None      # custom schema; default: intermediate
+    key_framing: str = "separator"    # or "length": see exprs.surrogate_key
 
     @property
     def data_fields(self):
@@ -76,7 +77,7 @@ def align(staged: DataFrame, branch: Branch, model: UnifiedModel,
         else:
             c = exprs.typed_null(f.dataType)
         cols[f.name] = c.cast(f.dataType)
-    key = exprs.surrogate_key(*[cols[p] for p in model.key_parts])
+    key = exprs.surrogate_key(*[cols[p] for p in model.key_parts], framing=model.key_framing)
     key_meta = model.schema[model.key_name].metadata
     out = [key.alias(model.key_name, metadata=key_meta) if key_meta else key.alias(model.key_name)]
     out += [cols[f.name].alias(f.name, metadata=f.metadata) if f.metadata

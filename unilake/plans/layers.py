@@ -29,6 +29,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -442,27 +443,52 @@ def register_raw_views(lake: Lake) -> dict[str, int]:
     return lake.register_raw_views()
 
 
+def register_missing_staging(lake: Lake) -> list[str]:
+    """Create the persistent staging views that landed tables still lack (called
+    after every landing).  A table whose columns don't fit its staging model
+    gets none and is logged: landing takes whatever comes."""
+    schema = f"{lake.namespace}{STAGING_LAYER}"
+    done = []
+    for name, m in STAGING.items():
+        raw = f"{lake.namespace}{RAW_LAYER}.{m.raw_name}"
+        layer = layer_name(m.layer, schema)
+        if lake.spark.catalog.tableExists(f"{layer}.{name}") or not lake.spark.catalog.tableExists(raw):
+            continue
+        try:
+            _staging_view(lake, name)
+            done.append(name)
+        except AnalysisException as exc:
+            log.warning("no staging view %s: %s", name, exc)
+    return done
+
+
+def _staging_view(lake: Lake, name: str) -> None:
+    from unilake.operators.mapping import staging_sql
+    m = STAGING[name]
+    lake.create_view(layer_name(m.layer, STAGING_LAYER), name,
+                     staging_sql(m, f"{lake.namespace}{RAW_LAYER}.{m.raw_name}"), m.comment,
+                     [(f.name, f.comment) for f in m.fields], evolving=True)
+
+
 def register_staging_views(lake: Lake, persistent: bool = False) -> list[str]:
     """Staging views over the current raw loads.
 
     ``persistent=False``: session views ``stg_*`` (re-run after a load).
     ``persistent=True``: ``CREATE OR REPLACE VIEW staging.stg_* AS SELECT ...
     FROM raw.<table>`` -- SQL views over the raw views, which every landing
-    repoints, so the staging layer shows a new load at once.
+    repoints, so the staging layer shows a new load at once.  They take over
+    the types of the load they read: a load that widens a column is read
+    through the view that was there before.
     """
-    from unilake.operators.mapping import staging_sql
     loads = lake.current_loads()
     done = []
     if persistent:
-        raw = lake.ensure_namespace(RAW_LAYER)
         lake.register_raw_views()
     for name, m in STAGING.items():
         if m.raw_name not in loads:
             continue
         if persistent:
-            lake.create_view(layer_name(m.layer, STAGING_LAYER), name,
-                             staging_sql(m, f"{raw}.{m.raw_name}"), m.comment,
-                             [(f.name, f.comment) for f in m.fields])
+            _staging_view(lake, name)
         else:
             stage(lake.read_raw(m.raw_name, loads[m.raw_name][0]), m).createOrReplaceTempView(name)
         done.append(name)

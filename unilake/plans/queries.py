@@ -808,3 +808,64 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_change_log(pub, model, log, available_now=True).awaitTermination()
     epochs = read_change_log(pub, log).agg(F.count_distinct("epoch")).first()[0]
     return read_copy(pub, copy).drop("loaded_at").withColumn("epochs", F.lit(epochs).cast("long"))
+
+
+# --- keys that don't alias (K1) -------------------------------------------------------
+
+_PARTS = """
+    select p_brand || '-' || p_size as a, p_type as b from part
+    union all select p_brand, p_size || '-' || p_type from part
+    union all select p_type, case when p_size % 4 = 0 then null when p_size % 4 = 1 then '{marker}' else p_name end
+    from part"""
+
+
+def _collisions_sql() -> str:
+    from unilake.functions.exprs import SURROGATE_KEY_NULL_MARKER
+    from unilake.plans.oracle import sk_sql
+    framed = " || ".join(f"coalesce(length({c}) || ':' || {c}, 'n;')" for c in ("a", "b"))
+    return " union all ".join(f"""
+        select '{framing}' as framing, count(*) as keys, sum(n)::bigint as tuples,
+               count(*) filter (where n > 1) as colliding_keys
+        from (select k, count(*) as n
+              from (select distinct a, b, {key} as k from ({_PARTS.format(marker=SURROGATE_KEY_NULL_MARKER)}))
+              group by k)"""
+                              for framing, key in (("separator", sk_sql("a", "b")), ("length", f"md5({framed})")))
+
+
+@register("key_collisions", _collisions_sql())
+def key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key parts of all parts that hold the separator and the NULL marker: how many
+    part tuples each framing of the surrogate key folds into one key."""
+    from unilake.functions import exprs
+    from unilake.operators.quality import key_collisions as audit
+    from unilake.sources.adapters import read_table
+    part = read_table(spark, sf_dir, "part")
+    size, sep = F.col("p_size").cast("string"), F.lit("-")
+    marker = F.lit(exprs.SURROGATE_KEY_NULL_MARKER)
+    rows = part.select(F.concat("p_brand", sep, size).alias("a"), F.col("p_type").alias("b")) \
+        .unionByName(part.select(F.col("p_brand").alias("a"), F.concat(size, sep, F.col("p_type")).alias("b"))) \
+        .unionByName(part.select(F.col("p_type").alias("a"), F.when(F.col("p_size") % 4 == 0, F.lit(None)).when(
+            F.col("p_size") % 4 == 1, marker).otherwise(F.col("p_name")).alias("b")))
+    out = None
+    for framing in ("separator", "length"):
+        keyed = rows.withColumn("k", exprs.surrogate_key("a", "b", framing=framing))
+        per = keyed.select("k", "a", "b").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n")).join(
+            audit(keyed, "k", ["a", "b"]), "k", "left")
+        one = per.agg(F.lit(framing).alias("framing"), F.count(F.lit(1)).alias("keys"), F.sum("n").alias("tuples"),
+                      F.count_if(F.col("tuples") > 1).alias("colliding_keys"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("staging_view_widened", with_models(
+    "select * replace (cast(stock_quantity + 4294967296 as bigint) as stock_quantity) from stg_a__inventory",
+    ["stg_a__inventory"]))
+def staging_view_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging view registered by the landing of narrow stock counts shows a later
+    load whose counts need a wider type."""
+    from unilake.sources import adapters
+    lake = _new_lake(spark)
+    items = adapters.raw_frames(spark, sf_dir, {"raw_a__inventory"})["raw_a__inventory"]
+    lake.land("a", {"inventory": items.withColumn("stock_qty", F.col("stock_qty").cast("int"))})
+    lake.land("a", {"inventory": items.withColumn("stock_qty", F.col("stock_qty").cast("long") + F.lit(1 << 32))})
+    return spark.table(f"{lake.namespace}staging.stg_a__inventory")

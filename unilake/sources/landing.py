@@ -125,11 +125,15 @@ class Lake:
     root: str | None = None
     parallelism: int = 4          # independent table writes submitted at once
     namespace: str = ""           # prefix of this lake's schemas in the catalog
+    after_commit: Sequence[Callable[[Lake], object]] | None = None   # default: missing staging views
     clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)
 
     def __post_init__(self) -> None:
         self.root = (self.root or f"{work_root(self.spark)}/lake").rstrip("/")
         self._footers: SparkSession | None = None
+        if self.after_commit is None:
+            from unilake.plans.layers import register_missing_staging   # the layer above
+            self.after_commit = (register_missing_staging,)
 
     # --- paths ---------------------------------------------------------------
     def layer_path(self, layer: str) -> str:
@@ -167,15 +171,20 @@ class Lake:
         return schema
 
     def create_view(self, layer: str, name: str, sql: str, comment: str = "",
-                    columns: Sequence[tuple[str, str]] = ()) -> None:
-        """``CREATE OR REPLACE VIEW`` with its comments (shown by DESCRIBE)."""
+                    columns: Sequence[tuple[str, str]] = (), evolving: bool = False) -> None:
+        """``CREATE OR REPLACE VIEW`` with its comments (shown by DESCRIBE).
+
+        An ``evolving`` view takes over the types that the relations below it
+        have when it is read; any other casts them back to those it was
+        created with."""
         def q(text: str) -> str:
             return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
         schema = self.ensure_namespace(layer)
         cols = ", ".join(f"`{c}`" + (f" COMMENT {q(said)}" if said else "") for c, said in columns)
         self.spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name}" + (f" ({cols})" if cols else "")
-                       + (f" COMMENT {q(comment)}" if comment else "") + " AS " + sql)
+                       + (f" COMMENT {q(comment)}" if comment else "")
+                       + (" WITH SCHEMA TYPE EVOLUTION" if evolving else "") + " AS " + sql)
 
     def register_raw_views(self) -> dict[str, int]:
         """``raw.<table>`` views over each table's newest audited load."""
@@ -452,5 +461,7 @@ class Lake:
         if rows:
             self._commit(load_id, token, rows)
             self.register_raw_views()   # readers of the views see the load at once
+            for after in self.after_commit:
+                after(self)
         log.info("raw load %d complete: %d tables", load_id, len(results))
         return results
