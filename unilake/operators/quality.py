@@ -81,6 +81,20 @@ def row_check_aggs(checks: Sequence[Check]) -> list:
     return [F.count_if(_failure_condition(c)).alias(f"{c.kind}:{c.column}") for c in rc]
 
 
+def reason(model: str, check: Check) -> str:
+    """How a row check is named where its offending rows are kept."""
+    return f"{model}|{check.kind}:{check.column}"
+
+
+def failed_checks(model: str, checks: Sequence[Check]):
+    """Array of the reasons for which a row fails the not_null / accepted_values
+    checks; empty for a good row."""
+    rc = [c for c in checks if c.kind in ("not_null", "accepted_values")]
+    if not rc:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*[F.when(_failure_condition(c), F.lit(reason(model, c))) for c in rc]))
+
+
 def report_rows(model: str, checks: Sequence[Check],
                 counts: dict[str, int]) -> list[tuple[str, str, str, int]]:
     """Report rows from per-check failure counts keyed ``kind:column``."""

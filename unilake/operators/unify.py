@@ -63,8 +63,9 @@ class UnifiedModel:
 
 
 def align(staged: DataFrame, branch: Branch, model: UnifiedModel,
-          loaded_at: Column | None = None) -> DataFrame:
-    """Project one staged source onto the canonical schema (narrow)."""
+          loaded_at: Column | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+    """Project one staged source onto the canonical schema (narrow); ``extra``
+    columns of the staged rows follow."""
     cols: dict[str, Column] = {}
     present = set(staged.columns)
     for f in model.data_fields:
@@ -84,7 +85,7 @@ def align(staged: DataFrame, branch: Branch, model: UnifiedModel,
             else cols[f.name].alias(f.name) for f in model.data_fields]
     if loaded_at is not None:
         out.append(loaded_at.cast("timestamp").alias(model.stamp_column))
-    return staged.select(*out)
+    return staged.select(*out, *extra)
 
 
 def unify(model: UnifiedModel, staged: Mapping[str, DataFrame],

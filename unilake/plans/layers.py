@@ -46,6 +46,8 @@ log = logging.getLogger(__name__)
 
 STAGING_LAYER = "staging"
 ROW_HASH_COLUMN = "_row_hash"     # stored with each version, never shown by views
+# of versions written with their rejected rows: a folder per flag, and the tests failed
+REJECTED_COLUMN, REASONS_COLUMN = "rejected", "_rejected_by"
 INTERMEDIATE_LAYER = "intermediate"
 
 
@@ -71,19 +73,27 @@ class PublishResult:
     report: DataFrame | None = None
     # lenient staging only: "<source>.<field>" -> texts that did not parse as dates
     date_rejects: dict[str, int] = field(default_factory=dict)
+    # keep_rejects only: source -> rows kept out of the version that was written
+    rejected: dict[str, int] = field(default_factory=dict)
 
 
 class Publisher:
     """Publishes unified models of a :class:`Lake` as versioned folders."""
 
-    def __init__(self, lake: Lake, parallelism: int = 4, lenient_dates: bool = False):
-        """``lenient_dates``: malformed date text becomes NULL instead of failing
+    def __init__(self, lake: Lake, parallelism: int = 4, lenient_dates: bool = False,
+                 keep_rejects: bool = False):
+        """``keep_rejects``: rows that fail a not_null or accepted_values test, of
+        the unified or its staging model, don't block the publication: they
+        are kept beside the version with the tests they fail (see
+        :func:`rejected_rows`), and the others are published.  One write does
+        both.  ``lenient_dates``: malformed date text becomes NULL instead of failing
         the build; the rejects are counted on the same write job and returned
         in :attr:`PublishResult.date_rejects`."""
         self.lake = lake
         self.spark = lake.spark
         self.parallelism = max(1, parallelism)
         self.lenient_dates = lenient_dates
+        self.keep_rejects = keep_rejects
 
     # --- paths -----------------------------------------------------------------
     def model_path(self, model: UnifiedModel) -> str:
@@ -125,6 +135,18 @@ class Publisher:
                           json.dumps(doc))
 
     # --- reading -----------------------------------------------------------------
+    def _has_rejects(self, path: str) -> bool:
+        """Whether a version was written with its rejected rows beside it."""
+        return any(n.startswith(f"{REJECTED_COLUMN}=") for n, is_dir in list_dir(self.spark, path) if is_dir)
+
+    def stored_rows(self, path: str, rejected: bool = False) -> DataFrame:
+        """A version's rows; the flag is a folder, so only its files are read."""
+        df = self.spark.read.parquet(path)
+        if REJECTED_COLUMN not in df.columns:
+            return df.limit(0) if rejected else df
+        df = df.where(F.col(REJECTED_COLUMN) == int(rejected)).drop(REJECTED_COLUMN)
+        return df if rejected else df.drop(REASONS_COLUMN)
+
     def read_versions(self, model: UnifiedModel, versions: Mapping[str, int],
                       with_hash: bool = False) -> DataFrame:
         """Union of the given per-source versions, source tag as a literal.
@@ -134,8 +156,7 @@ class Publisher:
         for b in model.branches:
             if b.source_system not in versions:
                 continue
-            df = self.spark.read.parquet(self.version_path(model, b.source_system,
-                                                           versions[b.source_system]))
+            df = self.stored_rows(self.version_path(model, b.source_system, versions[b.source_system]))
             out = cols
             if with_hash:
                 if ROW_HASH_COLUMN not in df.columns:
@@ -164,7 +185,8 @@ class Publisher:
             sel = ", ".join(f"'{b.source_system}' AS {c}" if c == model.source_column else c
                             for c in cols)
             path = self.version_path(model, b.source_system, versions[b.source_system])
-            branches.append(f"SELECT {sel} FROM parquet.`{path}`")
+            good = f" WHERE {REJECTED_COLUMN} = 0" if self._has_rejects(path) else ""
+            branches.append(f"SELECT {sel} FROM parquet.`{path}`{good}")
         return "\nUNION ALL\n".join(branches)
 
     def register_view(self, model: UnifiedModel, versions: Mapping[str, int]) -> None:
@@ -195,14 +217,17 @@ class Publisher:
         return [c for c in model.tests if c.kind == "unique" and c.column == model.key_name]
 
     def _staging_counts(self, staged: DataFrame, staging_name: str,
-                        observed: Mapping[str, int] | None = None) -> dict[str, int]:
-        """Failures of a staging model's tests, keyed ``<model>|<kind>:<column>``."""
+                        observed: Mapping[str, int] | None = None,
+                        unique: Mapping[str, int] | None = None) -> dict[str, int]:
+        """Failures of a staging model's tests, keyed ``<model>|<kind>:<column>``;
+        counted now but for those that are given."""
         tests = STAGING[staging_name].tests
         aggs = quality.row_check_aggs(tests)
         counts = dict(observed if observed is not None else
                       staged.agg(*aggs).first().asDict() if aggs else {})
-        counts |= {f"unique:{c.column}": quality.unique_failures(staged, c.column)
-                   for c in tests if c.kind == "unique"}
+        if unique is None:
+            unique = {c.column: quality.unique_failures(staged, c.column) for c in tests if c.kind == "unique"}
+        counts |= {f"unique:{c}": n for c, n in unique.items()}
         return {f"{staging_name}|{k}": int(v) for k, v in counts.items()}
 
     def _version_counts(self, model: UnifiedModel, branch, version: int) -> dict[str, int]:
@@ -211,7 +236,7 @@ class Publisher:
         counts = self._read_check_counts(path)
         if counts is not None and (not STAGING[branch.staged].tests or any("|" in k for k in counts)):
             return counts
-        part = self.spark.read.parquet(path).withColumn(
+        part = self.stored_rows(path).withColumn(
             model.source_column, F.lit(branch.source_system))
         aggs = quality.row_check_aggs(model.tests)
         counts = part.agg(*aggs).first().asDict() if aggs else {}
@@ -323,12 +348,46 @@ class Publisher:
             if versions.get(b.source_system) == load_id:
                 continue
             path = self.version_path(m, b.source_system, load_id)
-            if not self._committed(path):
+            # (a version that a gate refused may have been written the other way)
+            if not self._committed(path) or self._has_rejects(path) != self.keep_rejects:
                 todo.append((b, load_id, landed_at, path))
             versions[b.source_system] = load_id
             rebuilt.append(b.source_system)
 
         rejects: dict[str, int] = {}
+        kept_out: dict[str, int] = {}
+
+        def marked(staged: DataFrame, b, stamp) -> DataFrame:
+            """Aligned rows with the tests they fail and the flag they are stored by."""
+            why = quality.failed_checks(b.staged, STAGING[b.staged].tests).alias(REASONS_COLUMN)
+            rows = align(staged, b, m, loaded_at=stamp, extra=[why])
+            rows = rows.withColumn(REASONS_COLUMN, F.concat(REASONS_COLUMN, quality.failed_checks(m.name, m.tests)))
+            return rows.withColumn(REJECTED_COLUMN, (F.size(REASONS_COLUMN) > 0).cast("int"))
+
+        def write_apart(item) -> None:
+            """Like ``write``, with the offending rows beside the version: the row
+            checks hold for what is published, unique checks are taken over it."""
+            b, load_id, landed_at, path = item
+            rows = marked(self.staged(b.staged, load_id), b, F.lit(landed_at).cast("timestamp"))
+            good = rows.where(F.col(REJECTED_COLUMN) == 0)
+            raw = self.staged(b.staged, load_id).where(F.size(
+                quality.failed_checks(b.staged, STAGING[b.staged].tests)) == 0)
+            ids = [c.column for c in STAGING[b.staged].tests if c.kind == "unique"]
+            scoped = [c.column for c in self._source_scoped_unique(m)]
+            obs = Observation(f"rejects_{m.name}_{b.source_system}_{uuid.uuid4().hex[:8]}")
+            with ThreadPoolExecutor(max_workers=1 + len(scoped) + len(ids)) as inner:
+                own = {c: inner.submit(quality.unique_failures, good, c) for c in scoped}
+                below = {c: inner.submit(quality.unique_failures, raw, c) for c in ids}
+                out = rows.withColumn(ROW_HASH_COLUMN, row_hash(self._hashed_columns(m))).drop(m.source_column)
+                (out.observe(obs, F.coalesce(F.sum(REJECTED_COLUMN), F.lit(0)).alias("n"))
+                    .write.mode("overwrite").partitionBy(REJECTED_COLUMN).parquet(path))
+                kept_out[b.source_system] = int(obs.get["n"])
+                counts = {f"{c.kind}:{c.column}": 0 for c in m.tests if c.kind != "unique"}
+                counts |= {f"unique:{c}": f.result() for c, f in own.items()}
+                counts |= self._staging_counts(raw, b.staged, {
+                    f"{c.kind}:{c.column}": 0 for c in STAGING[b.staged].tests if c.kind != "unique"},
+                    {c: f.result() for c, f in below.items()})
+            self._write_check_counts(path, counts)
 
         def write(item) -> None:
             b, load_id, landed_at, path = item
@@ -345,11 +404,14 @@ class Publisher:
             # the row's content hash is stored with the version (hidden from
             # readers): change sets between epochs then read key + hash only
             df = df.withColumn(ROW_HASH_COLUMN, row_hash(self._hashed_columns(m)))
-            with ThreadPoolExecutor(max_workers=1 + len(scoped)) as inner:
-                # unique checks scoped to one source run beside the write (they
-                # read only the key's input columns); row-check counts ride
-                # along with the write itself as observed metrics
-                plain = align(self.staged(b.staged, load_id), b, m, loaded_at=stamp)
+            ids = [c.column for c in STAGING[b.staged].tests if c.kind == "unique"]
+            with ThreadPoolExecutor(max_workers=1 + len(scoped) + len(ids)) as inner:
+                # unique checks of the source's key and of its staging model run
+                # beside the write (they read only the key's input columns);
+                # row-check counts ride along with the write as observed metrics
+                raw = self.staged(b.staged, load_id)
+                staged_uniq = {c: inner.submit(quality.unique_failures, raw, c) for c in ids}
+                plain = align(raw, b, m, loaded_at=stamp)
                 uniq = {c.column: inner.submit(quality.unique_failures, plain, c.column)
                         for c in scoped}
                 out = df.observe(obs, *aggs) if aggs else df
@@ -358,8 +420,8 @@ class Publisher:
                 counts = {k: int(v) for k, v in obs.get.items()} if aggs else {}
                 counts.update({f"unique:{c}": f.result() for c, f in uniq.items()})
                 counts |= self._staging_counts(
-                    self.staged(b.staged, load_id), b.staged,
-                    {k: int(v) for k, v in stage_obs.get.items()} if stage_aggs else {})
+                    raw, b.staged, {k: int(v) for k, v in stage_obs.get.items()} if stage_aggs else {},
+                    {c: f.result() for c, f in staged_uniq.items()})
             if self.lenient_dates and any(f.cast == "date" for f in STAGING[b.staged].fields):
                 for k, v in date_obs.get.items():
                     rejects[f"{b.source_system}.{k}"] = int(v or 0)
@@ -374,7 +436,7 @@ class Publisher:
 
         if todo:   # sources are independent jobs: build their versions concurrently
             with ThreadPoolExecutor(max_workers=min(self.parallelism, len(todo))) as pool:
-                list(pool.map(write, todo))
+                list(pool.map(write_apart if self.keep_rejects else write, todo))
         if versions == ptr.versions:
             if register and versions:   # a new session, or a driver lost before its view
                 self.register_view(m, versions)
@@ -388,7 +450,30 @@ class Publisher:
         if register:
             self.register_view(m, versions)
         log.info("published %s epoch %d: %s (rebuilt %s)", m.name, epoch, versions, rebuilt)
-        return PublishResult(m.name, epoch, versions, rebuilt, report, rejects)
+        return PublishResult(m.name, epoch, versions, rebuilt, report, rejects, kept_out)
+
+
+def rejected_rows(publisher: Publisher, model: UnifiedModel | str) -> DataFrame:
+    """Rows kept beside the published versions of a model: the whole row, the
+    model and check that it fails, one row per failed check."""
+    m = UNIFIED[model] if isinstance(model, str) else model
+    parts = []
+    for source, version in publisher.pointer(m).versions.items():
+        path = publisher.version_path(m, source, version)
+        if not publisher._has_rejects(path):
+            continue
+        rows = publisher.stored_rows(path, rejected=True).withColumn(m.source_column, F.lit(source))
+        why = F.explode(REASONS_COLUMN).alias("why")
+        parts.append(rows.select(*[f.name for f in m.schema.fields], why).withColumn("why", F.split("why", r"[|:]")).select(
+            "*", F.get("why", F.lit(0)).alias("model"), F.get("why", F.lit(1)).alias("check_name"),
+            F.get("why", F.lit(2)).alias("column_name")).drop("why"))
+    if not parts:
+        names = T.StructType([*m.schema.fields, *[T.StructField(n, T.StringType()) for n in ("model", "check_name", "column_name")]])
+        return publisher.spark.createDataFrame([], names)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def published_changes(publisher: Publisher, model: UnifiedModel | str, from_epoch: int,

@@ -869,3 +869,39 @@ def staging_view_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.land("a", {"inventory": items.withColumn("stock_qty", F.col("stock_qty").cast("int"))})
     lake.land("a", {"inventory": items.withColumn("stock_qty", F.col("stock_qty").cast("long") + F.lit(1 << 32))})
     return spark.table(f"{lake.namespace}staging.stg_a__inventory")
+
+
+# --- offending rows kept beside the version (T1, T3) ------------------------------------
+
+def _rejected_sql() -> str:
+    broken = f"""
+        select source_customer_id, created_at, case when cast(source_customer_id as bigint) % 7 = 0 then 'gone' else status end as status,
+               case when cast(source_customer_id as bigint) % 5 = 0 then null else created_at end as day, customer_sk
+        from ({with_models("select * from int_unified_customers where source_system = 'b'", ["int_unified_customers"])})"""
+    ok = "day is not null and status <> 'gone'"
+    return f"""
+        with c as ({broken})
+        select customer_sk, 'stg_b__customers' as model, 'not_null' as check_name, 'created_at' as column_name, n.published
+        from c, (select count(*) as published from c where {ok}) n where day is null
+        union all select customer_sk, m.model, 'accepted_values', 'status', n.published
+        from c, (select count(*) as published from c where {ok}) n,
+             (values ('stg_b__customers'), ('int_unified_customers')) m(model) where status = 'gone'"""
+
+
+@register("rejected_rows", _rejected_sql())
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish customers of source b with planted NULL days and unknown states: the
+    keys of the offending rows by failed test, and how many rows were published."""
+    from unilake.plans.layers import Publisher
+    from unilake.plans.layers import rejected_rows as rejects
+    from unilake.sources import adapters
+    lake = _new_lake(spark)
+    b = adapters.b_customers(spark, sf_dir) \
+        .withColumn("signup_date", F.expr("if(cust_id % 5 = 0, null, signup_date)")) \
+        .withColumn("status", F.expr("if(cust_id % 7 = 0, 'gone', status)"))
+    lake.land("b", {"customers": b})
+    pub = Publisher(lake, keep_rejects=True)
+    pub.publish("int_unified_customers")
+    published = pub.read("int_unified_customers").count()
+    return rejects(pub, "int_unified_customers").select(
+        "customer_sk", "model", "check_name", "column_name", F.lit(published).cast("long").alias("published"))

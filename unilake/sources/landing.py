@@ -33,6 +33,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -254,13 +255,14 @@ class Lake:
         # the schema is beside the point of a count and saves its inference
         return self._footers.read.schema("x int").parquet(path).agg(F.count(F.lit(1))).first()[0] or 0
 
-    def known_schema(self, raw_name: str) -> StructType | None:
-        """Schema of a table's newest load, as it was landed; None before the first."""
-        cur = self.current_loads().get(raw_name)
-        if cur is None:
-            return None
-        text = read_text(self.spark, f"{self.raw_path(raw_name, cur[0])}/_schema.json")
-        return StructType.fromJson(json.loads(text)) if text else self.read_raw(raw_name, cur[0]).schema
+    def known_schemas(self) -> dict[str, Callable[[], StructType]]:
+        """Per landed table, a call that gives its newest load's schema as it was
+        landed (from a control file; the audit is read once for all)."""
+        def schema(name: str, load_id: int) -> StructType:
+            text = read_text(self.spark, f"{self.raw_path(name, load_id)}/_schema.json")
+            return StructType.fromJson(json.loads(text)) if text else self.read_raw(name, load_id).schema
+
+        return {name: partial(schema, name, load[0]) for name, load in self.current_loads().items()}
 
     def current_loads(self) -> dict[str, tuple[int, dt.datetime, int]]:
         """raw table name -> (newest audited load id, landed_at, rows)."""
@@ -427,14 +429,14 @@ class Lake:
 
     def _land(self, load_id: int, token: str, writes, missing, policy: DriftPolicy,
               expected: Mapping[str, StructType]) -> dict[str, int]:
-        landed_at = self.clock()
+        landed_at, landed = self.clock(), self.known_schemas()
         rows = [(f"{RAW_LAYER}.{raw_table_name(source, '*')}", source, "*", load_id, None, "missing", landed_at,
                  where, None) for source, where in missing]
 
         def write(item: tuple[str, str, DataFrame]) -> tuple[int | None, Drift]:
             source, table, df = item
             name = raw_table_name(source, table)
-            known = expected.get(name) or self.known_schema(name)
+            known = expected.get(name) or (landed[name]() if name in landed else None)
             found = compare(known, df.schema, policy)
             if found.rejected:
                 log.error("%s load %d rejected: %s", name, load_id, found.text)
