@@ -38,10 +38,12 @@ def bound_batches(spark: SparkSession, size: int = 1 << 24) -> None:
 
 
 def drop(*tables: DataFrame | None) -> None:
-    """Remove tables made by ``cut`` that nothing reads any more."""
+    """Remove tables made by ``cut`` that nothing reads any more (other frames
+    are left alone)."""
     for t in tables:
-        if t is not None:
-            delete_path(t.sparkSession, t._unilake_path)
+        path = getattr(t, "_unilake_path", None)
+        if path is not None:
+            delete_path(t.sparkSession, path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +109,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                                              F.greatest("a", "b").alias("b")).distinct())
         drop(e, up, far, labels)
         e, labels = nxt, new
+    if labels is not None:
+        drop(e)
     if labels is None:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels

@@ -2,7 +2,8 @@
 
 A line's tokens are its distinct runs of five words (a shorter line is one
 token).  A line goes if its tokens reach a Jaccard similarity of 3/4 with those
-of any earlier line of the corpus; earlier is by (doc_id, line number).
+of any earlier line of the corpus; earlier is by (doc_id, digest of the text,
+line number).
 
 1. Count token loads over the corpus and order tokens by rarity.
 2. Lines with equal token sets share one node; all but the first such line go.
@@ -13,10 +14,15 @@ of any earlier line of the corpus; earlier is by (doc_id, line number).
    earlier nodes, with length and positional filters; Jaccard is verified.
 5. Removed lines leave their documents.
 
+Tasks hold islands of at most ``TASK_TOKENS`` tokens and larger ones in blocks;
+``LEADERS`` and ``FEW`` only choose how a node's earlier match is looked for: the
+result is the same for any of them.
+
 Cases: a null text stays null with 0 lines; lines without words always stay;
-rows that repeat a doc_id count as one document (the same decision for the same
-line); a null doc_id sorts first; an empty table gives an empty result; extra
-columns are ignored.
+rows equal in doc_id and text count as one document and keep the same lines;
+rows that repeat a doc_id with other texts are documents of their own; a null
+doc_id sorts first; an empty table gives an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -61,20 +67,20 @@ def _lines(text: pa.Array):
 
 
 def _line_sets(docs: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
-    """id, line, n, node, check and routing keys of every line with words."""
+    """id, dig, line, n, node, check and routing keys of every line with words."""
     def run(batches):
         for batch in batches:
-            ids = batch.column("id").to_numpy()
+            ids, digs = batch.column("id").to_numpy(), batch.column("dig").to_numpy()
             for i, _, row, number, h, o in _lines(batch.column("text")):
                 s = setkit.routed_sets(h, o, len(row), ranks, seed)
                 full = s["n"] > 0
                 cuts = np.r_[0, np.cumsum(np.diff(s["key_off"])[full])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i + row[full]]), pa.array(number[full]), *[pa.array(s[c][full]) for c in ("n", "node", "check")],
+                    [pa.array(ids[i + row[full]]), pa.array(digs[i + row[full]]), pa.array(number[full]), *[pa.array(s[c][full]) for c in ("n", "node", "check")],
                      pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(s["keys"].view(np.int64)))],
-                    ["id", "line", "n", "node", "check", "keys"])
+                    ["id", "dig", "line", "n", "node", "check", "keys"])
 
-    return docs.mapInArrow(run, "id long, line long, n long, node long, check long, keys array<long>")
+    return docs.mapInArrow(run, "id long, dig long, line long, n long, node long, check long, keys array<long>")
 
 
 def _entries(lines: DataFrame, n_buckets: int) -> DataFrame:
@@ -95,17 +101,17 @@ def _entries(lines: DataFrame, n_buckets: int) -> DataFrame:
 def _token_sets(docs: DataFrame, members: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
     """The members with their tokens, rarest first, as packed bytes.  Only the
     texts that hold a member's first line are moved."""
-    keep = setkit.bitmap(members, "id")
+    keep = setkit.bitmap(members, "dig")
     kind = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string()}
-    carried = [(c, t) for c, t in members.dtypes if c not in ("id", "line")]
+    carried = [(c, t) for c, t in members.dtypes if c not in ("id", "dig", "line")]
     schema = pa.schema([(c, kind[t]) for c, t in carried] + [("tokens", pa.binary())])
-    wanted = members.groupBy("id").agg(F.collect_list(F.struct(
+    wanted = members.groupBy("id", "dig").agg(F.collect_list(F.struct(
         "line", *[c for c, _ in carried])).alias("wanted"))
 
     def pick(batches):
         for batch in batches:
             ok = setkit.passes(keep, batch.column("slot").to_numpy())
-            yield batch.select(["id", "text"]).filter(pa.array(ok))
+            yield batch.select(["id", "dig", "text"]).filter(pa.array(ok))
 
     def run(batches):
         for batch in batches:
@@ -124,10 +130,10 @@ def _token_sets(docs: DataFrame, members: DataFrame, ranks: np.ndarray, seed: in
                             out["tokens"].append(flat[off[k]:off[k + 1]].tobytes())
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    slot = setkit.hash_slot(F.col("id"), len(keep) * 8).alias("slot")
-    some = docs.select("id", "text", slot).mapInArrow(pick, "id long, text string")
+    slot = setkit.hash_slot(F.col("dig"), len(keep) * 8).alias("slot")
+    some = docs.select("id", "dig", "text", slot).mapInArrow(pick, "id long, dig long, text string")
     kinds = ", ".join(f"{c} {t}" for c, t in carried)
-    return some.join(wanted, "id").select("text", "wanted").mapInArrow(run, f"{kinds}, tokens binary")
+    return some.join(wanted, ["id", "dig"]).select("text", "wanted").mapInArrow(run, f"{kinds}, tokens binary")
 
 
 def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] | None = None) -> list[int]:
@@ -187,7 +193,7 @@ def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] |
 def _flag(sets: DataFrame) -> DataFrame:
     """Nodes that match an earlier node of their island and task."""
     def run(pdf):
-        pdf = pdf.drop_duplicates(["island", "node"]).sort_values(["island", "fid", "fline"], kind="stable")
+        pdf = pdf.drop_duplicates(["island", "node"]).sort_values(["island", "fid", "fdig", "fline"], kind="stable")
         island, node = pdf["island"].to_numpy(), pdf["node"].to_numpy()
         side, gone = pdf["side"].tolist(), pdf["gone"].tolist()
         tokens = [np.frombuffer(t, dtype=np.uint64) for t in pdf["tokens"]]
@@ -204,27 +210,32 @@ def _flag(sets: DataFrame) -> DataFrame:
 
 def _removed_nodes(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
     """Nodes whose first line matches an earlier line."""
-    nodes = cut(nodes)
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     bins = max(16, int(tokens // (TASK_TOKENS // 8)) + 1)
     sized = nodes.join(nodes.groupBy("island").agg(F.sum("n").alias("total")), "island")
-    base = sized.select("id", "line", "node", "n", "island", F.col("id").alias("fid"),
-                        F.col("line").alias("fline"), "total")
+    base = sized.select("id", "dig", "line", "node", "n", "island", F.col("id").alias("fid"),
+                        F.col("dig").alias("fdig"), F.col("line").alias("fline"), "total")
     small = cut(base.where(F.col("total") <= TASK_TOKENS).select(
-        "id", "line", "node", "island", "fid", "fline", F.lit(False).alias("gone"), F.lit(0).alias("side"),
+        "id", "dig", "line", "node", "island", "fid", "fdig", "fline", F.lit(False).alias("gone"), F.lit(0).alias("side"),
         F.pmod(F.xxhash64("island"), F.lit(bins)).cast("string").alias("task")))
     large = cut(base.where(F.col("total") > TASK_TOKENS).drop("total"))
     gone = cut(_flag(_token_sets(docs, small, ranks, seed)))
+    drop(small)
     if large.isEmpty():
+        drop(large)
         return gone
     # blocks by size band and hash: each by itself and with the first block of
     # its band first, then all pairs that still hold an undecided node
+    whole = large
     large = large.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))))
     per = large.groupBy("island", "band").agg(F.sum("n").alias("tokens")).select(
         "island", "band", F.ceil(F.col("tokens") / F.lit(TASK_TOKENS // 2)).alias("slices"))
     large = large.join(per, ["island", "band"]).withColumn(
         "slice", F.pmod(F.xxhash64("node"), F.col("slices"))).drop("slices", "n")
-    sets = cut(_token_sets(docs, cut(large), ranks, seed))
+    large = cut(large)
+    drop(whole)
+    sets = cut(_token_sets(docs, large, ranks, seed))
+    drop(large)
     key = ["island", "band", "slice"]
     blocks = cut(sets.select(key).distinct())
     pairs = cut(blocks.toDF("island", "ba", "sa").join(blocks.toDF("island", "bb", "sb"), "island").where(
@@ -246,15 +257,19 @@ def _removed_nodes(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray, seed: i
         to = chosen.select("island", F.col("ba").alias("band"), F.col("sa").alias("slice"), task, F.lit(0).alias("side")) \
             .union(chosen.where(~same).select("island", "bb", "sb", task, F.lit(1)))
         found = _flag(state.join(to, key)).distinct()
-        flagged = cut(found if flagged is None else found.union(flagged).distinct())
-    return gone.union(flagged)
+        before, flagged = flagged, cut(found if flagged is None else found.union(flagged).distinct())
+        drop(before)
+    out = cut(gone.union(flagged))
+    drop(sets, blocks, pairs, gone, flagged)
+    return out
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text without its later matches, n_lines and the removed lines'
     numbers of every document."""
     docs = documents(docs, "doc_id", "text")
-    keyed = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), "text")
+    key = [F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), F.xxhash64("text").alias("dig")]
+    keyed = docs.select(*key, "text")
 
     def hashes(batch):
         return (h for *_, h, _ in _lines(batch.column("text")))
@@ -264,7 +279,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     while True:
         lines = cut(_line_sets(keyed, ranks, seed))
         nodes = cut(lines.groupBy("node").agg(
-            F.min(F.struct("id", "line")).alias("first"), F.min("n").alias("n"), F.max("n").alias("n1"),
+            F.min(F.struct("id", "dig", "line")).alias("first"), F.min("n").alias("n"), F.max("n").alias("n1"),
             F.min("check").alias("c0"), F.max("check").alias("c1")))
         if nodes.where("c0 <> c1 or n <> n1").isEmpty():
             break
@@ -272,14 +287,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         seed += 1  # two sets had one digest: hash them anew
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     island = setkit.islands(_entries(lines, max(256, int(tokens // 4_000_000) + 1)))
-    slim = cut(lines.select("id", "line", "node"))
+    slim = cut(lines.select("id", "dig", "line", "node"))
     drop(lines)
-    members = nodes.select("node", "n", "first.id", "first.line").join(
-        island.withColumnRenamed("component", "island"), "node")
-    gone = _removed_nodes(keyed, members, ranks, seed).distinct().withColumn("gone", F.lit(True))
+    members = cut(nodes.select("node", "n", "first.id", "first.dig", "first.line").join(
+        island.withColumnRenamed("component", "island"), "node"))
+    drop(island)
+    gone = cut(_removed_nodes(keyed, members, ranks, seed).distinct().withColumn("gone", F.lit(True)))
+    drop(members)
     known = cut(nodes.select("node", "first").join(gone, "node", "left"))
+    drop(nodes, gone)
     out = cut(slim.join(known, "node").where(
-        "gone or id <> first.id or line <> first.line").groupBy("id").agg(
+        "gone or id <> first.id or dig <> first.dig or line <> first.line").groupBy("id", "dig").agg(
             F.sort_array(F.collect_set("line")).alias("removed")))
 
     def rebuild(batches):
@@ -298,6 +316,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(count, pa.int64()),
                  pa.array(cuts, pa.list_(pa.int64()))], ["doc_id", "text", "n_lines", "removed_lines"])
 
-    both = docs.withColumn("id", F.coalesce("doc_id", F.lit(_NULL_ID))).join(out, "id", "left")
+    drop(slim, known)
+    both = docs.select("doc_id", "text", *key).join(out, ["id", "dig"], "left")
     return both.select("doc_id", "text", "removed").mapInArrow(
         rebuild, "doc_id long, text string, n_lines long, removed_lines array<long>")
