@@ -93,8 +93,8 @@ def test_hot_group_of_near_copies(make_docs, monkeypatch):
     assert out == brute(rows)
 
 
-def by_row(rows):
-    """n and component of every row: rows linked by words or by their doc_id."""
+def by_row(rows, by_id=True):
+    """n and component of every row: rows linked by words or (``by_id``) by their doc_id."""
     sets = [shingles(t) for _, t in rows]
     comp = list(range(len(rows)))
 
@@ -106,7 +106,7 @@ def by_row(rows):
     for a in range(len(rows)):
         for b in range(a):
             x, y = sets[a], sets[b]
-            if x and y and (100 * len(x & y) >= 75 * len(x | y) or rows[a][0] is not None and rows[a][0] == rows[b][0]):
+            if x and y and (100 * len(x & y) >= 75 * len(x | y) or by_id and rows[a][0] is not None and rows[a][0] == rows[b][0]):
                 comp[max(find(a), find(b))] = min(find(a), find(b))
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -141,7 +141,7 @@ def test_keep_one(make_docs):
     assert kept.columns == df.columns
     out = [(r["doc_id"], r["text"]) for r in kept.collect()]
     groups = {}
-    for (i, t), (_, n, _, g) in zip(rows, by_row(rows), strict=True):
+    for (i, t), (_, n, _, g) in zip(rows, by_row(rows, False), strict=True):
         if n:
             groups.setdefault(g, set()).add((i, t))
     for members in groups.values():   # one document of each group, with the smallest id

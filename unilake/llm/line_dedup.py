@@ -32,6 +32,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -302,19 +303,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     def rebuild(batches):
         for batch in batches:
-            texts, removed = batch.column("text").to_pylist(), batch.column("removed").to_pylist()
-            kept, count, cuts = [], [], []
-            for t, r in zip(texts, removed, strict=True):
-                parts = [] if t is None else t.split("\n")
-                r = [k for k in r or [] if k < len(parts)]
-                drop_ = set(r)
-                kept.append(None if t is None else "\n".join([p for k, p in enumerate(parts) if k not in drop_])
-                            if drop_ else t)
-                count.append(len(parts))
-                cuts.append(r)
+            texts, removed = batch.column("text"), [r or [] for r in batch.column("removed").to_pylist()]
+            cut_ = np.array([len(r) > 0 for r in removed], dtype=bool)
+            new = []
+            for t, r in zip(texts.filter(pa.array(cut_)).to_pylist(), (r for r in removed if r), strict=True):
+                gone = set(r)
+                new.append("\n".join([p for k, p in enumerate(t.split("\n")) if k not in gone]))
+            count = pc.add(pc.fill_null(pc.count_substring(texts, "\n"), -1), 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(count, pa.int64()),
-                 pa.array(cuts, pa.list_(pa.int64()))], ["doc_id", "text", "n_lines", "removed_lines"])
+                [batch.column("doc_id"), pc.replace_with_mask(texts, pa.array(cut_), pa.array(new, pa.string())),
+                 count.cast(pa.int64()), pa.array(removed, pa.list_(pa.int64()))],
+                ["doc_id", "text", "n_lines", "removed_lines"])
 
     drop(slim, known)
     both = docs.select("doc_id", "text", *key).join(out, ["id", "dig"], "left")

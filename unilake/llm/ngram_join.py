@@ -259,9 +259,10 @@ def link_islands(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return links.union(_verified(docs, _block_candidates(points, rest, False), large))
 
 
-def grouped_rows(docs: DataFrame) -> DataFrame:
+def grouped_rows(docs: DataFrame, by_id: bool = True) -> DataFrame:
     """doc_id, id, dig, n, node and component_id of every row, and ``group``: what
-    the rows of one component share (null for rows without words)."""
+    the rows of one component share (null for rows without words).  ``by_id``:
+    rows that repeat a doc_id belong together whatever their words."""
     docs = keyed(docs)
 
     def hashes(batch):
@@ -284,11 +285,11 @@ def grouped_rows(docs: DataFrame) -> DataFrame:
     island = setkit.islands(_entries(docs, ranks, seed, n_buckets))
     island = island.withColumnRenamed("component", "island")
     links = link_islands(docs, nodes.select("node", "row.id", "row.dig", "n").join(island, "node"))
-    # the nodes of a doc_id that several sets hold belong together
+    edges = links.select("a", "b")
     held = sets.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
         F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
     held = sets.join(held, "doc_id").where("n > 0 and node <> a").select("a", F.col("node").alias("b"))
-    comp = components(links.select("a", "b").union(held))
+    comp = components(edges.union(held) if by_id else edges)
     groups = nodes.select("node", "least").join(comp, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("group"))
     smallest = groups.groupBy("group").agg(F.min("least").alias("smallest"))
@@ -309,8 +310,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` but for those that stand behind another one of their
     component, with all their columns: the row with the smallest doc_id stays (one
     without doc_id only where none has one; of equals, that with the smallest
-    digest).  Rows without words stay."""
-    rows = cut(grouped_rows(docs))
+    digest).  Only words link here: rows that repeat a doc_id with other words all
+    stay, and so do rows without words."""
+    rows = cut(grouped_rows(docs, by_id=False))
     order = F.struct(F.col("doc_id").isNull(), F.col("id"), F.col("dig"))
     first = rows.where("group is not null").groupBy("group").agg(F.min(order).alias("first"))
     gone = rows.join(first, "group").where(order != F.col("first")).select(
