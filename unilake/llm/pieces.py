@@ -21,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from unilake.llm.common import documents
+from unilake.llm.common import bound_batches, documents
 from unilake.llm.textkit import chunks, span_hashes, string_bytes
 
 MARK = "▁"
 CHUNK = 1 << 20
-#: Units whose ids a task keeps.
-CACHED = 1 << 19
+#: Units whose ids a task keeps (about 25 MB).
+CACHED = 1 << 17
 
 
 class DoubleArray:
@@ -221,6 +221,7 @@ class Pieces:
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, n_ids and decoded (the text from the ids alone)."""
+    bound_batches(docs.sparkSession)
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))
 
     def run(batches):
@@ -231,8 +232,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
             for i, j in chunks(sizes, CHUNK):
                 own = text.slice(i, j - i)
                 ids, off = p.encode([t or "" for t in own.to_pylist()], cache)
-                flat = ids.tolist()
-                back = [p.decode(flat[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                back = [p.decode(ids[a:b].tolist()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 null = np.asarray(own.is_null())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i),
