@@ -136,3 +136,24 @@ def test_full_beam_reaches_a_second_group():
     q = np.vstack([turn(0.0), x[:40], x[:40], x[:40], x[:40], x[:40], x[:40]])
     out = vector_dedup.search_block(vector_dedup.Graph(x), x, q, False)
     assert [n for n, _ in out] == [41] + [40] * 240 and len(out[0][1]) == 2
+
+
+def turned(degrees):
+    a = np.radians(np.array(degrees, dtype=float))
+    return np.stack([np.cos(a), np.sin(a)], axis=1)
+
+
+def test_rows_that_no_beam_finds_are_linked(monkeypatch):
+    monkeypatch.setattr(vector_dedup, "LEAST_RECALL", 0.0)   # the audit accepts any answer
+    x = paired(np.random.default_rng(11), 300)
+    out = vector_dedup.search_block(Blind(x, np.arange(100)), x, x, True)
+    assert [n for n, _ in out] == ((x @ x.T >= 0.98).sum(axis=1) - 1).tolist()
+    q = x[::-1]
+    out = vector_dedup.search_block(Blind(x, np.arange(100)), x, q, False)
+    assert [n for n, _ in out] == (q @ x.T >= 0.98).sum(axis=1).tolist()
+
+
+def test_chain_out_of_order_is_one_component(spark):
+    # links only between neighbours at 10 degrees; each row's first linked row is not enough
+    rows = [(i, [float(v) for v in x], 1) for i, x in enumerate(turned([0, 30, 10, 20, 90, 110, 100]).tolist())]
+    assert got(vector_dedup.near_vectors(spark.createDataFrame(rows, VEC).coalesce(1))) == brute(rows)

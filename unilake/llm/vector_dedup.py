@@ -17,8 +17,13 @@ Vectors of one label are compared by cosine; pairs at ``LEAST`` or above link.
    links or linked groups (means over the vectors with a link, so a large group
    doesn't outweigh small ones), beams are doubled and all queries of the block
    run again; past ``WIDEST`` every query is compared with the whole shard.
-4. Each search reports counts and, per linked group, one edge: links are never
-   listed pair by pair.  Edges are united into components.
+4. What the beams missed: matrix products of the shard with its queries, in
+   single precision with a margin above its error, point out linked rows outside
+   the groups a search reached.  They are verified in double precision and
+   added, so every link is counted.
+5. Each search reports counts and, per linked group, one edge (for a vector's own
+   group: to the group's first row): links are never listed pair by pair.  Edges
+   are united into components.
 
 Cases: a null or zero vector, one with null or non-finite components, or a null
 label links with nothing (its own component); vectors of different lengths do
@@ -50,6 +55,8 @@ BEAM, WIDEST = 16, 64
 #: Vectors drawn at a time for a block's audit; audited vectors with a link that
 #: are enough; share of their links and linked groups that the beams must find.
 AUDIT, LINKED, LEAST_RECALL = 64, 256, 0.995
+#: Queries of one matrix product with a shard.
+EXACT = 256
 
 
 class Graph:
@@ -219,17 +226,45 @@ def passes(x: np.ndarray, q: np.ndarray, same: bool, group: np.ndarray, got: lis
     return not recalls or bool(np.mean(recalls, axis=0).min() >= LEAST_RECALL)
 
 
+def missed(x: np.ndarray, q: np.ndarray, same: bool, group: np.ndarray, got: list) -> list:
+    """``got`` with the links that lie outside the groups that the beams reached."""
+    x32, (number, of) = x.astype(np.float32), np.unique(group, return_inverse=True)
+    least = LEAST - (x.shape[1] + 4) * 2.0 ** -22   # beyond the products' rounding errors
+    out = list(got)
+    for at in range(0, len(q), EXACT):
+        part = q[at:at + EXACT]
+        known = np.zeros((len(number), len(part)), dtype=bool)
+        for k, (_, rows, whole) in enumerate(got[at:at + EXACT]):
+            known[slice(None) if whole else of[rows], k] = True
+        near = x32 @ part.astype(np.float32).T >= least
+        near &= ~known[of]
+        if same:
+            near[np.arange(at, at + len(part)), np.arange(len(part))] = False
+        for k in np.flatnonzero(near.any(axis=0)).tolist():
+            hit = np.flatnonzero(near[:, k])
+            hit = hit[linked(x[hit], part[k])]
+            count, rows, whole = got[at + k]
+            out[at + k] = (count + len(hit), rows + hit[np.unique(group[hit], return_index=True)[1]].tolist(), whole)
+    return out
+
+
 def search_block(graph: Graph, x: np.ndarray, q: np.ndarray, same: bool) -> list[tuple[int, list[int]]]:
     """(links, one linked row per group) of every row of ``q`` in shard ``x``;
-    ``same``: the queries are the shard's own rows, which don't link to themselves."""
+    ``same``: the queries are the shard's own rows, which don't link to themselves;
+    of their own group they name the first row, whose links hold the group together."""
     beam = BEAM
     while True:
         group = groups_of(x, graph, beam)
         members = _members(group)
         got = [query(x, graph, group, members, q[i], beam, i if same else -1) for i in range(len(q))]
         if passes(x, q, same, group, got):
-            return [g[:2] for g in got]
+            break
         beam *= 2
+    got = missed(x, q, same, group, got)
+    if not same:
+        return [g[:2] for g in got]
+    return [(n, [r for r in rows if group[r] != group[i]] + ([int(group[i])] if group[i] != i else []))
+            for i, (n, rows, _) in enumerate(got)]
 
 
 def _members(group: np.ndarray) -> dict[int, np.ndarray]:
@@ -274,7 +309,7 @@ def near_vectors(table: DataFrame) -> DataFrame:
                 q = np.frombuffer(t["q"], dtype=np.float64).reshape(t["q_size"], -1)
                 rows, q_rows = (np.frombuffer(t[r], dtype=np.int64) for r in ("rows", "q_rows"))
                 got = search_block(Graph(x, pickle.loads(t["graph"])), x, q, t["shard"] == t["asking"])
-                keep = [i for i, (n, _) in enumerate(got) if n]
+                keep = [i for i, (n, to) in enumerate(got) if n or to]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_rows[keep]), pa.array([got[i][0] for i in keep], pa.int64()),
                      pa.array([rows[got[i][1]].tolist() for i in keep], pa.list_(pa.int64()))],
