@@ -319,3 +319,19 @@ def test_double_array_finds_its_keys_only():
 
     assert [look(k) for k in keys] == list(range(len(keys)))
     assert all(look(k + b"x") == -1 for k in keys[:500] if k + b"x" not in set(keys))
+
+
+def test_span_hashes_by_running_sums():
+    from unilake.llm import textkit
+
+    data = np.random.default_rng(1).integers(0, 256, 600_000).astype(np.uint8)
+    edges = np.array([0, 3, 3 + textkit._SEGMENT, 200_000, 200_001, 599_999])
+    starts, ends = edges[:-1], edges[1:] - np.array([1, 0, 5, 0, 7])
+    want = []
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):   # powers of one number, plainly
+        total = 0
+        for x in data[a:b].tolist()[::-1]:
+            total = (total * textkit._P + x + 1) % (1 << 64)
+        total = (total + (b - a) * int(textkit._POS[6])) % (1 << 64)
+        want.append(int(textkit.mix64(np.array([total], dtype=np.uint64))[0]))
+    assert textkit.span_hashes(data, starts, ends).tolist() == want

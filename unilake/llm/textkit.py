@@ -7,12 +7,16 @@ words: memory per batch is a small multiple of the batch's bytes.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 17
+#: Inverse of _P modulo 2**64.
+_P_INVERSE = pow(_P, -1, 1 << 64)
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _POS = [U(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
                        0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F,
@@ -71,11 +75,23 @@ def word_spans(data: np.ndarray, off: np.ndarray, word: np.ndarray) -> tuple[np.
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
+def _powers(p: int, n: int) -> np.ndarray:
+    power = np.full(n, U(p))
+    power[:1] = U(1)
+    return np.multiply.accumulate(power)
+
+
+@functools.cache
+def _segment_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_P, _SEGMENT + 1), _powers(_P_INVERSE, _SEGMENT + 1)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hash of each byte span (ascending, not overlapping).
 
-    Positions weigh powers of one number; with a ``seed`` they weigh numbers of
-    their own, which gives an independent hash of the same spans.
+    Positions weigh powers of one number: differences of running sums over a
+    segment, divided by the power of the span's start.  With a ``seed`` they weigh
+    numbers of their own, which gives an independent hash of the same spans.
     """
     out = np.empty(len(starts), dtype=U)
     i = 0
@@ -84,17 +100,22 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
         j = max(i + 1, int(np.searchsorted(ends, lo + _SEGMENT, side="right")))
         s, e = starts[i:j], ends[i:j]
         lens = e - s
-        first = np.cumsum(lens) - lens
-        pos = np.arange(int(lens.sum())) - np.repeat(first, lens)
-        part = data[np.repeat(s, lens) + pos].astype(U) + U(1)
         if seed:
+            first = np.cumsum(lens) - lens
+            pos = np.arange(int(lens.sum())) - np.repeat(first, lens)
+            part = data[np.repeat(s, lens) + pos].astype(U) + U(1)
             power = mix64(np.arange(int(lens.max())).astype(U) + U(seed) * U(_MIX[1]))
+            total = np.add.reduceat(part * power[pos], first)
         else:
-            power = np.full(int(lens.max()), U(_P))
-            power[0] = U(1)
-            power = np.multiply.accumulate(power)
-        out[i:j] = mix64(np.add.reduceat(part * power[pos], first)
-                         + lens.astype(U) * _POS[6])
+            size = int(e[-1] - lo)
+            power, inverse = _segment_powers() if size <= _SEGMENT else (_powers(_P, size), np.ones(1, U))
+            run = np.zeros(size + 1, dtype=U)
+            weighed = data[lo:e[-1]].astype(U)
+            weighed += U(1)
+            weighed *= power[:size]
+            np.cumsum(weighed, out=run[1:])
+            total = (run[e - lo] - run[s - lo]) * inverse[s - lo]
+        out[i:j] = mix64(total + lens.astype(U) * _POS[6])
         i = j
     return out
 
