@@ -335,3 +335,17 @@ def test_span_hashes_by_running_sums():
         total = (total + (b - a) * int(textkit._POS[6])) % (1 << 64)
         want.append(int(textkit.mix64(np.array([total], dtype=np.uint64))[0]))
     assert textkit.span_hashes(data, starts, ends).tolist() == want
+
+
+def test_chunk_of_units_needs_little_memory():
+    import tracemalloc
+
+    p = pieces.Pieces([pieces.MARK, *"abcdefgh", "ab", "abc", "cde", "fgh", "<unk>"], [-1.0] * 14, ["normal"] * 13 + ["unknown"])
+    rng = np.random.default_rng(2)
+    units = ["".join("abcdefghij"[k] for k in rng.integers(0, 10, 7)) for _ in range(40_000)]
+    tracemalloc.start()
+    ids, off = p.encode([" ".join(units)], {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(off) == 2 and len(ids) == off[-1] > 40_000
+    assert peak < 220 * 40_000 * 8   # bytes for each byte of text

@@ -17,6 +17,8 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from unilake.llm.common import bound_batches, documents
 from unilake.llm.textkit import chunks, span_hashes, string_bytes
 
 MARK = "▁"
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Units whose ids a task keeps (about 25 MB).
 CACHED = 1 << 17
 
@@ -114,39 +116,49 @@ class Pieces:
 
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all units in a row, and offsets."""
-        raw = np.frombuffer(b"\0".join(units) + b"\0", dtype=np.uint8)
-        sizes = np.array([len(u) for u in units], dtype=np.int64)
+        return self.encode_packed(np.frombuffer(b"\0".join(units) + b"\0", dtype=np.uint8),
+                                  np.array([len(u) for u in units], dtype=np.int64))
+
+    def encode_packed(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_units``; ``raw`` holds the units, a zero byte behind each."""
         stop = np.cumsum(sizes + 1) - 1            # of each unit, in raw
         first = stop - sizes
-        unit_stop = np.repeat(stop, sizes + 1)
+        unit_stop = np.repeat(stop, sizes + 1).astype(np.int32)
         inside = np.ones(len(raw), dtype=bool)
         inside[stop] = False
-        starts = np.flatnonzero(inside & ((raw & 0xC0) != 0x80))
-        # every match of a piece: (start, end, id)
-        found, at, node, depth = [], starts, np.zeros(len(starts), np.int64), 0
+        starts = np.flatnonzero(inside & ((raw & 0xC0) != 0x80)).astype(np.int32)
+        char_end = np.minimum(np.r_[starts[1:], np.int32(len(raw))], unit_stop[starts])
+        # every match of a piece: start, end, id
+        found, at, to_end, node, depth = [], starts, char_end, np.zeros(len(starts), np.int32), 0
+        spelt = np.zeros(len(raw), dtype=bool)     # starts of characters that are pieces
         base, check, value = self.trie.base, self.trie.check, self.trie.value
         while len(at):
-            to = base[node].astype(np.int64) + raw[at + depth] + 1
-            ok = to < len(check)
-            at, to, node = at[ok], to[ok], node[ok]
-            ok = check[to] == node
-            at, node = at[ok], to[ok]
+            to = base[node] + raw[at + depth] + 1
+            ok = np.flatnonzero(check.take(to, mode="clip") == node)   # the last place is never taken
+            at, to_end, node = at[ok], to_end[ok], to[ok]
             depth += 1
-            hit = value[node] >= 0
-            found.append(np.stack([at[hit], at[hit] + depth, value[node[hit]]]))
-            more = at + depth < unit_stop[at]
-            at, node = at[more], node[more]
-        char_end = np.r_[starts[1:], len(raw)]
-        char_end = np.minimum(char_end, unit_stop[starts])
-        found.append(np.stack([starts, char_end, np.full(len(starts), -1)]))
-        start, end, piece = np.concatenate(found, axis=1)
+            piece = value[node]
+            hit = np.flatnonzero(piece >= 0)
+            begin = at[hit]
+            spelt[begin[to_end[hit] == begin + depth]] = True
+            found.append((begin, begin + np.int32(depth), piece[hit]))
+            more = np.flatnonzero(at + depth < unit_stop[at])
+            at, to_end, node = at[more], to_end[more], node[more]
+        # other characters; a piece of one character always beats its bytes
+        bare = np.flatnonzero(~spelt[starts])
+        found.append((starts[bare], char_end[bare], np.full(len(bare), -1, np.int32)))
+        start, end, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        del found
+        # by (end in the unit, end, start): an end has one place in its unit
+        rel = end - np.repeat(first, sizes + 1).astype(np.int32)[start]
+        size = end - start
+        longest = int(size.max(initial=0)) + 1
+        order = np.argsort((rel.astype(np.int64) * (len(raw) + 1) + end) * longest + (longest - 1 - size))
+        start, end, piece, rel = start[order], end[order], piece[order], rel[order]
         gain = np.where(piece >= 0, self.scores[piece], self.unknown_score)
-        rel = end - np.repeat(first, sizes + 1)[start]
-        order = np.lexsort((start, end, rel))
-        start, end, piece, gain, rel = (x[order] for x in (start, end, piece, gain, rel))
         best = np.full(len(raw) + 1, -np.inf)
         best[first] = 0.0
-        via = np.zeros(len(raw) + 1, dtype=np.int64)
+        via = np.zeros(len(raw) + 1, dtype=np.int32)
         level = np.flatnonzero(np.r_[True, rel[1:] != rel[:-1]]) if len(rel) else np.zeros(0, np.int64)
         for lo, hi in zip(level.tolist(), np.r_[level[1:], len(rel)].tolist(), strict=True):
             total = best[start[lo:hi]] + gain[lo:hi]
@@ -167,7 +179,7 @@ class Pieces:
             more = now > first[unit]
             unit, now = unit[more], now[more]
         if not steps:
-            return np.zeros(0, np.int32), np.zeros(len(units) + 1, np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(sizes) + 1, np.int64)
         unit = np.concatenate([u for u, _ in steps])
         m = np.concatenate([x for _, x in steps])
         order = np.lexsort((start[m], unit))
@@ -178,29 +190,37 @@ class Pieces:
         own = np.repeat(m, width)
         ids = np.where(piece[own] >= 0, piece[own], self.byte_id[raw[start[own] + pos]])
         ids = np.where(ids < 0, self.unknown, ids).astype(np.int32)
-        return ids, np.r_[0, np.cumsum(np.bincount(np.repeat(unit, width), minlength=len(units)))]
+        return ids, np.r_[0, np.cumsum(np.bincount(np.repeat(unit, width), minlength=len(sizes)))]
 
     def encode(self, texts: list[str], cache: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts in a row, and offsets; each distinct unit is
         encoded once.  ``cache`` keeps units' ids between calls."""
-        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
-        codes = np.frombuffer("".join(marked).encode("utf-32-le"), dtype=np.uint32)
+        marked = [(MARK + t.replace(" ", MARK)).encode() if t else b"" for t in texts]
+        raw = np.frombuffer(b"".join(marked), dtype=np.uint8)
         off = np.r_[0, np.cumsum([len(t) for t in marked])].astype(np.int64)
-        if not len(codes):
+        del marked
+        if not len(raw):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        start = np.zeros(len(codes), dtype=bool)
+        start = np.zeros(len(raw), dtype=bool)
         start[off[:-1][off[:-1] < off[1:]]] = True
         if not self.inner_marks:
-            mark = codes == ord(MARK)
-            start[1:] |= mark[1:] & ~mark[:-1]
+            m0, m1, m2 = MARK.encode()
+            mark = np.flatnonzero(raw[:-2] == m0)
+            mark = mark[(raw[mark + 1] == m1) & (raw[mark + 2] == m2)]
+            start[mark[np.r_[True, mark[1:] != mark[:-1] + 3]]] = True
         s = np.flatnonzero(start)
-        e = np.r_[s[1:], len(codes)]
-        keys, one, which = np.unique(span_hashes(codes, s, e), return_index=True, return_inverse=True)
-        keys, whole = keys.tolist(), codes.tobytes()
+        e = np.r_[s[1:], len(raw)]
+        keys, one, which = np.unique(span_hashes(raw, s, e), return_index=True, return_inverse=True)
+        keys = keys.tolist()
         known = [cache.get(k) for k in keys]
         new = [i for i, x in enumerate(known) if x is None]
-        spans = zip(s[one[new]].tolist(), e[one[new]].tolist(), strict=True)
-        ids, uoff = self.encode_units([whole[4 * a:4 * b].decode("utf-32-le").encode() for a, b in spans])
+        # the new units' bytes, each with a zero behind it
+        a, sizes = s[one[new]], (e - s)[one[new]]
+        from_ = np.arange(int(sizes.sum()) + len(new)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1 - a, sizes + 1)
+        packed = raw.take(from_, mode="clip")
+        packed[np.cumsum(sizes + 1) - 1] = 0
+        del from_
+        ids, uoff = self.encode_packed(packed, sizes)
         raw, cuts = ids.tobytes(), (uoff * 4).tolist()
         if len(cache) + len(new) > CACHED:
             cache.clear()
@@ -219,9 +239,9 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
-def encode_decode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids, n_ids and decoded (the text from the ids alone)."""
-    bound_batches(docs.sparkSession)
+def encode_decode(docs: DataFrame, path: str, carried: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ids, n_ids, decoded (the text from the ids alone) and the carried columns."""
+    bound_batches(docs.sparkSession, 1 << 22)
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.load(path))
 
     def run(batches):
@@ -237,8 +257,10 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i),
                      pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids), mask=pa.array(null)),
-                     pa.array(np.diff(off), pa.int64(), mask=null), pa.array(back, pa.string(), mask=null)],
-                    ["doc_id", "ids", "n_ids", "decoded"])
+                     pa.array(np.diff(off), pa.int64(), mask=null), pa.array(back, pa.string(), mask=null),
+                     *[batch.column(c).slice(i, j - i) for c in carried]],
+                    ["doc_id", "ids", "n_ids", "decoded", *carried])
 
-    return documents(docs, "doc_id", "text").mapInArrow(
-        run, "doc_id long, ids array<int>, n_ids long, decoded string")
+    rows = documents(docs, "doc_id", "text", *carried)
+    kinds = "".join(f", `{c}` {t}" for c, t in rows.dtypes[2:])
+    return rows.mapInArrow(run, f"doc_id long, ids array<int>, n_ids long, decoded string{kinds}")
