@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm import setkit
-from unilake.llm.common import components, cut, documents, drop
+from unilake.llm.common import bound_batches, components, cut, documents, drop
 from unilake.llm.rtree import count_points, group_number, linked_roots, overlaps, surviving_pairs
 from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
                                  string_bytes, word_spans)
@@ -264,6 +264,7 @@ def grouped_rows(docs: DataFrame, by_id: bool = True) -> DataFrame:
     the rows of one component share (null for rows without words).  ``by_id``:
     rows that repeat a doc_id belong together whatever their words."""
     docs = keyed(docs)
+    bound_batches(docs.sparkSession, 1 << 22)
 
     def hashes(batch):
         return (h for _, _, h, _ in _shingles(batch.column("text")))
