@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the next stage
 reads it again from Parquet.  All but the last return the columns of documents:
 
-1. language: documents without a letter go (no score is too low);
+1. language: documents without a letter go (no score is too low); ``run`` passes
+   the predicted languages on to the result as ``lang_pred``;
 2. exact: of texts equal after lower-casing A-Z, the largest doc_id stays;
 3. near: of each group of near-duplicates the row with the smallest doc_id stays;
 4. mix: each document as often as the target weights of its source ask for;
@@ -15,12 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from unilake.llm import exact_dedup, language_id, mixing, ngram_join, pieces
-from unilake.llm.common import cut, read_table
+from unilake.llm.common import cut, free_names, read_table
 from unilake.llm.queries import PIECE_FILE, vocabulary
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.accepted(docs)
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, predicted: str | None = None) -> DataFrame:
+    """``predicted``: the name of a further column with the predicted language."""
+    return language_id.accepted(docs, predicted=predicted)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +37,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs).select(docs.columns)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode_decode(docs, vocabulary(PIECE_FILE))
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str, *carried: str) -> DataFrame:
+    return pieces.encode_decode(docs, vocabulary(PIECE_FILE), carried)
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("mix", mix), ("encode", encode)]
@@ -47,6 +49,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    name, = free_names(docs, "lang_pred")
+    docs = cut(language(spark, docs, sf_dir, name))
+    for _, stage in STAGES[1:-1]:
         docs = cut(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return encode(spark, docs, sf_dir, name).withColumnRenamed(name, "lang_pred")

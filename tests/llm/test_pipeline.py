@@ -8,6 +8,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
+from unilake.llm import language_id
 from tests.llm.conftest import SF
 from tests.llm.test_native import lower, targets
 from tests.llm.test_ngram_join import brute
@@ -84,6 +85,19 @@ def test_odd_rows_pass_every_stage(spark, make_docs, extra):
     assert Counter((r["doc_id"], r["decoded"]) for r in out) == left["mix"]
 
 
+def test_predicted_languages_reach_the_result(spark, make_docs, tmp_path):
+    rows = [(i, f"the cat and the dog walk over the hill with number word{i}", "en", "a") for i in range(8)] + \
+        [(i, f"der hund und die katze laufen durch den wald nach haus wort{i}", "de", "b") for i in range(10, 18)] + \
+        [(20, "the dog and the cat are over there", None, "a"), (21, "die katze und der hund", None, "b"), (22, "12 34", "en", "a")]
+    docs = make_docs(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(
+        docs.select("doc_id", "text"), *language_id.learn(docs.select("text", "lang"))).collect()}
+    assert want[20] == "en" and want[21] == "de"
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) > 0 and all(r["lang_pred"] == want[r["doc_id"]] != "und" for r in out)
+
+
 def test_empty_table_passes_every_stage(spark, make_docs):
     frame = make_docs([])
     for _, stage in corpus_pipeline.STAGES[:-1]:

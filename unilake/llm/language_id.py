@@ -196,12 +196,15 @@ def languages(docs: DataFrame) -> DataFrame:
     return predict(rows.select("doc_id", "held_out", "text"), *model)
 
 
-def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+def accepted(docs: DataFrame, least_score: float = LEAST_SCORE, predicted: str | None = None) -> DataFrame:
     """The documents whose language is recognised, with all their columns.
 
     Rejected: texts without a letter, and texts that score under ``least_score``.
-    Scores are 0 at least, so the default rejects letterless texts only."""
+    Scores are 0 at least, so the default rejects letterless texts only.
+    ``predicted``: the name of a further column with the predicted language."""
     model = learn(documents(docs, "text", "lang"))
     names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]  # free of clashes
     out = predict(docs.toDF(*names), *model, keep_text=True).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
-    return out.select(names).toDF(*docs.columns)
+    if predicted is None:
+        return out.select(names).toDF(*docs.columns)
+    return out.select(*names, "lang_pred").toDF(*docs.columns, predicted)
