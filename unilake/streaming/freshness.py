@@ -80,7 +80,8 @@ def freshness_ledger(lake: Lake) -> DataFrame:
     if not path_exists(lake.spark, ledger_path(lake)):
         return lake.spark.createDataFrame([], LEDGER_SCHEMA)
     raw = LEDGER_SCHEMA.replace("_at timestamp", "_at double")
-    return lake.spark.read.schema(raw).json(ledger_path(lake)).withColumns(
+    # not the temporary siblings that a listener writes meanwhile
+    return lake.spark.read.schema(raw).option("pathGlobFilter", "*.json").json(ledger_path(lake)).withColumns(
         {c: F.timestamp_seconds(c) for c in ("landed_at", "published_at")})
 
 
