@@ -349,3 +349,15 @@ def test_chunk_of_units_needs_little_memory():
     tracemalloc.stop()
     assert len(off) == 2 and len(ids) == off[-1] > 40_000
     assert peak < 220 * 40_000 * 8   # bytes for each byte of text
+
+
+def test_chunk_whose_units_are_all_known(make_docs):
+    p, cache = pieces.Pieces.load(PIECES), {}
+    texts = ["one more word, one more", "", "ß word"]
+    first, again = p.encode(texts, cache), p.encode(texts, cache)
+    assert len(first[0]) and all((a == b).all() for a, b in zip(first, again, strict=True))
+    long = "some words that come again " * (pieces.CHUNK // 20)   # a chunk for each row
+    rows = make_docs([(i, long) for i in range(3)]).coalesce(1)
+    got = pieces.encode_decode(rows, PIECES).collect()
+    assert [(r["doc_id"], r["decoded"] == long) for r in got] == [(0, True), (1, True), (2, True)]
+    assert got[0]["ids"] == got[1]["ids"] == got[2]["ids"] == p.encode([long], {})[0].tolist()

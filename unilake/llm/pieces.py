@@ -160,7 +160,7 @@ class Pieces:
         best[first] = 0.0
         via = np.zeros(len(raw) + 1, dtype=np.int32)
         level = np.flatnonzero(np.r_[True, rel[1:] != rel[:-1]]) if len(rel) else np.zeros(0, np.int64)
-        for lo, hi in zip(level.tolist(), np.r_[level[1:], len(rel)].tolist(), strict=True):
+        for lo, hi in zip(level.tolist(), np.r_[level, len(rel)][1:].tolist(), strict=True):
             total = best[start[lo:hi]] + gain[lo:hi]
             e = end[lo:hi]
             head = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
