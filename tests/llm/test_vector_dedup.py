@@ -157,3 +157,37 @@ def test_chain_out_of_order_is_one_component(spark):
     # links only between neighbours at 10 degrees; each row's first linked row is not enough
     rows = [(i, [float(v) for v in x], 1) for i, x in enumerate(turned([0, 30, 10, 20, 90, 110, 100]).tolist())]
     assert got(vector_dedup.near_vectors(spark.createDataFrame(rows, VEC).coalesce(1))) == brute(rows)
+
+
+class Counted(vector_dedup.Graph):
+    def nearest(self, q, beam):
+        self.asked = getattr(self, "asked", 0) + 1
+        return super().nearest(q, beam)
+
+
+def test_own_block_is_searched_once_for_each_beam(monkeypatch):
+    monkeypatch.setattr(vector_dedup, "LEAST_RECALL", 0.0)   # one beam is enough
+    x = paired(np.random.default_rng(12), 200)
+    g = Counted(x)
+    out = vector_dedup.search_block(g, x, x, True)
+    assert [n for n, _ in out] == ((x @ x.T >= 0.98).sum(axis=1) - 1).tolist()
+    assert g.asked == len(x)
+
+
+def test_search_starts_at_the_own_node():
+    rng = np.random.default_rng(13)
+    x = paired(rng, 200)
+    g = vector_dedup.Graph(x)
+    g.top, g.entry = 0, 0
+    g.near[0][0] = np.zeros(0, np.int64)   # nothing is reached from the entry
+    assert all({i, i ^ 1} <= set(g.nearest(g.x[i], 16).tolist()) for i in range(2, len(x)))
+    assert g.nearest(rng.normal(size=24).astype(np.float32), 16).tolist() == [0]
+
+
+def test_large_groups_in_other_blocks():
+    rng = np.random.default_rng(14)
+    x = np.vstack([np.repeat(paired(rng, 1)[:1], 150, axis=0), paired(rng, 60)])
+    q = np.vstack([x[:40], paired(rng, 30), x[200:]])
+    for same, other in ((True, x), (False, q)):
+        out = vector_dedup.search_block(vector_dedup.Graph(x), x, other, same)
+        assert [n for n, _ in out] == ((other @ x.T >= 0.98).sum(axis=1) - same).tolist()

@@ -5,9 +5,10 @@ Vectors of one label are compared by cosine; pairs at ``LEAST`` or above link.
 1. A label's vectors are dealt to shards of bounded size by a hash of the id,
    so a hot label is many shards.  Each shard becomes a graph in one task.
 2. Every shard is queried with every vector of its label, in blocks of one
-   shard's vectors.  A beam search finds neighbours; found neighbours stand for
-   the linked group of their shard (built from the shard's own searches), and
-   the cosine with every member of such a group is verified in double
+   shard's vectors.  A beam search finds neighbours; it starts at the query's own
+   node where the graph has one.  Found neighbours stand for the linked group of
+   their shard (built from the shard's own searches, which also answer its own
+   block), and the cosine with every member of such a group is verified in double
    precision, so links are counted exactly where the search reached the group.
    A query whose beam is linked to its last node may have more: it is compared
    with the whole shard.
@@ -64,6 +65,8 @@ class Graph:
 
     def __init__(self, x: np.ndarray, state: tuple | None = None):
         self.x = x.astype(np.float32)
+        #: The last node of each distinct vector.
+        self.at = {row.tobytes(): i for i, row in enumerate(self.x)}
         n = len(x)
         if state is not None:
             self.near, self.entry, self.top = state
@@ -145,6 +148,10 @@ class Graph:
         return np.array([b[0] for b in best], dtype=np.float32), np.array([b[1] for b in best])
 
     def nearest(self, q: np.ndarray, beam: int) -> np.ndarray:
+        """Nodes nearest to ``q``; the search for a node's own vector starts there."""
+        own = self.at.get(q.tobytes())
+        if own is not None:
+            return self.search(q, [own], beam, 0)[1]
         at = [self.entry]
         for k in range(self.top, 0, -1):
             at = [int(self.search(q, at, 1, k)[1][0])]
@@ -168,8 +175,28 @@ def near_rows(x: np.ndarray, graph: Graph, q: np.ndarray, beam: int) -> tuple[np
     return np.flatnonzero(linked(x, q)), True
 
 
-def groups_of(x: np.ndarray, graph: Graph, beam: int) -> np.ndarray:
-    """A group number per row: rows that the shard's own searches link."""
+def answers(x: np.ndarray, graph: Graph, q: np.ndarray, beam: int) -> list[tuple[np.ndarray, bool]]:
+    """``near_rows`` of every row of ``q``; rows out of the whole shard as packed
+    bits, since numbers would fill the memory where groups are large."""
+    out = []
+    for i in range(len(q)):
+        near, whole = near_rows(x, graph, q[i], beam)
+        if whole:
+            bits = np.zeros(len(x), dtype=bool)
+            bits[near] = True
+            near = np.packbits(bits)
+        out.append((near, whole))
+    return out
+
+
+def rows_in(answer: tuple[np.ndarray, bool], n: int) -> np.ndarray:
+    near, whole = answer
+    return np.flatnonzero(np.unpackbits(near, count=n)) if whole else near
+
+
+def groups_of(x: np.ndarray, own: list) -> np.ndarray:
+    """A group number per row: rows that the shard's own searches link; ``own``:
+    their answers."""
     root = np.arange(len(x))
 
     def find(i):
@@ -179,8 +206,8 @@ def groups_of(x: np.ndarray, graph: Graph, beam: int) -> np.ndarray:
         return i
 
     for i in range(len(x)):
-        found, whole = near_rows(x, graph, x[i], beam)
-        if not whole:
+        found = rows_in(own[i], len(x))
+        if not own[i][1]:
             found = found[linked(x[found], x[i])]
         for j in np.unique(root[found]).tolist():
             a, b = find(i), find(j)
@@ -188,12 +215,12 @@ def groups_of(x: np.ndarray, graph: Graph, beam: int) -> np.ndarray:
     return np.array([find(i) for i in range(len(x))])
 
 
-def query(x, graph, group, members, q, beam, skip=-1):
-    """Number of the shard's rows linked to ``q`` in the groups that a beam
-    search reaches, one linked row of each such group, and whether the whole
+def query(x, group, members, q, answer, skip=-1):
+    """Number of the shard's rows linked to ``q`` in the groups that its search
+    (``answer``) reached, one linked row of each such group, and whether the whole
     shard was compared.  ``skip``: the query's own row."""
-    near, whole = near_rows(x, graph, q, beam)
-    if whole:
+    near = rows_in(answer, len(x))
+    if answer[1]:
         hit = near[near != skip]
         return len(hit), hit[np.unique(group[hit], return_index=True)[1]].tolist(), True
     count, rows = 0, []
@@ -254,9 +281,11 @@ def search_block(graph: Graph, x: np.ndarray, q: np.ndarray, same: bool) -> list
     of their own group they name the first row, whose links hold the group together."""
     beam = BEAM
     while True:
-        group = groups_of(x, graph, beam)
+        own = answers(x, graph, x, beam)
+        group = groups_of(x, own)
         members = _members(group)
-        got = [query(x, graph, group, members, q[i], beam, i if same else -1) for i in range(len(q))]
+        asked = own if same else answers(x, graph, q, beam)
+        got = [query(x, group, members, q[i], asked[i], i if same else -1) for i in range(len(q))]
         if passes(x, q, same, group, got):
             break
         beam *= 2
