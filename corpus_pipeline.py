@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from unilake.llm import exact_dedup, language_id, mixing, ngram_join, pieces
-from unilake.llm.common import cut, free_names, read_table
+from unilake.llm.common import cut, drop, free_names, read_table
 from unilake.llm.queries import PIECE_FILE, vocabulary
 
 
@@ -52,5 +52,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, = free_names(docs, "lang_pred")
     docs = cut(language(spark, docs, sf_dir, name))
     for _, stage in STAGES[1:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        drop(before)
     return encode(spark, docs, sf_dir, name).withColumnRenamed(name, "lang_pred")

@@ -2,13 +2,15 @@
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from unilake.llm import language_id
+from unilake.llm import common, exact_dedup, language_id, ngram_join
+from unilake.session import path_exists
 from tests.llm.conftest import SF
 from tests.llm.test_native import lower, targets
 from tests.llm.test_ngram_join import brute
@@ -98,6 +100,55 @@ def test_predicted_languages_reach_the_result(spark, make_docs, tmp_path):
     assert len(out) > 0 and all(r["lang_pred"] == want[r["doc_id"]] != "und" for r in out)
 
 
+def test_stages_leave_one_table_and_move_few_texts(spark, make_docs, tmp_path, monkeypatch):
+    """Whatever a stage writes on its way goes; rows that stay for sure meet no shuffle."""
+    left = lambda: len(list(tmp_path.glob("llm-*")))
+    monkeypatch.setattr(common, "fresh_dir", lambda _, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(common, "SIFT_BITS", 1 << 15)
+    texts = [" ".join(f"t{i}w{k}" for k in range(9)) for i in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    extra = [(None, texts[0]), (-(1 << 63), texts[1] + " end"), (None, texts[2] + " end"), (None, texts[3] + " tail"),
+             (300, texts[4] + " end"), (301, texts[5].upper()), (301, texts[5]), (302, "rep"), (302, "rep")]
+    docs = make_docs(rows + extra).repartition(5)
+    for stage, gone in ((exact_dedup.keep_unique, {(None, texts[0]), (5, texts[5]), (302, "rep")}),
+                        (ngram_join.keep_one, {(None, texts[0]), (None, texts[2] + " end"), (None, texts[3] + " tail"),
+                                               (1, texts[1]), (300, texts[4] + " end"), (301, texts[5].upper()),
+                                               (301, texts[5])})):
+        before = left()
+        out = stage(docs)
+        assert left() == before + 1
+        want = Counter(rows + extra)
+        got = Counter((r["doc_id"], r["text"]) for r in out.collect())
+        lost = want - got
+        assert not got - want and sum(lost.values()) == len(gone) + (stage is exact_dedup.keep_unique)
+        if stage is ngram_join.keep_one:
+            assert set(lost) == gone
+        else:   # of the two rows 301, either text
+            assert set(lost) - {(301, texts[5].upper()), (301, texts[5])} == gone
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join LeftSemi" in plan   # only rows of the filter come to the exact join
+
+
+def test_sift(spark):
+    ids = spark.range(5000).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("bits"))
+    for keys in (ids.where("doc_id % 50 = 0"), ids.where("doc_id is null"), ids.where("false")):
+        clear, rest = common.sift(ids, "doc_id", keys.select("doc_id"))
+        assert clear.columns == rest.columns == ids.columns
+        a, b = ([r["doc_id"] for r in x.collect()] for x in (clear, rest))
+        assert Counter(a + b) == Counter([None, *range(1, 5000)])
+        wanted = {r["doc_id"] for r in keys.collect()}
+        assert wanted <= set(b) and len(b) <= len(wanted) + 5
+
+
+def test_run_keeps_no_table_of_an_earlier_stage(spark, make_docs, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(corpus_pipeline, "cut", lambda df: made.append(common.cut(df)) or made[-1])
+    make_docs([(1, "a few words here", "en", "a"), (2, "other words", "en", "a")]).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert [path_exists(spark, t._unilake_path) for t in made] == [False] * (len(made) - 1) + [True]
+    assert out.count() > 0
+
+
 def test_empty_table_passes_every_stage(spark, make_docs):
     frame = make_docs([])
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import get_ident
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -9,6 +12,10 @@ from pyspark.sql.window import Window as W
 from unilake.session import fresh_dir, delete_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: By thread, the paths that ``cut`` writes while ``settled`` runs (plain data: tasks get this module by value).
+_MADE: dict[int, list[str]] = {}
+#: Bits of the filter of ``sift`` (4 MB, whatever the number of keys).
+SIFT_BITS = 1 << 25
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -28,6 +35,27 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._unilake_path = path
+    _MADE.get(get_ident(), []).append(path)
+    return out
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """``cut(make())``; the tables that ``make`` cuts on the way are removed."""
+    thread, made, out = get_ident(), [], None
+    outer = _MADE.get(thread)
+    _MADE[thread] = made
+    try:
+        out = cut(make())
+    finally:
+        if outer is None:
+            del _MADE[thread]
+        else:
+            _MADE[thread] = outer
+        spark = SparkSession.active()
+        for path in made[:-1] if out is not None else made:
+            delete_path(spark, path)
+    if outer is not None:
+        outer.append(out._unilake_path)
     return out
 
 
@@ -76,6 +104,27 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+def sift(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` is surely not in ``keys``, all other rows) of ``df``.
+
+    ``keys`` has one column.  A bitmap of the keys' hashes, of a fixed size, is
+    sent to all tasks, so neither part is shuffled.  The second part holds every
+    row whose key is listed (null among them, if listed) and some others: an
+    exact join follows.
+    """
+    def slot(c: Column) -> Column:  # 1 .. SIFT_BITS, as the bitmap functions number them
+        return F.pmod(F.xxhash64(c), F.lit(SIFT_BITS)) + F.lit(1)
+
+    bits = keys.select(slot(keys[keys.columns[0]]).alias("slot")).groupBy(
+        F.bitmap_bucket_number("slot").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    at = F.bitmap_bit_position(slot(df[key]))
+    byte = F.hex(F.substring(bits["bits"], F.shiftright(at, 3).cast("int") + 1, F.lit(1)))
+    held = F.getbit(F.conv(byte, 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1
+    listed = (F.bitmap_bucket_number(slot(df[key])) == bits["bucket"]) & held
+    return tuple(df.join(F.broadcast(bits), listed, how) for how in ("left_anti", "left_semi"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): component is the smallest node reachable by edges.
 

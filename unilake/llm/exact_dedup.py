@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from unilake.llm.common import cut, documents, free_names, lower_ascii
+from unilake.llm.common import cut, documents, free_names, lower_ascii, settled, sift
 
 #: Runs merged into one per round.
 FAN = 8
@@ -63,23 +63,31 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def keep_unique(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document stays, with all their columns."""
+def _beaten(docs: DataFrame, own: str, text: str, one: str) -> DataFrame:
+    """(``own``, ``text``, ``one``): doc_id and digest of the rows that go; ``one``:
+    a row with both stays, as they repeat."""
     rows = cut(digests(docs))
     gone = groups(rows).where("not (doc_id <=> top.doc_id and at = top.at)")
     gone = cut(gone.groupBy("doc_id", "sha").agg(F.count(F.lit(1)).alias("copies")))
-    if gone.isEmpty():
-        return docs
     # a doc_id may repeat: of its rows with one text, as many go as were beaten
-    own, text, one = free_names(docs, "_id", "_sha", "_one")
     held = rows.groupBy(F.col("doc_id").alias(own), F.col("sha").alias(text)).agg(F.count(F.lit(1)).alias("held"))
-    gone = cut(gone.join(held, F.col(own).eqNullSafe(F.col("doc_id")) & (F.col(text) == F.col("sha"))).select(
-        own, text, (F.col("held") > F.col("copies")).alias(one)))
+    return gone.join(held, F.col(own).eqNullSafe(F.col("doc_id")) & (F.col(text) == F.col("sha"))).select(
+        own, text, (F.col("held") > F.col("copies")).alias(one))
+
+
+def keep_unique(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose document stays, with all their columns.
+
+    Texts are moved only of rows whose doc_id may be that of a row that goes."""
+    own, text, one = free_names(docs, "_id", "_sha", "_one")
+    gone = settled(lambda: _beaten(docs, own, text, one))
+    if gone.isEmpty():
+        return docs
     sha = F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
     same = F.col(own).eqNullSafe(F.col("doc_id")) & (F.col(text) == sha)
-    out = docs.join(gone.where(~F.col(one)), same, "left_anti")
+    clear, rest = sift(docs, "doc_id", gone.select(own))
+    out = clear.union(rest.join(gone, same, "left_anti"))
     some = gone.where(one)
     if some.isEmpty():
         return out
-    first = docs.join(some, same).dropDuplicates([own, text]).select(docs.columns)
-    return out.join(some, same, "left_anti").unionByName(first)
+    return out.union(rest.join(some, same).dropDuplicates([own, text]).select(docs.columns))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm import setkit
-from unilake.llm.common import bound_batches, components, cut, documents, drop
+from unilake.llm.common import bound_batches, components, cut, documents, drop, settled, sift
 from unilake.llm.rtree import count_points, group_number, linked_roots, overlaps, surviving_pairs
 from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
                                  string_bytes, word_spans)
@@ -307,17 +307,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return grouped_rows(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def _behind(docs: DataFrame) -> DataFrame:
+    """(_gone_id, _gone_dig): the rows that stand behind another one of their component."""
+    rows = cut(grouped_rows(docs, by_id=False))
+    order = F.struct(F.col("doc_id").isNull(), F.col("id"), F.col("dig"))
+    first = rows.where("group is not null").groupBy("group").agg(F.min(order).alias("first"))
+    return rows.join(first, "group").where(order != F.col("first")).select(
+        F.col("id").alias("_gone_id"), F.col("dig").alias("_gone_dig")).distinct()
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` but for those that stand behind another one of their
     component, with all their columns: the row with the smallest doc_id stays (one
     without doc_id only where none has one; of equals, that with the smallest
     digest).  Only words link here: rows that repeat a doc_id with other words all
-    stay, and so do rows without words."""
-    rows = cut(grouped_rows(docs, by_id=False))
-    order = F.struct(F.col("doc_id").isNull(), F.col("id"), F.col("dig"))
-    first = rows.where("group is not null").groupBy("group").agg(F.min(order).alias("first"))
-    gone = rows.join(first, "group").where(order != F.col("first")).select(
-        F.col("id").alias("_gone_id"), F.col("dig").alias("_gone_dig")).distinct()
-    gone = cut(gone)
+    stay, and so do rows without words.  Texts are moved only of rows whose doc_id
+    may be that of a row that goes."""
+    gone = settled(lambda: _behind(docs))
     same = (F.coalesce(docs["doc_id"], F.lit(_NULL_ID)) == gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_dig"])
-    return docs.join(gone, same, "left_anti")
+    gone_id = F.nullif(gone["_gone_id"], F.lit(_NULL_ID))
+    clear, rest = sift(docs, "doc_id", gone.select("_gone_id").union(gone.select(gone_id)))
+    return clear.union(rest.join(gone, same, "left_anti"))
