@@ -123,3 +123,16 @@ def test_later_matches_random():
     arrays = [np.array(sorted(s), dtype=np.uint64) for s in sets]
     want = [i for i, s in enumerate(sets) if any(100 * len(s & t) >= 75 * len(s | t) for t in sets[:i])]
     assert line_dedup.later_matches(arrays, [False] * len(sets)) == want
+
+
+def test_only_lines_that_may_match_are_moved(make_docs, monkeypatch):
+    other = "\n".join(" ".join(f"o{k}x{i}" for i in range(40)) for k in range(50))
+    rows = [(i, f"{other}\nline {i} of six words here\n{other}") for i in range(20)]
+    docs = make_docs(rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("dig"), "text")
+    ranks = np.zeros(1 << 20, dtype=np.uint16)
+    members = line_dedup._line_sets(docs, ranks, 0).where("line = 50").select("id", "dig", "line", "node").localCheckpoint()
+    moved, join = [], type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda df, *a, **k: moved.append(df) or join(df, *a, **k))
+    sets = line_dedup._token_sets(docs, members, ranks, 0).collect()
+    assert sorted((r["node"], len(r["tokens"])) for r in sets) == sorted((r["node"], 16) for r in members.collect())
+    assert sum(len(r["text"]) for df in moved[:1] for r in df.collect()) < 2 * sum(len(t) for _, t in rows) / 100

@@ -12,7 +12,7 @@ import regex
 import sentencepiece
 from tokenizers import Tokenizer
 
-from unilake.llm import language_id, license_scan, pieces, token_count
+from unilake.llm import language_id, license_scan, pieces, setkit, textkit, token_count
 from tests.llm.conftest import SF
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -361,3 +361,33 @@ def test_chunk_whose_units_are_all_known(make_docs):
     got = pieces.encode_decode(rows, PIECES).collect()
     assert [(r["doc_id"], r["decoded"] == long) for r in got] == [(0, True), (1, True), (2, True)]
     assert got[0]["ids"] == got[1]["ids"] == got[2]["ids"] == p.encode([long], {})[0].tolist()
+
+
+def test_word_hashes_depend_on_the_spans_bytes_alone():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("ab", k=rng.choice([1, 2, 7, 8, 9, 16, 17, 63, 64, 65, 200]))) for _ in range(2000)]
+    data = np.frombuffer(" ".join(words).encode() + b" " * 8, dtype=np.uint8)
+    starts, ends = textkit.word_spans(data, np.array([0, len(data)]), ~textkit.SPACE)
+    of = {}
+    for w, h in zip(words, textkit.word_hashes(data, starts, ends).tolist(), strict=True):
+        assert of.setdefault(w, h) == h
+    assert len(set(of.values())) == len(of)
+
+
+@pytest.mark.parametrize("close", [False, True])
+def test_sorted_sets_and_keys_that_share_their_first_bits(close):
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 1 << 63, 3000).astype(np.uint64)[rng.integers(0, 3000, 9000)]
+    if close:
+        h = (h & np.uint64(31)) | np.uint64(1 << 63)
+    owner, rank = rng.integers(0, 40, 9000), (h % np.uint64(3)).astype(np.uint16)
+    for r in (rank, None):
+        flat, off = textkit.sorted_sets(h, owner, 41, r)
+        for k in range(41):
+            own = {(0 if r is None else int(x % 3), int(x)) for x in h[owner == k].tolist()}
+            assert flat[off[k]:off[k + 1]].tolist() == [x for _, x in sorted(own)]
+    node, n = rng.integers(0, 50, 9000), rng.integers(1, 5, 9000)
+    got = setkit._key_order(h, node, n)
+    want = np.lexsort((node, n, h))
+    for x in (h, n, node):
+        assert (x[got] == x[want]).all()

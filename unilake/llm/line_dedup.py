@@ -38,8 +38,7 @@ from pyspark.sql import functions as F
 
 from unilake.llm import setkit
 from unilake.llm.common import cut, documents, drop
-from unilake.llm.textkit import (LOWER, SPACE, chunks, shingle_hashes, sorted_sets, span_hashes,
-                                 string_bytes, word_spans)
+from unilake.llm.textkit import SPACE, chunks, shingle_hashes, sorted_sets, string_bytes, word_hashes
 
 WIDTH = 5
 TASK_TOKENS = 1 << 22
@@ -49,26 +48,41 @@ LEADERS = 4
 #: Islands of at most this many nodes are compared without an index.
 FEW = 4
 _NULL_ID = -(1 << 63)
+#: Bits of the filter of lines; a line's place in it is its text's digest, shifted by its number times _LINE.
+_PLACES, _LINE = 1 << 26, 0x9E3779B1
+_END = b"\n" * 8
+_IS_WORD = bytes(not x for x in SPACE.tolist())
 
 
 def _lines(text: pa.Array):
     """Per chunk: first row, rows, row and number of each line, hashes, owners."""
-    data, off = string_bytes(text)
+    if text.null_count:
+        text = text.fill_null("")
+    _, off = string_bytes(text)
     for i, j in chunks(np.diff(off), setkit.CHUNK):
-        part, at = LOWER[data[off[i]:off[j]]], off[i:j + 1] - off[i]
-        breaks = np.flatnonzero(part == 0x0A)
-        count = np.diff(np.searchsorted(breaks, at)) + 1
-        starts = np.sort(np.r_[at[:-1], breaks + 1], kind="stable")
-        row = np.repeat(np.arange(j - i), count)
-        number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        s, e = word_spans(part, at, ~SPACE)
-        owner = np.searchsorted(starts, s, side="right") - 1
-        h, o = shingle_hashes(span_hashes(part, s, e), owner, WIDTH)
+        # a line break after each text: no line and no word runs on into the next
+        one = pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), text.slice(i, j - i))
+        low = pc.binary_join(one, pa.scalar("\n", text.type))[0].as_buffer().to_pybytes().lower() + _END
+        part, is_word = np.frombuffer(low, np.uint8), np.frombuffer(low.translate(_IS_WORD), bool)
+        starts = np.r_[0, np.flatnonzero(part[:len(part) - len(_END)] == 0x0A) + 1]
+        first = np.searchsorted(starts, off[i:j] - off[i] + np.arange(j - i))
+        count = np.diff(np.r_[first, len(starts)])
+        row, number = np.repeat(np.arange(j - i), count), np.arange(len(starts)) - np.repeat(first, count)
+        edges = np.flatnonzero(np.r_[is_word[0], is_word[1:] != is_word[:-1]])
+        s, e = edges[::2], edges[1::2]
+        words = np.diff(np.r_[np.searchsorted(s, starts), len(s)])
+        h, o = shingle_hashes(word_hashes(part, s, e), np.repeat(np.arange(len(starts)), words), WIDTH)
         yield i, j - i, row, number, h, o
 
 
+def _binary(flat: np.ndarray, off: np.ndarray) -> pa.Array:
+    """The parts of an array of 64-bit numbers between the offsets, as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [
+        None, pa.py_buffer((8 * off).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
 def _line_sets(docs: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
-    """id, dig, line, n, node, check and routing keys of every line with words."""
+    """id, dig, line, n, node, check and routing keys (packed) of every line with words."""
     def run(batches):
         for batch in batches:
             ids, digs = batch.column("id").to_numpy(), batch.column("dig").to_numpy()
@@ -77,20 +91,20 @@ def _line_sets(docs: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
                 full = s["n"] > 0
                 cuts = np.r_[0, np.cumsum(np.diff(s["key_off"])[full])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i + row[full]]), pa.array(digs[i + row[full]]), pa.array(number[full]), *[pa.array(s[c][full]) for c in ("n", "node", "check")],
-                     pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(s["keys"].view(np.int64)))],
+                    [pa.array(ids[i + row[full]]), pa.array(digs[i + row[full]]), pa.array(number[full]),
+                     *[pa.array(s[c][full]) for c in ("n", "node", "check")], _binary(s["keys"], cuts)],
                     ["id", "dig", "line", "n", "node", "check", "keys"])
 
-    return docs.mapInArrow(run, "id long, dig long, line long, n long, node long, check long, keys array<long>")
+    return docs.mapInArrow(run, "id long, dig long, line long, n long, node long, check long, keys binary")
 
 
 def _entries(lines: DataFrame, n_buckets: int) -> DataFrame:
     def run(batches):
         def stream():
             for batch in batches:
-                keys = batch.column("keys")
-                lens = np.diff(keys.offsets.to_numpy())
-                yield (keys.flatten().to_numpy().view(np.uint64),
+                data, off = string_bytes(batch.column("keys"))
+                lens = np.diff(off) >> 3
+                yield (data.view(np.uint64),
                        np.repeat(batch.column("node").to_numpy(), lens),
                        np.repeat(batch.column("n").to_numpy(), lens))
 
@@ -100,41 +114,47 @@ def _entries(lines: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def _token_sets(docs: DataFrame, members: DataFrame, ranks: np.ndarray, seed: int) -> DataFrame:
-    """The members with their tokens, rarest first, as packed bytes.  Only the
-    texts that hold a member's first line are moved."""
-    keep = setkit.bitmap(members, "dig")
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string()}
-    carried = [(c, t) for c, t in members.dtypes if c not in ("id", "dig", "line")]
-    schema = pa.schema([(c, kind[t]) for c, t in carried] + [("tokens", pa.binary())])
-    wanted = members.groupBy("id", "dig").agg(F.collect_list(F.struct(
-        "line", *[c for c, _ in carried])).alias("wanted"))
+    """The members with their tokens, rarest first, as packed bytes.  Texts are
+    cut where they are read, and only lines that a bitmap of the members' first
+    lines lets through are moved."""
+    at = F.col("dig").bitwiseXOR(F.col("line") * F.lit(_LINE))
+    keep = setkit.bitmap(members, F.pmod(at, F.lit(_PLACES)) + F.lit(1), _PLACES)
+    carried = [c for c in members.columns if c not in ("id", "dig", "line")]
 
     def pick(batches):
         for batch in batches:
-            ok = setkit.passes(keep, batch.column("slot").to_numpy())
-            yield batch.select(["id", "dig", "text"]).filter(pa.array(ok))
+            ids, digs = batch.column("id").to_numpy(), batch.column("dig").to_numpy()
+            data, off = string_bytes(batch.column("text"))
+            for i, j in chunks(np.diff(off), setkit.CHUNK):
+                part, at = data[off[i]:off[j]], off[i:j + 1] - off[i]
+                breaks = np.flatnonzero(part == 0x0A)
+                count = np.diff(np.searchsorted(breaks, at)) + 1
+                starts = np.sort(np.r_[at[:-1], breaks + 1], kind="stable")
+                row = np.repeat(np.arange(i, j), count)
+                number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                ok = setkit.passes(keep, ((digs[row] ^ (number * _LINE)) & (_PLACES - 1)) + 1)
+                # a line takes its line break along
+                lines = pa.Array.from_buffers(pa.string(), len(row), [
+                    None, pa.py_buffer(np.r_[starts, at[-1]].astype(np.int32)), pa.py_buffer(part)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[row[ok]]), pa.array(digs[row[ok]]), pa.array(number[ok]), lines.filter(pa.array(ok))],
+                    ["id", "dig", "line", "text"])
 
     def run(batches):
         for batch in batches:
-            want = batch.column("wanted")
-            for i, _, row, number, h, o in _lines(batch.column("text")):
+            nodes = batch.column("node").to_numpy()
+            for i, m, row, number, h, o in _lines(batch.column("text")):
                 flat, off = sorted_sets(h, o, len(row), ranks[setkit.hash_group(h)])
-                node = setkit.set_digests(flat, off, seed).view(np.int64)
-                first = np.searchsorted(row, np.arange(row[-1] + 1 if len(row) else 0))
-                out: dict[str, list] = {c: [] for c in schema.names}
-                for r in range(len(first)):
-                    for w in want[i + r].as_py():
-                        k = first[r] + w["line"]
-                        if k < len(row) and row[k] == r and node[k] == w["node"]:
-                            for c, _ in carried:
-                                out[c].append(w[c])
-                            out["tokens"].append(flat[off[k]:off[k + 1]].tobytes())
-                yield pa.RecordBatch.from_pydict(out, schema=schema)
-
-    slot = setkit.hash_slot(F.col("dig"), len(keep) * 8).alias("slot")
-    some = docs.select("id", "dig", "text", slot).mapInArrow(pick, "id long, dig long, text string")
-    kinds = ", ".join(f"{c} {t}" for c, t in carried)
-    return some.join(wanted, ["id", "dig"]).select("text", "wanted").mapInArrow(run, f"{kinds}, tokens binary")
+                own = np.flatnonzero(number == 0)  # behind a line break there is nothing
+                ok = pa.array(setkit.set_digests(flat, off, seed).view(np.int64)[own] == nodes[i:i + m])
+                tokens = _binary(flat, np.r_[off[own], off[-1]])
+                yield pa.RecordBatch.from_arrays(
+                    [x.filter(ok) for x in (*[batch.column(c).slice(i, m) for c in carried], tokens)],
+                    [*carried, "tokens"])
+
+    some = docs.select("id", "dig", "text").mapInArrow(pick, "id long, dig long, line long, text string")
+    kinds = ", ".join(f"{c} {t}" for c, t in members.dtypes if c in carried)
+    return some.join(members, ["id", "dig", "line"]).select("text", *carried).mapInArrow(run, f"{kinds}, tokens binary")
 
 
 def later_matches(sets: list[np.ndarray], removed: list[bool], side: list[int] | None = None) -> list[int]:
@@ -281,23 +301,22 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         lines = cut(_line_sets(keyed, ranks, seed))
         nodes = cut(lines.groupBy("node").agg(
             F.min(F.struct("id", "dig", "line")).alias("first"), F.min("n").alias("n"), F.max("n").alias("n1"),
-            F.min("check").alias("c0"), F.max("check").alias("c1")))
+            F.min("check").alias("c0"), F.max("check").alias("c1"), F.count(F.lit(1)).alias("copies")))
         if nodes.where("c0 <> c1 or n <> n1").isEmpty():
             break
         drop(lines, nodes)
         seed += 1  # two sets had one digest: hash them anew
     tokens = nodes.agg(F.sum("n")).first()[0] or 0
     island = setkit.islands(_entries(lines, max(256, int(tokens // 4_000_000) + 1)))
-    slim = cut(lines.select("id", "dig", "line", "node"))
-    drop(lines)
     members = cut(nodes.select("node", "n", "first.id", "first.dig", "first.line").join(
         island.withColumnRenamed("component", "island"), "node"))
     drop(island)
     gone = cut(_removed_nodes(keyed, members, ranks, seed).distinct().withColumn("gone", F.lit(True)))
     drop(members)
-    known = cut(nodes.select("node", "first").join(gone, "node", "left"))
+    # only nodes that go or have further lines take part; a lone line stays or goes with its node
+    known = cut(nodes.where("copies > 1").select("node", "first").join(gone, "node", "full"))
     drop(nodes, gone)
-    out = cut(slim.join(known, "node").where(
+    out = cut(lines.select("id", "dig", "line", "node").join(known, "node").where(
         "gone or id <> first.id or dig <> first.dig or line <> first.line").groupBy("id", "dig").agg(
             F.sort_array(F.collect_set("line")).alias("removed")))
 
@@ -315,7 +334,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                  count.cast(pa.int64()), pa.array(removed, pa.list_(pa.int64()))],
                 ["doc_id", "text", "n_lines", "removed_lines"])
 
-    drop(slim, known)
+    drop(lines, known)
     both = docs.select("doc_id", "text", *key).join(out, ["id", "dig"], "left")
     return both.select("doc_id", "text", "removed").mapInArrow(
         rebuild, "doc_id long, text string, n_lines long, removed_lines array<long>")

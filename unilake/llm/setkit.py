@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from unilake.llm.common import components, cut
@@ -40,10 +40,19 @@ def group_totals(df: DataFrame, hashes) -> np.ndarray:
     parts = (1 << SKETCH_BITS) // _PART
 
     def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        total, held = np.zeros(1 << SKETCH_BITS, dtype=np.int64), []
+
+        def add_held():
+            total[:] += np.bincount(np.concatenate([hash_group(h) for h in held]), minlength=len(total))
+            held.clear()
+
         for batch in batches:
             for h in hashes(batch):
-                total += np.bincount(hash_group(h), minlength=len(total))
+                held.append(h)
+                if sum(map(len, held)) >= len(total):
+                    add_held()
+        if held:
+            add_held()
         if total.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(parts), pa.int32()),
@@ -89,10 +98,34 @@ def routed_sets(h: np.ndarray, owner: np.ndarray, n_owners: int, ranks: np.ndarr
             "keys": flat[pos < np.repeat(prefix, n)], "key_off": np.r_[0, np.cumsum(prefix)]}
 
 
+def _key_order(key, node, n):
+    """Order by key, size, node: the keys' first bits are sorted with their places
+    as plain numbers, then whoever shares those bits is put in order."""
+    at = max(len(key) - 1, 0).bit_length()
+    packed = (key & ~U((1 << at) - 1)) | np.arange(len(key), dtype=U)
+    packed.sort()
+    order = (packed & U((1 << at) - 1)).view(np.int64)
+    packed >>= U(at)
+    same = packed[1:] == packed[:-1]
+    tied = np.zeros(len(key), dtype=bool)
+    tied[1:] |= same
+    tied[:-1] |= same
+    sub = order[tied]
+    order[tied] = sub[np.lexsort((node[sub], n[sub], key[sub]))]
+    return order
+
+
+def _distinct_pairs(pairs):
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    keep = np.ones(len(pairs), dtype=bool)
+    keep[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+    return pairs[keep]
+
+
 def combine(key, node, n):
     """Merge entries of one task: links between the sizes-next holders of each
     key, and one entry (key, a holder, least size, largest size) per run."""
-    order = np.lexsort((node, n, key))
+    order = _key_order(key, node, n)
     key, node, n = key[order], node[order], n[order]
     same = key[1:] == key[:-1]
     joined = same & (4 * n[:-1] >= 3 * n[1:])
@@ -118,8 +151,8 @@ def packed_entries(stream, n_buckets: int):
     def flush():
         key, node, n = (np.concatenate(x) for x in zip(*held, strict=True))
         key, node, low, high, pairs = combine(key, node, n)
-        pairs = np.unique(pairs, axis=0)
-        bucket = (key % U(n_buckets)).astype(np.int64)
+        pairs = _distinct_pairs(pairs)
+        bucket = (key % U(n_buckets)).astype(np.uint16 if n_buckets <= 1 << 16 else np.int64)
         order = np.argsort(bucket, kind="stable")
         key, node, low, high, bucket = (x[order] for x in (key, node, low, high, bucket))
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
@@ -171,7 +204,7 @@ def _bucket_links(pdf):
         reach = np.maximum.accumulate(group * (1 << 40) + high) - group * (1 << 40)
         link = (key[1:] == key[:-1]) & (4 * reach[:-1] >= 3 * low[1:]) & (node[1:] != node[:-1])
         links = np.concatenate([links, np.stack([node[:-1][link], node[1:][link]], axis=1)])
-    links = np.unique(np.sort(links, axis=1), axis=0)
+    links = _distinct_pairs(np.sort(links, axis=1))
     return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
 
 
@@ -181,12 +214,14 @@ def islands(entries: DataFrame) -> DataFrame:
     return components(links)
 
 
-def bitmap(df: DataFrame, column: str, bits: int = 1 << 26) -> np.ndarray:
+def bitmap(df: DataFrame, column: str | Column, bits: int = 1 << 26) -> np.ndarray:
     """One bit per hash value of ``column``: a filter of fixed size (8 MB).
 
     It lets through every listed value and some others; an exact join follows.
+    A Column gives the slots themselves, 1 .. bits.
     """
-    rows = df.select(hash_slot(F.col(column), bits).alias("h")) \
+    slot = hash_slot(F.col(column), bits) if isinstance(column, str) else column
+    rows = df.select(slot.alias("h")) \
         .groupBy(F.expr("bitmap_bucket_number(h)").alias("k")) \
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("m")).collect()
     out = np.zeros(bits // 8, dtype=np.uint8)

@@ -15,6 +15,12 @@ import pyarrow as pa
 U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
 _SEGMENT = 1 << 17
+#: Least bits of a hash by which ``sorted_sets`` sorts plain numbers.
+_ROOM = 16
+#: Longest words that ``word_hashes`` hashes by eights of bytes.
+_EIGHTS = 64
+#: The first n bytes of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 #: Inverse of _P modulo 2**64.
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -120,6 +126,23 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return out
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span (ascending, not overlapping), eight bytes at
+    a time; longer spans than ``_EIGHTS`` go through ``span_hashes``.  ``data``
+    goes on for seven bytes after the last span."""
+    eights = np.ndarray(max(len(data) - 7, 0), dtype="<u8", buffer=data, strides=(1,))
+    size = ends - starts
+    out = eights[starts] & _FIRST[np.minimum(size, 8)]
+    more, at = np.flatnonzero((size > 8) & (size <= _EIGHTS)), 8
+    while len(more):
+        left = size[more] - at
+        out[more] = mix64(out[more]) + (eights[starts[more] + at] & _FIRST[np.minimum(left, 8)])
+        more, at = more[left > 8], at + 8
+    long = np.flatnonzero(size > _EIGHTS)
+    out[long] = span_hashes(data, starts[long], ends[long])
+    return mix64(out + size.astype(U) * _POS[6])
+
+
 def shingle_hashes(words: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, owner) of every run of ``width`` words of one owner; an owner
     with fewer words gives its whole sequence as one.  ``owner`` ascends."""
@@ -151,6 +174,27 @@ def sorted_sets(h: np.ndarray, owner: np.ndarray, n_owners: int,
                 rank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of each owner as one flat array plus offsets, each
     owner's part ordered by (rank, hash)."""
+    n = len(h)
+    top = 0 if rank is None or not n else int(rank.max()).bit_length()
+    at = max(n - 1, 0).bit_length()
+    room = 64 - max(n_owners - 1, 0).bit_length() - top - at
+    if room >= _ROOM:  # sort plain numbers: owner, rank, first bits of the hash, place
+        key = owner.astype(U)
+        if top:
+            key <<= U(top)
+            key |= rank.astype(U)
+        key <<= U(room)
+        key |= h >> U(64 - room)
+        key <<= U(at)
+        key |= np.arange(n, dtype=U)
+        key.sort()
+        order = (key & U((1 << at) - 1)).view(np.int64)
+        key >>= U(at)
+        ordered, same = h[order], key[1:] == key[:-1]
+        if not (same & (ordered[1:] != ordered[:-1])).any():
+            keep = np.ones(n, dtype=bool)
+            keep[1:] = ~same
+            return ordered[keep], _offsets(owner[order[keep]], n_owners)
     order = np.argsort(h)
     if rank is not None:
         order = order[np.argsort(rank[order], kind="stable")]
@@ -160,8 +204,11 @@ def sorted_sets(h: np.ndarray, owner: np.ndarray, n_owners: int,
     h, owner = h[order], owner[order]
     keep = np.ones(len(h), dtype=bool)
     keep[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    h, owner = h[keep], owner[keep]
-    return h, np.r_[0, np.cumsum(np.bincount(owner, minlength=n_owners))].astype(np.int64)
+    return h[keep], _offsets(owner[keep], n_owners)
+
+
+def _offsets(owner: np.ndarray, n_owners: int) -> np.ndarray:
+    return np.r_[0, np.cumsum(np.bincount(owner, minlength=n_owners))].astype(np.int64)
 
 
 def set_digests(h: np.ndarray, off: np.ndarray, seed: int) -> np.ndarray:
