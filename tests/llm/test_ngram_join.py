@@ -177,3 +177,55 @@ def test_bitmap_holds_all_values(spark):
         "id", setkit.hash_slot(F.col("id"), 1 << 16).alias("s")).toPandas()
     ok = setkit.passes(mask, slots["s"].to_numpy())
     assert ok[::7][:1000].all() and ok.mean() < 0.3
+
+
+def together(island):
+    """Sets of nodes that one island holds."""
+    out = {}
+    for r in island.collect():
+        out.setdefault(r["component"], set()).add(r["node"])
+    return list(out.values())
+
+
+def test_documents_that_share_a_run_by_chance_stay_apart(make_docs):
+    rng = random.Random(5)
+    docs = [[f"d{i}w{k}" for k in range(200)] for i in range(60)]
+    for i in range(59):
+        for at in (20, 60, 100, 140):  # a run of five words each in this document and the next
+            docs[i + 1][at + 10:at + 15] = docs[i][at:at + 5] = rng.choices("abcdefghijklmnop", k=5)
+    docs.append(docs[30][:190] + [f"x{k}" for k in range(10)])
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    flat = np.zeros(1 << setkit.SKETCH_BITS, np.uint16)  # as loads are in a large corpus: all alike
+    df = ngram_join.keyed(make_docs(rows).repartition(3))
+    node = {r["doc_id"]: r["node"] for r in ngram_join.document_sets(df, flat, 0).collect()}
+    assert together(setkit.islands(ngram_join._entries(df, flat, 0, 16))) == [{node[30], node[60]}]
+    assert got(ngram_join.near_duplicates(make_docs(rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("few", [1, 16])
+def test_islands_hold_every_similar_pair(spark, monkeypatch, few):
+    monkeypatch.setattr(setkit, "FEW", few)
+    rng = np.random.default_rng(few)
+    sets = []
+    for _ in range(25):
+        base = rng.choice(1 << 40, int(rng.integers(3, 150)), replace=False)
+        for _ in range(int(rng.integers(1, 12))):  # copies with up to a quarter of the tokens dropped or changed
+            drop = int(rng.integers(0, len(base) // 4 + 1))
+            new = rng.choice(1 << 40, int(rng.integers(0, drop + 1)), replace=False)
+            sets.append(set(rng.permutation(base)[drop:].tolist()) | set(new.tolist()))
+    h = np.array([x for s in sets for x in sorted(s)], np.uint64)
+    o = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    got = setkit.routed_sets(h, o, len(sets), np.zeros(1 << setkit.SKETCH_BITS, np.uint16), 0)
+    lens = np.diff(got["key_off"])
+    entries = [r for half in (np.arange(len(sets)) % 2 == 0, np.arange(len(sets)) % 2 == 1) for b in setkit.packed_entries(
+        [(got["keys"][np.repeat(half, lens)], np.repeat(got["node"], lens * half), np.repeat(got["n"], lens * half))], 4)
+        for r in zip(*b.to_pydict().values(), strict=True)]
+    holds = together(setkit.islands(spark.createDataFrame(entries, setkit.ENTRY_SCHEMA)))
+    at = {x: k for k, nodes in enumerate(holds) for x in nodes}
+    node, linked = got["node"].tolist(), 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 4 * len(x & sets[j]) >= 3 * len(x | sets[j]) and node[i] != node[j]:
+                linked += 1
+                assert at[node[i]] == at[node[j]]
+    assert linked > 50

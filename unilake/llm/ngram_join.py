@@ -5,8 +5,9 @@ a Jaccard similarity of 3/4.  Steps:
 
 1. hash every shingle into groups and total the groups over the corpus;
 2. hash each document's set; equal sets share one node;
-3. route: nodes that share a token of a light group, at sizes within 4/3 of
-   each other, form islands (exact: a link never leaves its island);
+3. route: nodes that share as many tokens of light groups as similar sets must,
+   at sizes within 4/3 of each other, form islands (exact: a link never leaves
+   its island);
 4. each island is a count-vector R-tree: bound overlaps by summed coordinate
    minima, verify what survives, skip pairs already joined by other links.
    Islands are packed into tasks of bounded size.  An island beyond that is
