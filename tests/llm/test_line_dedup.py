@@ -8,9 +8,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from unilake.llm import line_dedup
+from unilake.llm import line_dedup, setkit
 from tests.llm.conftest import SF
-from tests.llm.test_ngram_join import shingles
+from tests.llm.test_ngram_join import shingles, together
 
 
 def digest(text):
@@ -136,3 +136,19 @@ def test_only_lines_that_may_match_are_moved(make_docs, monkeypatch):
     sets = line_dedup._token_sets(docs, members, ranks, 0).collect()
     assert sorted((r["node"], len(r["tokens"])) for r in sets) == sorted((r["node"], 16) for r in members.collect())
     assert sum(len(r["text"]) for df in moved[:1] for r in df.collect()) < 2 * sum(len(t) for _, t in rows) / 100
+
+
+def test_lines_that_share_a_run_by_chance_stay_apart(make_docs):
+    rng = random.Random(8)
+    lines = [[f"l{i}w{k}" for k in range(60)] for i in range(150)]
+    for i in range(149):  # a run of five words in this line and the next
+        lines[i + 1][40:45] = lines[i][10:15] = rng.choices("abcdefghijklmnop", k=5)
+    lines.append(lines[70][:57] + ["x", "y", "z"])
+    rows = [(k, "\n".join(" ".join(w) for w in lines[k::10])) for k in range(10)]
+    flat = np.zeros(1 << setkit.SKETCH_BITS, np.uint16)  # as loads are in a large corpus: all alike
+    df = make_docs(rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("dig"), "text").repartition(3)
+    own = line_dedup._line_sets(df, flat, 0).localCheckpoint()
+    node = {(r["id"], r["line"]): r["node"] for r in own.collect()}
+    assert together(setkit.islands(line_dedup._entries(own, 16))) == [{node[0, 7], node[0, 15]}]
+    assert {r["doc_id"]: (r["text"], r["n_lines"], r["removed_lines"])
+            for r in line_dedup.dedup_lines(make_docs(rows)).collect()} == brute(rows)

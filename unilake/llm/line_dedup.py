@@ -7,8 +7,9 @@ line number).
 
 1. Count token loads over the corpus and order tokens by rarity.
 2. Lines with equal token sets share one node; all but the first such line go.
-3. Prefix and length filter: nodes that share one of their rarest tokens at
-   sizes within 4/3 form islands, which hold every link (see ``setkit``).
+3. Prefix and length filter: nodes that share as many of their rarest tokens as
+   similar sets must, at sizes within 4/3, form islands, which hold every link
+   (see ``setkit``).
 4. In each island, nodes are taken in corpus order; a node first meets the
    lines that removed most so far, then an index over the rare prefixes of all
    earlier nodes, with length and positional filters; Jaccard is verified.

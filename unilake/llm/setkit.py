@@ -139,12 +139,10 @@ def _distinct_pairs(pairs):
 def _crowded(first, low):
     """By row, whether its key has a holder with more than ``FEW`` later ones of
     fitting sizes.  Rows are in order of key and size; ``first`` marks each key's first."""
-    group = np.cumsum(first) - 1
-    size = np.bincount(group)
-    out = np.zeros(len(size), dtype=bool)
-    at = np.flatnonzero(size[group] > FEW + 1)
-    behind = np.minimum(at + FEW + 1, len(low) - 1)
-    out[group[at[(behind > at + FEW) & (group[behind] == group[at]) & (4 * low[at] >= 3 * low[behind])]]] = True
+    group, far = np.cumsum(first) - 1, FEW + 1
+    at = np.flatnonzero(group[far:] == group[:-far])
+    out = np.zeros(len(low), dtype=bool)
+    out[group[at[4 * low[at] >= 3 * low[at + far]]]] = True
     return out[group]
 
 
@@ -251,8 +249,10 @@ def _bucket_links(pdf):
         link = ~first[1:] & crowded[1:] & (4 * reach[:-1] >= 3 * low[1:]) & (node[1:] != node[:-1])
         links.append(np.stack([node[:-1][link], node[1:][link]], axis=1))
         weights.append(np.full(len(links[-1]), FULL))
-        for d in range(1, FEW + 1):
-            at = np.flatnonzero(~crowded[d:] & (group[d:] == group[:-d]) & (4 * low[:-d] >= 3 * low[d:]))
+        at = np.flatnonzero(~crowded[1:] & ~first[1:])
+        for d in range(1, FEW + 1):  # whose size doesn't fit the next one's fits none behind
+            at = at[at + d < len(key)]
+            at = at[(group[at + d] == group[at]) & (4 * low[at] >= 3 * low[at + d])]
             links.append(np.stack([node[at], node[at + d]], axis=1))
             weights.append(FULL // shared(low[at]))
     pairs, weight = np.sort(np.concatenate(links), axis=1), np.concatenate(weights)
